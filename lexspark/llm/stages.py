@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexspark.llm.common import WORD_CHAR
+from lexspark.llm.line_dedup import remove_repeated_lines
 from lexspark.llm.minhash import find_near_duplicates
+from lexspark.llm.mixing import mix
+from lexspark.llm.packing import op10_best_fit_packing
 from lexspark.llm.quality_rules import apply_quality_rules
 
 
@@ -14,7 +18,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return apply_quality_rules(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later copies of repeated line runs go, and documents of which no word is left."""
+    out = remove_repeated_lines(docs)
+    return out.filter(F.col("_ld_removed").isNull() | F.col("text").rlike(WORD_CHAR)).select(*docs.columns)
+
+
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest doc_id."""
     gone = find_near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them, each shard shuffled."""
+    return mix(docs).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in their sequences; a document taken twice is packed twice."""
+    return op10_best_fit_packing(docs)
