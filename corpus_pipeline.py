@@ -13,7 +13,10 @@ from lexspark.llm.common import Scratch, table
 
 STAGES = [
     ("quality rules", stages.quality_rules),
+    ("line dedup", stages.line_dedup),
     ("MinHash near-dedup", stages.minhash_near_dedup),
+    ("mixing", stages.mixing),
+    ("best-fit packing", stages.best_fit_packing),
 ]
 
 #: Near-duplicate confirmation and seeded mixing are not expressible in SQL; tests compare with brute force.
