@@ -201,13 +201,14 @@ def _confirm(percent: int):
     return run
 
 
-def blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
+def blocks(rows: DataFrame, key: str, block: int, needs: str | None = None) -> DataFrame:
     """rows of a key with at least two members, dealt out to (key, block_a, block_b).
 
     Keys with more than `block` rows are cut into blocks by the id's hash, and each pair of blocks
-    becomes a group of its own, so that no group exceeds twice a block's expected size.
+    becomes a group of its own, so that no group exceeds twice a block's expected size. needs: a
+    boolean column that must be true for a row of the key at least.
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"), (F.bool_or(needs) if needs else F.lit(True)).alias("_has")).filter("_n > 1 and _has").drop("_has")
     n = F.ceil(F.col("_n") / block).cast("int")
     rows = rows.join(sizes, key).withColumn("_blocks", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from lexspark.llm.classifier import op3_quality_classifier
 from lexspark.llm.common import table
+from lexspark.llm.lattice_dedup import link_embeddings
 from lexspark.llm.line_dedup import op2_line_dedup
+from lexspark.llm.lm_score import lm_scores
 from lexspark.llm.minhash import find_near_duplicates
 from lexspark.llm.mixing import op9_mixing
 from lexspark.llm.packing import op10_best_fit_packing
@@ -17,6 +20,9 @@ def _over(name, operator):
 QUERIES = {
     "op1_quality_rules": _over("documents", op1_quality_rules),
     "op2_line_dedup": _over("documents", op2_line_dedup),
+    "op3_quality_classifier": lambda spark, sf_dir: op3_quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op4_lm_score": _over("documents", lm_scores),
+    "op5_lattice_near_dedup": _over("embeddings", link_embeddings),
     "op8_minhash_near_dedup": _over("documents", find_near_duplicates),
     "op9_mixing": _over("documents", op9_mixing),
     "op10_best_fit_packing": _over("documents", op10_best_fit_packing),
