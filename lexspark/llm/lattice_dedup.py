@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.common import Scratch
 from lexspark.llm.graph import connected_components
-from lexspark.llm.minhash import blocks, by_groups
+from lexspark.llm.minhash import blocks, by_groups, group_bounds
 from lexspark.llm.shingles import mix
 
 LEAST = 0.9
@@ -167,10 +167,7 @@ def _compare(least: float):
                 return k
 
             edges: list[tuple[int, int]] = []
-            cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-            for lo, hi in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]]), strict=True):
-                if hi - lo < 2:
-                    continue
+            for lo, hi in group_bounds(key, x, y):
                 s = slice(lo, hi)
                 for i, j in group(key[lo], block[s], member[s], ids[s], copies[s], vectors[lo:hi], x[lo], y[lo]):
                     np.add.at(links, i + lo, copies[j + lo])

@@ -8,11 +8,12 @@ of equal lanes, corrected for chance collisions, estimates the similarity. Pairs
 within five standard errors of the threshold are confirmed on the full sets, made anew from the
 whole texts of the documents that share a bucket.
 
-A bucket never becomes all its pairs: each member proposes its two most similar earlier partners;
-confirmed links are contracted to components; later rounds, each four times as generous, propose
-only pairs whose ends are still in different components, until none is left. So every link between
-different components is tried, and a large group of copies costs a few links a member. Buckets
-larger than a block are dealt out as pairs of blocks.
+A bucket never becomes all its pairs. First each member proposes its two most similar partners,
+and confirmed links are contracted to components. Then the buckets that still hold documents of
+different components with further partners are settled where they are: their task has the texts,
+confirms every remaining pair that no earlier band brings together, joining components as it goes,
+and returns the links that joined any, fewer than it has members. So every link between different
+components is tried. Buckets larger than a block are dealt out as pairs of blocks.
 
 Defined results: null or blank texts have no shingles and link with nothing; fewer than five words
 are one shingle; rows that share a doc_id are one document whose links are those of all its rows;
@@ -61,10 +62,8 @@ def signature(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
 
 def estimated_similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Similarity of packed signatures (…, 4 words), corrected for the lanes that agree by chance."""
-    x = a ^ b
-    apart = np.bitwise_count((x | (x >> np.uint64(1))) & LOW_BITS).sum(axis=-1, dtype=np.int64)
     chance = 1 / 2**BITS
-    return ((1 - apart / LANES) - chance) / (1 - chance)
+    return ((1 - _apart(a, b) / LANES) - chance) / (1 - chance)
 
 
 def estimate_floor(percent: int) -> float:
@@ -97,63 +96,126 @@ def _signatures(batches):
         )
 
 
-def _proposals(low: int, high: int, floor: float):
-    """Groups of rows (key, block_a, block_b, block, id, component, packed), sorted by the first three, to pairs (a, b).
+def _most_apart(percent: int) -> float:
+    """Lanes that may differ: as many as leave the estimate at its floor."""
+    return LANES * (1 - estimate_floor(percent)) * (1 - 1 / 2**BITS)
 
-    Each member proposes those of its partners with smaller ids, ranked by estimate, that stand at
-    places low to high and are in another component.
-    """
 
-    most_apart = LANES * (1 - floor) * (1 - 1 / 2**BITS)
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a ^ b
+    return np.bitwise_count((x | (x >> np.uint64(1))) & LOW_BITS).sum(axis=-1, dtype=np.int64)
+
+
+def _unpack(packed) -> np.ndarray:
+    return np.frombuffer(b"".join(packed.to_pylist()), "<u8").reshape(-1, LANES * BITS // 64)
+
+
+def group_bounds(*keys: np.ndarray):
+    """(lo, hi) of the runs of equal keys that have at least two rows."""
+    cut = np.flatnonzero(np.logical_or.reduce([np.diff(k) != 0 for k in keys])) + 1
+    for lo, hi in zip(np.concatenate([[0], cut]).tolist(), np.concatenate([cut, [len(keys[0])]]).tolist(), strict=True):
+        if hi - lo > 1:
+            yield lo, hi
+
+
+def _proposals(percent: int, most: int = 2):
+    """Groups (key, block_a, block_b | block, id, packed), sorted by the first three, to (a, b, key).
+
+    Each member proposes its `most` most similar partners with smaller ids. A row with a key alone
+    tells that a member there has more partners that may be similar enough.
+    """
+    allowed = _most_apart(percent)
     far = np.int64(1) << 40
 
-    def pairs_of(block, ids, comp, sig, one, other):
+    def pairs_of(block, ids, sig, one, other):
         # members of the later block against those of the earlier one, or a block against itself
         rows, cols = np.flatnonzero(block == other), np.flatnonzero(block == one)
-        cols = cols[np.argsort(ids[cols])]
-        out_a, out_b = [], []
+        more = False
         for at in range(0, len(rows), 256):
             r = rows[at : at + 256]
-            x = sig[r][:, None, :] ^ sig[cols][None, :, :]
-            apart = np.bitwise_count((x | (x >> np.uint64(1))) & LOW_BITS).sum(axis=-1, dtype=np.int64)
-            rank = (apart << 20) + np.arange(len(cols))
-            rank[(ids[cols][None, :] >= ids[r][:, None]) if one == other else (ids[cols][None, :] == ids[r][:, None])] = far
-            if high < len(cols):
-                rank = np.partition(rank, high - 1, axis=1)[:, :high]
-            rank = np.sort(rank, axis=1)[:, low:high]
-            j = rank & 0xFFFFF
-            i, k = np.nonzero((rank < far) & ((rank >> 20) <= most_apart))
-            c = cols[j[i, k]]
-            new = comp[c] != comp[r[i]]
-            out_a.append(ids[c][new])
-            out_b.append(ids[r[i]][new])
-        return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (np.empty(0, np.int64),) * 2
+            rank = (_apart(sig[r][:, None, :], sig[cols][None, :, :]) << 20) + np.arange(len(cols))
+            skip = ids[cols][None, :] >= ids[r][:, None] if one == other else ids[cols][None, :] == ids[r][:, None]
+            rank[skip | ((rank >> 20) > allowed)] = far
+            more = more or bool(((rank < far).sum(axis=1) > most).any())
+            if most < len(cols):
+                rank = np.partition(rank, most - 1, axis=1)[:, :most]
+            i, k = np.nonzero(rank < far)
+            yield ids[cols[rank[i, k] & 0xFFFFF]], ids[r[i]], more
+
+    def run(batches):
+        import pyarrow as pa
+
+        def emit(t):
+            key, x, y, block, ids = (t.column(c).to_numpy() for c in range(5))
+            sig = _unpack(t.column(5))
+            a, b, again = [], [], []
+            for lo, hi in group_bounds(key, x, y):
+                s, more = slice(lo, hi), False
+                for p, q, more in pairs_of(block[s], ids[s], sig[s], x[lo], y[lo]):
+                    a.append(np.minimum(p, q))
+                    b.append(np.maximum(p, q))
+                if more:
+                    again.append(key[lo])
+            a, b = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (a, b))
+            none = pa.nulls(len(again), pa.int64())
+            cols = [pa.concat_arrays([pa.array(v, pa.int64()), none]) for v in (a, b)]
+            keys = pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(again, pa.int64())])
+            return pa.RecordBatch.from_arrays([*cols, keys], names=["a", "b", "key"])
+
+        yield from by_groups(batches, 3, emit)
+
+    return run
+
+
+def _settle(percent: int):
+    """Groups (key, block_a, block_b | block, id, component, packed, bands, text) to links (u, v) that join components."""
+    allowed = _most_apart(percent)
 
     def run(batches):
         import pyarrow as pa
 
         def emit(t):
             key, x, y, block, ids, comp = (t.column(c).to_numpy() for c in range(6))
-            sig = np.frombuffer(b"".join(t.column(6).to_pylist()), "<u8").reshape(-1, LANES * BITS // 64)
-            cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
-            found = [[], []]
-            for lo, hi in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(key)]]), strict=True):
-                if hi - lo < 2:
-                    continue
+            sig = _unpack(t.column(6))
+            bands = np.array(t.column(7).to_pylist(), np.int64)
+            u, v = [], []
+            for lo, hi in group_bounds(key, x, y):
                 s = slice(lo, hi)
-                if hi - lo == 2 and low == 0:
-                    if comp[lo] != comp[lo + 1] and ids[lo] != ids[lo + 1] and estimated_similarity(sig[lo], sig[lo + 1]) >= floor:
-                        found[0].append(np.array([min(ids[lo], ids[lo + 1])]))
-                        found[1].append(np.array([max(ids[lo], ids[lo + 1])]))
-                    continue
-                a, b = pairs_of(block[s], ids[s], comp[s], sig[s], x[lo], y[lo])
-                found[0].append(np.minimum(a, b))
-                found[1].append(np.maximum(a, b))
-            cols = [np.concatenate(f) if f else np.empty(0, np.int64) for f in found]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+                sets = [shingle_set(w) for w in word_hashes(t.column(8).slice(lo, hi - lo).to_pylist())]
+                for i, j in _join(ids[s], comp[s], sig[s], bands[s], sets, key[lo], np.flatnonzero(block[s] == y[lo]), np.flatnonzero(block[s] == x[lo])):
+                    u.append(int(ids[lo + i]))
+                    v.append(int(ids[lo + j]))
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
         yield from by_groups(batches, 3, emit)
 
+    def _join(ids, comp, sig, bands, sets, key, rows, cols):
+        comp = comp.copy()
+        size = np.array([len(z) for z in sets])
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(size)
+        marked = np.zeros(len(names), bool)
+        for i in rows.tolist():
+            js = cols[(comp[cols] != comp[i]) & (ids[cols] != ids[i])]
+            js = js[_apart(sig[i], sig[js]) <= allowed]
+            # the first band that brings the pair together is this one
+            js = js[bands[i][(bands[js] == bands[i]).argmax(axis=1)] == key]
+            if not len(js):
+                continue
+            mine = flat[ends[i] - size[i] : ends[i]]
+            marked[mine] = True
+            for at in range(0, len(js), 512):
+                part = js[at : at + 512]
+                n = size[part]
+                first = np.cumsum(n) - n
+                all_ = flat[np.arange(int(n.sum())) + np.repeat(ends[part] - n - first, n)]
+                both = np.add.reduceat(marked[all_].astype(np.int64), first)
+                for j in part[100 * both >= percent * (size[i] + n - both)].tolist():
+                    if comp[j] != comp[i]:
+                        comp[comp == comp[j]] = comp[i]
+                        yield i, j
+            marked[mine] = False
+
     return run
 
 
@@ -235,28 +297,24 @@ def find_near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = B
     wanted = scratch.store(reps.join(shared, "id").select(F.col("id").alias("doc_id"), "text_hash"), "wanted")
     texts = source.join(checked_broadcast(wanted, 24), ["doc_id", "text_hash"]).select(F.col("doc_id").alias("id"), "text")
     texts = scratch.store(texts, "texts")
-    packed = reps.select("id", "packed")
-    floor = estimate_floor(percent)
-    links, labels, low, high = None, None, 0, 2
-    while True:
-        if labels is None:
-            rows = keys.withColumn("component", F.col("id"))
-        else:
-            rows = keys.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-            mixed = rows.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b")
-            rows = scratch.store(rows.join(mixed.select("key"), "key"), "bucket-rows")
-            largest = rows.groupBy("key").count().agg(F.max("count")).first()[0] or 0
-            if low >= largest:
-                break
-        dealt = blocks(rows, "key", block).join(packed, "id").select("key", "block_a", "block_b", "block", "id", "component", "packed")
-        dealt = dealt.repartition("key", "block_a", "block_b").sortWithinPartitions("key", "block_a", "block_b")
-        pairs = scratch.store(dealt.mapInArrow(_proposals(low, high, floor), "a long, b long").distinct(), "pairs")
-        pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        found = scratch.store(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "u long, v long"), "links")
-        links = found if links is None else links.union(found)
-        labels = scratch.store(connected_components(links, scratch), "components")
-        low, high = high, high * 4
+    groups = ["key", "block_a", "block_b"]
+    dealt = blocks(keys, "key", block).join(reps.select("id", "packed"), "id").select(*groups, "block", "id", "packed")
+    dealt = dealt.repartition(*groups).sortWithinPartitions(*groups)
+    proposed = scratch.store(dealt.mapInArrow(_proposals(percent), "a long, b long, key long").distinct(), "proposed")
+    pairs = proposed.filter("key is null").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    links = scratch.store(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "u long, v long"), "links")
+    labels = scratch.store(connected_components(links, scratch), "components")
+    rows = keys.join(proposed.filter("key is not null").select("key").distinct(), "key")
+    rows = rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = rows.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b").select("key")
+    rows = scratch.store(rows.join(mixed, "key"), "unsettled")
+    if rows.limit(1).count():
+        dealt = blocks(rows, "key", block // 2).join(reps.select("id", "packed", "bands"), "id").join(texts, "id")
+        dealt = dealt.select(*groups, "block", "id", "component", "packed", "bands", "text").repartition(*groups).sortWithinPartitions(*groups)
+        more = scratch.store(dealt.mapInArrow(_settle(percent), "u long, v long"), "more-links")
+        if more.limit(1).count():
+            labels = scratch.store(connected_components(links.union(more), scratch), "components")
     at = labels.withColumnRenamed("component", "component_id")
     classes = classes.join(at, "id", "left").select(*fp, F.coalesce("component_id", "id").alias("component_id"))
     out = sigs.join(classes, fp, "left")
