@@ -27,7 +27,7 @@ from lexspark.llm.common import Scratch, shared_folder
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
-MERGE, RELABEL, INSERT = 10, 25, 40
+MERGE, RELABEL, INSERT = 10, 60, 40
 FAR = 1 << 40
 #: What follows what: in each state, the roles that may come next.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
