@@ -62,8 +62,9 @@ def localisation_gate(rows: DataFrame, concepts: DataFrame, scope: Sequence[str]
     """
     core = F.trim(F.regexp_replace("preferred", wrapper, "$1"))
     r = rows.withColumns({"core": core, "declared": scope_safe_key(F.coalesce("laterality", F.lit("unsided")))})
-    forms = F.array(F.struct(F.lit(1).alias("rank"), F.lit("EXACT").alias("method"), F.col("preferred").alias("term")), F.struct(F.lit(2), F.lit("EXACT_WITHOUT_WRAPPER"), F.when(F.col("core") != F.trim("preferred"), F.col("core"))))
-    by_alias = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.struct(F.lit(3).alias("rank"), F.lit("SYNONYM").alias("method"), a.alias("term")))
+    way = lambda rank, method, term: F.struct(F.lit(rank).alias("rank"), F.lit(method).alias("method"), term.alias("term"))
+    forms = F.array(way(1, "EXACT", F.col("preferred")), way(2, "EXACT_WITHOUT_WRAPPER", F.when(F.col("core") != F.trim("preferred"), F.col("core"))))
+    by_alias = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: way(3, "SYNONYM", a))
     named = r.select("row_id", F.explode(F.concat(forms, by_alias)).alias("f")).select("row_id", "f.*").filter("term is not null").withColumn("key", scope_safe_key("term"))
     targets = concepts.select("concept_id", "name", scope_safe_key("name").alias("key"))
     hits = named.join(targets, "key").groupBy("row_id").agg(F.count_distinct("concept_id").alias("n"), F.max_by(F.struct("concept_id", "name", "method"), "rank").alias("hit"))
