@@ -25,9 +25,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id."""
+    """One document of each group of near duplicates stays: the one with the smallest doc_id.
+
+    Rows that share a doc_id are one document; of such rows the least stays. They are looked for
+    first, in a count of the ids, so that texts are grouped only if there are any.
+    """
     gone = find_near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        return out
+    rest = [c for c in docs.columns if c != "doc_id"]
+    one = out.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("r"))
+    one = one.select("doc_id", *[F.col("r")[c].alias(c) for c in rest]).select(*docs.columns)
+    return one.union(out.filter("doc_id is null"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,13 @@ def test_same_as_brute_force(spark, documents):
     assert set(quality[0].asDict()) == set(documents([]).columns)
 
 
+def test_rows_of_one_document_become_one(spark, documents):
+    text = " ".join(f"w{i}" for i in range(40))
+    d = documents([(1, text), (1, text), (2, text + " end"), (None, "x"), (None, "x"), (7, "b"), (7, "a")])
+    out = dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, d, "")
+    assert out.columns == d.columns and sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "x"), (0, "x"), (1, text), (7, "a")]
+
+
 def test_empty_and_rerun(spark, documents, tmp_path):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
