@@ -149,6 +149,27 @@ def side(c: Column | str, sides: Sequence[str], default: str = "unsided") -> Col
     return F.when(F.size(found) == 1, found[0]).otherwise(default)
 
 
+def laterality_of(c: Column | str, rules: Sequence[tuple[str, Sequence[str]]], both: str = "bilateral", default: str = "unsided") -> Column:
+    """Side of a text by rules (side, words): the one side found; several, or one of them `both`, are both."""
+    key = fold_key(c)
+    found = F.array_compact(F.array(*[F.when(key.rlike(word_pattern(words)), F.lit(side)) for side, words in rules]))
+    return F.when(F.size(found) == 0, default).when((F.size(found) > 1) | F.array_contains(found, both), both).otherwise(F.get(found, F.lit(0)))
+
+
+def id_hint(c: Column | str, pattern: str) -> Column:
+    """The first group of a pattern in a note; null without one."""
+    return F.nullif(F.regexp_extract(_col(c), pattern, 1), F.lit(""))
+
+
+def id_prefix(c: Column | str, separator: str = ".") -> Column:
+    return F.substring_index(_col(c), separator, 1)
+
+
+def is_placeholder(c: Column | str, words: Sequence[str] = ("todo", "tbd", "placeholder", "unknown", "n/a")) -> Column:
+    """Whether a field is filled with a stand-in; the words are the caller's to choose."""
+    return F.coalesce(F.lower(F.trim(_col(c))).isin(list(words)), F.lit(False))
+
+
 def base_name(c: Column | str, words: Sequence[str]) -> Column:
     """The folded name without these words."""
     return collapse(F.regexp_replace(fold_key(c), word_pattern(words), ""))

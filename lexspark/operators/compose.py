@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import multiset_diff, tokens
@@ -32,6 +32,21 @@ def mine_pairs(claims: DataFrame, pairs: DataFrame) -> DataFrame:
     return x.select("rule_id", "first", "second", "rest", "first_term", "second_term", F.col("d1")[0].alias("first_word"), F.col("d2")[0].alias("second_word"))
 
 
+def ordinal_pairs(spark: SparkSession, ordinals: Sequence[str], rule_id: str) -> DataFrame:
+    """All pairs of ordinals as pairs of one rule, in the order of their strings."""
+    o = sorted(ordinals)
+    return spark.createDataFrame([(rule_id, a, b) for i, a in enumerate(o) for b in o[i + 1 :]], "rule_id string, first string, second string")
+
+
+def enable_ordinals(examples: DataFrame, minimum: int = 1) -> DataFrame:
+    """Per rule and ordinal: its words; enabled if there are enough examples and every ordinal of the rule has one word."""
+    e = examples.select("rule_id", F.explode(F.array(F.struct(F.col("first").alias("modifier"), F.col("first_word").alias("word")), F.struct(F.col("second").alias("modifier"), F.col("second_word").alias("word")))).alias("m"))
+    g = e.groupBy("rule_id", "m.modifier").agg(F.array_sort(F.collect_set("m.word")).alias("words"))
+    n = examples.groupBy("rule_id").agg(F.count("*").alias("examples"))
+    ok = g.groupBy("rule_id").agg(F.bool_and(F.size("words") == 1).alias("_one")).join(n, "rule_id")
+    return g.join(ok, "rule_id").select("rule_id", "modifier", (F.col("_one") & (F.col("examples") >= minimum)).alias("enabled"), F.get("words", F.lit(0)).alias("word"))
+
+
 def enable_rules(examples: DataFrame, pairs: DataFrame, minimum: int = 3) -> DataFrame:
     """Per rule: examples, the realisations of each side, enabled: enough examples and one realisation a side."""
     g = examples.groupBy("rule_id").agg(F.count("*").alias("examples"), F.array_sort(F.collect_set("first_word")).alias("first_words"), F.array_sort(F.collect_set("second_word")).alias("second_words"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.functions.text import content_hash
+
 STATUSES = ("NONE", "CONFLICT", "SURFACE_VARIANT_REVIEW", "AGREED", "BLOCKED_BY_SAFETY_FLAG", "VARIANT_ONLY", "NO_AUTHORITATIVE_PREFERRED_TERM")
 
 
@@ -131,6 +133,12 @@ def regression(decisions: DataFrame, baseline: DataFrame, compatible: DataFrame)
     return d.select("concept_id", "baseline_bucket", "bucket", state.alias("state"))
 
 
+def emit_claims(accepted: DataFrame) -> DataFrame:
+    """Claims of accepted rows (concept_id, source_id, entry_id, pivot, target, agreement, method, institution): an id by content, and whom they depend on."""
+    claim = content_hash("concept_id", "source_id", "entry_id", "pivot", "target", "method")
+    return accepted.withColumns({"claim_id": claim, "independence": F.coalesce("institution", "source_id")}).dropDuplicates(["claim_id"])
+
+
 def terminal_disposition(concepts: DataFrame, claims: DataFrame, blocked: DataFrame) -> DataFrame:
     """One disposition per concept: conflict, agreement, direct, scope review, identity review, none.
 

@@ -50,6 +50,13 @@ def coverage(df: DataFrame, counters: dict[str, Column], by: Sequence[str] = ())
     return df.groupBy(*by).agg(*aggs)
 
 
+def evidence_counts(decisions: DataFrame, matches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per value of the columns of decisions: concepts, concepts with evidence, pieces of evidence."""
+    m = matches.groupBy("concept_id").agg(F.count_distinct("evidence_id").alias("_n"))
+    d = decisions.join(m, "concept_id", "left")
+    return d.groupBy(*by).agg(F.count_distinct("concept_id").alias("concepts"), F.count_distinct(F.when(F.col("_n") > 0, F.col("concept_id"))).alias("with_evidence"), F.coalesce(F.sum("_n"), F.lit(0)).alias("evidence"))
+
+
 def histogram(df: DataFrame, value: Column | str, array: bool = False) -> DataFrame:
     value = F.col(value) if isinstance(value, str) else value
     return df.select((F.explode(value) if array else value).alias("value")).groupBy("value").count()

@@ -240,6 +240,45 @@ def _conflict_findings(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     return [findings_of(x, rules, "_entity", "conflicts"), missing_findings(ids, {"concept_id": "concept_id", "claim_id": "id"}, t["claims"], "conflict-unknown-claim", F.concat_ws("/", "concept_id", "id", "claim_id"), "conflicts")]
 
 
+def origin_findings(origins: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rules on where candidates come from: concept_id, id, method, created_at, source_id."""
+    o = origins.withColumn("_entity", F.concat_ws("/", "concept_id", "id"))
+    rules = [("invalid-candidate-origin", E, is_blank("id")), ("invalid-candidate-origin-method", E, ~_yes(F.col("method").isin("human", "machine"))), ("invalid-candidate-origin-date", E, ~is_iso_date("created_at"))]
+    out = findings_of(o, rules, "_entity", "candidate_origins").union(duplicate_findings(origins, ["concept_id", "id"], "invalid-candidate-origin", "candidate_origins"))
+    return out.union(missing_findings(o, {"source_id": "id"}, sources, "unresolved-candidate-origin-source", F.col("_entity"), "candidate_origins"))
+
+
+def research_findings(research: DataFrame, buckets: Sequence[str]) -> DataFrame:
+    """Rules on research dispositions: concept_id, artifact, row, bucket, candidate_term, suggested_form."""
+    odd = lambda c: F.col(c).isNotNull() & is_blank(c)
+    rules = [
+        ("invalid-research-artifact", E, is_blank("artifact")), ("invalid-research-row", E, ~_yes(F.col("row") > 0)), ("invalid-research-bucket", E, ~_yes(F.col("bucket").isin(list(buckets)))),
+        ("invalid-research-candidate-term", E, odd("candidate_term")), ("invalid-research-suggested-form", E, odd("suggested_form")),
+    ]
+    return findings_of(research, rules, "concept_id", "research")
+
+
+def collision_findings(terms: DataFrame, released: DataFrame, permitted: DataFrame) -> DataFrame:
+    """Keys of search terms (concept_id, term, key) on several concepts: a warning; among released concepts an error, unless every term is permitted (concept_id, term)."""
+    t = terms.select("concept_id", "term", "key").distinct()
+    many = lambda d: d.groupBy("key").agg(F.count_distinct("concept_id").alias("_n"), F.bool_and("_ok").alias("_ok")).filter("_n > 1")
+    out = _finding(many(t.withColumn("_ok", F.lit(True))), "normalized-alias-collision", W, F.col("key"), "search_terms")
+    ok = permitted.select("concept_id", "term").distinct().withColumn("_may", F.lit(True))
+    r = t.join(released.select("concept_id"), "concept_id", "left_semi").join(ok, ["concept_id", "term"], "left").withColumn("_ok", F.coalesce("_may", F.lit(False)))
+    return out.union(_finding(many(r).filter("not _ok"), "release-normalized-alias-collision", E, F.col("key"), "search_terms"))
+
+
+def pilot_findings(pilot: DataFrame, concepts: DataFrame, tags: Mapping[str, str], forbidden: Sequence[str]) -> DataFrame:
+    """A frozen sample (concept_id, name, elements, tags) against the concepts: element lists equal, tags shown by the name, no forbidden column filled."""
+    p = pilot.join(concepts.select("concept_id", F.col("elements").alias("_now"), F.lit(True).alias("_known")), "concept_id", "left")
+    shown = F.lit(True)
+    for tag, pattern in tags.items():
+        shown = shown & (~F.array_contains("tags", tag) | fold_key("name").rlike(pattern))
+    filled = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in forbidden if c in pilot.columns], F.lit(False))
+    rules = [("pilot-unknown-concept", E, F.col("_known").isNull()), ("pilot-elements-differ", E, F.col("_known").isNotNull() & ~F.col("elements").eqNullSafe(F.col("_now"))), ("pilot-unsupported-tag", E, ~_yes(shown)), ("pilot-forbidden-field", E, filled)]
+    return findings_of(p, rules, "concept_id", "pilot")
+
+
 def release_findings(manifest: DataFrame, current: DataFrame) -> DataFrame:
     """Bindings (name, value) of a release manifest against current ones: mismatched and missing."""
     d = manifest.select("name", F.col("value").alias("bound")).join(current.select("name", F.col("value").alias("now")), "name", "full").filter(~F.col("bound").eqNullSafe(F.col("now")))

@@ -322,3 +322,32 @@ def test_names_and_search_terms(spark):
     s = registry.search_terms(c, d, gated.drop("approved"), gated, spark.createDataFrame([("2", "X9")], "concept_id string, identifier string"))
     keys = {(r.concept_id, r.key) for r in s.collect()}
     assert ("1", "ban tay") in keys and ("1", "no") not in keys and ("2", "x9") in keys and ("1", "hand") in keys
+
+
+def test_claims_and_ordinals(spark):
+    a = spark.createDataFrame([("1", "S", "e", "hand", "tay", "tay", "EXACT", None)] * 2 + [("1", "T", "e", "hand", "tay", "tay", "EXACT", "I")], "concept_id string, source_id string, entry_id string, pivot string, target string, agreement string, method string, institution string")
+    c = consensus.emit_claims(a)
+    assert rows(c, "source_id", "independence") == [("S", "S"), ("T", "I")]
+    d = consensus.terminal_disposition(a.select("concept_id"), c, spark.createDataFrame([], "concept_id string, status string"))
+    assert rows(d, "disposition") == [("MULTI_SOURCE_AGREEMENT",)]
+    claims = spark.createDataFrame([("first rib", "suon nhat"), ("second rib", "suon hai"), ("third toe", "ngon ba")], "name string, term string")
+    pairs = compose.ordinal_pairs(spark, ["first", "second", "third"], "ord")
+    assert pairs.count() == 3
+    assert rows(compose.enable_ordinals(compose.mine_pairs(claims, pairs)), "modifier", "enabled", "word") == [("first", True, "nhat"), ("second", True, "hai")]
+
+
+def test_further_registry_rules(spark):
+    o = spark.createDataFrame([("1", "a", "human", "2024-01-01", None), ("1", "b", "x", "bad", "ZZ"), ("1", "b", "human", "2024-01-01", "S")], "concept_id string, id string, method string, created_at string, source_id string")
+    found = rows(registry.origin_findings(o, spark.createDataFrame([source("S")], SOURCE)), "code", "entity_id")
+    assert found == [("invalid-candidate-origin", "1/b"), ("invalid-candidate-origin-date", "1/b"), ("invalid-candidate-origin-method", "1/b"), ("unresolved-candidate-origin-source", "1/b")]
+    r = spark.createDataFrame([("1", "f", 1, "GAP", None, None), ("2", " ", 0, "?", " ", "x")], "concept_id string, artifact string, row int, bucket string, candidate_term string, suggested_form string")
+    assert {x.code for x in registry.research_findings(r, ["GAP"]).collect()} == {"invalid-research-artifact", "invalid-research-row", "invalid-research-bucket", "invalid-research-candidate-term"}
+    t = spark.createDataFrame([("1", "Tay", "tay"), ("2", "tay", "tay"), ("3", "x", "x"), ("1", "o", "o"), ("2", "o", "o")], "concept_id string, term string, key string")
+    ids = spark.createDataFrame([("1",), ("2",)], "concept_id string")
+    may = spark.createDataFrame([("1", "o"), ("2", "o")], "concept_id string, term string")
+    assert rows(registry.collision_findings(t, ids, may), "code", "entity_id") == [("normalized-alias-collision", "o"), ("normalized-alias-collision", "tay"), ("release-normalized-alias-collision", "tay")]
+    c = spark.createDataFrame([("1", ["a"]), ("2", ["b"])], "concept_id string, elements array<string>")
+    p = spark.createDataFrame([("1", "left hand", ["a"], ["side"], None), ("2", "hand", ["c"], ["side"], "x"), ("3", "hand", ["c"], [], None)], "concept_id string, name string, elements array<string>, tags array<string>, target string")
+    assert rows(registry.pilot_findings(p, c, {"side": "left|right"}, ["target"]), "code", "entity_id") == [("pilot-elements-differ", "2"), ("pilot-forbidden-field", "2"), ("pilot-unknown-concept", "3"), ("pilot-unsupported-tag", "2")]
+    m = spark.createDataFrame([("name", "a"), ("rev", "b")], "name string, value string")
+    assert rows(registry.release_findings(m, spark.createDataFrame([("name", "a"), ("rev", "c")], "name string, value string")), "code") == [("release-rev-mismatch",)]

@@ -62,3 +62,10 @@ def test_hashes_and_checks(spark):
     assert strings(spark, T.is_iso_date("x"), "2024-02-29", "2023-02-29", "x", None) == [True, False, False, False]
     assert strings(spark, T.is_url("x"), "https://a/b", "ftp://a", None) == [True, False, False]
     assert values(spark, T.citation(F.lit(" "), "a", F.lit("t"), F.lit(1999)), [(["Ann B", "C"],), ([],)], "a array<string>") == ["Ann B et al. (1999)", "t (1999)"]
+
+
+def test_sides_and_hints(spark):
+    rules = [("left", ["left", "trai"]), ("right", ["right"]), ("bilateral", ["both"])]
+    assert strings(spark, T.laterality_of("x", rules), "Left", "tay TRÁI", "left and right", "both", "hand") == ["left", "left", "bilateral", "bilateral", "unsided"]
+    assert strings(spark, T.id_hint("x", r"ID (\d+)"), "see ID 12", "none") == ["12", None]
+    assert strings(spark, T.id_prefix("x"), "A1.2.3") == ["A1"] and strings(spark, T.is_placeholder("x"), " TBD", "x", None) == [True, False, False]
