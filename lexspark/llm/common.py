@@ -55,14 +55,6 @@ def checked_broadcast(small: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(small) if small.count() * row_bytes <= BROADCAST_BYTES else small
 
 
-def same(a: DataFrame, b: DataFrame, *names: str) -> Column:
-    """Null-safe equality of the named columns of two aliased tables."""
-    out = F.lit(True)
-    for n in names:
-        out = out & a[n].eqNullSafe(b[n])
-    return out
-
-
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

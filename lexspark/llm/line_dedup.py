@@ -79,7 +79,7 @@ def _ranked(rows: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, min_words: int, scratch: Scratch) -> DataFrame:
-    """(_ld_doc, _ld_hash, removed): for documents with lines to delete, their places in the text."""
+    """(_ld_doc, _ld_hash, _ld_removed): for documents with lines to delete, their places in the text."""
     source = docs.select(F.col("doc_id").cast("long").alias(DOC[0]), F.xxhash64("text").alias(DOC[1]), F.col("text"))
     schema = f"{DOC[0]} long, {DOC[1]} long, i int, place int, h1 long, h2 long, onwards int, back int"
     lines = source.mapInArrow(_lines(min_words), schema)
@@ -115,7 +115,7 @@ def repeated_lines(docs: DataFrame, min_words: int, scratch: Scratch) -> DataFra
     gone = later.select(*DOC, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("i")).distinct()
     places = base.select(*[F.col(c).alias(f"_{c}") for c in DOC], F.col("i").alias("_i"), "place")
     on = F.col(DOC[0]).eqNullSafe(F.col(f"_{DOC[0]}")) & (F.col(DOC[1]) == F.col(f"_{DOC[1]}")) & (F.col("i") == F.col("_i"))
-    gone = gone.join(places, on).groupBy(*DOC).agg(F.array_sort(F.collect_set("place")).alias("removed"))
+    gone = gone.join(places, on).groupBy(*DOC).agg(F.array_sort(F.collect_set("place")).alias("_ld_removed"))
     return scratch.store(gone, "removed")
 
 
@@ -126,10 +126,10 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     keyed = docs.withColumns({"_ld_id": F.col("doc_id").cast("long"), "_ld_text": F.xxhash64("text")})
     joined = keyed.join(gone, F.col("_ld_id").eqNullSafe(F.col(DOC[0])) & (F.col("_ld_text") == F.col(DOC[1])), "left")
     lines = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed"))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.get(F.col("_ld_lines"), k)), "\n"))
-    joined = joined.withColumn("_ld_lines", F.when(F.col("removed").isNotNull(), lines)).withColumn("_ld_new", text)
-    return joined.select(*[F.col("_ld_new").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("removed").alias("_ld_removed"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_ld_removed"))
+    text = F.when(F.col("_ld_removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.get(F.col("_ld_lines"), k)), "\n"))
+    joined = joined.withColumn("_ld_lines", F.when(F.col("_ld_removed").isNotNull(), lines)).withColumn("_ld_new", text)
+    return joined.select(*[F.col("_ld_new").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("_ld_removed"))
 
 
 def op2_line_dedup(docs: DataFrame) -> DataFrame:
