@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, evidence, match, metrics, patch, quality, reconstruct, registry, report, rules, search, snapshot, targets
+from lexspark.operators import compose, consensus, evidence, match, mesh, metrics, patch, quality, reconstruct, registry, report, rules, search, snapshot, targets
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -574,3 +574,101 @@ def identifier_bridge(spark, sf_dir):
     a = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("atom_id"), F.col("s_nationkey").alias("identifier"), F.lit("r1").alias("release"), (F.col("s_acctbal") <= 0).alias("suppressed"))
     b = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("atom_id"), F.col("c_nationkey").alias("identifier"), F.when(F.col("c_mktsegment") == "BUILDING", "r1").otherwise("r0").alias("release"), F.lit(False).alias("suppressed"))
     return match.shared_identifier_bridge(a, b, "r1").drop("status")
+
+
+@query("SELECT doc_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(text), '[‐-―−]', '-', 'g'), '\\s*-\\s*', '-', 'g'), '[\\s\\x{A0}\\x{FEFF}]+', ' ', 'g'))) AS agreed FROM documents")
+def agreement_key(spark, sf_dir):
+    """B4 over whole texts: case and accents stay."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.sha2(T.agreement_key("text"), 256).alias("agreed"))
+
+
+@query("""SELECT doc_id, sum((cut <> '')::INT)::BIGINT AS with_target, sum(length(cut))::BIGINT AS target_chars FROM (SELECT doc_id, regexp_extract(trim(regexp_replace(line, '\\s+', ' ', 'g')), '^(.*?)(\\S*[À-ỹ].*)$', 2) AS cut FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY 1""")
+def merged_lines(spark, sf_dir):
+    """Every line cut at its first accented word."""
+    d = read(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).withColumn("t", F.coalesce(T.split_at_accent("line")["target"], F.lit("")))
+    return d.groupBy("doc_id").agg(F.sum((F.col("t") != "").cast("long")).alias("with_target"), F.sum(F.length("t")).alias("target_chars"))
+
+
+@query("""SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey AS k, s_suppkey IS NOT NULL AS known, coalesce(s_nationkey % 3 = l_linenumber % 3, false) AS revision_matches, coalesce(s_nationkey % 3 = l_linenumber % 3 AND s_acctbal > 0 AND s_suppkey % 5 <> 0 AND l_quantity > 10, false) AS research_eligible, coalesce(s_nationkey % 3 = l_linenumber % 3 AND s_acctbal > 0 AND s_suppkey % 5 <> 0 AND l_quantity > 10 AND s_acctbal > 1000 AND s_suppkey % 2 = 0, false) AS claim_eligible
+FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey AND s_suppkey % 7 <> 0""")
+def source_gate(spark, sf_dir):
+    """What a line item's source is good for; the supplier plays the source."""
+    none = F.lit(None).cast("string")
+    s = read(spark, sf_dir, "supplier").filter("s_suppkey % 7 <> 0")
+    catalog = s.select(
+        F.col("s_suppkey").alias("id"), (F.col("s_nationkey") % 3).cast("string").alias("revision"), F.when(F.col("s_acctbal") > 0, "authoritative").otherwise("discovery-only").alias("authority_tier"), F.lit("PAGE").alias("locator_capability"),
+        F.when(F.col("s_suppkey") % 5 == 0, "other").alias("access_copy_of"), F.struct(F.lit(True).alias("target_preferred")).alias("capabilities"), F.when(F.col("s_acctbal") > 1000, "FULL_ACCESS").otherwise("METADATA_ONLY").alias("access_status"),
+        (F.col("s_suppkey") % 2 == 0).alias("content_inspected"), F.struct(F.lit("VERIFIED").alias("status")).alias("audit"))
+    li = read(spark, sf_dir, "lineitem")
+    at = F.struct(F.when(F.col("l_quantity") > 10, F.col("l_quantity").cast("int")).alias("page"), *[none.alias(c) for c in ("plate", "entry_id", "nomenclature_id", "chapter", "section", "table", "url")])
+    a = li.select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey").alias("k"), F.col("l_suppkey").alias("source_id"), (F.col("l_linenumber") % 3).cast("string").alias("source_revision"), at.alias("locator"))
+    return evidence.assess_sources(a, catalog).select("k", "known", "revision_matches", "research_eligible", "claim_eligible")
+
+
+@query("""WITH n AS (SELECT p_name AS name, count(*) AS k FROM part GROUP BY 1), r AS (SELECT p_partkey AS row_id, p_name, CASE p_partkey % 4 WHEN 0 THEN upper(p_name) WHEN 1 THEN 'structure of ' || p_name WHEN 2 THEN p_name || ' part' ELSE 'unknown thing' END AS said FROM part)
+SELECT row_id, CASE WHEN row_id % 11 = 0 THEN 'PARSER_BLOCKED' WHEN row_id % 4 = 3 THEN 'NO_IDENTITY' WHEN row_id % 4 = 2 THEN 'SCOPE_BLOCKED' WHEN split_part(p_name, ' ', 1) IN ('small', 'large') AND row_id % 3 = 0 AND split_part(p_name, ' ', 1) <> 'large' THEN 'LATERALITY_BLOCKED' WHEN split_part(p_name, ' ', 1) NOT IN ('small', 'large') AND row_id % 3 = 0 THEN 'LATERALITY_BLOCKED' ELSE 'ACCEPTED' END AS status,
+CASE WHEN row_id % 11 = 0 OR row_id % 4 = 3 THEN NULL WHEN row_id % 4 = 0 THEN 'EXACT' WHEN row_id % 4 = 1 THEN 'EXACT_WITHOUT_WRAPPER' ELSE 'SYNONYM' END AS method FROM r""".replace("row_id % 4 = 2 THEN 'SCOPE_BLOCKED'", "row_id % 4 = 2 AND (row_id % 3 <> 0 OR split_part(p_name, ' ', 1) = 'large') THEN 'SCOPE_BLOCKED'"))
+def gated_rows(spark, sf_dir):
+    """Rows against concepts by name, with scope and side."""
+    p = read(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    said = F.when(k % 4 == 0, F.upper("p_name")).when(k % 4 == 1, F.concat(F.lit("structure of "), "p_name")).when(k % 4 == 2, F.concat("p_name", F.lit(" part"))).otherwise("unknown thing")
+    rows = p.select(k.alias("row_id"), said.alias("preferred"), F.when(k % 4 == 2, F.array("p_name")).alias("aliases"), F.when(k % 3 == 0, "large").alias("laterality"), F.when(k % 11 == 0, "parser generated").alias("provenance"))
+    concepts = p.select(F.col("p_name").alias("concept_id"), F.col("p_name").alias("name")).distinct()
+    return match.localisation_gate(rows, concepts, ["part"], ["small", "large"], "^structure of (.*)$", "parser[- _]?generated").select("row_id", "status", "method")
+
+
+@query("""WITH c AS (SELECT p_partkey AS id, split_part(p_name, ' ', 1) IN ('small', 'large') AS sided, CASE WHEN split_part(p_name, ' ', 1) IN ('small', 'large', 'red') THEN split_part(p_name, ' ', 2) ELSE p_name END AS base FROM part), m AS (SELECT DISTINCT c.*, l_suppkey AS e FROM c JOIN lineitem ON l_partkey = id WHERE l_quantity > 45)
+SELECT DISTINCT a.id AS concept_id, b.id AS sibling_id FROM m a JOIN m b ON a.base = b.base AND a.e = b.e WHERE NOT a.sided AND b.sided""")
+def sided_siblings(spark, sf_dir):
+    """Unsided parts that share a supplier with a sided part of the same base name."""
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("concept_id"), F.regexp_replace("p_name", "^red ", "").alias("name"))
+    m = read(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("concept_id"), F.col("l_suppkey").alias("element_id")).distinct()
+    return match.sided_siblings(p, m, ["small", "large"])
+
+
+@query("""SELECT l_suppkey AS part_id, round(l_quantity, 6) AS x, round(l_discount, 6) AS y, round(l_tax, 6) AS z, min(l_orderkey * 8 + l_linenumber) AS "index", count(*)::INT AS welded FROM lineitem GROUP BY 1, 2, 3, 4""")
+def welded_vertices(spark, sf_dir):
+    """Coincident points made one."""
+    li = read(spark, sf_dir, "lineitem")
+    v = li.select(F.col("l_suppkey").alias("part_id"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("index"), F.col("l_quantity").alias("x"), F.col("l_discount").alias("y"), F.col("l_tax").alias("z"), F.lit(0.0).alias("nx"), F.lit(0.0).alias("ny"), F.lit(1.0).alias("nz"))
+    return mesh.weld(v).select("part_id", "x", "y", "z", "index", F.size("welded").alias("welded"))
+
+
+@query("""SELECT lang, count(DISTINCT d.doc_id) AS concepts, count(DISTINCT CASE WHEN n > 0 THEN d.doc_id END) AS with_evidence, coalesce(sum(n), 0)::BIGINT AS evidence FROM documents d LEFT JOIN (SELECT doc_id, count(DISTINCT quality) AS n FROM labels GROUP BY 1) USING (doc_id) GROUP BY 1""")
+def evidence_counts(spark, sf_dir):
+    """Entities and evidence by class."""
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("concept_id"), "lang")
+    return metrics.evidence_counts(d, read(spark, sf_dir, "labels").select(F.col("doc_id").alias("concept_id"), F.col("quality").alias("evidence_id")), ["lang"])
+
+
+@query("""SELECT l_partkey AS concept_id, count(DISTINCT l_suppkey || '|' || l_returnflag || '|' || l_linestatus) AS claims, count(DISTINCT s_nationkey) AS independent FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1""")
+def claims(spark, sf_dir):
+    """Claims by content, with what they depend on."""
+    s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("string").alias("institution"))
+    a = read(spark, sf_dir, "lineitem").join(s, "l_suppkey").select(F.col("l_partkey").alias("concept_id"), F.col("l_suppkey").cast("string").alias("source_id"), F.lit("e").alias("entry_id"), F.col("l_returnflag").alias("pivot"), F.col("l_linestatus").alias("target"), F.col("l_linestatus").alias("agreement"), F.lit("EXACT").alias("method"), "institution")
+    return consensus.emit_claims(a).groupBy("concept_id").agg(F.count("*").alias("claims"), F.count_distinct("independence").alias("independent"))
+
+
+@query("""SELECT p_partkey AS concept_id, coalesce(CASE WHEN p_size % 4 = 0 THEN upper(p_name) END, CASE WHEN p_size % 3 = 0 AND p_partkey % 2 = 0 THEN 'k ' || p_name END, p_name) AS display_name, CASE WHEN p_size % 4 = 0 THEN 'RELEASED' WHEN p_size % 3 = 0 AND p_partkey % 2 = 0 THEN 'CATALOGUE' ELSE 'PIVOT' END AS origin FROM part""")
+def display_names(spark, sf_dir):
+    """Released term, else the catalogue's if its snapshot of the name still holds, else the name."""
+    p = read(spark, sf_dir, "part")
+    c = p.select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("name"))
+    r = p.filter("p_size % 4 = 0").select(F.col("p_partkey").alias("concept_id"), F.upper("p_name").alias("term"))
+    k = p.filter("p_size % 3 = 0").select(F.col("p_partkey").alias("concept_id"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise("an older name").alias("name"), F.concat(F.lit("k "), "p_name").alias("term"))
+    return registry.resolve_names(c, r, k)
+
+
+@query("""SELECT code, count(*) AS n FROM (SELECT 'invalid-source-title' AS code FROM supplier WHERE s_nationkey = 3 UNION ALL SELECT 'invalid-source-access-status' FROM supplier WHERE s_nationkey = 4 UNION ALL SELECT 'rejected-source-verified' FROM supplier WHERE s_acctbal < 0 UNION ALL SELECT 'access-status-inspection-conflict' FROM supplier WHERE s_nationkey = 5
+UNION ALL SELECT 'duplicate-source-id' FROM supplier WHERE s_suppkey % 10 = 1) GROUP BY 1""")
+def registry_sources(spark, sf_dir):
+    """K2: rules on a table of sources; suppliers play them."""
+    s = read(spark, sf_dir, "supplier")
+    n = F.col("s_nationkey")
+    none = F.lit(None).cast("string")
+    t = s.withColumn("copy", F.explode(F.when(F.col("s_suppkey") % 10 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).select(
+        F.col("s_suppkey").cast("string").alias("id"), F.lit("nomenclature").alias("class"), F.when((n == 3) & (F.col("copy") == 1), " ").otherwise(F.col("s_name")).alias("title"), F.lit("r1").alias("revision"), F.when((F.col("s_acctbal") < 0) & (F.col("copy") == 1), "rejected").otherwise("authoritative").alias("authority_tier"),
+        F.when((n == 4) & (F.col("copy") == 1), "?").when((n == 5) & (F.col("copy") == 1), "METADATA_ONLY").otherwise("FULL_ACCESS").alias("access_status"), F.lit("PAGE").alias("locator_capability"), F.lit(True).alias("identity_verified"), F.lit(False).alias("full_text_available"), F.lit(True).alias("content_inspected"), none.alias("url"), none.alias("access_copy_of"),
+        F.struct(*[F.lit(False).alias(c) for c in ("identity", "canonical", "target_preferred", "corroboration", "machine_discovery")]).alias("capabilities"), F.struct(F.lit("VERIFIED").alias("status"), F.lit("2024-01-01").alias("verified_at"), F.lit("who").alias("verified_by")).alias("audit"))
+    return registry.validate({"sources": t}, {}, []).groupBy("code").agg(F.count("*").alias("n"))
