@@ -6,8 +6,8 @@ Each task sums its part of the normal equations; the sums, one row a task, are a
 with a ridge. Scores of training rows held back from that fit are calibrated by pool-adjacent-
 violators to the share of label 1, and the calibrated steps, joined linearly, score every document.
 
-At most TRAIN_ROWS labelled rows, those with the smallest hashes of doc_id, are used to train;
-everything else covers all rows. Only the text enters a score.
+About TRAIN_ROWS labelled rows, those with the smallest hashes of doc_id, are used to train (all, if
+there are fewer); everything else covers all rows. Only the text enters a score.
 
 Defined results: a null text is an empty one, and empty texts get the score of their statistics;
 labels that are null or not 0 or 1 are not used; with no usable labels, or labels of one kind only,
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.common import Scratch
 
-#: Labelled rows used in training, at most.
+#: Labelled rows used in training: expected number, if there are more.
 TRAIN_ROWS = 20_000
 FEATURES, BANDWIDTH, RIDGE = 256, 4.0, 1e-2
 #: One training row in so many calibrates instead of fitting.
@@ -146,8 +146,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS):
     spark = docs.sparkSession
     scratch = Scratch(spark, "classifier")
     chosen = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)").filter(~held_out())
-    chosen = scratch.store(chosen.withColumn("h", F.xxhash64("doc_id", F.lit(5))).orderBy("h", "doc_id", "label").limit(rows), "labels")
-    # `rows` bounds what is broadcast.
+    share = min(1.0, rows / max(1, chosen.count()))
+    chosen = scratch.store(chosen.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 32)) < int(share * (1 << 32))), "labels")
+    # `rows` bounds what is broadcast; it is compared with what was drawn.
+    if chosen.count() > 2 * rows:
+        raise ValueError("one doc_id has too many labels for a bounded sample")
     used = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     x = scratch.store(used.select("doc_id", "text", "label").mapInArrow(_stats, "doc_id long, x array<double>, label int"), "statistics")
     x = x.withColumn("calibrates", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(HOLD)) == 0)

@@ -9,11 +9,14 @@ within five standard errors of the threshold are confirmed on the full sets, mad
 whole texts of the documents that share a bucket.
 
 A bucket never becomes all its pairs. First each member proposes its two most similar partners,
-and confirmed links are contracted to components. Then the buckets that still hold documents of
-different components with further partners are settled where they are: their task has the texts,
-confirms every remaining pair that no earlier band brings together, joining components as it goes,
-and returns the links that joined any, fewer than it has members. So every link between different
-components is tried. Buckets larger than a block are dealt out as pairs of blocks.
+and confirmed links are contracted to components; a bucket larger than a block is cut into blocks,
+each compared with itself and with the first one alone. Then the buckets that still hold documents of
+different components with further partners are settled where they are: their tasks have the texts,
+confirm every remaining pair that no earlier band brings together, joining components as they go,
+and return the links that joined any, fewer than they have members. There, members of a bucket's
+largest component meet the others only, so a large group of copies costs as many comparisons as it
+has members times the members that did not join it. So every link between different components is
+tried.
 
 Defined results: null or blank texts have no shingles and link with nothing; fewer than five words
 are one shingle; rows that share a doc_id are one document whose links are those of all its rows;
@@ -263,20 +266,40 @@ def _confirm(percent: int):
     return run
 
 
-def blocks(rows: DataFrame, key: str, block: int, needs: str | None = None) -> DataFrame:
+def blocks(rows: DataFrame, key: str, block: int, needs: str | None = None, star: bool = False) -> DataFrame:
     """rows of a key with at least two members, dealt out to (key, block_a, block_b).
 
     Keys with more than `block` rows are cut into blocks by the id's hash, and each pair of blocks
     becomes a group of its own, so that no group exceeds twice a block's expected size. needs: a
-    boolean column that must be true for a row of the key at least.
+    boolean column that must be true for a row of the key at least. star: only pairs of a block with
+    itself and with the first one.
     """
     sizes = rows.groupBy(key).agg(F.count("*").alias("_n"), (F.bool_or(needs) if needs else F.lit(True)).alias("_has")).filter("_n > 1 and _has").drop("_has")
     n = F.ceil(F.col("_n") / block).cast("int")
     rows = rows.join(sizes, key).withColumn("_blocks", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    if star:
+        others = F.when(F.col("block") == 0, others).otherwise(F.array(F.lit(0), F.col("block")))
+    rows = rows.withColumn("_other", F.explode(others))
     return rows.withColumns({"block_a": F.least("block", "_other").cast("int"), "block_b": F.greatest("block", "_other").cast("int")}).drop("_n", "_blocks", "_other")
 
 
+def _deal_unsettled(rows: DataFrame, block: int) -> DataFrame:
+    """rows (key, id, component) of keys with several components, dealt out to (key, block_a, block_b).
+
+    Members of a key's largest component are in blocks behind those of the others, and meet these only.
+    """
+    per = rows.groupBy("key", "component").count()
+    most = per.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("_major"), F.max("count").alias("_n_major"), F.sum("count").alias("_n"))
+    rows = rows.join(most.filter("_n > _n_major"), "key")
+    cut = lambda n: F.ceil(n / block).cast("int")
+    rows = rows.withColumns({"_minor": F.col("component") != F.col("_major"), "_minors": cut(F.col("_n") - F.col("_n_major")), "_majors": cut(F.col("_n_major"))})
+    h = F.xxhash64("id")
+    rows = rows.withColumn("block", F.when(F.col("_minor"), F.pmod(h, "_minors")).otherwise(F.col("_minors") + F.pmod(h, "_majors")).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.when(F.col("_minor"), F.col("_minors") + F.col("_majors")).otherwise(F.col("_minors")) - 1)))
+    return rows.withColumns({"block_a": F.least("block", "_other").cast("int"), "block_b": F.greatest("block", "_other").cast("int")})
+
+
 def find_near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -298,19 +321,19 @@ def find_near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = B
     texts = source.join(checked_broadcast(wanted, 24), ["doc_id", "text_hash"]).select(F.col("doc_id").alias("id"), "text")
     texts = scratch.store(texts, "texts")
     groups = ["key", "block_a", "block_b"]
-    dealt = blocks(keys, "key", block).join(reps.select("id", "packed"), "id").select(*groups, "block", "id", "packed")
+    dealt = blocks(keys, "key", block, star=True).join(reps.select("id", "packed"), "id").select(*groups, "block", "id", "packed")
     dealt = dealt.repartition(*groups).sortWithinPartitions(*groups)
     proposed = scratch.store(dealt.mapInArrow(_proposals(percent), "a long, b long, key long").distinct(), "proposed")
     pairs = proposed.filter("key is null").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     links = scratch.store(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "u long, v long"), "links")
     labels = scratch.store(connected_components(links, scratch), "components")
-    rows = keys.join(proposed.filter("key is not null").select("key").distinct(), "key")
-    rows = rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).filter("_a <> _b").select("key")
-    rows = scratch.store(rows.join(mixed, "key"), "unsettled")
+    large = keys.groupBy("key").count().filter(F.col("count") > block)
+    open_keys = proposed.filter("key is not null").select("key").union(large.select("key")).distinct()
+    rows = keys.join(open_keys, "key").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = scratch.store(_deal_unsettled(rows, max(1, block // 2)), "unsettled")
     if rows.limit(1).count():
-        dealt = blocks(rows, "key", block // 2).join(reps.select("id", "packed", "bands"), "id").join(texts, "id")
+        dealt = rows.join(reps.select("id", "packed", "bands"), "id").join(texts, "id")
         dealt = dealt.select(*groups, "block", "id", "component", "packed", "bands", "text").repartition(*groups).sortWithinPartitions(*groups)
         more = scratch.store(dealt.mapInArrow(_settle(percent), "u long, v long"), "more-links")
         if more.limit(1).count():
