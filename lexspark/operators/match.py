@@ -117,7 +117,8 @@ def shared_membership(membership: DataFrame, show: int = 25) -> DataFrame:
     Elements of one concept alone drop out before the self-join.
     """
     m = membership.select("concept_id", "element_id").distinct()
-    counted = m.withColumn("users", F.count("*").over(Window.partitionBy("element_id")))
+    # counted and joined rather than windowed: a hot element's rows may then be split among tasks
+    counted = m.join(m.groupBy("element_id").agg(F.count("*").alias("users")), "element_id")
     shared = counted.filter("users > 1").select("concept_id", "element_id")
     pairs = shared.join(shared.select(F.col("concept_id").alias("other"), "element_id"), "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
     over = pairs.groupBy("concept_id").agg(F.count("*").alias("overlapping"), F.slice(F.array_sort(F.collect_list("other")), 1, show).alias("first_overlaps"))
