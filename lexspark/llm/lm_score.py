@@ -28,8 +28,8 @@ from lexspark.llm.common import Scratch
 
 #: Words whose scores are broadcast, at most.
 HEAD = 150_000
-#: Words that a task counts before it passes its counts on.
-FLUSH = 300_000
+#: Words that a task holds before it passes them on.
+FLUSH = 200_000
 #: Weight of the prior, as a share of the pieces counted, and in pieces at least.
 PRIOR_SHARE, PRIOR_LEAST = 0.01, 1000.0
 MARK = "▁"
@@ -169,8 +169,17 @@ def _document_parts(head):
         import pyarrow as pa
 
         known = head.value
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        names = ["row", "doc_id", "held", "word", "tf", "n", "known", "base", "lm"]
+        cols: list[list] = [[] for _ in names]
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            for c in cols:
+                c.clear()
+            return out
+
         for batch in batches:
-            cols: list[list] = [[] for _ in range(9)]
             for row, doc, held, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 base = lm = 0.0
                 n_known = n = 0
@@ -187,12 +196,30 @@ def _document_parts(head):
                 more = ([row] * (k + 1), [doc] + [None] * k, [held] + [None] * k, [None, *(r[0] for r in rare)], [0, *(r[1] for r in rare)], [n] + [0] * k, [n_known] + [0] * k, [base] + [0.0] * k, [lm] + [0.0] * k)
                 for c, x in zip(cols, more, strict=True):
                     c.extend(x)
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["row", "doc_id", "held", "word", "tf", "n", "known", "base", "lm"])
+                if len(cols[0]) > FLUSH:
+                    yield flush()
+        yield flush()
 
     return run
 
 
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, at most `most`: those from the lowest frequency band on that leaves so few.
+
+    Bands are sixteenths of powers of two, so what reaches the driver is some hundred counts, and then
+    the words of the bands taken.
+    """
+    band = F.floor(16 * F.log2(F.col("train") + 1.0))
+    sizes = words.groupBy(band.alias("band")).count().orderBy(F.desc("band")).collect()
+    total, least = 0, None
+    for r in sizes:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["band"]
+    return words.filter(F.lit(False) if least is None else band >= least)
+
+
 def lm_scores(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD) -> DataFrame:
     """Per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -210,7 +237,7 @@ def lm_scores(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD)
     scored = scratch.store(words.mapInArrow(_word_scores(spark.sparkContext.broadcast((lattice.log_p, lattice.bytes))), "word binary, train long, lm double"), "word-scores")
     scratch.drop(words)
     value = F.log10(F.col("train") + 1.0)
-    top = scored.orderBy(F.desc("train"), "word").limit(head).select("word", value.alias("base"), "lm").collect()
+    top = _frequent(scored, head).select("word", value.alias("base"), "lm").collect()
     known = spark.sparkContext.broadcast({bytes(r["word"]): (r["base"], r["lm"]) for r in top})
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held", "text")
     parts = scratch.store(rows.mapInArrow(_document_parts(known), PARTS), "parts")
