@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.common import SPACES, WORD_CHAR, words_of
 
-#: Rows of the sample that orders the rules, at most.
+#: Expected rows of the sample that orders the rules.
 SAMPLE_ROWS = 2000
 WINDOW = 8
 STAT = "_quality_"
@@ -105,7 +105,7 @@ def base_failed() -> Column:
 
 
 def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per second on a sample of at most `rows` documents.
+    """Rules by rejections per second on a sample of about `rows` documents.
 
     The sample is a seeded Bernoulli one of the whole table, held by the executors while each rule
     is timed on it. Sampling reads the text column once more, a few hundredths of the rules' cost.
@@ -113,8 +113,8 @@ def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", rows: in
     total = docs.count()
     if not total:
         return list(rules)
-    kept = docs.select(text).sample(fraction=min(1.0, rows / total), seed=7).limit(rows)
-    sample = with_statistics(kept, text).filter(~base_failed()).coalesce(1).persist()
+    kept = docs.select(text).sample(fraction=min(1.0, rows / total), seed=7).repartition(1)
+    sample = with_statistics(kept, text).filter(~base_failed()).persist()
     try:
         n = sample.count()
         gain = {}
