@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch
+from lexspark.llm.common import Scratch, slices
 
 #: Labelled rows used in training: expected number, if there are more.
 TRAIN_ROWS = 20_000
@@ -90,7 +90,7 @@ def isotonic(score: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _stats(batches):
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         x = [statistics(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64())), batch.column(2)], names=["doc_id", "x", "label"])
 
@@ -128,7 +128,7 @@ def _score(mean, scale, weights, knots, values):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([statistics(t) for t in batch.column(1).to_pylist()], np.float64).reshape(-1, N_STATS)
             raw = fourier((x - mean) / scale) @ weights
             score = np.clip(np.interp(raw, knots, values), 0, 1)

@@ -55,6 +55,18 @@ def checked_broadcast(small: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(small) if small.count() * row_bytes <= BROADCAST_BYTES else small
 
 
+#: Rows and bytes of Arrow data that a task turns into Python objects at once.
+SLICE_ROWS, SLICE_BYTES = 1024, 8 << 20
+
+
+def slices(batches):
+    """The batches in smaller ones, so that a task's Python objects stay few whatever the batch size."""
+    for batch in batches:
+        step = max(1, min(SLICE_ROWS, int(batch.num_rows * SLICE_BYTES / max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

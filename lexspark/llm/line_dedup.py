@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch, checked_broadcast
+from lexspark.llm.common import Scratch, checked_broadcast, slices
 
 MIN_WORDS = 50
 DOC = ["_ld_doc", "_ld_hash"]
@@ -50,7 +50,7 @@ def _lines(least: int):
         import pyarrow as pa
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in range(8)]
             for doc, h, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 places, lines, counts = [], [], []

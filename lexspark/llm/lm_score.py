@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch
+from lexspark.llm.common import Scratch, slices
 
 #: Words whose scores are broadcast, at most.
 HEAD = 150_000
@@ -56,7 +56,7 @@ def _word_counts(batches):
         return out
 
     seen: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = (text or "").encode().lower().split()
             if held:
@@ -179,7 +179,7 @@ def _document_parts(head):
                 c.clear()
             return out
 
-        for batch in batches:
+        for batch in slices(batches):
             for row, doc, held, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 base = lm = 0.0
                 n_known = n = 0

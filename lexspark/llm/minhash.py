@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch, checked_broadcast
+from lexspark.llm.common import Scratch, checked_broadcast, slices
 from lexspark.llm.graph import connected_components
 from lexspark.llm.shingles import mix, shingle_set, word_hashes
 
@@ -79,7 +79,7 @@ def estimate_floor(percent: int) -> float:
 def _signatures(batches):
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(2).to_pylist()
         n, fp1, fp2, packed, bands = [], [], [], [], []
         for words in word_hashes(texts):
@@ -252,7 +252,7 @@ def _confirm(percent: int):
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             a, b = (batch.column(k).to_pylist() for k in (0, 1))
             texts = dict(zip(a, batch.column(2).to_pylist(), strict=True)) | dict(zip(b, batch.column(3).to_pylist(), strict=True))
             ids = list(texts)

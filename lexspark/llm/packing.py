@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch
+from lexspark.llm.common import Scratch, slices
 
 TOKENS, END = 1024, 2
 GROUP = 8192
@@ -81,7 +81,7 @@ def _pieces(tokenizer: str, ranks: str | None, tokens: int, end: int):
         import pyarrow as pa
 
         encode = Encoder(tokenizer, ranks)
-        for batch in batches:
+        for batch in slices(batches):
             cols: list[list] = [[] for _ in range(6)]
             for doc, row, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 ids = np.append(encode(text or ""), np.uint32(end)).astype("<u4")
