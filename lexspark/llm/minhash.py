@@ -1,8 +1,8 @@
 """Operator 8: near-duplicate documents by b-bit MinHash.
 
 One pass over the texts makes, for every document, its shingle set's size and a 128-bit
-fingerprint of the set, 126 minima banded into 21 keys, and the low two bits of 128 minima packed
-into 32 bytes. Documents with equal sets form a class at once; only one of each class goes on.
+fingerprint of the set, up to 128 minima banded into keys (by 85 percent 21 of 6, by 80 percent 25 of
+5), and the low two bits of 128 minima packed into 32 bytes. Documents with equal sets form a class at once; only one of each class goes on.
 Inside a bucket of equal band keys the packed signatures are compared by counting bits; the share
 of equal lanes, corrected for chance collisions, estimates the similarity. Pairs whose estimate is
 within five standard errors of the threshold are confirmed on the full sets, made anew from the
@@ -34,8 +34,9 @@ from lexspark.llm.common import Scratch, checked_broadcast, slices
 from lexspark.llm.graph import connected_components
 from lexspark.llm.shingles import mix, shingle_set, word_hashes
 
-LANES, BITS, ROWS = 128, 2, 6
-BANDS = LANES // ROWS
+LANES, BITS = 128, 2
+#: Chance that no band brings a pair at the threshold together, at most.
+MISS = 5e-5
 LOW_BITS = np.uint64(0x5555555555555555)
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 85
@@ -47,8 +48,16 @@ _ADD = _RNG.integers(0, 2**63, LANES, dtype=np.uint64)
 SIGNATURE = "doc_id long, text_hash long, n_shingles long, fp1 long, fp2 long, packed binary, bands array<long>"
 
 
-def signature(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows): the longest bands that miss a pair at the threshold with a chance of at most MISS."""
+    j = percent / 100
+    rows = max((r for r in range(1, LANES + 1) if (1 - j**r) ** (LANES // r) <= MISS), default=1)
+    return LANES // rows, rows
+
+
+def signature(shingles: np.ndarray, percent: int = PERCENT) -> tuple[bytes, np.ndarray]:
     """Packed low bits of the minima, and the keys of the bands."""
+    n_bands, n_rows = banding(percent)
     least = np.full(LANES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 1024):
         part = shingles[None, at : at + 1024] * _MULTIPLY[:, None] + _ADD[:, None]
@@ -56,9 +65,9 @@ def signature(shingles: np.ndarray) -> tuple[bytes, np.ndarray]:
     least = mix(least)
     lanes = (least & np.uint64(2**BITS - 1)).reshape(-1, 32)
     packed = np.bitwise_or.reduce(lanes << (np.arange(32, dtype=np.uint64) * np.uint64(BITS)), axis=1)
-    rows = least[: BANDS * ROWS].reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for r in range(ROWS):
+    rows = least[: n_bands * n_rows].reshape(n_bands, n_rows)
+    key = np.arange(1, n_bands + 1, dtype=np.uint64)
+    for r in range(n_rows):
         key = mix(key ^ rows[:, r]) + np.uint64(r)
     return packed.astype("<u8").tobytes(), key
 
@@ -76,27 +85,30 @@ def estimate_floor(percent: int) -> float:
     return j - 5 * (agree * (1 - agree) / LANES) ** 0.5 / (1 - chance)
 
 
-def _signatures(batches):
-    import pyarrow as pa
+def _signatures(percent: int):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            texts = batch.column(2).to_pylist()
+            n, fp1, fp2, packed, bands = [], [], [], [], []
+            for words in word_hashes(texts):
+                s = shingle_set(words)
+                n.append(len(s))
+                if len(s):
+                    p, keys = signature(s, percent)
+                    fp1.append(int(mix(s ^ np.uint64(0xA5A5A5A5)).sum().view(np.int64)))
+                    fp2.append(int(mix(s + np.uint64(0x5DEECE66D)).sum().view(np.int64)))
+                    packed.append(p)
+                    bands.append(keys.view(np.int64))
+                else:
+                    fp1.append(0), fp2.append(0), packed.append(None), bands.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "packed", "bands"],
+            )
 
-    for batch in slices(batches):
-        texts = batch.column(2).to_pylist()
-        n, fp1, fp2, packed, bands = [], [], [], [], []
-        for words in word_hashes(texts):
-            s = shingle_set(words)
-            n.append(len(s))
-            if len(s):
-                p, keys = signature(s)
-                fp1.append(int(mix(s ^ np.uint64(0xA5A5A5A5)).sum().view(np.int64)))
-                fp2.append(int(mix(s + np.uint64(0x5DEECE66D)).sum().view(np.int64)))
-                packed.append(p)
-                bands.append(keys.view(np.int64))
-            else:
-                fp1.append(0), fp2.append(0), packed.append(None), bands.append(None)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(packed, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "text_hash", "n_shingles", "fp1", "fp2", "packed", "bands"],
-        )
+    return run
 
 
 def _most_apart(percent: int) -> float:
@@ -305,7 +317,7 @@ def find_near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = B
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    sigs = scratch.store(source.mapInArrow(_signatures, SIGNATURE), "signatures")
+    sigs = scratch.store(source.mapInArrow(_signatures(percent), SIGNATURE), "signatures")
     full = sigs.filter("n_shingles > 0 and doc_id is not null")
     # One of each class of equal sets goes on.
     fp = ["fp1", "fp2", "n_shingles"]

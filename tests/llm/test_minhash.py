@@ -96,3 +96,17 @@ def test_components(spark):
     got = connected_components(df, Scratch(spark, "test")).collect()
     assert {r.id: r.component for r in got} == {x: root(x) for x in parent if x in {e for p in edges for e in p if p[0] != p[1]}}
     assert len(got) == len({r.id for r in got})
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.banding(85) == (21, 6) and minhash.banding(80) == (25, 5)
+    for percent in (50, 70, 80, 85, 90, 100):
+        bands, rows = minhash.banding(percent)
+        assert bands * rows <= minhash.LANES and (1 - (percent / 100) ** rows) ** bands <= 5e-5
+
+
+def test_matches_brute_force_at_80(documents):
+    rng = random.Random(8)
+    rows = [(100 * g + k, near(rng, [f"g{g}w{i}" for i in range(120)], rng.choice([0, 1, 2, 2]))) for g in range(8) for k in range(6)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.find_near_duplicates(documents(rows), 80).collect()}
+    assert got == brute(rows, 80) != brute(rows)
