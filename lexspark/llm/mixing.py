@@ -113,11 +113,11 @@ def _plan(sizes: DataFrame) -> list[tuple]:
     return rows
 
 
-def mixture(docs: DataFrame) -> tuple[DataFrame, list[tuple]]:
-    """docs with _mx_size, _mx_source_size, _mx_target, _mx_copies, _mx_k and _mx_block; and the plan's rows."""
+def mixture(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple]]:
+    """docs with _mx_size, _mx_copies, _mx_k, _mx_hash and _mx_block; all of them without texts but with the plan; and the plan's rows."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    sizes = scratch.store(_keyed(docs.select("doc_id", "text", "source")).select("source", "_mx_hash", "_mx_size"), "sizes")
+    sizes = scratch.store(_keyed(docs.select("doc_id", "text", "source")).select("doc_id", "source", "_mx_hash", "_mx_size"), "sizes")
     rows = _plan(sizes)
     plan = spark.createDataFrame(rows, "_mx_source string, _mx_k int, _mx_source_size long, _mx_target double, _mx_full int, _mx_rest double, _mx_blocks int")
     of_source = F.col("source").eqNullSafe(F.col("_mx_source"))
@@ -135,28 +135,44 @@ def mixture(docs: DataFrame) -> tuple[DataFrame, list[tuple]]:
     out = out.join(checked_broadcast(picked, 16), (F.col("_mx_k") == F.col("_px_k")) & (F.col("_mx_hash") == F.col("_px_hash")), "left")
     once_more = F.when(F.col("_mx_edge").isNull(), F.col("_mx_rest") > 0).when(F.col("_mx_block") == F.col("_mx_edge"), F.col("_px_hash").isNotNull()).otherwise(F.col("_mx_block") < F.col("_mx_edge"))
     copies = F.when(F.col("_mx_size") > 0, F.least(F.col("_mx_full") + once_more.cast("int"), F.lit(int(MOST)))).otherwise(0)
-    return out.withColumn("_mx_copies", copies.cast("int")), rows
+    return out.withColumn("_mx_copies", copies.cast("int")), d, rows
 
 
-def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
-    """The mixture's rows: each document as often as it is taken, with `_mx_shard`, shuffled inside its shard.
-
-    shards: as many as there are shuffle partitions unless given.
-    """
-    spark = docs.sparkSession
-    m, rows = mixture(docs)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _mixed(m: DataFrame, rows: list[tuple], shards: int) -> DataFrame:
+    """The mixture's rows with all columns of m, dealt to shards and shuffled in them."""
     # Blocks are numbered by a hash, so a range of numbers is a draw of blocks without replacement.
     ends = np.cumsum(splitting_tree(np.array([r[6] for r in rows], np.int64), shards), axis=0)
-    cuts = spark.createDataFrame([(r[1], [int(x) for x in ends[:, j]]) for j, r in enumerate(rows)], "_cut_k int, _mx_ends array<int>")
+    cuts = m.sparkSession.createDataFrame([(r[1], [int(x) for x in ends[:, j]]) for j, r in enumerate(rows)], "_cut_k int, _mx_ends array<int>")
     m = m.join(F.broadcast(cuts), F.col("_mx_k") == F.col("_cut_k"))
     m = m.withColumn("_mx_shard", F.size(F.filter("_mx_ends", lambda e: e <= F.col("_mx_block"))).cast("int"))
     m = m.withColumn("_mx_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mx_copies"))))
-    m = m.select(*[F.col(f"`{c}`") for c in docs.columns], "_mx_shard", "_mx_hash")
-    return m.repartition(shards, "_mx_shard").sortWithinPartitions("_mx_shard", F.xxhash64("_mx_hash", F.lit(SEED + 1))).drop("_mx_hash")
+    return m.repartition(shards, "_mx_shard").sortWithinPartitions("_mx_shard", F.xxhash64("_mx_hash", F.lit(SEED + 1)))
+
+
+def _shards(docs: DataFrame) -> int:
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mixture's rows: each document as often as it is taken, with `_mx_shard`, shuffled inside its shard.
+
+    shards: as many as there are shuffle partitions unless given.
+    """
+    m, _, rows = mixture(docs)
+    return _mixed(m, rows, shards or _shards(docs)).select(*[F.col(f"`{c}`") for c in docs.columns], "_mx_shard")
 
 
 def op9_mixing(docs: DataFrame) -> DataFrame:
-    """Per document: its size, its source's size and target, the words the mix takes of it."""
-    m, _ = mixture(docs.select("doc_id", "text", "source"))
-    return m.select("doc_id", F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"), F.col("_mx_target").alias("target"), (F.col("_mx_copies") * F.col("_mx_size")).cast("long").alias("taken"))
+    """Per document: its size, its source's size and target, the words the mix takes of it.
+
+    The mix is made and stored with its texts, and its rows' words are summed back.
+    """
+    docs = docs.select("doc_id", "text", "source")
+    m, sizes, rows = mixture(docs)
+    mixed = _mixed(m, rows, _shards(docs)).select("doc_id", "text", "source", "_mx_shard", "_mx_k", "_mx_hash", "_mx_size")
+    mixed = Scratch(docs.sparkSession, "mixing").store(mixed, "mixed")
+    # Rows equal in source, doc_id and text are taken equally often.
+    count = sizes.select("_mx_k", "_mx_hash", F.lit(1).alias("n"), F.lit(0).cast("long").alias("words"))
+    count = count.union(mixed.select("_mx_k", "_mx_hash", F.lit(0), "_mx_size")).groupBy("_mx_k", "_mx_hash").agg((F.sum("words") / F.sum("n")).cast("long").alias("taken"))
+    out = sizes.join(count, ["_mx_k", "_mx_hash"])
+    return out.select("doc_id", F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"), F.col("_mx_target").alias("target"), "taken")

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from lexspark.llm import mixing
 from lexspark.llm.mixing import mix, op9_mixing, splitting_tree, targets
 
 
@@ -49,3 +50,12 @@ def test_edges(documents):
     got = op9_mixing(documents([(None, None, None), (1, "", "a"), (1, "x y", "a"), (1, "x y", "a"), (2, "w " * 20_000, "b")])).collect()
     assert len(got) == 5 and all(r.taken <= 2 * r.size for r in got)
     assert {(r.doc_id, r.size) for r in got} == {(None, 0), (1, 0), (1, 2), (2, 20_000)}
+
+
+def test_taken_words_are_those_of_the_mixed_rows(documents, monkeypatch):
+    trees, mixed = [], mixing._mixed
+    monkeypatch.setattr(mixing, "splitting_tree", lambda *a: trees.append(a) or splitting_tree(*a))
+    whole = {r.doc_id: r.taken for r in op9_mixing(documents(rows(400))).collect()}
+    assert trees and sum(whole.values()) > 0
+    monkeypatch.setattr(mixing, "_mixed", lambda *a: mixed(*a).filter("doc_id % 2 = 0"))
+    assert {r.doc_id: r.taken for r in op9_mixing(documents(rows(400))).collect()} == {i: n * (i % 2 == 0) for i, n in whole.items()}
