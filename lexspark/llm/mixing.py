@@ -4,13 +4,16 @@ Each source's documents are hashed into blocks, at most BLOCKS a source, whose n
 permuted order of the draw. A target of q + f times the source's size takes every block q times
 and, of the rest, the first blocks in that order as long as they fit in f times the size; the one
 block that does not fit is drawn from document by document, in hashed order, each taken if it
-still fits, and at last one that overshoots if that comes nearer. Output shards come from a binary tree: a node splits the block quotas that it has of
-each source between its halves by a multivariate-hypergeometric draw, so leaves hold exact and
-disjoint quotas; a shard orders its rows by a seeded hash.
+still fits, and at last one that overshoots if that comes nearer. Output shards come from a binary
+tree: a node splits the block quotas that it has of each pass over a source, the blocks that the
+pass takes whole, between its halves by a multivariate-hypergeometric draw, so leaves hold exact and
+disjoint quotas. Which of the blocks a shard gets comes from an order of each pass alone. A tree of
+its own deals the documents that are taken of the edge blocks. A shard orders its rows by a seeded
+hash.
 
-Only the table of sources (name, documents, words) reaches the driver, one row for each component
-of the mixture. Groups that one task sees are a source's block totals (at most BLOCKS rows) and
-one block of each source.
+Only the table of sources (name, documents, words, edge) reaches the driver, one row for each
+component of the mixture. Groups that one task sees are a source's block totals (at most BLOCKS
+rows), the blocks of one pass over it, and one block of each source.
 
 Defined results: a null text has size 0; null sources are one source, last in order; a document
 of size 0 is never taken; repeated rows are drawn row by row, and rows equal in doc_id and text
@@ -95,7 +98,9 @@ def _fit(block):
     rest = [k for k, t in enumerate(taken) if not t and d["size"].iloc[k] > 0]
     if rest and d["size"].iloc[best := min(rest, key=lambda k: (d["size"].iloc[k], k))] < 2 * left:
         taken[best] = True  # above the target, but nearer to it
-    return d.assign(_px_k=int(block["_mx_k"].iloc[0]), _px_hash=d["_mx_hash"])[taken][["_px_k", "_px_hash"]]
+    k = int(block["_mx_k"].iloc[0])
+    out = d.assign(_px_k=k, _px_hash=d["_mx_hash"])[taken][["_px_k", "_px_hash"]]
+    return out.assign(_px_rank=np.random.default_rng([SEED, k]).permutation(len(out)).astype(np.int32))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -113,8 +118,19 @@ def _plan(sizes: DataFrame) -> list[tuple]:
     return rows
 
 
-def mixture(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple]]:
-    """docs with _mx_size, _mx_copies, _mx_k, _mx_hash and _mx_block; all of them without texts but with the plan; and the plan's rows."""
+def _cuts(spark, keys: list[tuple], quotas: list[int], shards: int, seed: int) -> DataFrame:
+    """(_cut_k, _cut_pass, quota, ends): the last ranks, exclusive, of each shard in a quota's permuted order."""
+    ends = np.cumsum(splitting_tree(np.array(quotas, np.int64), shards, seed), axis=0)
+    rows = [(*key, quotas[j], [int(x) for x in ends[:, j]]) for j, key in enumerate(keys)]
+    return spark.createDataFrame(rows, "_cut_k int, _cut_pass int, quota int, ends array<int>")
+
+
+def _shard_of(rank: str) -> Column:
+    return F.size(F.filter("ends", lambda e: e <= F.col(rank))).cast("int")
+
+
+def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """docs with _mx_size, _mx_k, _mx_hash and _mx_shards, the shard of each copy; and all of them without texts but with the plan."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     sizes = scratch.store(_keyed(docs.select("doc_id", "text", "source")).select("doc_id", "source", "_mx_hash", "_mx_size"), "sizes")
@@ -129,23 +145,36 @@ def mixture(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple]]:
     edge = totals.filter("upto > _mx_rest").select("_mx_k", F.col("_mx_block").alias("_mx_edge"), (F.col("_mx_rest") - F.col("upto") + F.col("words")).alias("_mx_left"))
     edge = scratch.store(edge.groupBy("_mx_k").agg(F.min_by(F.struct("_mx_edge", "_mx_left"), "_mx_edge").alias("e")).select("_mx_k", "e.*"), "edges")
     at_edge = d.join(F.broadcast(edge), "_mx_k").filter("_mx_block = _mx_edge").select("_mx_k", "_mx_hash", F.col("_mx_size").alias("size"), F.col("_mx_left").alias("left"))
-    picked = scratch.store(at_edge.groupBy("_mx_k").applyInPandas(_fit, "_px_k int, _px_hash long"), "edge-documents")
-    out = _keyed(docs).join(F.broadcast(plan.join(F.broadcast(edge), "_mx_k", "left")), of_source).withColumn("_mx_block", block)
-    # At most max(2 * BLOCK_DOCS, documents / BLOCKS) rows of each source, counted before a broadcast.
-    out = out.join(checked_broadcast(picked, 16), (F.col("_mx_k") == F.col("_px_k")) & (F.col("_mx_hash") == F.col("_px_hash")), "left")
-    once_more = F.when(F.col("_mx_edge").isNull(), F.col("_mx_rest") > 0).when(F.col("_mx_block") == F.col("_mx_edge"), F.col("_px_hash").isNotNull()).otherwise(F.col("_mx_block") < F.col("_mx_edge"))
-    copies = F.when(F.col("_mx_size") > 0, F.least(F.col("_mx_full") + once_more.cast("int"), F.lit(int(MOST)))).otherwise(0)
-    return out.withColumn("_mx_copies", copies.cast("int")), d, rows
-
-
-def _mixed(m: DataFrame, rows: list[tuple], shards: int) -> DataFrame:
+    picked = scratch.store(at_edge.groupBy("_mx_k").applyInPandas(_fit, "_px_k int, _px_hash long, _px_rank int"), "edge-documents")
+    # Each pass over a source has a quota of its own: the blocks that it takes whole.
+    last = {r["_mx_k"]: r["_mx_edge"] for r in edge.collect()}
+    quotas = {}
+    for _, k, _, _, full, rest, blocks in rows:
+        quotas |= {(k, p): blocks for p in range(full)} | {(k, full): last.get(k, blocks if rest > 0 else 0)}
+    quotas = {key: n for key, n in quotas.items() if n}
+    cuts = _cuts(spark, list(quotas), list(quotas.values()), shards, SEED)
+    drawn = cuts.withColumn("_dr_block", F.explode(F.sequence(F.lit(0), F.col("quota") - 1)))
+    # Ordered anew in each pass, so that a block's shard does not follow from whether it is taken.
+    anew = Window.partitionBy("_cut_k", "_cut_pass").orderBy(F.xxhash64("_cut_k", "_cut_pass", "_dr_block", F.lit(SEED + 2)), "_dr_block")
+    drawn = drawn.withColumn("rank", F.row_number().over(anew) - 1).withColumn("shard", _shard_of("rank"))
+    drawn = drawn.groupBy(F.col("_cut_k").alias("_dr_k"), "_dr_block").agg(F.sort_array(F.collect_list(F.struct("_cut_pass", "shard")))["shard"].alias("_dr_shards"))
+    drawn = scratch.store(drawn, "drawn-blocks")
+    # The edge blocks' documents are dealt by a tree of their own.
+    counts = sorted((r["_px_k"], r["count"]) for r in picked.groupBy("_px_k").count().collect())
+    edge_cuts = _cuts(spark, [(k, 0) for k, _ in counts], [n for _, n in counts], shards, SEED + 3)
+    picked = scratch.store(picked.join(F.broadcast(edge_cuts), F.col("_px_k") == F.col("_cut_k")).select("_px_k", "_px_hash", _shard_of("_px_rank").alias("_px_shard")), "edge-shards")
+    out = _keyed(docs).join(F.broadcast(plan), of_source).withColumn("_mx_block", block)
+    # At most BLOCKS rows of each source, and max(2 * BLOCK_DOCS, documents / BLOCKS) of its edge, counted before a broadcast.
+    out = out.join(checked_broadcast(drawn, 40), (F.col("_mx_k") == F.col("_dr_k")) & (F.col("_mx_block") == F.col("_dr_block")), "left")
+    out = out.join(checked_broadcast(picked, 20), (F.col("_mx_k") == F.col("_px_k")) & (F.col("_mx_hash") == F.col("_px_hash")), "left")
+    none = F.array().cast("array<int>")
+    copies = F.concat(F.coalesce("_dr_shards", none), F.when(F.col("_px_shard").isNotNull(), F.array("_px_shard")).otherwise(none))
+    return out.withColumn("_mx_shards", F.when(F.col("_mx_size") > 0, copies).otherwise(none)), d
+
+
+def _mixed(m: DataFrame, shards: int) -> DataFrame:
     """The mixture's rows with all columns of m, dealt to shards and shuffled in them."""
-    # Blocks are numbered by a hash, so a range of numbers is a draw of blocks without replacement.
-    ends = np.cumsum(splitting_tree(np.array([r[6] for r in rows], np.int64), shards), axis=0)
-    cuts = m.sparkSession.createDataFrame([(r[1], [int(x) for x in ends[:, j]]) for j, r in enumerate(rows)], "_cut_k int, _mx_ends array<int>")
-    m = m.join(F.broadcast(cuts), F.col("_mx_k") == F.col("_cut_k"))
-    m = m.withColumn("_mx_shard", F.size(F.filter("_mx_ends", lambda e: e <= F.col("_mx_block"))).cast("int"))
-    m = m.withColumn("_mx_copy", F.explode(F.array_repeat(F.lit(0), F.col("_mx_copies"))))
+    m = m.withColumn("_mx_shard", F.explode("_mx_shards"))
     return m.repartition(shards, "_mx_shard").sortWithinPartitions("_mx_shard", F.xxhash64("_mx_hash", F.lit(SEED + 1)))
 
 
@@ -158,8 +187,8 @@ def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
 
     shards: as many as there are shuffle partitions unless given.
     """
-    m, _, rows = mixture(docs)
-    return _mixed(m, rows, shards or _shards(docs)).select(*[F.col(f"`{c}`") for c in docs.columns], "_mx_shard")
+    shards = shards or _shards(docs)
+    return _mixed(mixture(docs, shards)[0], shards).select(*[F.col(f"`{c}`") for c in docs.columns], "_mx_shard")
 
 
 def op9_mixing(docs: DataFrame) -> DataFrame:
@@ -168,8 +197,9 @@ def op9_mixing(docs: DataFrame) -> DataFrame:
     The mix is made and stored with its texts, and its rows' words are summed back.
     """
     docs = docs.select("doc_id", "text", "source")
-    m, sizes, rows = mixture(docs)
-    mixed = _mixed(m, rows, _shards(docs)).select("doc_id", "text", "source", "_mx_shard", "_mx_k", "_mx_hash", "_mx_size")
+    shards = _shards(docs)
+    m, sizes = mixture(docs, shards)
+    mixed = _mixed(m, shards).select("doc_id", "text", "source", "_mx_shard", "_mx_k", "_mx_hash", "_mx_size")
     mixed = Scratch(docs.sparkSession, "mixing").store(mixed, "mixed")
     # Rows equal in source, doc_id and text are taken equally often.
     count = sizes.select("_mx_k", "_mx_hash", F.lit(1).alias("n"), F.lit(0).cast("long").alias("words"))

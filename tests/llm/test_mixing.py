@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lexspark.llm import mixing
 from lexspark.llm.mixing import mix, op9_mixing, splitting_tree, targets
@@ -59,3 +60,12 @@ def test_taken_words_are_those_of_the_mixed_rows(documents, monkeypatch):
     assert trees and sum(whole.values()) > 0
     monkeypatch.setattr(mixing, "_mixed", lambda *a: mixed(*a).filter("doc_id % 2 = 0"))
     assert {r.doc_id: r.taken for r in op9_mixing(documents(rows(400))).collect()} == {i: n * (i % 2 == 0) for i, n in whole.items()}
+
+
+def test_each_shard_holds_each_source_by_its_target(documents):
+    d = documents([(i, "w " * (1 + i * 37 % 9), source) for i, _, source in rows(42_000)])
+    got = {(r.source, r._mx_shard): r.words for r in mix(d, 3).withColumn("n", F.size(mixing.words_of(F.col("text")))).groupBy("source", "_mx_shard").agg(F.sum("n").alias("words")).collect()}
+    want = {r.source: r.target for r in op9_mixing(d).select("doc_id", "target").join(d.select("doc_id", "source"), "doc_id").select("source", "target").distinct().collect()}
+    assert len(got) == 3 * len(want) and max(abs(n / (want[s] / 3) - 1) for (s, _), n in got.items()) < 0.3
+    # of a source taken 1.3 times, no shard gets both copies of its blocks much oftener than the others
+    assert max(abs(got["hot", k] / (want["hot"] / 3) - 1) for k in range(3)) < 0.2
