@@ -8,6 +8,7 @@ A rule is data: (code, severity, predicate) for a table, and each relation is on
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -350,22 +351,30 @@ def release_gate(tables: Mapping[str, DataFrame], capabilities: Mapping[str, str
     return out.withColumn("released", F.col("term_ok") & F.col("mapping_ok") & F.col("audits_ok") & F.col("conflicts_ok"))
 
 
-def export_gate(cleared: DataFrame, needs: DataFrame, depth: int = 8) -> DataFrame:
-    """(id, exportable): cleared itself, and everything it needs, directly or through others, up to a depth.
+def export_gate(cleared: DataFrame, needs: DataFrame, depth: int | None = None) -> DataFrame:
+    """(id, exportable): cleared itself, and everything it needs, directly or through others; unknown needs are not cleared.
 
-    cleared: id, cleared. needs: id, needs. Each round is one join; it ends when nothing changes.
+    cleared: id, cleared. needs: id, needs. Each round is one join with what the last one added; it
+    ends when nothing is added, which cycles do too, or at a depth if one is given.
     """
-    bad = cleared.filter(~_yes(F.col("cleared"))).select("id").distinct()
-    for _ in range(depth):
-        more = needs.join(bad.withColumnRenamed("id", "needs"), "needs").select("id").join(bad, "id", "left_anti").distinct()
+    _checkpoint_dir(cleared.sparkSession)
+    unknown = needs.join(cleared.select(F.col("id").alias("needs")), "needs", "left_anti").select("id")
+    bad = more = cleared.filter(~_yes(F.col("cleared"))).select("id").union(unknown).filter("id is not null").distinct().checkpoint()
+    while depth is None or depth > 0:
+        more = needs.join(more.withColumnRenamed("id", "needs"), "needs").select("id").join(bad, "id", "left_anti").filter("id is not null").distinct().checkpoint()
         if not more.limit(1).count():
             break
-        bad = bad.union(more)
-    unknown = needs.join(cleared.select(F.col("id").alias("needs")), "needs", "left_anti").select("id")
-    bad = bad.union(unknown).distinct().withColumn("_bad", F.lit(True))
+        bad = bad.union(more).checkpoint()
+        depth = None if depth is None else depth - 1
+    bad = bad.withColumn("_bad", F.lit(True))
     return cleared.select("id").distinct().join(bad, "id", "left").select("id", F.col("_bad").isNull().alias("exportable"))
 
 
+def _checkpoint_dir(spark) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+
+
 def resolve_names(concepts: DataFrame, released: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Display name of each concept: the released term, else the catalogue's if its pivot name is still the concept's, else the pivot name.
 

@@ -351,3 +351,11 @@ def test_further_registry_rules(spark):
     assert rows(registry.pilot_findings(p, c, {"side": "left|right"}, ["target"]), "code", "entity_id") == [("pilot-elements-differ", "2"), ("pilot-forbidden-field", "2"), ("pilot-unknown-concept", "3"), ("pilot-unsupported-tag", "2")]
     m = spark.createDataFrame([("name", "a"), ("rev", "b")], "name string, value string")
     assert rows(registry.release_findings(m, spark.createDataFrame([("name", "a"), ("rev", "c")], "name string, value string")), "code") == [("release-rev-mismatch",)]
+
+
+def test_export_gate_follows_every_need(spark):
+    chain = [(i, i - 1) for i in range(2, 15)]
+    needs = spark.createDataFrame(chain + [(21, 99), (22, 21), (30, 31), (31, 30), (40, 41), (41, 40), (41, 1)], "id long, needs long")
+    ids = [*range(1, 15), 21, 22, 30, 31, 40, 41, 50]
+    got = registry.export_gate(spark.createDataFrame([(i, i != 1) for i in ids], "id long, cleared boolean"), needs)
+    assert {r.id for r in got.collect() if r.exportable} == {30, 31, 50}
