@@ -65,6 +65,11 @@ def _member(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _temporary(root: str, partition: int, number: int, attempt: int) -> str:
+    """A name that read_warc's pattern cannot match, for what a lost attempt leaves behind."""
+    return f"{root}/_{partition:05d}-{number:04d}.{attempt}.tmp"
+
+
 def _writer(folder: str, roll: int):
     """(page_id, url, html, first, revisit) to (path, bytes, records)."""
 
@@ -81,14 +86,14 @@ def _writer(folder: str, roll: int):
             stream, name, temporary, size, records = out
             stream.close()
             fs.move(temporary, name)
-            made.append((name, size, records))
+            made.append((f"{folder}{name.removeprefix(root)}", size, records))
 
         for batch in batches:
             for page, url, html, first, revisit in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if out is None:
                     fs.create_dir(root, recursive=True)
                     name = f"{root}/part-{task.partitionId():05d}-{len(made):04d}.warc.gz"
-                    temporary = f"{name}.{task.taskAttemptId()}.tmp"
+                    temporary = _temporary(root, task.partitionId(), len(made), task.taskAttemptId())
                     out = [fs.open_output_stream(temporary, compression=None), name, temporary, 0, 0]
                 data = _member(record_bytes(page, url, (html or "").encode(), first, revisit))
                 out[0].write(data)
@@ -276,7 +281,7 @@ def op6_warc(pages: DataFrame) -> DataFrame:
     if not log.limit(1).count():
         records = pages.sparkSession.createDataFrame([], RECORD)
     else:
-        records = read_warc(pages.sparkSession, folder, keep_payload=False).filter("problem is null")
+        records = read_archives(log, keep_payload=False).filter("problem is null")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

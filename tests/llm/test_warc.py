@@ -1,9 +1,11 @@
 import base64
+import fnmatch
 import glob
 import gzip
 import hashlib
 import io
 import random
+import shutil
 
 import pytest
 
@@ -34,6 +36,21 @@ def test_round_trip(spark):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_leftovers_of_a_lost_attempt_are_not_read(spark, monkeypatch):
+    write = warc.write_warc
+
+    def interrupted(df, folder, *a):
+        log = write(df, folder, *a)
+        for name in [r.path.removeprefix("file:") for r in log.collect()]:
+            shutil.copy(name, f"{name}.7.tmp")
+        return log
+
+    want = sorted(map(str, warc.op6_warc(pages(spark, ROWS)).collect()))
+    monkeypatch.setattr(warc, "write_warc", interrupted)
+    assert sorted(map(str, warc.op6_warc(pages(spark, ROWS)).collect())) == want
+    assert not fnmatch.fnmatch(warc._temporary("/x", 1, 2, 3).rpartition("/")[2], "*.warc*")
+
+
 def test_small_payloads_stay_responses(spark, tmp_path):
     warc.write_warc(pages(spark, ROWS), f"file://{tmp_path}/w", min_bytes=9, roll=200).collect()
     rows = warc.read_warc(spark, f"file://{tmp_path}/w").collect()
