@@ -59,3 +59,19 @@ def test_fast_ids_equal_the_tokenizers():
     for _ in range(300):
         text = "".join(rng.choice("aB é\n\t ßж1,.'s日  😀\x00#") for _ in range(rng.randrange(60)))
         assert fast(text).tolist() == slow(text).tolist(), repr(text)
+
+
+def test_further_capacities_bind_end_to_end(documents):
+    d = documents([(i, "the cat sat on the mat " * (1 + i % 8)) for i in range(120)])
+    sequences = lambda **capacities: [v for v in _by_sequence(packing.pack(d, **capacities).collect()).values()]
+    few, light, free = sequences(documents=4), sequences(attention=6000), sequences()
+    assert max(map(len, few)) == 4 < max(map(len, free))
+    assert max(sum(n * n for n in v) for v in light) <= 6000 < max(sum(n * n for n in v) for v in free)
+    assert all(sorted(n for v in x for n in v) == sorted(n for v in free for n in v) for x in (few, light))
+
+
+def _by_sequence(pieces):
+    out = {}
+    for r in pieces:
+        out.setdefault(r.sequence_id, []).append(r.length)
+    return out
