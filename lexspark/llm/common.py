@@ -17,10 +17,16 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a local one in tests."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir.
+
+    Where it is unset a local session, whose executor is the driver, gets one; a cluster is refused.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        given = sc.getConf().get("spark.checkpoint.dir")
+        if not given and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -52,7 +58,12 @@ class Scratch:
 
 def checked_broadcast(small: DataFrame, row_bytes: int) -> DataFrame:
     """small, a stored table, marked for broadcast if its counted size allows; else as it is, for a shuffled join."""
-    return F.broadcast(small) if small.count() * row_bytes <= BROADCAST_BYTES else small
+    return sized_broadcast(small, small.count(), row_bytes)
+
+
+def sized_broadcast(small: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """As checked_broadcast, for a table whose rows are counted already."""
+    return F.broadcast(small) if rows * row_bytes <= BROADCAST_BYTES else small
 
 
 #: Rows and bytes of Arrow data that a task turns into Python objects at once.

@@ -16,7 +16,6 @@ def test_pieces_and_ids(documents):
     d = documents([*enumerate(texts), (3, texts[3]), (None, "no id")])
     rows = packing.op10_best_fit_packing(d).collect()
     t = Tokenizer.from_file(packing.default_tokenizer()[0])
-    t.encode_special_tokens = True
     by, places = {}, {}
     for r in rows:
         by.setdefault(r.doc_id, []).append(r)
@@ -61,6 +60,13 @@ def test_fast_ids_equal_the_tokenizers():
         assert fast(text).tolist() == slow(text).tolist(), repr(text)
 
 
+def test_special_tokens_get_the_ids_of_the_tokenizer():
+    plain = Tokenizer.from_file(packing.default_tokenizer()[0])
+    text = "a <|endoftext|> b"
+    assert packing.Encoder(*packing.default_tokenizer())(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(plain.encode(text, add_special_tokens=False).ids) == 4
+
+
 def test_further_capacities_bind_end_to_end(documents):
     d = documents([(i, "the cat sat on the mat " * (1 + i % 8)) for i in range(120)])
     sequences = lambda **capacities: [v for v in _by_sequence(packing.pack(d, **capacities).collect()).values()]
