@@ -3,17 +3,20 @@
 Each source's documents are hashed into blocks, at most BLOCKS a source, whose number is the
 permuted order of the draw. A target of q + f times the source's size takes every block q times
 and, of the rest, the first blocks in that order as long as they fit in f times the size; the one
-block that does not fit is drawn from document by document, in hashed order, each taken if it
-still fits, and at last one that overshoots if that comes nearer. Output shards come from a binary
+block that does not fit is cut into blocks in the same way; and the one of these that does not fit
+is drawn from document by document, in hashed order, each taken if it still fits, and at last one
+that overshoots if that comes nearer. Output shards come from a binary
 tree: a node splits the block quotas that it has of each pass over a source, the blocks that the
 pass takes whole, between its halves by a multivariate-hypergeometric draw, so leaves hold exact and
-disjoint quotas. Which of the blocks a shard gets comes from an order of each pass alone. A tree of
-its own deals the documents that are taken of the edge blocks. A shard orders its rows by a seeded
-hash.
+disjoint quotas. Which of the blocks a shard gets comes from an order of each pass alone. Trees of
+their own deal the blocks inside the edge blocks and the documents of the last ones. A shard orders
+its rows by a seeded hash.
 
-Only the table of sources (name, documents, words, edge) reaches the driver, one row for each
+Only the table of sources (name, documents, words, edges) reaches the driver, one row for each
 component of the mixture. Groups that one task sees are a source's block totals (at most BLOCKS
-rows), the blocks of one pass over it, and one block of each source.
+rows), the blocks of one pass over it, and some dozens of its documents (those of one block in
+BLOCKS squared, BLOCK_DOCS at the least). The shards' number sets how rows are laid out, never
+which are taken.
 
 Defined results: a null text has size 0; null sources are one source, last in order; a document
 of size 0 is never taken; repeated rows are drawn row by row, and rows equal in doc_id and text
@@ -27,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch, checked_broadcast, words_of
+from lexspark.llm.common import Scratch, checked_broadcast, sized_broadcast, words_of
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
@@ -118,17 +121,37 @@ def _plan(sizes: DataFrame) -> list[tuple]:
     return rows
 
 
-def _cuts(spark, keys: list[tuple], quotas: list[int], shards: int, seed: int) -> DataFrame:
+def _edge(docs: DataFrame, block: str, left: str) -> DataFrame:
+    """(_mx_k, edge, left, docs): of each source the first block that does not fit whole, and what is left when its turn comes."""
+    upto = Window.partitionBy("_mx_k").orderBy(block).rowsBetween(Window.unboundedPreceding, 0)
+    totals = docs.groupBy("_mx_k", left, block).agg(F.sum("_mx_size").alias("words"), F.count("*").alias("docs")).withColumn("upto", F.sum("words").over(upto))
+    over = totals.filter(F.col("upto") > F.col(left)).select("_mx_k", F.struct(F.col(block).alias("edge"), (F.col(left) - F.col("upto") + F.col("words")).alias("left"), "docs").alias("e"))
+    return over.groupBy("_mx_k").agg(F.min_by("e", "e.edge").alias("e")).select("_mx_k", "e.*")
+
+
+def _cuts(spark, quotas: dict, shards: int, seed: int) -> DataFrame:
     """(_cut_k, _cut_pass, quota, ends): the last ranks, exclusive, of each shard in a quota's permuted order."""
-    ends = np.cumsum(splitting_tree(np.array(quotas, np.int64), shards, seed), axis=0)
-    rows = [(*key, quotas[j], [int(x) for x in ends[:, j]]) for j, key in enumerate(keys)]
-    return spark.createDataFrame(rows, "_cut_k int, _cut_pass int, quota int, ends array<int>")
+    ends = np.cumsum(splitting_tree(np.array(list(quotas.values()), np.int64), shards, seed), axis=0)
+    rows = [(*key, n, [int(x) for x in ends[:, j]]) for j, (key, n) in enumerate(quotas.items())]
+    return spark.createDataFrame(rows, "_cut_k int, _cut_pass int, quota long, ends array<int>")
 
 
 def _shard_of(rank: str) -> Column:
     return F.size(F.filter("ends", lambda e: e <= F.col(rank))).cast("int")
 
 
+def _draw(spark, quotas: dict, shards: int, seed: int) -> DataFrame:
+    """(_dr_k, _dr_block, _dr_shards): the shard of each taken block in each pass, for quotas by (source, pass)."""
+    quotas = {key: n for key, n in quotas.items() if n}
+    cuts = sized_broadcast(_cuts(spark, quotas, shards, seed), len(quotas), 64 + 4 * shards)
+    taken = spark.createDataFrame([(*key, n) for key, n in quotas.items()], "k int, pass int, n long").select("k", "pass", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("_dr_block"))
+    # Ordered anew in each pass, so that a block's shard does not follow from whether it is taken.
+    anew = Window.partitionBy("k", "pass").orderBy(F.xxhash64("k", "pass", "_dr_block", F.lit(seed + 2)), "_dr_block")
+    taken = taken.withColumn("rank", F.row_number().over(anew) - 1).join(cuts, (F.col("k") == F.col("_cut_k")) & (F.col("pass") == F.col("_cut_pass")))
+    taken = taken.select("k", "_dr_block", "pass", _shard_of("rank").alias("shard"))
+    return taken.groupBy(F.col("k").alias("_dr_k"), "_dr_block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard")))["shard"].alias("_dr_shards"))
+
+
 def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     """docs with _mx_size, _mx_k, _mx_hash and _mx_shards, the shard of each copy; and all of them without texts but with the plan."""
     spark = docs.sparkSession
@@ -136,39 +159,42 @@ def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     sizes = scratch.store(_keyed(docs.select("doc_id", "text", "source")).select("doc_id", "source", "_mx_hash", "_mx_size"), "sizes")
     rows = _plan(sizes)
     plan = spark.createDataFrame(rows, "_mx_source string, _mx_k int, _mx_source_size long, _mx_target double, _mx_full int, _mx_rest double, _mx_blocks int")
+    plan = sized_broadcast(plan, len(rows), 100 + max((len((r[0] or "").encode()) for r in rows), default=0))
     of_source = F.col("source").eqNullSafe(F.col("_mx_source"))
     block = F.pmod("_mx_hash", "_mx_blocks").cast("int")
-    d = sizes.join(F.broadcast(plan), of_source).withColumn("_mx_block", block)
-    upto = Window.partitionBy("_mx_k").orderBy("_mx_block").rowsBetween(Window.unboundedPreceding, 0)
-    totals = d.groupBy("_mx_k", "_mx_rest", "_mx_block").agg(F.sum("_mx_size").alias("words")).withColumn("upto", F.sum("words").over(upto))
-    # The first block that does not fit whole, and what is left to take when its turn comes.
-    edge = totals.filter("upto > _mx_rest").select("_mx_k", F.col("_mx_block").alias("_mx_edge"), (F.col("_mx_rest") - F.col("upto") + F.col("words")).alias("_mx_left"))
-    edge = scratch.store(edge.groupBy("_mx_k").agg(F.min_by(F.struct("_mx_edge", "_mx_left"), "_mx_edge").alias("e")).select("_mx_k", "e.*"), "edges")
-    at_edge = d.join(F.broadcast(edge), "_mx_k").filter("_mx_block = _mx_edge").select("_mx_k", "_mx_hash", F.col("_mx_size").alias("size"), F.col("_mx_left").alias("left"))
-    picked = scratch.store(at_edge.groupBy("_mx_k").applyInPandas(_fit, "_px_k int, _px_hash long, _px_rank int"), "edge-documents")
-    # Each pass over a source has a quota of its own: the blocks that it takes whole.
-    last = {r["_mx_k"]: r["_mx_edge"] for r in edge.collect()}
+    d = sizes.join(plan, of_source).withColumn("_mx_block", block)
+    edge = scratch.store(_edge(d, "_mx_block", "_mx_rest"), "edges")
+    # The edge block is cut into blocks of its own, so that only some dozens of documents are left to draw one by one.
+    inner = F.greatest(F.lit(1), F.least(F.lit(BLOCKS), F.floor(F.col("docs") / BLOCK_DOCS))).cast("int")
+    edges = edge.select(F.col("_mx_k").alias("_ed_k"), F.col("edge").alias("_ed_block"), F.col("left").alias("_ed_left"), inner.alias("_ed_blocks"))
+    edges = sized_broadcast(edges, len(rows), 40)
+    inside = F.pmod(F.xxhash64("_mx_hash", F.lit(SEED + 5)), F.col("_ed_blocks")).cast("int")
+    at_edge = (F.col("_mx_k") == F.col("_ed_k")) & (F.col("_mx_block") == F.col("_ed_block"))
+    within = d.join(edges, at_edge).withColumn("_ed_inside", inside).select("_mx_k", "_mx_hash", "_mx_size", "_ed_left", "_ed_inside")
+    within = scratch.store(within, "edge-blocks")
+    last = scratch.store(_edge(within, "_ed_inside", "_ed_left"), "inner-edges")
+    lasts = sized_broadcast(last.select(F.col("_mx_k").alias("_la_k"), F.col("edge").alias("_la_block"), "left"), len(rows), 40)
+    few = within.join(lasts, (F.col("_mx_k") == F.col("_la_k")) & (F.col("_ed_inside") == F.col("_la_block"))).select("_mx_k", "_mx_hash", F.col("_mx_size").alias("size"), "left")
+    picked = scratch.store(few.groupBy("_mx_k").applyInPandas(_fit, "_px_k int, _px_hash long, _px_rank int"), "edge-documents")
+    # Each pass over a source has a quota of its own: the blocks that it takes whole. Those inside edge blocks
+    # and the documents of the last blocks are dealt by trees of their own.
+    outer = {r["_mx_k"]: r["edge"] for r in edge.collect()}
     quotas = {}
-    for _, k, _, _, full, rest, blocks in rows:
-        quotas |= {(k, p): blocks for p in range(full)} | {(k, full): last.get(k, blocks if rest > 0 else 0)}
-    quotas = {key: n for key, n in quotas.items() if n}
-    cuts = _cuts(spark, list(quotas), list(quotas.values()), shards, SEED)
-    drawn = cuts.withColumn("_dr_block", F.explode(F.sequence(F.lit(0), F.col("quota") - 1)))
-    # Ordered anew in each pass, so that a block's shard does not follow from whether it is taken.
-    anew = Window.partitionBy("_cut_k", "_cut_pass").orderBy(F.xxhash64("_cut_k", "_cut_pass", "_dr_block", F.lit(SEED + 2)), "_dr_block")
-    drawn = drawn.withColumn("rank", F.row_number().over(anew) - 1).withColumn("shard", _shard_of("rank"))
-    drawn = drawn.groupBy(F.col("_cut_k").alias("_dr_k"), "_dr_block").agg(F.sort_array(F.collect_list(F.struct("_cut_pass", "shard")))["shard"].alias("_dr_shards"))
-    drawn = scratch.store(drawn, "drawn-blocks")
-    # The edge blocks' documents are dealt by a tree of their own.
-    counts = sorted((r["_px_k"], r["count"]) for r in picked.groupBy("_px_k").count().collect())
-    edge_cuts = _cuts(spark, [(k, 0) for k, _ in counts], [n for _, n in counts], shards, SEED + 3)
-    picked = scratch.store(picked.join(F.broadcast(edge_cuts), F.col("_px_k") == F.col("_cut_k")).select("_px_k", "_px_hash", _shard_of("_px_rank").alias("_px_shard")), "edge-shards")
-    out = _keyed(docs).join(F.broadcast(plan), of_source).withColumn("_mx_block", block)
-    # At most BLOCKS rows of each source, and max(2 * BLOCK_DOCS, documents / BLOCKS) of its edge, counted before a broadcast.
+    for _, k, _, _, full, rest, n in rows:
+        quotas |= {(k, p): n for p in range(full)} | {(k, full): outer.get(k, n if rest > 0 else 0)}
+    drawn = scratch.store(_draw(spark, quotas, shards, SEED), "drawn-blocks")
+    drawn_inside = scratch.store(_draw(spark, {(r["_mx_k"], 0): r["edge"] for r in last.collect()}, shards, SEED + 6), "drawn-inner-blocks")
+    counts = {(r["_px_k"], 0): r["count"] for r in picked.groupBy("_px_k").count().orderBy("_px_k").collect()}
+    cuts = sized_broadcast(_cuts(spark, counts, shards, SEED + 3), len(counts), 64 + 4 * shards)
+    picked = scratch.store(picked.join(cuts, F.col("_px_k") == F.col("_cut_k")).select("_px_k", "_px_hash", _shard_of("_px_rank").alias("_px_shard")), "edge-shards")
+    # At most BLOCKS rows of each source and some dozens of its last block, counted before a broadcast.
+    out = _keyed(docs).join(plan, of_source).withColumn("_mx_block", block).join(edges, at_edge, "left").withColumn("_ed_inside", inside)
+    drawn_inside = drawn_inside.select(F.col("_dr_k").alias("_di_k"), F.col("_dr_block").alias("_di_block"), F.col("_dr_shards").alias("_di_shards"))
     out = out.join(checked_broadcast(drawn, 40), (F.col("_mx_k") == F.col("_dr_k")) & (F.col("_mx_block") == F.col("_dr_block")), "left")
-    out = out.join(checked_broadcast(picked, 20), (F.col("_mx_k") == F.col("_px_k")) & (F.col("_mx_hash") == F.col("_px_hash")), "left")
+    out = out.join(checked_broadcast(drawn_inside, 40), (F.col("_ed_k") == F.col("_di_k")) & (F.col("_ed_inside") == F.col("_di_block")), "left")
+    out = out.join(checked_broadcast(picked, 20), (F.col("_ed_k") == F.col("_px_k")) & (F.col("_mx_hash") == F.col("_px_hash")), "left")
     none = F.array().cast("array<int>")
-    copies = F.concat(F.coalesce("_dr_shards", none), F.when(F.col("_px_shard").isNotNull(), F.array("_px_shard")).otherwise(none))
+    copies = F.concat(F.coalesce("_dr_shards", none), F.coalesce("_di_shards", none), F.when(F.col("_px_shard").isNotNull(), F.array("_px_shard")).otherwise(none))
     return out.withColumn("_mx_shards", F.when(F.col("_mx_size") > 0, copies).otherwise(none)), d
 
 
@@ -194,15 +220,14 @@ def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
 def op9_mixing(docs: DataFrame) -> DataFrame:
     """Per document: its size, its source's size and target, the words the mix takes of it.
 
-    The mix is made and stored with its texts, and its rows' words are summed back.
+    The mix is made with its texts, and the words of its rows are counted and summed back.
     """
     docs = docs.select("doc_id", "text", "source")
     shards = _shards(docs)
     m, sizes = mixture(docs, shards)
-    mixed = _mixed(m, shards).select("doc_id", "text", "source", "_mx_shard", "_mx_k", "_mx_hash", "_mx_size")
-    mixed = Scratch(docs.sparkSession, "mixing").store(mixed, "mixed")
+    mixed = _mixed(m, shards).select("_mx_k", "_mx_hash", word_count(F.col("text")).alias("words"))
     # Rows equal in source, doc_id and text are taken equally often.
     count = sizes.select("_mx_k", "_mx_hash", F.lit(1).alias("n"), F.lit(0).cast("long").alias("words"))
-    count = count.union(mixed.select("_mx_k", "_mx_hash", F.lit(0), "_mx_size")).groupBy("_mx_k", "_mx_hash").agg((F.sum("words") / F.sum("n")).cast("long").alias("taken"))
+    count = count.union(mixed.select("_mx_k", "_mx_hash", F.lit(0), "words")).groupBy("_mx_k", "_mx_hash").agg((F.sum("words") / F.sum("n")).cast("long").alias("taken"))
     out = sizes.join(count, ["_mx_k", "_mx_hash"])
     return out.select("doc_id", F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"), F.col("_mx_target").alias("target"), "taken")
