@@ -6,9 +6,11 @@ turn is kept, merged into the one before it, relabelled, or preceded by an empty
 role; each choice has a cost, and dynamic programming finds the cheapest way through.
 
 A conversation may be of any length: rows are range-sorted by conversation and turn over the whole
-cluster, so a long one spans tasks. Each task sums up its piece of a conversation as a matrix of
-least costs from state to state; the few conversations in several pieces are chained by these
-matrices; then each task repairs its piece between the states that the chain gives it.
+cluster, so a long one spans tasks, and each task's rows are cut after every PIECE of them. Each
+piece of a conversation is summed up as a matrix of least costs from state to state; the
+conversations in several pieces are chained by these matrices, a row a piece; the states that the
+chain gives are joined to the pieces' rows; then each task repairs its pieces between their states.
+A conversation of one piece, as nearly all are, is repaired where it is.
 
 Defined results: turns are ordered by turn, nulls last, then role and a hash of the text, and repeated
 turns are repeated; a null conv_id is one conversation; a null text is an empty one; roles are compared
@@ -23,12 +25,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch, shared_folder
+from lexspark.llm.common import Scratch, checked_broadcast, shared_folder
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 MERGE, RELABEL, INSERT = 10, 60, 40
 FAR = 1 << 40
+#: Rows of a task after which a conversation is cut into another piece.
+PIECE = 1 << 16
 #: What follows what: in each state, the roles that may come next.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 OUT = "conv_id long, turn long, role string, action string, text string, rendered string"
@@ -90,27 +94,46 @@ def _role(x):
     return x if x in ROLES else None
 
 
-def _conversations(batches):
-    """Yields (part, k, conv_id, columns) of each run of rows with one conv_id; a long one comes batch by batch."""
-    k = 0
+def _runs(batches, keys: int):
+    """Yields (first row, columns) of each run of rows with equal first `keys` columns, whatever batches it spans."""
+    held = None
     for batch in batches:
-        conv, part = batch.column(0).to_pylist(), batch.column(4).to_pylist()
-        cols = [batch.column(c).to_pylist() for c in range(1, 4)]
-        lo = 0
-        for hi in range(1, len(conv) + 1):
-            if hi == len(conv) or conv[hi] != conv[lo]:
-                yield part[lo], k, conv[lo], [c[lo:hi] for c in cols]
-                lo, k = hi, k + 1
+        cols = [c.to_pylist() for c in batch.columns]
+        key, lo = list(zip(*cols[:keys], strict=True)), 0
+        for hi in range(1, len(key) + 1):
+            if hi < len(key) and key[hi] == key[lo]:
+                continue
+            if held is not None and held[0] == key[lo]:
+                for a, c in zip(held[1], cols, strict=True):
+                    a.extend(c[lo:hi])
+            else:
+                if held is not None:
+                    yield held[1]
+                held = (key[lo], [c[lo:hi] for c in cols])
+            lo = hi
+    if held is not None:
+        yield held[1]
 
 
 def _pieces(batches):
-    """A row for each run of rows: its task, its number there, its conversation, its transfer matrix."""
+    """(part, chunk, conv_id, role) to a row a piece: its place, its conversation, its transfer matrix."""
     import pyarrow as pa
 
-    rows = [(part, k, conv, transfer([_role(r) for r in roles]).ravel().tolist()) for part, k, conv, (_, roles, _text) in _conversations(batches)]
-    cols = list(zip(*rows, strict=True)) if rows else [()] * 4
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["part", "k", "conv_id", "m"])
+    out: list[list] = [[] for _ in kinds]
+
+    def flush():
+        done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["part", "chunk", "conv_id", "m"])
+        for c in out:
+            c.clear()
+        return done
+
+    for part, chunk, conv, roles in _runs(batches, 3):
+        for c, v in zip(out, (part[0], chunk[0], conv[0], transfer([_role(r) for r in roles]).ravel().tolist()), strict=True):
+            c.append(v)
+        if len(out[0]) >= 4096:
+            yield flush()
+    yield flush()
 
 
 #: What a conversation that stops in a state costs: the empty turns it lacks.
@@ -119,12 +142,11 @@ _MISSING = {START: ("user", "assistant"), SYSTEM: ("user", "assistant"), USER: (
 
 
 def _chain(pdf):
-    """The states before and after each piece of a conversation, and the turns before it."""
-    pdf = pdf.sort_values(["part", "k"])
-    ms = [np.array(m, np.int64).reshape(4, 4) for m in pdf["m"]]
+    """The states before and after each piece of a conversation, and which is the last."""
+    pdf = pdf.sort_values(["part", "chunk"])
     cost, back = np.where(np.arange(4) == START, 0, FAR), []
-    for m in ms:
-        through = cost[:, None] + m
+    for m in pdf["m"]:
+        through = cost[:, None] + np.array(m, np.int64).reshape(4, 4)
         back.append(through.argmin(0))
         cost = through.min(0)
     final = cost + _ENDS
@@ -133,60 +155,81 @@ def _chain(pdf):
         states.append((int(b[state]), state))
         state = int(b[state])
     states = states[::-1]
-    return pdf.assign(before=[a for a, _ in states], after=[b for _, b in states], last=[k == len(ms) - 1 for k in range(len(ms))])[["part", "k", "before", "after", "last"]]
+    return pdf.assign(before=[a for a, _ in states], after=[b for _, b in states], last=[k == len(states) - 1 for k in range(len(states))])[["part", "chunk", "conv_id", "before", "after", "last"]]
 
 
 def render(role: str, text: str) -> str:
     return f"<|{role}|>\n{text}\n"
 
 
-def _repaired(states):
-    """Rows in their order to OUT, between the states found for pieces of split conversations."""
-
-    def run(batches):
-        import pyarrow as pa
+def _repaired(batches):
+    """Rows of pieces in their order to OUT; pieces of split conversations come with the states of their ends."""
+    import pyarrow as pa
 
-        known = states.value
-        for part, k, conv, (turns, roles, texts) in _conversations(batches):
-            names = [_role(r) for r in roles]
-            if (part, k) in known:
-                before, after, last = known[part, k]
-            else:
-                before, after, last = START, int((transfer(names)[START] + _ENDS).argmin()), True
-            rows = []
-            for turn, text, (state, action) in zip(turns, texts, repair(names, before, after), strict=True):
-                role, text = ROLES[state - 1], text or ""
-                if action.startswith("insert"):
-                    rows.append((turn, action[7:], "insert", "", render(action[7:], "")))
-                    action = "keep"
-                rows.append((turn, role, action, text, f"{text}\n" if action.startswith("merge") else render(role, text)))
-            if last:
-                rows += [(turns[-1], role, "insert", "", render(role, "")) for role in _MISSING[after]]
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array([conv] * len(rows), pa.int64()), pa.array(cols[0], pa.int64()), *[pa.array(c, pa.string()) for c in cols[1:]]], names=["conv_id", "turn", "role", "action", "text", "rendered"])
-
-    return run
-
-
-def format_chats(conversations: DataFrame) -> DataFrame:
+    kinds = [pa.int64(), pa.int64(), *[pa.string()] * 4]
+    out: list[list] = [[] for _ in kinds]
+    size = 0
+
+    def flush():
+        done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["conv_id", "turn", "role", "action", "text", "rendered"])
+        for c in out:
+            c.clear()
+        return done
+
+    for _, _, conv, turns, roles, texts, befores, afters, lasts in _runs(batches, 3):
+        names = [_role(r) for r in roles]
+        if befores[0] is None:
+            before, after, last = START, int((transfer(names)[START] + _ENDS).argmin()), True
+        else:
+            before, after, last = befores[0], afters[0], lasts[0]
+        rows = []
+        for turn, text, (state, action) in zip(turns, texts, repair(names, before, after), strict=True):
+            role, text = ROLES[state - 1], text or ""
+            if action.startswith("insert"):
+                rows.append((turn, action[7:], "insert", "", render(action[7:], "")))
+                action = "keep"
+            rows.append((turn, role, action, text, f"{text}\n" if action.startswith("merge") else render(role, text)))
+        if last:
+            rows += [(turns[-1], role, "insert", "", render(role, "")) for role in _MISSING[after]]
+        for row in rows:
+            for c, v in zip(out, (conv[0], *row), strict=True):
+                c.append(v)
+            size += len(row[3])
+            if len(out[0]) >= 4096 or size > 4 << 20:
+                yield flush()
+                size = 0
+    yield flush()
+
+
+def format_chats(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     """Per turn of the repaired conversations: conv_id, turn, role, action, text, rendered.
 
     A conversation's rendering is that of its rows in their order, which is kept inside and across
-    partitions; a merged turn's is its text alone, behind the turn it continues.
+    partitions; a merged turn's is its text alone, behind the turn it continues. (Only if pieces of
+    split conversations are more than a broadcast holds, some hundred thousand, are partitions
+    formed anew, in the order of conversation and turn again.)
     """
     spark = conversations.sparkSession
     shared_folder(spark)
     order = [F.asc_nulls_first("conv_id"), F.asc_nulls_last("turn"), F.asc_nulls_first("role"), F.xxhash64("text").asc()]
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    place = F.monotonically_increasing_id()  # the partition's number above the lower 33 bits, the row's in these
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", place)
+    rows = rows.select(F.shiftright("place", 33).cast("int").alias("part"), F.floor(F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) / piece).alias("chunk"), "conv_id", "turn", "role", "text")
     rows = rows.checkpoint()  # the same rows in the same tasks for both passes
-    pieces = Scratch(spark, "chat").store(rows.mapInArrow(_pieces, "part int, k long, conv_id long, m array<long>"), "pieces")
+    scratch = Scratch(spark, "chat")
+    pieces = scratch.store(rows.select("part", "chunk", "conv_id", "role").mapInArrow(_pieces, "part int, chunk long, conv_id long, m array<long>"), "pieces")
     split = pieces.groupBy("conv_id").count().filter("count > 1").select(F.col("conv_id").alias("_split"))
     split = pieces.join(split, F.col("conv_id").eqNullSafe(F.col("_split"))).drop("_split")
-    chained = split.groupBy("conv_id").applyInPandas(_chain, "part int, k long, before int, after int, last boolean")
-    # At most two pieces a task and one a batch of rows.
-    states = {(r["part"], r["k"]): (r["before"], r["after"], r["last"]) for r in chained.collect()}
-    return rows.mapInArrow(_repaired(spark.sparkContext.broadcast(states)), OUT)
+    chained = scratch.store(split.groupBy("conv_id").applyInPandas(_chain, "part int, chunk long, conv_id long, before int, after int, last boolean"), "states")
+    states = chained.select(F.col("part").alias("_part"), F.col("chunk").alias("_chunk"), F.col("conv_id").alias("_conv"), "before", "after", "last")
+    small = checked_broadcast(states, 40)  # two pieces a task and one for each PIECE rows of a long conversation
+    on = (F.col("part") == F.col("_part")) & (F.col("chunk") == F.col("_chunk")) & F.col("conv_id").eqNullSafe(F.col("_conv"))
+    joined = rows.join(small, on, "left")
+    if small is states:
+        again = ["part", "chunk", *order]
+        joined = joined.repartitionByRange("part", "chunk", F.asc_nulls_first("conv_id")).sortWithinPartitions(*again)
+    return joined.select("part", "chunk", "conv_id", "turn", "role", "text", "before", "after", "last").mapInArrow(_repaired, OUT)
 
 
 def op7_chat_format(conversations: DataFrame) -> DataFrame:

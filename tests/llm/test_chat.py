@@ -18,17 +18,43 @@ def legal(roles):
     return body == ["user", "assistant"] * (len(body) // 2) and bool(body)
 
 
+def fewest_inserted(roles):
+    """Turns to insert until the roles are legal, by trying every sequence of at most five more."""
+    for more in range(6):
+        n = len(roles) + more
+        for at in itertools.combinations(range(n), more):
+            free = iter(roles)
+            shape = [None if k in at else next(free) for k in range(n)]
+            for first in ("system", "user"):
+                body = ["user", "assistant"] * n
+                want = [first, *body][:n] if first == "system" else body[:n]
+                if legal(want) and all(a in (None, b) for a, b in zip(shape, want, strict=True)):
+                    return more
+    return None
+
+
 def least_cost(roles):
-    """Cheapest repair by trying all ways, turn by turn."""
-    states = {chat.START: 0}
-    for r in roles:
-        new = {}
-        for s, cost in states.items():
-            for a, b, c, _ in chat._CHOICES[chat._role(r)]:
-                if a == s and cost + c < new.get(b, 1 << 60):
-                    new[b] = cost + c
-        states = new
-    return min(c + int(chat._ENDS[s]) for s, c in states.items())
+    """Cheapest repair by trying, for each turn, to merge it or to give it each of the roles."""
+    said = [(r or "").strip().lower() for r in roles]
+    best = None
+    for labels in itertools.product(["merge", "system", "user", "assistant"], repeat=len(said)):
+        cost, out = 0, []
+        for label, own in zip(labels, said, strict=True):
+            if label == "merge":
+                cost += chat.MERGE + (chat.RELABEL if not out or own != out[-1] else 0)
+            else:
+                cost += chat.RELABEL if label != own else 0
+                out.append(label)
+        if labels[0] == "merge" or (best is not None and cost >= best):
+            continue
+        more = fewest_inserted(out)
+        if more is not None and (best is None or cost + more * chat.INSERT < best):
+            best = cost + more * chat.INSERT
+    return best
+
+
+def cost_of(out):
+    return sum(COST[r.action] for r in out)
 
 
 def check(rows, out):
@@ -36,7 +62,9 @@ def check(rows, out):
         mine = [r for r in out if r.conv_id == conv]
         roles = [r.role for r in mine if not r.action.startswith("merge")]
         assert legal(roles), roles
-        assert sum(COST[r.action] for r in mine) == least_cost([r[2] for r in sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is None, x[1] or 0))])
+        turns = sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is None, x[1] or 0))
+        if len(turns) <= 5:
+            assert cost_of(mine) == least_cost([r[2] for r in turns]), [r[2] for r in turns]
         assert [r.text for r in mine if r.action != "insert"] == [x[3] or "" for x in sorted((x for x in rows if x[0] == conv), key=lambda x: (x[1] is None, x[1] or 0))]
 
 
@@ -64,6 +92,16 @@ def test_long_conversation_spans_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     check(rows, out)
+    whole = chat.format_chats(table(spark, rows).coalesce(1)).collect()
+    assert cost_of(out) == cost_of(whole) == sum(cost_of(chat.format_chats(table(spark, rows), piece=n).collect()) for n in (7,))
+
+
+def test_pieces_of_any_size_cost_the_same(spark):
+    rng = random.Random(3)
+    kinds = ["system", "user", "assistant", "tool"]
+    rows = [(c, t, rng.choice(kinds), f"{c}-{t}") for c in range(40) for t in range(rng.randint(1, 5))]
+    for piece in (1, 2, 3, 1000):
+        check(rows, chat.format_chats(table(spark, rows), piece=piece).collect())
 
 
 def test_edges(spark):
