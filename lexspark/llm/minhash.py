@@ -19,7 +19,8 @@ has members times the members that did not join it. So every link between differ
 tried.
 
 Defined results: null or blank texts have no shingles and link with nothing; fewer than five words
-are one shingle; rows that share a doc_id are one document whose links are those of all its rows;
+are one shingle; rows that share a doc_id are one document whose links are those of all its rows
+(each row has the set size of its own text and the component of them all);
 a row with a null doc_id links with nothing and is kept; an empty table gives an empty table; only
 doc_id and text are read, so other columns cannot clash.
 """
@@ -42,6 +43,8 @@ LOW_BITS = np.uint64(0x5555555555555555)
 PERCENT = 85
 #: Members of a bucket that one task compares with each other, or with as many others.
 BLOCK = 2048
+#: Bytes of texts that a block of a bucket holds, where texts are compared.
+BLOCK_BYTES = 16 << 20
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 2**63, LANES, dtype=np.uint64)
@@ -297,15 +300,18 @@ def blocks(rows: DataFrame, key: str, block: int, needs: str | None = None, star
 
 
 def _deal_unsettled(rows: DataFrame, block: int) -> DataFrame:
-    """rows (key, id, component) of keys with several components, dealt out to (key, block_a, block_b).
+    """rows (key, id, component, bytes) of keys with several components, dealt out to (key, block_a, block_b).
 
     Members of a key's largest component are in blocks behind those of the others, and meet these only.
+    Blocks are bounded by rows and by bytes of text.
     """
-    per = rows.groupBy("key", "component").count()
-    most = per.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("_major"), F.max("count").alias("_n_major"), F.sum("count").alias("_n"))
-    rows = rows.join(most.filter("_n > _n_major"), "key")
-    cut = lambda n: F.ceil(n / block).cast("int")
-    rows = rows.withColumns({"_minor": F.col("component") != F.col("_major"), "_minors": cut(F.col("_n") - F.col("_n_major")), "_majors": cut(F.col("_n_major"))})
+    per = rows.groupBy("key", "component").agg(F.count("*").alias("count"), F.sum("bytes").alias("bytes"))
+    top = F.max_by(F.struct("component", "count", "bytes"), F.struct("count", "component"))
+    most = per.groupBy("key").agg(top.alias("_top"), F.sum("count").alias("_n"), F.sum("bytes").alias("_b"))
+    rows = rows.join(most.filter("_n > _top.count"), "key")
+    cut = lambda n, size: F.greatest(F.ceil(n / block), F.ceil(size / BLOCK_BYTES)).cast("int")
+    top = F.col("_top")
+    rows = rows.withColumns({"_minor": F.col("component") != top["component"], "_minors": cut(F.col("_n") - top["count"], F.col("_b") - top["bytes"]), "_majors": cut(top["count"], top["bytes"])})
     h = F.xxhash64("id")
     rows = rows.withColumn("block", F.when(F.col("_minor"), F.pmod(h, "_minors")).otherwise(F.col("_minors") + F.pmod(h, "_majors")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.when(F.col("_minor"), F.col("_minors") + F.col("_majors")).otherwise(F.col("_minors")) - 1)))
@@ -313,46 +319,59 @@ def _deal_unsettled(rows: DataFrame, block: int) -> DataFrame:
 
 
 def find_near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept."""
+    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+
+    What is compared are classes of equal sets, under numbers of their own; a doc_id that several
+    classes share links them.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
     source = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     sigs = scratch.store(source.mapInArrow(_signatures(percent), SIGNATURE), "signatures")
     full = sigs.filter("n_shingles > 0 and doc_id is not null")
-    # One of each class of equal sets goes on.
     fp = ["fp1", "fp2", "n_shingles"]
-    classes = scratch.store(full.groupBy(*fp).agg(F.min("doc_id").alias("id")), "classes")
-    reps = full.join(classes.withColumnRenamed("id", "doc_id"), [*fp, "doc_id"]).dropDuplicates(["doc_id", *fp])
-    reps = scratch.store(reps.select(F.col("doc_id").alias("id"), "text_hash", "packed", "bands"), "representatives")
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    classes = full.groupBy(*fp).agg(first).select(*fp, F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), F.monotonically_increasing_id().alias("id"))
+    classes = scratch.store(classes, "classes")
+    reps = full.join(classes, [*fp, "doc_id", "text_hash"]).select("id", "doc_id", "text_hash", "packed", "bands").dropDuplicates(["id"])
+    reps = scratch.store(reps, "representatives")
     keys = reps.select("id", F.explode("bands").alias("key"))
     multi = keys.groupBy("key").agg(F.count("*").alias("_n")).filter("_n > 1").select("key")
     keys = scratch.store(keys.join(multi, "key"), "bucket-keys")
     shared = scratch.store(keys.select("id").distinct(), "in-buckets")
-    # Texts of the documents that share a bucket.
-    wanted = scratch.store(reps.join(shared, "id").select(F.col("id").alias("doc_id"), "text_hash"), "wanted")
-    texts = source.join(checked_broadcast(wanted, 24), ["doc_id", "text_hash"]).select(F.col("doc_id").alias("id"), "text")
-    texts = scratch.store(texts, "texts")
+    # Texts of the classes that share a bucket; equal rows of a document may bring one twice.
+    wanted = scratch.store(reps.join(shared, "id").select("doc_id", "text_hash", "id"), "wanted")
+    texts = source.join(checked_broadcast(wanted, 32), ["doc_id", "text_hash"]).select("id", "text")
+    texts = scratch.store(texts.dropDuplicates(["id"]), "texts")
     groups = ["key", "block_a", "block_b"]
     dealt = blocks(keys, "key", block, star=True).join(reps.select("id", "packed"), "id").select(*groups, "block", "id", "packed")
     dealt = dealt.repartition(*groups).sortWithinPartitions(*groups)
     proposed = scratch.store(dealt.mapInArrow(_proposals(percent), "a long, b long, key long").distinct(), "proposed")
     pairs = proposed.filter("key is null").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    links = scratch.store(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "u long, v long"), "links")
+    links = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(percent), "u long, v long")
+    member = scratch.store(full.select("doc_id", *fp).join(classes.select(*fp, "id"), fp).select("doc_id", "id").distinct(), "members")
+    several = member.groupBy("doc_id").agg(F.min("id").alias("u"), F.max("id").alias("v")).filter("u < v").select("doc_id", "u")
+    one_document = member.join(several, "doc_id").filter("id > u").select("u", F.col("id").alias("v"))
+    links = scratch.store(links.union(one_document), "links")
     labels = scratch.store(connected_components(links, scratch), "components")
     large = keys.groupBy("key").count().filter(F.col("count") > block)
     open_keys = proposed.filter("key is not null").select("key").union(large.select("key")).distinct()
     rows = keys.join(open_keys, "key").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rows = rows.join(texts.select("id", F.octet_length("text").alias("bytes")), "id")
     rows = scratch.store(_deal_unsettled(rows, max(1, block // 2)), "unsettled")
-    if rows.limit(1).count():
-        dealt = rows.join(reps.select("id", "packed", "bands"), "id").join(texts, "id")
-        dealt = dealt.select(*groups, "block", "id", "component", "packed", "bands", "text").repartition(*groups).sortWithinPartitions(*groups)
-        more = scratch.store(dealt.mapInArrow(_settle(percent), "u long, v long"), "more-links")
-        if more.limit(1).count():
-            labels = scratch.store(connected_components(links.union(more), scratch), "components")
-    at = labels.withColumnRenamed("component", "component_id")
-    classes = classes.join(at, "id", "left").select(*fp, F.coalesce("component_id", "id").alias("component_id"))
-    out = sigs.join(classes, fp, "left")
-    # a document whose rows have different texts is in the component of each
+    dealt = rows.join(reps.select("id", "packed", "bands"), "id").join(texts, "id")
+    dealt = dealt.select(*groups, "block", "id", "component", "packed", "bands", "text").repartition(*groups).sortWithinPartitions(*groups)
+    more = scratch.store(dealt.mapInArrow(_settle(percent), "u long, v long"), "more-links")
+    if more.limit(1).count():  # else the components stand
+        labels = scratch.store(connected_components(links.union(more), scratch), "components")
+    at = classes.join(labels, "id", "left").select("id", *fp, F.coalesce("component", "id").alias("component"), F.col("doc_id").alias("least"))
+    least = at.groupBy("component").agg(F.min("least").alias("component_id"))
+    at = scratch.store(at.join(least, "component").select("id", *fp, "component_id"), "labelled")
+    out = sigs.filter("n_shingles > 0").join(at.drop("id"), fp, "left").select("doc_id", "n_shingles", "component_id")
+    # A row without words belongs to its document's other rows, if it has any.
+    blank = sigs.filter("n_shingles = 0").select("doc_id", "n_shingles")
+    others = member.join(blank.select("doc_id").distinct(), "doc_id").join(at.select("id", "component_id"), "id").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    out = out.union(blank.join(others, "doc_id", "left").select("doc_id", "n_shingles", "component_id"))
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import WORD_CHAR
+from lexspark.llm.common import WORD_CHAR, Scratch, checked_broadcast
 from lexspark.llm.line_dedup import remove_repeated_lines
 from lexspark.llm.minhash import find_near_duplicates
 from lexspark.llm.mixing import mix
 from lexspark.llm.packing import op10_best_fit_packing
 from lexspark.llm.quality_rules import apply_quality_rules
 
+#: Percent of shingles that documents share to be near duplicates in the pipeline.
+NEAR = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go."""
@@ -25,19 +28,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id.
+    """One document of each group of near duplicates, of NEAR percent, stays: the one with the smallest doc_id.
 
-    Rows that share a doc_id are one document; of such rows the least stays. They are looked for
-    first, in a count of the ids, so that texts are grouped only if there are any.
+    Rows that share a doc_id are one document; of such rows the least text stays, and of rows with
+    that text the one whose other columns come first as JSON. Only rows of repeated ids are grouped.
     """
-    gone = find_near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        return out
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = out.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("r"))
-    one = one.select("doc_id", *[F.col("r")[c].alias(c) for c in rest]).select(*docs.columns)
-    return one.union(out.filter("doc_id is null"))
+    scratch = Scratch(spark, "near-dedup-stage")
+    gone = scratch.store(find_near_duplicates(docs, NEAR).filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    again = scratch.store(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    gone, again = checked_broadcast(gone, 16), checked_broadcast(again, 16)
+    left = docs.join(gone, "doc_id", "left_anti")
+    every, rest = [F.col(f"`{c}`") for c in docs.columns], [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    others = F.to_json(F.struct(*rest)) if rest else F.lit("")
+    one = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*every), F.struct("text", others)).alias("row"))
+    return left.join(again, "doc_id", "left_anti").select(*every).union(one.select("row.*"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,6 +60,31 @@ def test_edges(documents):
     assert minhash.find_near_duplicates(documents([])).collect() == []
 
 
+def brute_by_document(rows, percent=85):
+    """Component of each doc_id, if rows that share one are one document with the links of all its rows."""
+    sets = [(d, sets_of(t)) for d, t in rows if d is not None]
+    comp = {d: d for d, _ in sets}
+    for _ in sets:
+        for a, x in sets:
+            for b, y in sets:
+                if x and y and comp[a] != comp[b] and 100 * len(x & y) >= percent * len(x | y):
+                    lo, hi = sorted((comp[a], comp[b]))
+                    comp = {d: lo if c == hi else c for d, c in comp.items()}
+    return comp
+
+
+def test_documents_with_several_texts(documents):
+    rng = random.Random(5)
+    texts = {k: [f"{k}{i}" for i in range(60)] for k in "ABCDE"}
+    whole = {k: " ".join(v) for k, v in texts.items()}
+    rows = [(3, whole["A"]), (7, whole["A"]), (7, whole["B"]), (9, near(rng, texts["B"], 1)), (7, None), (2, whole["C"]), (2, whole["D"]), (2, whole["D"]), (4, near(rng, texts["D"], 1)), (11, whole["C"]), (12, whole["E"]), (13, None), (None, whole["A"])]
+    for block in (2048, 2):
+        got = minhash.find_near_duplicates(documents(rows), block=block).collect()
+        assert len(got) == len(rows)
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == brute_by_document(rows)
+        assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
+
+
 def test_estimate_is_corrected_for_chance():
     rng = np.random.default_rng(1)
     errors = []

@@ -47,7 +47,7 @@ def test_same_as_brute_force(spark, documents):
     left = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in texts.items()}
     left = {i: t for i, t in left.items() if t.split()}
     assert {r.doc_id: r.text for r in lines} == left
-    assert {r.doc_id for r in dedup} == {i for i, (_, c) in near(list(left.items())).items() if i == c}
+    assert {r.doc_id for r in dedup} == {i for i, (_, c) in near(list(left.items()), 80).items() if i == c}
     times, size, source = Counter(r.doc_id for r in mixed), {r.doc_id: len(r.text.split()) for r in dedup}, {r.doc_id: r.source for r in dedup}
     total = Counter()
     for i, n in size.items():
@@ -72,6 +72,14 @@ def test_rows_of_one_document_become_one(spark, documents):
     assert out.columns == d.columns and sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "x"), (0, "x"), (1, text), (7, "a")]
 
 
+def test_stage_takes_columns_of_any_kind(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, {"a": 1}), (1, text, {"a": 1}), (2, "x", None), (None, None, {"b": 2})]
+    d = spark.createDataFrame(rows, "doc_id long, text string, facts map<string,int>")
+    out = dict(corpus_pipeline.STAGES)["MinHash near-dedup"](spark, d, "").collect()
+    assert sorted((r.doc_id or 0, r.facts or {}) for r in out) == [(0, {"b": 2}), (1, {"a": 1}), (2, {})]
+
+
 def test_empty_and_rerun(spark, documents, tmp_path):
     docs = documents([])
     for _, stage in corpus_pipeline.STAGES:
