@@ -10,7 +10,9 @@ spanning forest, never all pairs. Equal vectors form a class and are compared on
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link
 with nothing, are their own component and are kept; vectors of different dimension never link;
-rows with equal vec_id and equal vector are one vector and get equal results; a null vec_id links
+rows with equal vec_id and equal vector are one vector and get equal results; rows with one vec_id
+and different vectors are vectors of their own, each with its own n_links (which counts other pairs
+of vec_id and vector), in one component; a null vec_id links
 with nothing, has a null component and is kept; an empty table gives an empty table; only vec_id
 and embedding are read.
 """
@@ -22,8 +24,9 @@ import itertools
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from lexspark.llm.common import Scratch
+from lexspark.llm.common import Scratch, slices
 from lexspark.llm.graph import connected_components
 from lexspark.llm.minhash import blocks, by_groups, group_bounds
 from lexspark.llm.shingles import mix
@@ -95,21 +98,25 @@ def cells(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own.view(np.int64), visited.view(np.int64)
 
 
-def _hashed(batches):
-    """(id, n, vector) with own and visited cells; vectors of each dimension together."""
-    import pyarrow as pa
+def _hashed(kind: str):
+    """(id, n, vector) with own and visited cells, the vector as bytes of its own width; vectors of each dimension together."""
 
-    for batch in batches:
-        vectors = [np.asarray(v, np.float64) for v in batch.column(1).to_pylist()]
-        own: list = [None] * len(vectors)
-        visited: list = [None] * len(vectors)
-        for dim in {len(v) for v in vectors}:
-            at = [k for k, v in enumerate(vectors) if len(v) == dim]
-            o, p = cells(np.stack([vectors[k] for k in at]))
-            for k, a, b in zip(at, o, p.reshape(len(at), -1), strict=True):
-                own[k], visited[k] = a, b
-        kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary()), batch.column(2), pa.array(own, kind), pa.array(visited, kind)], names=["id", "vector", "copies", "own", "visited"])
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in slices(batches):
+            vectors = [np.asarray(v, kind) for v in batch.column(1).to_pylist()]
+            own: list = [None] * len(vectors)
+            visited: list = [None] * len(vectors)
+            for dim in {len(v) for v in vectors}:
+                at = [k for k, v in enumerate(vectors) if len(v) == dim]
+                o, p = cells(np.stack([vectors[k] for k in at]).astype(np.float64))
+                for k, a, b in zip(at, o, p.reshape(len(at), -1), strict=True):
+                    own[k], visited[k] = a, b
+            keys = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in vectors], pa.binary()), batch.column(2), pa.array(own, keys), pa.array(visited, keys)], names=["id", "vector", "copies", "own", "visited"])
+
+    return run
 
 
 def _first_meeting(key: int, a: tuple, b: tuple) -> np.ndarray:
@@ -123,14 +130,14 @@ def _first_meeting(key: int, a: tuple, b: tuple) -> np.ndarray:
     return where[np.arange(len(where)), table] == key
 
 
-def _compare(least: float):
+def _compare(least: float, kind: str):
     """Groups of (key, block_a, block_b, block, member, id, copies, vector) to (id, links, other): link counts and forest edges."""
 
     def group(key, block, member, ids, copies, vectors, one, other):
         lens = np.array([len(v) for v in vectors])
         for size in np.unique(lens):
             some = np.flatnonzero(lens == size)
-            x = np.frombuffer(b"".join(vectors[k] for k in some), np.float64).reshape(len(some), -1)
+            x = np.frombuffer(b"".join(vectors[k] for k in some), kind).reshape(len(some), -1).astype(np.float64)
             norm = np.linalg.norm(x, axis=1)
             rows, cols = np.flatnonzero(block[some] == other), np.flatnonzero(block[some] == one)
             for at in range(0, len(rows), 512):
@@ -191,22 +198,34 @@ def _compare(least: float):
 def link_embeddings(vectors: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept. least: cosine from which vectors link."""
     scratch = Scratch(vectors.sparkSession, "lattice")
-    v = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    single = isinstance(getattr(vectors.schema["embedding"].dataType, "elementType", None), FloatType)
+    kind, width = ("<f4", "float") if single else ("<f8", "double")
+    v = vectors.select("vec_id", F.col("embedding").cast(f"array<{width}>").alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     v = scratch.store(v.withColumn("ok", F.coalesce(sound & F.col("vec_id").isNotNull(), F.lit(False))), "vectors")
-    classes = v.filter("ok").groupBy("v").agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("copies"))
-    hashed = classes.select("id", "v", "copies").mapInArrow(_hashed, "id long, vector binary, copies long, own array<long>, visited array<long>")
+    # Classes of equal vectors, under numbers of their own.
+    classes = v.filter("ok").groupBy("v").agg(F.min("vec_id").alias("least"), F.count_distinct("vec_id").alias("copies"))
+    classes = scratch.store(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    own = scratch.store(v.filter("ok").join(classes.select("v", "id"), "v").select("vec_id", "id"), "members")
+    hashed = classes.select("id", "v", "copies").mapInArrow(_hashed(kind), "id long, vector binary, copies long, own array<long>, visited array<long>")
     hashed = scratch.store(hashed, "cells")
     rows = hashed.select("id", F.explode("own").alias("key"), F.lit(True).alias("member")).union(hashed.select("id", F.explode("visited"), F.lit(False)))
     dealt = blocks(rows, "key", block, "member").join(hashed.select("id", "copies", "vector"), "id")
     keys = ["key", "block_a", "block_b"]
     dealt = dealt.select(*keys, "block", "member", "id", "copies", "vector").repartition(*keys).sortWithinPartitions(*keys)
-    found = scratch.store(dealt.mapInArrow(_compare(least), "id long, links long, other long"), "links")
-    labels = connected_components(found.filter("other is not null").select(F.col("id").alias("u"), F.col("other").alias("v")), scratch)
+    found = scratch.store(dealt.mapInArrow(_compare(least, kind), "id long, links long, other long"), "links")
+    several = own.groupBy("vec_id").agg(F.min("id").alias("u"), F.max("id").alias("v")).filter("u < v").select("vec_id", "u")
+    one_id = own.distinct().join(several, "vec_id").filter("id > u").select("u", F.col("id").alias("v"))
+    edges = found.filter("other is not null").select(F.col("id").alias("u"), F.col("other").alias("v"))
+    labels = connected_components(edges.union(one_id), scratch)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = classes.join(links, "id", "left").join(labels, "id", "left")
-    classes = classes.select("v", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
-    own = v.filter("ok").join(classes, "v").select("vec_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("component").alias("component_id"))
+    at = classes.select("id", "least", "copies").join(links, "id", "left").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    at = scratch.store(at, "labelled")
+    named = at.groupBy("component").agg(F.min("least").alias("component_id"))
+    at = at.join(named, "component").select("id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     rest = v.filter("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    out = own.union(rest)
+    # A vec_id with an unsound vector is in the component of its sound ones.
+    sound_ones = own.join(rest.select("vec_id").distinct(), "vec_id").join(at, "id").groupBy("vec_id").agg(F.min("component_id").alias("_of"))
+    rest = rest.join(sound_ones, "vec_id", "left").select("vec_id", "n_links", F.coalesce("_of", "component_id").alias("component_id"))
+    out = own.join(at, "id").select("vec_id", "n_links", "component_id").union(rest)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

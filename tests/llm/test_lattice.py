@@ -44,6 +44,30 @@ def test_edges(spark):
     assert link_embeddings(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_one_id_with_several_vectors(spark):
+    def near(v, k):
+        return [x + (0.01 if i == k else 0.0) for i, x in enumerate(v)]
+
+    rng = np.random.default_rng(8)
+    a, b, c = (rng.standard_normal(32).tolist() for _ in range(3))
+    rows = [(1, near(a, 0)), (2, a), (2, b), (2, b), (4, near(b, 1)), (6, near(b, 2)), (9, c), (2, None), (None, b)]
+    vectors = sorted({(i, tuple(v)) for i, v in rows if i is not None and v is not None})
+    links = {x: 0 for x in vectors}
+    component = {i: i for i, _ in vectors}
+    for x in vectors:
+        for y in vectors:
+            p, q = np.array(x[1], np.float32).astype(float), np.array(y[1], np.float32).astype(float)
+            if x != y and p @ q / (np.linalg.norm(p) * np.linalg.norm(q)) >= 0.9:
+                links[x] += 1
+                lo, hi = sorted((component[x[0]], component[y[0]]))
+                component = {k: lo if m == hi else m for k, m in component.items()}
+    want = sorted((i or -1, 0 if v is None or i is None else links[i, tuple(v)], component.get(i, -1)) for i, v in rows)
+    for kind in ("float", "double"):
+        d = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], SCHEMA.replace("float", kind))
+        got = link_embeddings(d).collect()
+        assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in got) == want
+
+
 def test_decoded_points_are_nearest():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((300, 8)) * 2
