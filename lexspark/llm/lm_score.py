@@ -8,7 +8,8 @@ the sum of its words' ones and of the end's; each distinct word is solved once i
 
 Words are counted in every task, combined by Spark, and kept in a table that grows with the corpus:
 word, training count, log-probability. Its HEAD most frequent words, a fixed number, are broadcast;
-the other words of each document are joined with the table.
+the other words of each document are joined with the table, sorted by word on both sides, so that
+neither has to fit in memory.
 
 Defined results: a null text is empty and consists of the end alone; null doc_ids are not held out;
 repeated rows are scored row by row; with no training text every count is 0 and the prior alone
@@ -32,6 +33,8 @@ HEAD = 150_000
 FLUSH = 200_000
 #: Weight of the prior, as a share of the pieces counted, and in pieces at least.
 PRIOR_SHARE, PRIOR_LEAST = 0.01, 1000.0
+#: Distinct words that one task solves.
+TASK_WORDS = 50_000
 MARK = "▁"
 
 
@@ -229,12 +232,14 @@ def lm_scores(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD)
     counted = rows.select("held", "text").mapInArrow(_word_counts, "word binary, train long")
     words = scratch.store(counted.groupBy("word").agg(F.sum("train").alias("train")), "words")
     ends = rows.filter(~F.col("held")).count()
-    told = words.agg(F.sum("train"), F.count_if(F.col("train") > 0)).first()
+    told = words.agg(F.sum("train"), F.count_if(F.col("train") > 0), F.count("*")).first()
     n_train = int(told[0] or 0) + ends
     kinds = int(told[1] or 0) + (ends > 0)
     pieces = words.filter("train > 0").mapInArrow(_piece_counts(vocabulary), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     lattice, end_lm = build_lattice(vocabulary, {r["piece"]: r["n"] for r in pieces.collect()}, ends)  # a row a piece of the vocabulary
-    scored = scratch.store(words.mapInArrow(_word_scores(spark.sparkContext.broadcast((lattice.log_p, lattice.bytes))), "word binary, train long, lm double"), "word-scores")
+    # As many tasks as the words need, whatever files they came in.
+    dealt = words.repartition(max(1, -(-int(told[2]) // TASK_WORDS)))
+    scored = scratch.store(dealt.mapInArrow(_word_scores(spark.sparkContext.broadcast((lattice.log_p, lattice.bytes))), "word binary, train long, lm double"), "word-scores")
     scratch.drop(words)
     value = F.log10(F.col("train") + 1.0)
     top = _frequent(scored, head).select("word", value.alias("base"), "lm").collect()
@@ -242,7 +247,7 @@ def lm_scores(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD)
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held", "text")
     parts = scratch.store(rows.mapInArrow(_document_parts(known), PARTS), "parts")
     rare = parts.filter("word is not null").select("row", "word", "tf")
-    rare = rare.join(scored.withColumnRenamed("lm", "word_lm").hint("shuffle_hash"), "word")
+    rare = rare.join(scored.withColumnRenamed("lm", "word_lm"), "word")
     nothing = F.lit(None)
     rare = rare.select("row", nothing.cast("long").alias("doc_id"), nothing.cast("boolean").alias("held"), F.lit(0).cast("long").alias("n"), F.when(F.col("train") > 0, F.col("tf").cast("long")).otherwise(0).alias("known"), (F.col("tf") * value).alias("base"), (F.col("tf") * F.col("word_lm")).alias("lm"))
     sums = parts.filter("word is null").select(*rare.columns).union(rare).groupBy("row")

@@ -36,6 +36,31 @@ def test_lattice_sums_over_all_segmentations():
     assert math.isfinite(model.word(b"ab" * 5000))
 
 
+def test_scores_match_brute_force(documents):
+    """The whole score: pieces counted from the training texts, interpolated with the prior, all segmentations of each word."""
+    import sentencepiece
+
+    from lexspark.llm import lm_score
+
+    rows = [(i, f"aab ab cab {'ba' * (i % 5)} b") for i in range(30)]
+    sp = sentencepiece.SentencePieceProcessor(model_file=lm_score.default_vocabulary())
+    train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    count = Counter(i for t in train for w in t.split() for i in sp.encode(w))
+    usable = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i))]
+    prior = {i: 1 / (1 - sp.get_score(i) + 100) for i in usable}
+    weight, mass = max(1000.0, 0.01 * sum(count.values())), sum(prior.values())
+    p = {i: count[i] + weight * prior[i] / mass for i in usable}
+    total = sum(p.values()) + len(train) + 1
+    named = {sp.id_to_piece(i): p[i] / total for i in usable if not sp.is_byte(i)}
+
+    def every(text):
+        return 1.0 if not text else sum(named[text[:k]] * every(text[k:]) for k in range(1, len(text) + 1) if text[:k] in named)
+
+    for r in lm_scores(documents(rows), head=3).collect():
+        want = sum(math.log10(every("▁" + w)) for w in dict(rows)[r.doc_id].split()) + math.log10((len(train) + 1) / total)
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
 def test_edges(documents):
     assert lm_scores(documents([])).collect() == []
     rows = lm_scores(documents([(None, "a b"), (1, "a b"), (1, "a b")])).collect()
