@@ -3,9 +3,11 @@
 Writing: of records with equal payloads of at least MIN_BYTES, the one with the smallest page_id is
 a response that holds the payload, the others are revisits that refer to it. Tasks write gzip
 members, one a record, to archives of bounded size in the shared folder, under a temporary name
-that becomes final by a rename, so a repeated task leaves one whole copy.
+that becomes final by a rename. Names hold the attempt's number, so no attempt overwrites another's
+archives, and the log that is returned names those of the attempts that count.
 
-Reading: archives are read in blocks of bytes, a member at a time. A member whose check sum,
+Reading: archives are read in blocks of bytes, a member at a time, its payload hashed as it passes
+and held only if it is asked for, so a record may be of any length. A member whose check sum,
 header or length is wrong, and anything that is no member, is quarantined: the reader looks for
 the next gzip magic that opens a valid record, or the next version line of an uncompressed record,
 goes on from there, and logs the gap of bytes it left out.
@@ -23,6 +25,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +36,6 @@ MIN_BYTES = 0
 #: Bytes of compressed records after which a task begins another archive.
 ROLL = 64 << 20
 BLOCK = 1 << 20
-#: A record larger than this is taken for damage.
-MOST_BYTES = 1 << 30
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
 RECORD = "path string, start long, end long, problem string, record_type string, page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -92,7 +93,7 @@ def _writer(folder: str, roll: int):
             for page, url, html, first, revisit in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    name = f"{root}/part-{task.partitionId():05d}-{len(made):04d}.warc.gz"
+                    name = f"{root}/part-{task.partitionId():05d}-{len(made):04d}-{task.taskAttemptId()}.warc.gz"
                     temporary = _temporary(root, task.partitionId(), len(made), task.taskAttemptId())
                     out = [fs.open_output_stream(temporary, compression=None), name, temporary, 0, 0]
                 data = _member(record_bytes(page, url, (html or "").encode(), first, revisit))
@@ -137,30 +138,63 @@ class _Bytes:
         return self.window[lo : lo + n]
 
 
-def _inflate(data: _Bytes, at: int) -> tuple[bytes, int] | None:
-    """A whole gzip member and its end; None if it is damaged or cut off."""
-    z, parts, total, here = zlib.decompressobj(31), [], 0, at
-    try:
+class _Gzip:
+    """The bytes of a gzip member, piece by piece; `end` is its end once it has passed whole."""
+
+    def __init__(self, data: _Bytes, at: int) -> None:
+        self.data, self.at, self.end = data, at, None
+
+    def __iter__(self):
+        z, here = zlib.decompressobj(31), self.at
         while not z.eof:
-            piece = data.at(here, min(1 << 16, data.size - here)) if here < data.size else b""
+            piece = z.unconsumed_tail
             if not piece:
-                return None
-            got = z.decompress(piece)
-            parts.append(got)
-            total += len(got)
+                piece = self.data.at(here, min(1 << 16, self.data.size - here)) if here < self.data.size else b""
+                here += len(piece)
+            if not piece:
+                return
+            try:
+                got = z.decompress(piece, BLOCK)
+            except zlib.error:
+                return
+            if got:
+                yield got
+        self.end = here - len(z.unused_data)
+
+
+class _Plain:
+    """The bytes of an uncompressed record, which its length field ends."""
+
+    def __init__(self, data: _Bytes, at: int) -> None:
+        self.data, self.at, self.end = data, at, None
+        n = 1 << 12
+        while (mark := (head := data.at(at, min(n, data.size - at))).find(b"\r\n\r\n")) < 0 and at + n < data.size:
+            n *= 2
+        length = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*(?=\r\n)", head[: mark + 2]) if mark >= 0 else None
+        end = at + mark + 4 + int(length[1]) + 4 if length else data.size + 1
+        self.end = end if end <= data.size else None
+
+    def __iter__(self):
+        here = self.at
+        while self.end and here < self.end:
+            piece = self.data.at(here, min(BLOCK, self.end - here))
+            yield piece
             here += len(piece)
-            if total > MOST_BYTES:
-                return None
-        return b"".join(parts), here - len(z.unused_data)
-    except zlib.error:
-        return None
 
 
-def parse_record(data: bytes) -> tuple[dict, bytes] | None:
-    """Fields and block of a whole record; None if its version line, fields or length are wrong."""
-    head, mark, rest = data.partition(b"\r\n\r\n")
+@dataclass
+class Payload:
+    """What follows the head of a record's block; content: its bytes, if they were asked for."""
+
+    size: int
+    digest: str
+    content: bytes | None
+
+
+def _fields(head: bytes) -> dict | None:
+    """Fields of a record's head; None if its version line or a field is wrong."""
     lines = head.split(b"\r\n")
-    if not mark or not re.fullmatch(rb"WARC/1\.[01]", lines[0]):
+    if not re.fullmatch(rb"WARC/1\.[01]", lines[0]):
         return None
     fields = {}
     for line in lines[1:]:
@@ -168,24 +202,53 @@ def parse_record(data: bytes) -> tuple[dict, bytes] | None:
         if not colon:
             return None
         fields[name.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
-    length = fields.get("content-length", "")
-    if not length.isdigit() or len(rest) != int(length) + 4 or not rest.endswith(b"\r\n\r\n"):
-        return None
-    return fields, rest[: int(length)]
+    return fields if fields.get("content-length", "").isdigit() else None
+
+
+def parse_record(pieces, keep: bool = True) -> tuple[dict, Payload] | None:
+    """Fields and payload of a whole record given in pieces; None if its version line, fields, length or digest are wrong."""
+    fields, left, held, inner, size = None, 0, bytearray(), False, 0
+    sha, content = hashlib.sha1(), bytearray()
 
+    def take(part) -> None:
+        nonlocal size
+        sha.update(part)
+        size += len(part)
+        if keep:
+            content.extend(part)
 
-def _plain(data: _Bytes, at: int) -> tuple[bytes, int] | None:
-    """An uncompressed record and its end."""
-    n = 1 << 12
-    while (mark := (head := data.at(at, min(n, data.size - at))).find(b"\r\n\r\n")) < 0:
-        if n >= 1 << 16 or at + n >= data.size:
+    for piece in pieces:
+        held += piece
+        if fields is None:
+            if not held.startswith(b"WARC/1."[: len(held)]):
+                return None
+            mark = held.find(b"\r\n\r\n")
+            if mark < 0:
+                continue
+            fields = _fields(bytes(held[:mark]))
+            if fields is None:
+                return None
+            left = int(fields["content-length"])
+            del held[: mark + 4]
+        if not inner and left:
+            mark = held.find(b"\r\n\r\n", 0, left)
+            if mark < 0 and len(held) < left:
+                continue  # the head of the block is not through yet
+            skip = mark + 4 if mark >= 0 else left
+            del held[:skip]
+            left, inner = left - skip, True
+        part = held[:left]
+        take(part)
+        del held[: len(part)]
+        left -= len(part)
+        if not left and len(held) > 4:
             return None
-        n *= 2
-    length = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*(?=\r\n)", head[: mark + 2])
-    if not length or int(length[1]) > MOST_BYTES:
+    if fields is None or left or held != b"\r\n\r\n":
+        return None
+    payload, said = Payload(size, base64.b32encode(sha.digest()).decode(), bytes(content) if keep else None), fields.get("warc-payload-digest", "")
+    if fields.get("warc-type") == "response" and said.startswith("sha1:") and said[5:] != payload.digest:
         return None
-    end = at + mark + 4 + int(length[1]) + 4
-    return (data.at(at, end - at), end) if end <= data.size else None
+    return fields, payload
 
 
 def _find(data: _Bytes, at: int) -> int:
@@ -201,25 +264,19 @@ def _find(data: _Bytes, at: int) -> int:
     return data.size
 
 
-def salvage(file):
-    """Yields (start, end, problem, fields, block): records, with problem None, and quarantined gaps."""
+def salvage(file, keep: bool = True):
+    """Yields (start, end, problem, fields, payload): records, with problem None, and quarantined gaps."""
     data, at, bad = _Bytes(file), 0, None
     while at < data.size:
         first = data.at(at, min(8, data.size - at))
-        whole = _inflate(data, at) if first.startswith(MAGIC) else _plain(data, at) if first.startswith(b"WARC/1.") else None
-        record = parse_record(whole[0]) if whole else None
-        if record:
-            fields, block = record
-            payload = block.partition(b"\r\n\r\n")[2]
-            said = fields.get("warc-payload-digest", "")
-            if fields.get("warc-type") == "response" and said.startswith("sha1:") and said[5:] != digest_of(payload):
-                record = None
-        if record:
+        whole = _Gzip(data, at) if first.startswith(MAGIC) else _Plain(data, at) if first.startswith(b"WARC/1.") else None
+        record = parse_record(whole, keep) if whole else None
+        if record and whole.end:
             if bad is not None:
                 yield bad, at, "no valid record", None, None
                 bad = None
-            yield at, whole[1], None, *record
-            at = whole[1]
+            yield at, whole.end, None, *record
+            at = whole.end
         else:
             bad = at if bad is None else bad
             at = _find(data, at + 1)
@@ -243,16 +300,15 @@ def _reader(keep_payload: bool):
                 fs, name = pafs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with fs.open_input_file(name) as file:
-                    for start, end, problem, fields, block in salvage(file):
+                    for start, end, problem, fields, payload in salvage(file, keep_payload):
                         if problem:
                             rows.append((path, start, end, problem, *[None] * 7))
                         else:
-                            payload = block.partition(b"\r\n\r\n")[2]
                             kind = fields.get("warc-type")
-                            length = len(payload) if kind == "response" else number(fields.get("x-payload-length"))
-                            digest = digest_of(payload) if kind == "response" else fields.get("warc-payload-digest", "").removeprefix("sha1:")
-                            rows.append((path, start, end, None, kind, number(fields.get("x-page-id")), fields.get("warc-target-uri"), number(fields.get("x-refers-to-page-id")), length, digest, payload if keep_payload and kind == "response" else None))
-                            held += len(payload)
+                            length = payload.size if kind == "response" else number(fields.get("x-payload-length"))
+                            digest = payload.digest if kind == "response" else fields.get("warc-payload-digest", "").removeprefix("sha1:")
+                            rows.append((path, start, end, None, kind, number(fields.get("x-page-id")), fields.get("warc-target-uri"), number(fields.get("x-refers-to-page-id")), length, digest, payload.content if kind == "response" else None))
+                            held += len(payload.content or b"")
                         if len(rows) >= 4096 or held > 16 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
                             rows, held = [], 0

@@ -85,6 +85,17 @@ def test_salvage(compressed, damage):
     assert len(gaps) == (damage != "none") and sum(b - a for a, b, *_ in found) == len(data)
 
 
+def test_records_of_any_length_and_head():
+    big = b"x" * (5 << 20)
+    records = [warc.record_bytes(1, "http://x/" + "u" * 200_000, big, None, False), warc.record_bytes(2, "http://x", b"", None, False)]
+    for compressed in (True, False):
+        data = b"".join(gzip.compress(r) if compressed else r for r in records)
+        for keep in (True, False):
+            found = list(warc.salvage(_File(data), keep))
+            assert [(p, f["x-page-id"], x.size, x.digest) for _, _, p, f, x in found] == [(None, "1", len(big), warc.digest_of(big)), (None, "2", 0, warc.digest_of(b""))]
+            assert [x.content for *_, x in found] == ([big, b""] if keep else [None, None])
+
+
 class _File(io.BytesIO):
     def size(self):
         return len(self.getvalue())
