@@ -12,7 +12,9 @@ minimal ones: from each line the shortest run onwards, and the shortest run back
 enough words. Such a run of m lines, 2^k <= m < 2^(k+1), lies in the interval of common prefix m
 that the ranks of its first and last 2^k lines name. So ranks are needed up to 2^k <= min_words
 only, however long the copies, and the union over all intervals of the occurrences that are not
-the first yields every line of every maximal repeated run but its first copy.
+the first yields every line of every maximal repeated run but its first copy. An occurrence that
+overlaps the first one in its own document deletes only the lines behind that first copy, which
+so stays whole.
 
 Defined results: null and blank texts have no lines and stay as they are; blank lines are not part
 of runs and stay; rows with equal doc_id and text are one document and get the same result; the
@@ -82,12 +84,10 @@ def repeated_lines(docs: DataFrame, min_words: int, scratch: Scratch) -> DataFra
     """(_ld_doc, _ld_hash, _ld_removed): for documents with lines to delete, their places in the text."""
     source = docs.select(F.col("doc_id").cast("long").alias(DOC[0]), F.xxhash64("text").alias(DOC[1]), F.col("text"))
     schema = f"{DOC[0]} long, {DOC[1]} long, i int, place int, h1 long, h2 long, onwards int, back int"
-    lines = source.mapInArrow(_lines(min_words), schema)
-    if docs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        lines = lines.dropDuplicates([*DOC, "i"])
-    lines = scratch.store(lines, "lines")
-    at = lambda a, b, shift=0: a[DOC[0]].eqNullSafe(b[DOC[0]]) & (a[DOC[1]] == b[DOC[1]]) & (a["i"] + shift == b["i"])
-    levels = [scratch.store(lines.join(_ranked(lines, ["h1", "h2"], scratch), ["h1", "h2"]).select(*DOC, "i", "place", "onwards", "back", "rank"), "suffixes")]
+    lines = scratch.store(source.mapInArrow(_lines(min_words), schema), "lines")
+    shared = lines.join(checked_broadcast(_ranked(lines, ["h1", "h2"], scratch), 40), ["h1", "h2"])
+    # Lines of equal rows are one document's.
+    levels = [scratch.store(shared.select(*DOC, "i", "place", "onwards", "back", "rank").dropDuplicates([*DOC, "i"]), "suffixes")]
     longest = levels[0].agg(F.greatest(F.max("onwards"), F.max("back"))).first()[0] or 0
     while 2 ** len(levels) <= longest:
         half = 2 ** (len(levels) - 1)
@@ -110,9 +110,12 @@ def repeated_lines(docs: DataFrame, min_words: int, scratch: Scratch) -> DataFra
         found = these if found is None else found.union(these)
     found = scratch.store(found.withColumn("here", F.struct(F.col(DOC[0]).isNull().alias("no_id"), *DOC, "start")), "intervals")
     key = ["m", "first", "last"]
-    firsts = found.groupBy(*key).agg(F.count("*").alias("_n"), F.min("here").alias("earliest")).filter("_n > 1")
-    later = found.join(firsts, key).filter(~F.col("here").eqNullSafe(F.col("earliest")))
-    gone = later.select(*DOC, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("i")).distinct()
+    firsts = scratch.store(found.groupBy(*key).agg(F.count("*").alias("_n"), F.min("here").alias("earliest")).filter("_n > 1").select(*key, "earliest"), "firsts")
+    later = found.join(checked_broadcast(firsts, 80), key).filter(~F.col("here").eqNullSafe(F.col("earliest")))
+    e = F.col("earliest")
+    same = e[DOC[0]].eqNullSafe(F.col(DOC[0])) & (e[DOC[1]] == F.col(DOC[1]))
+    begins = F.when(same, F.greatest("start", e["start"] + F.col("m"))).otherwise(F.col("start"))
+    gone = later.select(*DOC, F.explode(F.sequence(begins, F.col("start") + F.col("m") - 1)).alias("i")).distinct()
     places = base.select(*[F.col(c).alias(f"_{c}") for c in DOC], F.col("i").alias("_i"), "place")
     on = F.col(DOC[0]).eqNullSafe(F.col(f"_{DOC[0]}")) & (F.col(DOC[1]) == F.col(f"_{DOC[1]}")) & (F.col("i") == F.col("_i"))
     gone = gone.join(places, on).groupBy(*DOC).agg(F.array_sort(F.collect_set("place")).alias("_ld_removed"))
@@ -120,16 +123,21 @@ def repeated_lines(docs: DataFrame, min_words: int, scratch: Scratch) -> DataFra
 
 
 def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the text less the deleted lines, and `_ld_removed`: the array of their places, null if none."""
+    """docs with the text less the deleted lines, and `_ld_removed`: the array of their places, null if none.
+
+    A column of that name in docs gives way to it.
+    """
     scratch = Scratch(docs.sparkSession, "line-dedup")
     gone = checked_broadcast(repeated_lines(docs, min_words, scratch), 64)
-    keyed = docs.withColumns({"_ld_id": F.col("doc_id").cast("long"), "_ld_text": F.xxhash64("text")})
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_ld_row"), F.col("doc_id").cast("long").alias("_ld_id"), F.col("text"))
+    keyed = row.withColumn("_ld_text", F.xxhash64("text"))
     joined = keyed.join(gone, F.col("_ld_id").eqNullSafe(F.col(DOC[0])) & (F.col("_ld_text") == F.col(DOC[1])), "left")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_ld_removed"))
     text = F.when(F.col("_ld_removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(left, lambda k: F.get(F.col("_ld_lines"), k)), "\n"))
     joined = joined.withColumn("_ld_lines", F.when(F.col("_ld_removed").isNotNull(), lines)).withColumn("_ld_new", text)
-    return joined.select(*[F.col("_ld_new").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("_ld_removed"))
+    others = [F.col("_ld_new").alias("text") if c == "text" else F.col("_ld_row").getField(c).alias(c) for c in docs.columns if c != "_ld_removed"]
+    return joined.select(*others, F.col("_ld_removed"))
 
 
 def op2_line_dedup(docs: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go, and documents of which no word is left."""
-    out = remove_repeated_lines(docs)
-    return out.filter(F.col("_ld_removed").isNull() | F.col("text").rlike(WORD_CHAR)).select(*docs.columns)
+    row = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    out = remove_repeated_lines(row).filter(F.col("_ld_removed").isNull() | F.col("text").rlike(WORD_CHAR))
+    return out.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,9 +4,9 @@ from lexspark.llm.line_dedup import op2_line_dedup, remove_repeated_lines
 
 
 def brute(rows, least):
-    """Every occurrence but the first of every run of lines with enough words that stands somewhere earlier."""
+    """Every occurrence but the first of every run of lines with enough words, less the lines of that first one."""
     docs = sorted((d, [(k, x, len(x.encode().split())) for k, x in enumerate((t or "").split("\n")) if x.encode().split()]) for d, t in rows)
-    seen, gone = set(), {d: set() for d, _ in docs}
+    seen, gone = {}, {d: set() for d, _ in docs}
     for d, lines in docs:
         for a in range(len(lines)):
             n = 0
@@ -15,8 +15,9 @@ def brute(rows, least):
                 key = tuple(x for _, x, _ in lines[a : b + 1])
                 if n >= least:
                     if key in seen:
-                        gone[d].update(k for k, _, _ in lines[a : b + 1])
-                    seen.add(key)
+                        first, at = seen[key]
+                        gone[d].update(k for j, (k, _, _) in enumerate(lines[a : b + 1], a) if first != d or j >= at + len(key))
+                    seen.setdefault(key, (d, a))
     return gone
 
 
@@ -35,6 +36,20 @@ def test_passage_goes_and_text_around_it_stays(documents):
     assert out[1].text == rows[0][1] and out[2].text == "other\n\nlast" and out[3].lines_removed == 0 and out[2].removed == [1, 2, 3]
 
 
+def test_first_of_overlapping_copies_stays_whole(documents):
+    line = " ".join(f"x{i}" for i in range(30))
+    out = remove_repeated_lines(documents([(1, "\n".join([line] * 5)), (2, line)])).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(1, f"{line}\n{line}"), (2, line)]
+
+
+def test_clashing_columns(spark):
+    long = " ".join(f"x{i}" for i in range(60))
+    d = spark.createDataFrame([(1, long, "a", 5, {"k": 1}), (2, long, "b", 6, None)], "doc_id long, text string, _ld_removed string, _ld_id int, _ld_row map<string,int>")
+    out = remove_repeated_lines(d)
+    assert out.columns == ["doc_id", "text", "_ld_id", "_ld_row", "_ld_removed"]
+    assert sorted((r.doc_id, r.text, r._ld_id, r._ld_row) for r in out.collect()) == [(1, long, 5, {"k": 1}), (2, "", 6, None)]
+
+
 def test_edges(documents):
     long = " ".join(f"x{i}" for i in range(60))
     d = documents([(None, long), (5, long), (5, long), (6, None), (7, ""), (8, "\n \n"), (9, "w " * 50_000)])
