@@ -1,9 +1,15 @@
 """Operator 1: quality rules as a short-circuit cascade, in native column expressions only.
 
-Base statistics are computed for every row. The further rules form one CASE WHEN chain, which
-Spark evaluates lazily, row by row: a document rejected by an early rule never pays for a later
-one. The order comes from a bounded sample, on which every rule's time and rejection rate are
-measured: most rejections per second first. The order changes the cost, never the verdict.
+The rules form one CASE WHEN chain, which Spark evaluates lazily, row by row: a document rejected by
+an early rule never pays for a later one. `apply_quality_rules`, which needs verdicts alone, has the
+two base rules in the chain too, so that a document with too few words or one that a cheap rule
+rejects never pays for its windows of words; `op1_quality_rules` returns the base statistics of
+every row and so has them first.
+
+The order comes from a bounded sample. A rule's cost is the time that it takes over the sample beyond
+that of a pass with no rule, the less of two runs; its selectivity is what it rejects of the documents
+that the rules before it leave, so the order is chosen rule by rule: most rejections per second
+first. The order changes the cost, never the verdict.
 
 Defined results: a null or blank text has no words and fails the base rule; null doc_id and
 repeated rows are judged row by row; an empty table gives an empty table; other columns of the
@@ -22,6 +28,8 @@ from lexspark.llm.common import SPACES, WORD_CHAR, words_of
 
 #: Expected rows of the sample that orders the rules.
 SAMPLE_ROWS = 2000
+#: Times that each sampled row is evaluated in one run, so that a rule's time stands out of the job's.
+REPEATS = 2
 WINDOW = 8
 STAT = "_quality_"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -56,12 +64,8 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the base statistics under prefixed names, so that no column of the input can clash.
-
-    Repeated windows are found inside the row: 64-bit hashes of all 8-word windows, then, only if
-    two of them are equal, a sort of (hash, position). No row leaves its partition.
-    """
+def _with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds the statistics that one pass over the words, lines and characters gives, under prefixed names."""
     p = STAT
     df = docs.withColumn(p + "text", F.coalesce(F.col(text), F.lit("")))
     t = F.col(p + "text")
@@ -74,76 +78,130 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         p + "lines": lines,
         p + "hashes": F.transform(p + "words", lambda w: F.xxhash64(w)),
     })
-    h, n = F.col(p + "hashes"), F.size(p + "hashes")
-    windows = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
-    df = df.withColumns({
+    return df.withColumns({
         p + "n_lines": F.size(p + "lines").cast("long"),
         p + "n_dup_lines": (F.size(p + "lines") - F.size(F.array_distinct(p + "lines"))).cast("long"),
-        p + "windows": F.when(n > WINDOW, windows).otherwise(F.array().cast("array<bigint>")),
     })
-    w = F.col(p + "windows")
-    found = F.array_sort(F.transform(w, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
-    df = df.withColumn(p + "sorted", F.when(F.size(F.array_distinct(w)) < F.size(w), found))
-    s = F.col(p + "sorted")
-    near = lambda j: F.get(s, j)["k"]
-    again = F.filter(s, lambda x, j: x["k"].eqNullSafe(near(j - 1)) | x["k"].eqNullSafe(near(j + 1)))
-    df = df.withColumn(p + "places", F.array_sort(F.transform(again, lambda x: x["i"])))
-    covered = F.aggregate(
-        p + "places",
-        F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
-        lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(WINDOW), i - a["last"])).alias("n")),
-        lambda a: a["n"],
-    )
-    # Spark pushes filters through projections by copying the expressions they refer to, here into the
-    # bodies of lambdas; it does not do so through one that holds a value bound to the row's place.
-    here = F.monotonically_increasing_id() >= 0
-    return df.withColumn(p + "n_repeat_words", F.when(here, F.coalesce(covered, F.lit(0)).cast("long")))
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def repeated_words(hashes: Column) -> Column:
+    """Words in 8-word windows that stand twice or more in the text.
+
+    Found inside the row: 64-bit hashes of all windows, then, only if two of them are equal, a sort
+    of (hash, position).
+    """
+    n = F.size(hashes)
+    windows = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(WINDOW)]))
+
+    def covered(s: Column) -> Column:
+        near = lambda j: F.get(s, j)["k"]
+        again = F.filter(s, lambda x, j: x["k"].eqNullSafe(near(j - 1)) | x["k"].eqNullSafe(near(j + 1)))
+        return F.aggregate(
+            F.array_sort(F.transform(again, lambda x: x["i"])),
+            F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n")),
+            lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(WINDOW), i - a["last"])).alias("n")),
+            lambda a: a["n"],
+        )
+
+    def found(w: Column) -> Column:
+        placed = F.array_sort(F.transform(w, lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(w)) < F.size(w), _let(placed, covered)).otherwise(0)
+
+    return F.when(n > WINDOW, _let(windows, found)).otherwise(0).cast("long")
+
+
+def _here() -> Column:
+    """True. Spark pushes filters through projections by copying the expressions they refer to, here into the
+    bodies of lambdas; it does not do so through a projection that holds a value bound to the row's place."""
+    return F.monotonically_increasing_id() >= 0
+
+
+def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Adds the base statistics under prefixed names. No row leaves its partition."""
+    return _with_counts(docs, text).withColumn(STAT + "n_repeat_words", F.when(_here(), repeated_words(F.col(STAT + "hashes"))))
+
+
+def base_rules() -> list[Rule]:
+    """The base rules as links of the chain; the second computes its statistic when it is reached."""
+    return [Rule("few_words", _stat("n_words") < 20), Rule("repeated_words", 100 * repeated_words(F.col(STAT + "hashes")) > 30 * _stat("n_words"))]
 
 
 def base_failed() -> Column:
     return (_stat("n_words") < 20) | (100 * _stat("n_repeat_words") > 30 * _stat("n_words"))
 
 
-def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per second on a sample of about `rows` documents.
+def _ordered(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
+    """Rules by rejections per second on a stored sample, each among the rows that those before it leave."""
+    again = sample.withColumn(STAT + "again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
 
-    The sample is a seeded Bernoulli one of the whole table, held by the executors while each rule
-    is timed on it. Sampling reads the text column once more, a few hundredths of the rules' cost.
-    """
+    def seconds(reject: Column) -> float:
+        took = []
+        for _ in range(2):
+            began = time.perf_counter()
+            again.agg(F.count_if(reject)).collect()
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    idle = seconds(_stat("n_words") < 0)
+    cost = [max(seconds(rule.reject) - idle, 1e-3) for rule in rules]
+    hits = F.concat(*[F.when(rule.reject, "1").otherwise("0") for rule in rules])
+    # At most as many patterns as sampled rows.
+    left, order = [(r["hits"], r["count"]) for r in sample.groupBy(hits.alias("hits")).count().collect()], []
+    while len(order) < len(rules):
+        rejects = {k: sum(n for h, n in left if h[k] == "1") for k in range(len(rules)) if k not in order}
+        best = min(rejects, key=lambda k: (-rejects[k] / cost[k], cost[k], k))
+        order.append(best)
+        left = [(h, n) for h, n in left if h[best] != "1"]
+    return [rules[k] for k in order]
+
+
+def _sample(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """About `rows` documents: a seeded Bernoulli sample of the whole table, in a few tasks."""
     total = docs.count()
-    if not total:
-        return list(rules)
-    kept = docs.select(text).sample(fraction=min(1.0, rows / total), seed=7).repartition(1)
-    sample = with_statistics(kept, text).filter(~base_failed()).persist()
+    return docs.select(F.col(f"`{text}`").alias("text")).sample(fraction=min(1.0, rows / max(1, total)), seed=7).repartition(4)
+
+
+def order_rules(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int = SAMPLE_ROWS, base_first: bool = True) -> list[Rule]:
+    """Rules by rejections per second on a sample, which executors hold while the rules are timed.
+
+    base_first: the rules come behind the base ones, so they are judged by the documents these leave.
+    Sampling reads the text column once more, a few hundredths of the rules' cost.
+    """
+    if not rules:
+        return []
+    sample = _sample(docs, text, rows)
+    sample = (with_statistics(sample).filter(~base_failed()) if base_first else _with_counts(sample)).persist()
     try:
-        n = sample.count()
-        gain = {}
-        for k, rule in enumerate(rules):
-            began = time.perf_counter()
-            hits = sample.agg(F.count_if(rule.reject).alias("n")).first()["n"]
-            gain[k] = hits / max(n, 1) / max(time.perf_counter() - began, 1e-4)
+        return _ordered(sample, rules) if sample.count() else list(rules)
     finally:
         sample.unpersist()
-    return [rules[k] for k in sorted(gain, key=lambda k: (-gain[k], k))]
 
 
-def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
-    """docs with prefixed statistics and `_quality_base_failed`, `_quality_kept`."""
+def _chain(rules: list[Rule]) -> Column:
+    """True for rows that no rule rejects; a rule is evaluated only on rows that those before it leave."""
     chain = None
-    for rule in order_rules(docs, default_rules() if rules is None else rules, text):
+    for rule in rules:
         chain = F.when(rule.reject, False) if chain is None else chain.when(rule.reject, False)
-    verdict = F.lit(True) if chain is None else chain.otherwise(True)
-    df = with_statistics(docs, text).withColumn(STAT + "base_failed", base_failed())
-    return df.withColumn(STAT + "kept", F.when(F.col(STAT + "base_failed"), False).otherwise(verdict))
+    return F.lit(True) if chain is None else chain.otherwise(True)
 
 
 def apply_quality_rules(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
-    """The documents that pass, with exactly the columns they came with."""
-    return judge(docs, rules, text).filter(F.col(STAT + "kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that pass the base rules and these, with exactly the columns they came with."""
+    rules = order_rules(docs, base_rules() + (default_rules() if rules is None else rules), text, base_first=False)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(STAT + "row"), F.col(f"`{text}`").alias("text"))
+    kept = _with_counts(whole).withColumn(STAT + "kept", F.when(_here(), _chain(rules))).filter(STAT + "kept")
+    return kept.select(*[F.col(STAT + "row").getField(c).alias(c) for c in docs.columns])
 
 
 def op1_quality_rules(docs: DataFrame) -> DataFrame:
-    df = judge(docs.select("doc_id", "text"))
+    docs = docs.select("doc_id", "text")
+    verdict = F.when(base_failed(), False).otherwise(_chain(order_rules(docs, default_rules())))
+    df = with_statistics(docs).withColumns({STAT + "base_failed": base_failed(), STAT + "kept": verdict})
     return df.select("doc_id", *[_stat(c).alias(c) for c in STATS], _stat("base_failed").alias("base_failed"), _stat("kept").alias("kept"))
 
 

@@ -52,3 +52,18 @@ def test_order_changes_the_cost_only(documents):
 @pytest.mark.parametrize("rows", [[], [(1, CLEAN)]])
 def test_no_rules(documents, rows):
     assert apply_quality_rules(documents(rows), []).count() == len(rows)
+
+
+def test_order_is_by_what_earlier_rules_leave(documents):
+    d = documents([(i, CLEAN + (" #" if i % 2 else " ") * 9 + (" %" if i % 4 == 1 else "")) for i in range(40)])
+    symbols = lambda n: F.col("_quality_n_symbols") >= n
+    names = [r.name for r in order_rules(d, [Rule("some", symbols(10)), Rule("none", F.lit(False)), Rule("all", symbols(9))])]
+    assert set(names) == {"all", "some", "none"} and names.index("all") < names.index("none")
+
+
+def test_chain_with_base_rules_gives_the_verdict_of_the_query(spark, documents):
+    d = documents(list(enumerate(TEXTS)))
+    kept = {r.doc_id for r in op1_quality_rules(d).collect() if r.kept}
+    assert {r.doc_id for r in apply_quality_rules(d).collect()} == kept
+    clash = spark.createDataFrame([(1, CLEAN, "mine", {"a": 1})], "doc_id long, text string, _quality_words string, _quality_row map<string,int>")
+    assert apply_quality_rules(clash).collect() == clash.collect()
