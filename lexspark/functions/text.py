@@ -29,11 +29,11 @@ def collapse(c: Column | str) -> Column:
 
 @cache
 def _fold_table() -> tuple[str, str]:
-    """Letters that decompose to one base and marks, and their bases; and the two barred d's, which do not."""
+    """Characters that decompose to one base and marks, and their bases; and the two barred d's, which do not."""
     pairs = {"đ": "d", "Đ": "D"}
-    for code in range(0xC0, 0x2000):
+    for code in [*range(0xC0, 0xD800), *range(0xE000, 0x10000)]:
         parts = unicodedata.normalize("NFD", chr(code))
-        if len(parts) > 1 and all("̀" <= x <= "ͯ" for x in parts[1:]):
+        if parts != chr(code) and all("̀" <= x <= "ͯ" for x in parts[1:]):
             pairs[chr(code)] = parts[0]
     return "".join(pairs), "".join(pairs.values())
 
@@ -45,7 +45,7 @@ def fold_key(c: Column | str) -> Column:
 
 
 def normalised(c: Column | str, form: str) -> Column:
-    """A Unicode normal form. ASCII passes natively; other strings go through an Arrow function."""
+    """A Unicode normal form. ASCII passes natively; of all strings only the others are sent to an Arrow function."""
 
     @F.pandas_udf("string")
     def apply(s):
@@ -54,7 +54,8 @@ def normalised(c: Column | str, form: str) -> Column:
         return s.map(lambda x: None if x is None else unicodedata.normalize(form, x))
 
     c = _col(c)
-    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(apply(c))
+    ascii_only = c.rlike(r"^\p{ASCII}*$")
+    return F.when(ascii_only, c).otherwise(apply(F.when(~ascii_only, c)))
 
 
 def exact_key(c: Column | str) -> Column:

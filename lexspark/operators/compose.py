@@ -144,14 +144,17 @@ def compose(names: DataFrame, lexicon: DataFrame, max_n: int = 4, unit: str = "i
 def compose_modified(names: DataFrame, lexicon: DataFrame, modifiers: DataFrame, max_n: int = 4) -> DataFrame:
     """As compose, with leading modifiers put behind: an exact entry that has every modifier's word, else modifier by modifier, else greedy.
 
-    modifiers: modifier, word.
+    names: id (unique), name. modifiers: modifier, word; of a modifier listed twice the least word counts. A name's words are
+    joined with the modifiers, so neither table has to fit in a task.
     """
-    m = modifiers.agg(F.map_from_entries(F.collect_list(F.struct("modifier", "word"))).alias("mods"))
-    n = names.select("id", "name", F.filter(F.split("name", " "), lambda x: x != "").alias("w")).join(F.broadcast(m))
-    lead = F.coalesce(F.array_position(F.transform("w", lambda x: F.map_contains_key("mods", x)), False), F.lit(0))
+    n = names.select("id", "name", F.filter(F.split("name", " "), lambda x: x != "").alias("w"))
+    mods = modifiers.groupBy("modifier").agg(F.min("word").alias("word"))
+    hit = n.select("id", F.posexplode("w").alias("at", "modifier")).join(mods, "modifier").groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("at", "word"))).alias("mods"))
+    n = n.join(hit, "id", "left").withColumn("mods", F.coalesce("mods", F.create_map().cast("map<int,string>")))
+    lead = F.coalesce(F.array_position(F.transform("w", lambda x, i: F.map_contains_key("mods", i)), False), F.lit(0))
     n = n.withColumn("lead", F.when(lead == 0, F.size("w")).otherwise(lead - 1).cast("int"))
     n = n.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("lead"))))
-    n = n.select("id", "name", "k", F.array_join(F.slice("w", F.col("k") + 1, F.size("w")), " ").alias("rest"), F.transform(F.slice("w", F.lit(1), F.col("lead")), lambda x: F.try_element_at("mods", x)).alias("words"))
+    n = n.select("id", "name", "k", F.array_join(F.slice("w", F.col("k") + 1, F.size("w")), " ").alias("rest"), F.transform(F.slice("w", F.lit(1), F.col("lead")), lambda x, i: F.try_element_at("mods", i)).alias("words"))
     exact = n.join(lexicon.select(F.col("component").alias("rest"), F.col("term").alias("exact")), "rest", "left")
     missing = F.exists(F.slice("words", F.col("k") + 1, F.size("words")), lambda x: ~F.array_contains(F.split("exact", " "), x))
     greedy = compose(n.select(F.concat_ws("#", "id", "k").alias("gid"), F.col("rest").alias("name")), lexicon, max_n, "gid").select("gid", F.col("term").alias("greedy"))

@@ -59,14 +59,15 @@ def direct_kind(claims: DataFrame) -> DataFrame:
 
 
 def collisions(evidence: DataFrame, entity: str = "concept_id", key: str = "key") -> DataFrame:
-    """(key, entities, members): keys that more than one entity has."""
-    g = evidence.filter(F.col(key) != "").select(entity, key).distinct().groupBy(key).agg(F.count("*").alias("entities"), F.array_sort(F.collect_list(entity)).alias("members"))
-    return g.filter("entities > 1")
+    """(key, entities, entity): keys that more than one entity has, a row an entity."""
+    e = evidence.filter(F.col(key) != "").select(key, entity).distinct()
+    many = e.groupBy(key).agg(F.count("*").alias("entities")).filter("entities > 1")
+    return e.join(many, key).select(key, "entities", entity)
 
 
 def demote_collisions(decisions: DataFrame, evidence: DataFrame, top: str = "HIGH_CONSENSUS_CANDIDATE", to: str = "VARIANT_REVIEW") -> DataFrame:
     """decisions with `collides`; a top bucket that collides is demoted."""
-    hit = collisions(evidence).select(F.explode("members").alias("concept_id")).distinct().withColumn("_hit", F.lit(True))
+    hit = collisions(evidence).select("concept_id").distinct().withColumn("_hit", F.lit(True))
     d = decisions.join(hit, "concept_id", "left").withColumn("collides", F.coalesce("_hit", F.lit(False))).drop("_hit")
     return d.withColumn("bucket", F.when(F.col("collides") & (F.col("bucket") == top), to).otherwise(F.col("bucket")))
 

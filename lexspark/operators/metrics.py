@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexspark.sources.io import shared_checkpoints
+
 
 def zero_filled(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """(column, count) for every value of a fixed enumeration."""
@@ -111,9 +113,14 @@ def queues(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def packets(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
-    """Packets of rows with equal keys: id from their hash, sorted distinct members."""
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_set(member)).alias("members"))
-    return g.select(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), 256).alias("packet_id"), *keys, "members", F.size("members").alias("size"))
+    """Packets of rows with equal keys, a row a member: id from the keys' hash, the keys, distinct members and their number."""
+    m = df.select(*keys, member).distinct()
+    size = m.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(member).alias("size"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    packet = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), 256)
+    return m.join(size, on).select(packet.alias("packet_id"), *keys, "size", member)
 
 
 def batch_stats(df: DataFrame, family: str, size: str, covered: Column, bands: Sequence[tuple[int, str]] = ((10, "SMALL"), (100, "MEDIUM")), largest: str = "LARGE") -> DataFrame:
@@ -141,10 +148,7 @@ def ordered_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame
     Rows are range-sorted; each partition's size, one number a partition, gives the others' offsets.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    shared_checkpoints(spark)
     d = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright("_id", 33)
     sizes = d.groupBy(part.alias("_part")).count().orderBy("_part").collect()
@@ -152,7 +156,7 @@ def ordered_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame
     for r in sizes:
         offsets.append((r["_part"], total))
         total += r["count"]
-    table = F.broadcast(spark.createDataFrame(offsets, "_part long, _offset long"))
+    table = F.broadcast(spark.createDataFrame(offsets, "_part long, _offset long"))  # one row a partition
     d = d.withColumn("_part", part).join(table, "_part", "left")
     return d.withColumn(name, F.coalesce("_offset", F.lit(0)) + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part", "_offset")
 

@@ -14,10 +14,12 @@ def term_findings(records: DataFrame, rules: DataFrame) -> DataFrame:
     """(concept_id, code): records (pivot, target keys) against rules (code, when_pivot, needs, forbids).
 
     A rule applies where the pivot holds the phrase when_pivot; the target must hold `needs` and must
-    not hold `forbids` (either may be null). rules is a small table of the user's; Spark broadcasts
-    it if its size allows.
+    not hold `forbids` (either may be null). Rules are joined by their phrase's first word, and then
+    confirmed.
     """
-    pair = records.select("concept_id", "pivot", "target").join(rules, has_phrase("pivot", "when_pivot"))
+    words = lambda c: F.split(F.trim(F.regexp_replace(c, r"[^\p{L}\p{M}\p{N}]+", " ")), " ")
+    said = records.select("concept_id", "pivot", "target", F.explode(F.array_distinct(words("pivot"))).alias("_word"))
+    pair = said.join(rules.withColumn("_word", F.get(words("when_pivot"), F.lit(0))), "_word").filter(has_phrase("pivot", "when_pivot"))
     missing = F.col("needs").isNotNull() & ~has_phrase("target", "needs")
     wrong = F.col("forbids").isNotNull() & has_phrase("target", "forbids")
     return pair.filter(missing | wrong).select("concept_id", "code").distinct()

@@ -8,7 +8,6 @@ A rule is data: (code, severity, predicate) for a table, and each relation is on
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.text import exact_locator, fold_key, is_blank, is_iso_date, is_url, locator_supported
 from lexspark.operators.evidence import findings_of
+from lexspark.sources.io import shared_checkpoints
 
 E, W = "error", "warning"
 
@@ -357,7 +357,7 @@ def export_gate(cleared: DataFrame, needs: DataFrame, depth: int | None = None)
     cleared: id, cleared. needs: id, needs. Each round is one join with what the last one added; it
     ends when nothing is added, which cycles do too, or at a depth if one is given.
     """
-    _checkpoint_dir(cleared.sparkSession)
+    shared_checkpoints(cleared.sparkSession)
     unknown = needs.join(cleared.select(F.col("id").alias("needs")), "needs", "left_anti").select("id")
     bad = more = cleared.filter(~_yes(F.col("cleared"))).select("id").union(unknown).filter("id is not null").distinct().checkpoint()
     while depth is None or depth > 0:
@@ -370,11 +370,6 @@ def export_gate(cleared: DataFrame, needs: DataFrame, depth: int | None = None)
     return cleared.select("id").distinct().join(bad, "id", "left").select("id", F.col("_bad").isNull().alias("exportable"))
 
 
-def _checkpoint_dir(spark) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-
-
 def resolve_names(concepts: DataFrame, released: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Display name of each concept: the released term, else the catalogue's if its pivot name is still the concept's, else the pivot name.
 

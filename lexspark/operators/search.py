@@ -29,19 +29,21 @@ def grams(c, n: int = 3):
 def batch_search(terms: DataFrame, queries: DataFrame, limit: int = 80, n: int = 3) -> DataFrame:
     """Per query_id the first hits: (query_id, rank, concept_id, display_name).
 
-    terms: concept_id, display_name, pos, key. queries: query_id, query. A query of n characters or
-    more is joined by its rarest gram in the terms, an equi-join, and then confirmed; shorter ones
-    are few by nature and are compared with every key.
+    terms: concept_id, display_name, pos, key. queries: query_id, query. A query is joined by its
+    rarest gram in the terms, an equi-join, and then confirmed: of n characters, or all of its own
+    if it is shorter.
     """
     q = queries.select("query_id", fold_key("query").alias("q")).filter("q <> ''")
-    long_q, short_q = q.filter(F.length("q") >= n), q.filter(F.length("q") < n)
-    index = terms.filter(F.length("key") >= n).select("concept_id", "display_name", "pos", "key", F.explode(grams(F.col("key"), n)).alias("g"))
-    sizes = index.groupBy("g").count()
-    q_grams = long_q.select("query_id", "q", F.explode(grams(F.col("q"), n)).alias("g")).join(sizes, "g", "left")
-    rarest = q_grams.groupBy("query_id", "q").agg(F.min_by("g", F.struct(F.coalesce("count", F.lit(0)), "g")).alias("g"))
-    hits = rarest.join(index, "g").filter(F.contains("key", F.col("q"))).select("query_id", "concept_id", "display_name", "pos")
-    few = short_q.join(terms, F.contains(terms["key"], F.col("q"))).select("query_id", "concept_id", "display_name", "pos")
-    best = hits.union(few).distinct()
+    sized = lambda c, k: F.filter(grams(c, k), lambda g: F.length(g) == k)
+    every = F.array_distinct(F.concat(*[F.when(F.length("key") >= k, sized(F.col("key"), k)).otherwise(F.array().cast("array<string>")) for k in range(1, n + 1)]))
+    index = terms.select("concept_id", "display_name", "pos", "key", F.explode(every).alias("g"))
+    wanted = None
+    for k in range(1, n + 1):
+        wanted = F.when(F.length("q") == k, sized(F.col("q"), k)) if wanted is None else wanted.when(F.length("q") == k, sized(F.col("q"), k))
+    q_grams = q.select("query_id", "q", F.explode(wanted.otherwise(sized(F.col("q"), n))).alias("g"))
+    index = index.join(q_grams.select("g").distinct(), "g", "left_semi")
+    rarest = q_grams.join(index.groupBy("g").count(), "g", "left").groupBy("query_id", "q").agg(F.min_by("g", F.struct(F.coalesce("count", F.lit(0)), "g")).alias("g"))
+    best = rarest.join(index, "g").filter(F.contains("key", F.col("q"))).select("query_id", "concept_id", "display_name", "pos").distinct()
     w = Window.partitionBy("query_id").orderBy(F.length("display_name"), "pos", "concept_id")
     return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).select("query_id", "rank", "concept_id", "display_name")
 

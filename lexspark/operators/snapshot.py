@@ -39,8 +39,8 @@ def first_wins(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def provenance_lookup(rows: DataFrame, uses: DataFrame, on: Sequence[str] = ("source_id", "entry_id", "term")) -> DataFrame:
-    """rows with the sorted concepts that used them; keys are compared null-safely."""
-    u = uses.groupBy(*[F.col(c).alias(f"_{c}") for c in on]).agg(F.array_sort(F.collect_set("concept_id")).alias("concepts"))
+    """rows with the concepts that used them, a row a concept, null if none did; keys are compared null-safely."""
+    u = uses.select(*[F.col(c).alias(f"_{c}") for c in on], "concept_id").distinct()
     cond = F.lit(True)
     for c in on:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -57,7 +57,9 @@ def compact_evidence(matches: DataFrame) -> DataFrame:
 
 
 def select_batch(targets: DataFrame, chosen: Column, reason: Column) -> tuple[DataFrame, DataFrame]:
-    """Selected ids, and the excluded ones by reason and class: disjoint and covering."""
-    flagged = targets.withColumn("_in", F.coalesce(chosen, F.lit(False)))
-    out = flagged.filter("not _in").groupBy(reason.alias("reason"), "target_class").agg(F.array_sort(F.collect_list("concept_id")).alias("ids"), F.count("*").alias("n"))
+    """Selected ids, and the excluded ones with reason, class and the number that share these: disjoint and covering."""
+    flagged = targets.withColumn("_in", F.coalesce(chosen, F.lit(False))).withColumn("reason", reason)
+    out = flagged.filter("not _in").select("reason", "target_class", "concept_id")
+    n = out.groupBy(F.col("reason").alias("_r"), F.col("target_class").alias("_c")).agg(F.count("*").alias("n"))
+    out = out.join(n, F.col("reason").eqNullSafe(F.col("_r")) & F.col("target_class").eqNullSafe(F.col("_c"))).drop("_r", "_c")
     return flagged.filter("_in").select("concept_id"), out

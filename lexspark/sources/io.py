@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,3 +88,13 @@ def compare_manifest(expected: DataFrame, current: DataFrame) -> DataFrame:
     a, b = expected.select("path", F.col("sha256").alias("want")), current.select("path", F.col("sha256").alias("have"))
     state = F.when(F.col("have").isNull(), "MISSING").when(F.col("want").isNull(), "NEW").when(F.col("want") == F.col("have"), "MATCH").otherwise("DELTA")
     return a.join(b, "path", "full").select("path", state.alias("state"), "want", "have")
+
+
+def shared_checkpoints(spark) -> None:
+    """Sees to a checkpoint folder: spark.checkpoint.dir, or in a local session one of its own; a cluster without it is refused."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        given = sc.getConf().get("spark.checkpoint.dir")
+        if not given and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))

@@ -270,7 +270,7 @@ def test_targets(spark):
     d = spark.createDataFrame([("1", "CLEAN_SIMPLE_TARGET", 1), ("2", "CLEAN_SIMPLE_TARGET", 5), ("3", "IDENTITY_TARGET", 1)], "concept_id string, target_class string, n int")
     assert rows(targets.clean_qa(d, [("HOLD", "MANY", F.col("n") > 3)]), "concept_id", "qa_outcome") == [("1", "CONFIRMED_CLEAN"), ("2", "HOLD")]
     chosen, rest = targets.select_batch(d, F.col("n") > 3, F.when(F.col("n") == 1, "few").otherwise("x"))
-    assert rows(chosen, "concept_id") == [("2",)] and rows(rest, "reason", "ids") == [("few", ["1"]), ("few", ["3"])]
+    assert rows(chosen, "concept_id") == [("2",)] and rows(rest, "reason", "concept_id", "n") == [("few", "1", 1), ("few", "3", 1)]
 
 
 def test_snapshots_and_counts(spark):
