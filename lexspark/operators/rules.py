@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,12 +57,13 @@ def reduce_candidates(pairs: DataFrame) -> DataFrame:
     return g.select("row_id", out.alias("disposition"), F.when(sel, F.col("only")).alias("selected"), "candidates")
 
 
-def adapt_rows(rows: DataFrame, checks: dict[str, Column], source: str, assertion: str, licence: str) -> DataFrame:
+def adapt_rows(rows: DataFrame, checks: dict[str, Column], source: str, assertion: str, licence: str, scopes: Sequence[str] = ()) -> DataFrame:
     """Fail-closed rows: failed checks as sorted blockers, a rule trace, an evidence reference with its hash, and scope checks that start UNKNOWN."""
     failed = F.array_sort(F.array_compact(F.array(*[F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in checks.items()])))
     trace = F.array(*[F.struct(F.lit(n).alias("check"), F.when(c, "PASS").when(~c, "FAIL").otherwise("UNKNOWN").alias("state")) for n, c in checks.items()])
     ref = F.struct(F.lit(source).alias("artifact"), F.col("row_id").alias("locator"), F.lit(assertion).alias("assertion"), F.lit(licence).alias("licence"), F.sha2(F.concat_ws(":", F.lit(source), "row_id", F.lit(assertion)), 256).alias("hash"))
-    out = rows.withColumns({"blockers": failed, "rule_trace": trace, "evidence_ref": ref})
+    unknown = F.array(*[F.struct(F.lit(s).alias("scope"), F.lit("UNKNOWN").alias("state")) for s in scopes]).cast("array<struct<scope:string,state:string>>")
+    out = rows.withColumns({"blockers": failed, "rule_trace": trace, "evidence_ref": ref, "scope_checks": unknown})
     return out.withColumn("disposition", F.when(F.size("blockers") > 0, "BLOCKED").otherwise("IDENTITY_REVIEW"))
 
 
@@ -71,6 +73,11 @@ def endpoint_facts(rows: DataFrame) -> DataFrame:
     return rows.select("row_id", F.explode(ends).alias("e")).select("row_id", "e.endpoint", "e.value", F.sha2(F.concat_ws(":", "row_id", "e.endpoint", "e.value"), 256).alias("fact_id"))
 
 
+def discovery_candidates(rows: DataFrame) -> DataFrame:
+    """One candidate for each row with a selected pair: its id by content, never more than a lead to follow."""
+    return rows.select("row_id", "pivot", "target", F.sha2(F.concat_ws(":", "row_id", "pivot", "target"), 256).alias("candidate_id"), F.lit("DISCOVERY_ONLY").alias("state"))
+
+
 def join_by_row_id(first: DataFrame, *rest: DataFrame) -> DataFrame:
     """Parallel lists aligned by row_id, never by position."""
     return reduce(lambda a, b: a.join(b, "row_id", "left"), rest, first)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +60,16 @@ def page_of_marker(text: Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"^=== PDF_PAGE (\d+) ===$", 1), F.lit("")).cast("int")
 
 
+def unescape_lines(text: Column) -> Column:
+    """Literal \\n made line ends."""
+    return F.replace(text, F.lit("\\n"), F.lit("\n"))
+
+
+def key_mismatches(entries: DataFrame) -> DataFrame:
+    """finding(concept_id, code) of entries that stand under another key."""
+    return entries.filter(~F.col("key").eqNullSafe(F.col("concept_id"))).select("concept_id", F.lit("entry-key-mismatch").alias("code"))
+
+
 def explode_registry(entries: DataFrame, released: str = "RELEASED", status: str = "release_status") -> dict[str, DataFrame]:
     """Tables of a nested registry: entries, claims, mappings, conflicts, audits. With a status column, released ones only."""
     e = entries.filter(F.col(status) == released) if status in entries.columns else entries

@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from lexspark.plans import further, queries  # noqa: F401  further registers its queries
+from lexspark.plans import queries, records  # noqa: F401  records and what it builds on register theirs
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
