@@ -319,13 +319,14 @@ def plausible_lines(spark, sf_dir):
     return d.select("doc_id", F.col("line").cast("long").alias("line"), compose.plausible_term("t").alias("plausible"))
 
 
-@query("""SELECT l_orderkey::VARCHAR AS doc_id, l_linenumber AS entry_id, min(l_partkey)::VARCHAR || ' ' || min(l_suppkey) AS name FROM lineitem GROUP BY 1, 2 HAVING count(*) = 1""")
+@query("""SELECT (l_orderkey // 500)::VARCHAR AS doc_id, (l_orderkey % 500 * 10 + l_linenumber)::INT AS entry_id, min(l_partkey)::VARCHAR || ' ' || min(l_suppkey) AS name FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1""")
 def table_rows(spark, sf_dir):
-    """L3: rows of a printed table from positioned words: a numbered line, and a line that continues it."""
+    """A10, L3: rows of a printed table from positioned words: a numbered line, and a line that continues it."""
     li = read(spark, sf_dir, "lineitem")
     single = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"), F.count("*").alias("n")).filter("n = 1")
-    word = lambda x0, dy, t: F.struct(F.lit(x0).alias("x0"), F.lit(x0 + 8.0).alias("x1"), (F.col("l_linenumber") * 20 + dy).cast("double").alias("top"), t.cast("string").alias("text"))
-    w = single.select(F.col("l_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page"), F.explode(F.array(word(10.0, 0.0, F.col("l_linenumber")), word(95.0, 1.0, F.col("p")), word(95.0, 10.0, F.col("s")))).alias("w"))
+    single = single.withColumn("number", (F.col("l_orderkey") % 500 * 10 + F.col("l_linenumber")).cast("int"))
+    word = lambda x0, dy, t: F.struct(F.lit(x0).alias("x0"), F.lit(x0 + 8.0).alias("x1"), (F.col("number") * 20 + dy).cast("double").alias("top"), t.cast("string").alias("text"))
+    w = single.select(F.floor(F.col("l_orderkey") / 500).cast("string").alias("doc_id"), F.lit(1).alias("page"), F.explode(F.array(word(10.0, 0.0, F.col("number")), word(95.0, 1.0, F.col("p")), word(95.0, 10.0, F.col("s")))).alias("w"))
     t = reconstruct.rebuild_table(w.select("doc_id", "page", "w.*"), [(90, "number"), (300, "name")])
     return t.select("doc_id", "entry_id", F.element_at("cells", "name").alias("name"))
 
