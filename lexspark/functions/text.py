@@ -252,6 +252,12 @@ def canonical_digest(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.sha2(F.concat_ws(":", F.count("*").cast("string"), *[F.coalesce(part(k), F.lit(0)).cast("string") for k in range(5)]), 256).alias("digest"))
 
 
+def contains_any(c: Column | str, words: Sequence[str]) -> Column:
+    """Whether the folded string holds one of the folded words, anywhere in it; null holds none."""
+    folded = fold_key(c)
+    return F.coalesce(F.exists(F.array(*[fold_key(F.lit(w)) for w in words]), lambda w: folded.contains(w)), F.lit(False))
+
+
 def is_iso_date(c: Column | str) -> Column:
     return F.coalesce(_col(c).rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_timestamp(_col(c), F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))
 

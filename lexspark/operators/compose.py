@@ -114,6 +114,18 @@ def lexicon_with_evidence(claims: DataFrame, examples: int = 20) -> DataFrame:
     return g.select("kind", "component", "realisations", "evidence", F.slice("all_examples", 1, examples).alias("examples"), (F.size("realisations") > 1).alias("ambiguous"))
 
 
+def lexicon_summary(claims: DataFrame) -> DataFrame:
+    """Per (kind, component): numbers of realisations and of pieces of evidence, and whether ambiguous; no lists."""
+    g = claims.groupBy("kind", "component").agg(F.count_distinct("term").alias("realisations"), F.count_distinct("evidence_id").alias("evidence"))
+    return g.withColumn("ambiguous", F.col("realisations") > 1)
+
+
+def verified_lexicon(layers: DataFrame) -> DataFrame:
+    """(component, term, layer) of verified (component, term, layer): the latest layer's term stands, of several there the least."""
+    d = layers.filter("term is not null").groupBy("component", "layer").agg(F.min("term").alias("term"))
+    return d.groupBy("component").agg(F.max_by("term", "layer").alias("term"), F.max("layer").alias("layer"))
+
+
 def compose(names: DataFrame, lexicon: DataFrame, max_n: int = 4, unit: str = "id") -> DataFrame:
     """names (id, name) composed from the longest lexicon entries, left to right; null if a word stays unmatched.
 

@@ -90,6 +90,16 @@ def accounting(expected: DataFrame, actual: DataFrame, key: str = "concept_id")
     return d.agg(F.count("e").alias("expected"), F.coalesce(F.sum("n"), F.lit(0)).alias("actual"), F.count("n").alias("distinct_ids"), F.count_if(F.col("n") > 1).alias("duplicated"), F.count_if(F.col("n").isNull()).alias("missing"), F.count_if(F.col("e").isNull()).alias("unexpected"))
 
 
+def exclusive_categories(df: DataFrame, categories: dict[str, Column]) -> DataFrame:
+    """(category, rows): rows that are in one category alone, by category, zero-filled, and those in NONE or SEVERAL.
+
+    The counts add up to the rows of df; the ledger is sound if NONE and SEVERAL are 0.
+    """
+    held = F.array_compact(F.array(*[F.when(p, n) for n, p in categories.items()]))
+    one = df.select(held.alias("h")).select(F.when(F.size("h") == 1, F.get("h", F.lit(0))).when(F.size("h") == 0, "NONE").otherwise("SEVERAL").alias("category"))
+    return zero_filled(one, "category", [*categories, "NONE", "SEVERAL"]).withColumnRenamed("count", "rows")
+
+
 def ledger_assertions(df: DataFrame, key: str, rows: int | None, every: dict[str, Column]) -> DataFrame:
     """(assertion, ok): row count, unique ids, and predicates that hold for all rows."""
     checks = {"unique-ids": F.count(key) == F.count_distinct(key)} | {n: F.coalesce(F.bool_and(p), F.lit(True)) for n, p in every.items()}

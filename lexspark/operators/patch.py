@@ -34,3 +34,23 @@ def review_split(all_ids: DataFrame, reviewed: DataFrame, key: str = "concept_id
     b = reviewed.select(key).distinct().withColumn("_b", F.lit(True))
     part = F.when(F.col("_a") & F.col("_b"), "REVIEWED").when(F.col("_a"), "REMAINING").otherwise("UNKNOWN")
     return a.join(b, key, "full").select(key, part.alias("part"))
+
+
+def joined_sets(patches: DataFrame, expected: DataFrame, key: str = "concept_id") -> DataFrame:
+    """Per id of the union of patch sets: sets, and state SINGLE, EXPECTED_OVERLAP, UNEXPECTED_OVERLAP or MISSING_OVERLAP.
+
+    expected: the ids that several sets are known to share. The sets fit together if no id is in one
+    of the last two states; an expected id that no set has is missing.
+    """
+    n = patches.groupBy(key).agg(F.count_distinct("patch_set").alias("sets"))
+    d = n.join(expected.select(key).distinct().withColumn("_e", F.lit(True)), key, "full")
+    many, known = F.coalesce("sets", F.lit(0)) > 1, F.col("_e").isNotNull()
+    state = F.when(many & known, "EXPECTED_OVERLAP").when(many, "UNEXPECTED_OVERLAP").when(known, "MISSING_OVERLAP").otherwise("SINGLE")
+    return d.select(key, F.coalesce("sets", F.lit(0)).alias("sets"), state.alias("state"))
+
+
+def set_difference(a: DataFrame, b: DataFrame, key: str = "concept_id") -> DataFrame:
+    """(id, side) of ids that one side alone has, LEFT or RIGHT; no row if the sets are equal."""
+    left, right = a.select(key).distinct().withColumn("_a", F.lit(True)), b.select(key).distinct().withColumn("_b", F.lit(True))
+    d = left.join(right, key, "full").filter("_a is null or _b is null")
+    return d.select(key, F.when(F.col("_a"), "LEFT").otherwise("RIGHT").alias("side"))

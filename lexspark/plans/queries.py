@@ -88,7 +88,7 @@ def source_contribution(spark, sf_dir):
 @query("""WITH r AS (SELECT DISTINCT source AS source_id FROM documents UNION SELECT 'unheard'), k AS (SELECT source AS source_id, count(*) AS n, count(DISTINCT doc_id) AS c FROM documents WHERE lang <> 'en' GROUP BY 1)
 SELECT r.source_id, coalesce(n, 0) AS "rows", coalesce(c, 0) AS concepts, coalesce(c, 0) AS unique_concepts, 0::BIGINT AS overlap_concepts, n IS NULL AS absent FROM r LEFT JOIN k USING (source_id)""")
 def source_summary(spark, sf_dir):
-    """Registered sources, absent ones too, without quarantined rows."""
+    """Registered sources, absent ones too, without quarantined rows."""
     d = read(spark, sf_dir, "documents").select(F.col("source").alias("source_id"), F.col("doc_id").alias("concept_id"), "lang")
     r = d.select("source_id").union(spark.createDataFrame([("unheard",)], "source_id string"))
     return metrics.source_summary(d, r, F.col("lang") == "en")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, evidence, patch, reconstruct, registry, rules, snapshot
+from lexspark.operators import compose, consensus, evidence, match, metrics, patch, reconstruct, registry, report, rules, snapshot
 from lexspark.plans.further import CAPABILITIES, PARTS, parts, supplier_registry
 from lexspark.plans.queries import query, read
 from lexspark.sources import io
@@ -196,3 +196,85 @@ def tagged_heads(spark, sf_dir):
     p = parts(spark, sf_dir)
     tags = F.array(F.concat(F.lit("category:"), "rest"), F.concat(F.lit("head:"), "head"))
     return p.select("id", T.first_with_prefix(tags, "head").alias("tag"), T.first_of(tags, "category", ["bolt", "ring"]).alias("category"))
+
+
+@query(r"""SELECT doc_id, k + 1 AS line, sha256(h || ':' || (k + 1) || ':' || sha256(t)) AS row_id FROM (SELECT doc_id, h, unnest(generate_series(0, len(a) - 1)) AS k, unnest(a) AS t
+FROM (SELECT doc_id, sha256(text) AS h, string_split_regex(text, '\r?\n') AS a FROM documents WHERE text IS NOT NULL)) WHERE t <> ''""")
+def raw_lines(spark, sf_dir):
+    """A2: lines with numbers, and ids that a file's hash, the number and the line's hash make."""
+    d = io.number_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return d.select("doc_id", F.col("line").cast("long").alias("line"), "row_id")
+
+
+@query("""SELECT * FROM (SELECT 'X' || c_custkey AS concept_id, c_custkey AS evidence_id, array_to_string(list_filter([CASE WHEN c_custkey % 3 = 0 THEN 'exact' END, CASE WHEN c_custkey % 3 = 1 THEN 'normalised' END,
+CASE WHEN c_custkey % 5 = 0 THEN 'source_code' END, CASE WHEN c_custkey % 4 = 0 THEN 'terminology_id' END], lambda x: x IS NOT NULL), ',') AS reasons FROM customer) WHERE reasons <> ''""")
+def match_reasons(spark, sf_dir):
+    """Matches by folded names that are not exact already, by id and by code."""
+    c = read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+    k, none = F.col("k"), F.array().cast("array<string>")
+    name = F.when(k % 3 == 0, F.col("c_name")).when(k % 3 == 1, F.translate("c_name", "Cu", "Ćú")).otherwise(F.concat(F.lit("other "), k.cast("string")))
+    code = lambda p, on: F.when(k % on == 0, F.array(F.concat(F.lit(p), k.cast("string")))).otherwise(none)
+    e = c.select(k.alias("evidence_id"), F.struct(name.alias("preferred"), none.alias("aliases")).alias("pivot"), code("x", 4).alias("terminology_ids"), code(" X", 5).alias("source_codes"))
+    m = match.match_entities(c.select(F.concat(F.lit("X"), k.cast("string")).alias("concept_id"), F.col("c_name").alias("name")), match.build_keys(e))
+    return m.select("concept_id", "evidence_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(f"""SELECT head AS kind, rest AS component, count(DISTINCT p_brand) AS realisations, count(DISTINCT p_partkey) AS evidence, count(DISTINCT p_brand) > 1 AS ambiguous,
+array_to_string(list_sort(list_distinct(list(p_brand)))[1:20], ',') AS examples FROM part JOIN {PARTS} ON id = p_partkey GROUP BY 1, 2""")
+def component_lexicon(spark, sf_dir):
+    """Realisations and evidence of each component, the first 20 examples, ambiguity."""
+    p = parts(spark, sf_dir).join(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_brand"), "id")
+    claims = p.select(F.col("head").alias("kind"), F.col("rest").alias("component"), F.col("p_brand").alias("term"), F.col("id").alias("evidence_id"))
+    shown = report.truncated_lists(claims, ["kind", "component"], "term", 20)
+    return compose.lexicon_summary(claims).join(shown, ["kind", "component"]).select("kind", "component", "realisations", "evidence", "ambiguous", F.array_join("shown", ",").alias("examples"))
+
+
+@query("""SELECT c_mktsegment, array_to_string(list(w ORDER BY length(w) DESC, w)[1:8], ',') AS shown, count(*) AS "values", greatest(count(*) - 8, 0) AS more
+FROM (SELECT DISTINCT c_mktsegment, (c_custkey * c_custkey)::VARCHAR AS w FROM customer) GROUP BY 1""")
+def longest_first(spark, sf_dir):
+    """The longest names first, eight of them, and how many more."""
+    c = read(spark, sf_dir, "customer").select("c_mktsegment", (F.col("c_custkey") * F.col("c_custkey")).cast("string").alias("w"))
+    t = report.truncated_lists(c, ["c_mktsegment"], "w", 8, [F.length("w").desc()])
+    return t.select("c_mktsegment", F.array_join("shown", ",").alias("shown"), "values", "more")
+
+
+@query("""SELECT p_partkey AS id, contains(p_name, 'ring') OR contains(p_name, 'old') OR contains(p_name, 'hot w') AS blacklisted FROM part""")
+def blacklisted_names(spark, sf_dir):
+    """Names that hold a forbidden string."""
+    return parts(spark, sf_dir).select("id", T.contains_any("name", ["Ring", "öld", "HOT  w"]).alias("blacklisted"))
+
+
+@query("""SELECT v.category, coalesce(n, 0) AS "rows" FROM (VALUES ('FINISHED'), ('OPEN'), ('LARGE'), ('NONE'), ('SEVERAL')) AS v(category) LEFT JOIN (SELECT CASE WHEN o_orderstatus = 'P' THEN CASE WHEN o_totalprice > 100000 THEN 'LARGE' ELSE 'NONE' END
+WHEN o_totalprice > 100000 THEN 'SEVERAL' WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'OPEN' END AS category, count(*) AS n FROM orders GROUP BY 1) c ON c.category = v.category""")
+def row_ledger(spark, sf_dir):
+    """Every row in one category, or told as in none or several."""
+    s = F.col("o_orderstatus")
+    return metrics.exclusive_categories(read(spark, sf_dir, "orders"), {"FINISHED": s == "F", "OPEN": s == "O", "LARGE": F.col("o_totalprice") > 100000})
+
+
+@query("""WITH s AS (SELECT o_orderkey AS id, (o_orderkey % 2 = 0)::INT + (o_orderkey % 3 = 0)::INT AS sets FROM orders)
+SELECT id AS concept_id, sets::BIGINT AS sets, CASE WHEN sets > 1 AND id % 5 > 0 THEN 'EXPECTED_OVERLAP' WHEN sets > 1 THEN 'UNEXPECTED_OVERLAP' WHEN id % 4 = 1 THEN 'MISSING_OVERLAP' ELSE 'SINGLE' END AS state, NULL AS side FROM s WHERE sets > 0 OR id % 4 = 1
+UNION ALL SELECT id, NULL, NULL, CASE WHEN id % 2 = 0 THEN 'LEFT' ELSE 'RIGHT' END FROM s WHERE sets = 1""")
+def joined_patches(spark, sf_dir):
+    """H3, H4: patch sets put together, with the overlap that is expected, and what one set alone has."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("concept_id"))
+    k, none = F.col("concept_id"), F.lit(None).cast("string")
+    a, b = o.filter(k % 2 == 0), o.filter(k % 3 == 0)
+    joined = patch.joined_sets(a.withColumn("patch_set", F.lit(1)).union(b.withColumn("patch_set", F.lit(2))), o.filter(((k % 6 == 0) & (k % 5 > 0)) | (k % 4 == 1)))
+    return joined.withColumn("side", none).union(patch.set_difference(a, b).select("concept_id", F.lit(None).cast("long"), none, "side"))
+
+
+@query("""SELECT o_custkey::VARCHAR AS component, arg_max(t, layer) AS term, max(layer) AS layer FROM (SELECT o_custkey, o_orderstatus AS layer, min(o_orderpriority) AS t FROM orders GROUP BY 1, 2) GROUP BY 1""")
+def verified_lexicon(spark, sf_dir):
+    """Verified terms, later layers over earlier ones."""
+    return compose.verified_lexicon(read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("component"), F.col("o_orderpriority").alias("term"), F.col("o_orderstatus").alias("layer")))
+
+
+@query("""SELECT v.tier, coalesce(n, 0) AS "rows", coalesce(k, 0) AS targets, coalesce(b, 0) AS overlap, coalesce(k, 0) - coalesce(b, 0) AS gain FROM (VALUES ('PROMOTED'), ('REVIEW'), ('BLOCKED'), ('DUPLICATE')) AS v(tier)
+LEFT JOIN (SELECT CASE WHEN l_returnflag = 'R' THEN 'BLOCKED' WHEN l_quantity > 25 THEN 'PROMOTED' ELSE 'REVIEW' END AS tier, count(*) AS n, count(DISTINCT l_partkey) AS k, count(DISTINCT CASE WHEN p_size < 20 THEN l_partkey END) AS b FROM lineitem LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1) c ON c.tier = v.tier""")
+def promoted_rows(spark, sf_dir):
+    """One disposition a row, and the targets that promoted rows add to a frozen baseline."""
+    tier = F.when(F.col("l_returnflag") == "R", "BLOCKED").when(F.col("l_quantity") > 25, "PROMOTED").otherwise("REVIEW")
+    d = read(spark, sf_dir, "lineitem").select(tier.alias("tier"), F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_id"), F.col("l_partkey").alias("target_id"))
+    frozen = read(spark, sf_dir, "part").filter("p_size < 20").select(F.col("p_partkey").alias("target_id"))
+    return metrics.tier_coverage(d, ["PROMOTED", "REVIEW", "BLOCKED", "DUPLICATE"], frozen)

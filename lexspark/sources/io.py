@@ -42,10 +42,15 @@ def corrupt_findings(df: DataFrame) -> DataFrame:
 
 
 def read_raw_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """file, file_hash, line (from 1), text, line_hash, row_id = hash(file hash : line : line hash)."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.sha2("value", 256).alias("file_hash"), F.split("value", "\r?\n").alias("lines"))
-    lines = whole.select("file", "file_hash", F.posexplode("lines").alias("k", "text")).filter("text <> ''")
-    lines = lines.select("file", "file_hash", (F.col("k") + 1).alias("line"), "text", F.sha2("text", 256).alias("line_hash"))
+    """number_lines of files; each is read whole, since its hash goes into its lines' ids."""
+    return number_lines(spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def number_lines(files: DataFrame, file: str = "file", value: str = "value") -> DataFrame:
+    """file, file_hash, line (from 1), text, line_hash, row_id = hash(file hash : line : line hash); empty lines are counted, not returned."""
+    whole = files.select(file, F.sha2(value, 256).alias("file_hash"), F.split(value, "\r?\n").alias("lines"))
+    lines = whole.select(file, "file_hash", F.posexplode("lines").alias("k", "text")).filter("text <> ''")
+    lines = lines.select(file, "file_hash", (F.col("k") + 1).alias("line"), "text", F.sha2("text", 256).alias("line_hash"))
     return lines.withColumn("row_id", F.sha2(F.concat_ws(":", "file_hash", F.col("line").cast("string"), "line_hash"), 256))
 
 
