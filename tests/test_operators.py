@@ -359,3 +359,30 @@ def test_export_gate_follows_every_need(spark):
     ids = [*range(1, 15), 21, 22, 30, 31, 40, 41, 50]
     got = registry.export_gate(spark.createDataFrame([(i, i != 1) for i in ids], "id long, cleared boolean"), needs)
     assert {r.id for r in got.collect() if r.exportable} == {30, 31, 50}
+
+
+def test_joined_sets_and_differences(spark):
+    from lexspark.operators import patch
+
+    p = spark.createDataFrame([(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (1, 1)], "concept_id long, patch_set int")
+    e = spark.createDataFrame([(3,), (1,), (9,)], "concept_id long")
+    got = {r.concept_id: (r.sets, r.state) for r in patch.joined_sets(p, e).collect()}
+    assert got == {1: (1, "MISSING_OVERLAP"), 2: (2, "UNEXPECTED_OVERLAP"), 3: (2, "EXPECTED_OVERLAP"), 9: (0, "MISSING_OVERLAP")}
+    assert {(r.concept_id, r.side) for r in patch.set_difference(p, e).collect()} == {(2, "LEFT"), (9, "RIGHT")}
+    assert patch.set_difference(e, e).count() == 0
+
+
+def test_ledgers_and_lists(spark):
+    from pyspark.sql import functions as F
+
+    from lexspark.functions import text
+    from lexspark.operators import compose, metrics, report
+
+    d = spark.createDataFrame([("a", "x"), ("a", "yy"), ("a", "yy"), ("a", None), ("b", "Hót dog")], "k string, v string")
+    got = {r.k: (r.shown, r["values"], r.more) for r in report.truncated_lists(d, ["k"], "v", 1, [F.length("v").desc()]).collect()}
+    assert got == {"a": (["yy"], 2, 1), "b": (["Hót dog"], 1, 0)}
+    assert [r.c for r in d.select(text.contains_any("v", ["hot"]).alias("c")).collect()] == [False, False, False, False, True]
+    rows = {r.category: r.rows for r in metrics.exclusive_categories(d, {"A": F.col("k") == "a", "Y": F.col("v") == "yy"}).collect()}
+    assert rows == {"A": 2, "Y": 0, "NONE": 1, "SEVERAL": 2}
+    lex = spark.createDataFrame([("w", "p", 1), ("w", "s", 2), ("w", "r", 2), ("w", None, 3)], "component string, term string, layer int")
+    assert [tuple(r) for r in compose.verified_lexicon(lex).collect()] == [("w", "r", 2)]
