@@ -52,6 +52,18 @@ def coverage(df: DataFrame, counters: dict[str, Column], by: Sequence[str] = ())
     return df.groupBy(*by).agg(*aggs)
 
 
+def release_safety(entries: DataFrame, counters: dict[str, Column], findings: DataFrame, protected: DataFrame) -> DataFrame:
+    """One row: coverage of the registry's entries, errors found in it, protected files not as planned, and `safe`.
+
+    findings: severity; protected: state, as compare_manifest gives it. Any error, any file that is
+    changed, missing or new, and a state or severity that is unknown make it unsafe.
+    """
+    errors = findings.agg(F.count_if(~F.col("severity").eqNullSafe("warning")).alias("errors"))
+    moved = protected.agg(F.count_if(~F.col("state").eqNullSafe("MATCH")).alias("changed_files"))
+    one = coverage(entries, counters).crossJoin(errors).crossJoin(moved)  # one row each
+    return one.withColumn("safe", (F.col("errors") == 0) & (F.col("changed_files") == 0))
+
+
 def evidence_counts(decisions: DataFrame, matches: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per value of the columns of decisions: concepts, concepts with evidence, pieces of evidence."""
     m = matches.groupBy("concept_id").agg(F.count_distinct("evidence_id").alias("_n"))

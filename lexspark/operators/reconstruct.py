@@ -23,6 +23,24 @@ def carry_forward(lines: DataFrame, columns: dict[str, Column], doc: str = "doc_
     return lines.withColumns({n: F.last(c, ignorenulls=True).over(w) for n, c in columns.items()})
 
 
+def line_facts(text: Column | str, code: str, counter: str, headers: Sequence[str], residue: str) -> Column:
+    """struct(code, rest, counter, header, residue) of one line, an asterisk before the code left out.
+
+    Patterns: code, at the line's start behind spaces and an asterisk; counter, a whole line with the
+    counter as group 1 and the rest as group 2; headers, of lines that no row is made of; residue,
+    pivot words that a target must not hold, in any case.
+    """
+    t = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    start = rf"^\s*(?:\*\s*)?({code})"
+    one = F.regexp_extract(t, start, 1)
+    said = F.regexp_extract(t, counter, 1)
+    rest = F.when(one != "", F.regexp_replace(t, start, "")).when(said != "", F.regexp_extract(t, counter, 2)).otherwise(t)
+    header = F.lit(False)
+    for h in headers:
+        header = header | t.rlike(h)
+    return F.struct(F.nullif(one, F.lit("")).alias("code"), collapse(rest).alias("rest"), F.when(one == "", F.nullif(said, F.lit(""))).alias("counter"), header.alias("header"), t.rlike(f"(?i){residue}").alias("residue"))
+
+
 def rebuild_stream(lines: DataFrame, code: str, counter: str, complete: str, page: str, heading: str = r"^\s*##\s+(.*)$", residue: str = r"(?:^|\s)(?:of|the|and)(?:\s|$)") -> DataFrame:
     """One audit row for each block of a rendered stream: printed_id, page, section, pivot, target, status, reasons, line_start, line_end.
 

@@ -278,3 +278,38 @@ def promoted_rows(spark, sf_dir):
     d = read(spark, sf_dir, "lineitem").select(tier.alias("tier"), F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_id"), F.col("l_partkey").alias("target_id"))
     frozen = read(spark, sf_dir, "part").filter("p_size < 20").select(F.col("p_partkey").alias("target_id"))
     return metrics.tier_coverage(d, ["PROMOTED", "REVIEW", "BLOCKED", "DUPLICATE"], frozen)
+
+
+@query("""SELECT c_custkey, c_name, c_mktsegment FROM customer""")
+def corpus_by_source(spark, sf_dir):
+    """A corpus written as JSON lines, a folder for each source, and read back."""
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = io.shared_path(spark, "by-source")
+    io.write_by_source(c, path, "c_mktsegment")
+    return io.read_by_source(spark, path, "c_custkey long, c_name string, c_mktsegment string")
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 IN (0, 1) THEN 'A01.' || o_orderkey % 7 END AS code,
+CASE o_orderkey % 5 WHEN 0 THEN 'Neck ' || o_orderkey WHEN 1 THEN 'part' WHEN 2 THEN 'OF it' WHEN 3 THEN '## title ' || o_orderkey ELSE 'see A01.2 headless' END AS rest,
+CASE WHEN o_orderkey % 5 = 2 THEN (o_orderkey % 10)::VARCHAR END AS counter, o_orderkey % 5 = 3 AS header, o_orderkey % 5 IN (0, 2) AS residue FROM orders""")
+def line_kinds(spark, sf_dir):
+    """A code at the line's start, counters, headers, and pivot words left in a target."""
+    k = F.col("o_orderkey")
+    n = k.cast("string")
+    code = F.concat(F.lit("A01."), (k % 7).cast("string"))
+    text = F.when(k % 5 == 0, F.concat(F.lit(" * "), code, F.lit("  Neck "), n)).when(k % 5 == 1, F.concat(code, F.lit(" part "))).when(k % 5 == 2, F.concat((k % 10).cast("string"), F.lit("  OF it")))
+    text = text.when(k % 5 == 3, F.concat(F.lit("## title "), n)).otherwise("see A01.2 headless")
+    f = reconstruct.line_facts(text, r"A\d{2}\.\d", r"^(\d)(?:\s+(.*))?$", [r"^##"], r"\b(?:of|neck|head)\b")
+    return read(spark, sf_dir, "orders").select(k.alias("id"), f.alias("f")).select("id", "f.*")
+
+
+@query("""SELECT total, named, round(100 * named / total, 2) AS named_pct, errors, changed_files, errors = 0 AND changed_files = 0 AS safe FROM
+(SELECT count(*) AS total, count(*) FILTER (s_suppkey % 3 = 0) AS named FROM supplier), (SELECT count(*) FILTER (o_orderstatus <> 'F') AS errors FROM orders),
+(SELECT count(*) FILTER (p_partkey % 5 = 0 OR p_partkey % 7 = 0) AS changed_files FROM part)""")
+def release_safety(spark, sf_dir):
+    """Counters over a registry, its errors, and protected files that are not as planned."""
+    k = F.col("p_partkey")
+    p = read(spark, sf_dir, "part").select(k.cast("string").alias("path"), F.md5("p_name").alias("sha256"), k)
+    planned = p.filter(k % 7 > 0).withColumn("sha256", F.when(k % 5 == 0, "other").otherwise(F.col("sha256")))
+    found = read(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "F", "warning").otherwise("error").alias("severity"))
+    return metrics.release_safety(read(spark, sf_dir, "supplier"), {"named": F.col("s_suppkey") % 3 == 0}, found, io.compare_manifest(planned, p))

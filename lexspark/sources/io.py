@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,6 +88,11 @@ def write_by_source(df: DataFrame, path: str, source: str = "source_id", fmt: st
     df.write.partitionBy(source).format(fmt).save(path)
 
 
+def read_by_source(spark: SparkSession, path: str, schema: str, fmt: str = "json") -> DataFrame:
+    """Rows of all folders that write_by_source made, the source as its column; schema: of all columns."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
 def write_chunks(chunked: DataFrame, path: str) -> None:
     chunked.write.partitionBy("chunk_id").json(path)
 
@@ -112,3 +118,9 @@ def shared_checkpoints(spark) -> None:
         if not given and not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+
+
+def shared_path(spark, name: str) -> str:
+    """A path of its own under the checkpoint folder."""
+    shared_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

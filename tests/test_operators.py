@@ -386,3 +386,23 @@ def test_ledgers_and_lists(spark):
     assert rows == {"A": 2, "Y": 0, "NONE": 1, "SEVERAL": 2}
     lex = spark.createDataFrame([("w", "p", 1), ("w", "s", 2), ("w", "r", 2), ("w", None, 3)], "component string, term string, layer int")
     assert [tuple(r) for r in compose.verified_lexicon(lex).collect()] == [("w", "r", 2)]
+
+
+def test_line_facts(spark):
+    from lexspark.operators import reconstruct
+
+    d = spark.createDataFrame([(1, "*A01.1 Neck"), (2, "7"), (3, "7 of it"), (4, "in A01.1"), (5, None), (6, "## A01.1")], "id int, t string")
+    f = reconstruct.line_facts("t", r"A\d{2}\.\d", r"^(\d)(?:\s+(.*))?$", ["^##"], r"\b(?:of|neck)\b")
+    got = {r.id: tuple(r.f) for r in d.select("id", f.alias("f")).collect()}
+    assert got == {1: ("A01.1", "Neck", None, False, True), 2: (None, "", "7", False, False), 3: (None, "of it", "7", False, True), 4: (None, "in A01.1", None, False, False), 5: (None, "", None, False, False), 6: (None, "## A01.1", None, True, False)}
+
+
+def test_release_safety_fails_closed(spark):
+    from lexspark.operators import metrics
+
+    e = spark.createDataFrame([(1,), (2,), (None,)], "n int")
+    found, files = spark.createDataFrame([("warning",)], "severity string"), spark.createDataFrame([("MATCH",)], "state string")
+    run = lambda f, s: tuple(metrics.release_safety(e, {"big": F.col("n") > 1}, f, s).first())
+    assert run(found, files) == (3, 1, 33.33, 0, 0, True)
+    assert run(found.union(spark.createDataFrame([(None,)], "severity string")), files) == (3, 1, 33.33, 1, 0, False)
+    assert run(found.limit(0), files.union(spark.createDataFrame([("MISSING",), (None,)], "state string"))) == (3, 1, 33.33, 0, 2, False)
