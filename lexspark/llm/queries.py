@@ -5,6 +5,7 @@ from __future__ import annotations
 from lexspark.llm.chat import op7_chat_format
 from lexspark.llm.classifier import op3_quality_classifier
 from lexspark.llm.common import table
+from lexspark.llm.html_extract import extract_pages
 from lexspark.llm.lattice_dedup import link_embeddings
 from lexspark.llm.line_dedup import op2_line_dedup
 from lexspark.llm.lm_score import lm_scores
@@ -31,6 +32,7 @@ QUERIES = {
     "op8_minhash_near_dedup": _over("documents", find_near_duplicates),
     "op9_mixing": _over("documents", op9_mixing),
     "op10_best_fit_packing": _over("documents", op10_best_fit_packing),
+    "op13_html_extract": _over("pages", extract_pages),
 }
 
 #: The others are beyond SQL, or too slow in it on whole tables; tests hold them against brute force.
