@@ -13,8 +13,8 @@ from lexspark.llm.minhash import find_near_duplicates
 from lexspark.llm.mixing import op9_mixing
 from lexspark.llm.packing import op10_best_fit_packing
 from lexspark.llm.quality_rules import OP1_SQL, op1_quality_rules
-
 from lexspark.llm.warc import OP6_SQL, op6_warc
+from lexspark.llm.whitening import whiten_embeddings
 
 
 def _over(name, operator):
@@ -32,6 +32,7 @@ QUERIES = {
     "op8_minhash_near_dedup": _over("documents", find_near_duplicates),
     "op9_mixing": _over("documents", op9_mixing),
     "op10_best_fit_packing": _over("documents", op10_best_fit_packing),
+    "op12_whitening": _over("embeddings", whiten_embeddings),
     "op13_html_extract": _over("pages", extract_pages),
 }
 
