@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lexspark.llm.align import count_links
 from lexspark.llm.chat import op7_chat_format
 from lexspark.llm.classifier import op3_quality_classifier
 from lexspark.llm.common import table
@@ -32,6 +33,7 @@ QUERIES = {
     "op8_minhash_near_dedup": _over("documents", find_near_duplicates),
     "op9_mixing": _over("documents", op9_mixing),
     "op10_best_fit_packing": _over("documents", op10_best_fit_packing),
+    "op11_token_alignment": _over("documents", count_links),
     "op12_whitening": _over("embeddings", whiten_embeddings),
     "op13_html_extract": _over("pages", extract_pages),
 }
