@@ -18,10 +18,14 @@ rows), the blocks of one pass over it, and some dozens of its documents (those o
 BLOCKS squared, BLOCK_DOCS at the least). The shards' number sets how rows are laid out, never
 which are taken.
 
+Rows equal in doc_id and text have hashes of their own, made with their number among their equals;
+which of them has which number is of no account, as they are equal. The numbers come from counts of
+CHUNK rows at a time and running sums of these, so no task holds all equals of a row.
+
 Defined results: a null text has size 0; null sources are one source, last in order; a document
-of size 0 is never taken; repeated rows are drawn row by row, and rows equal in doc_id and text
-share their place in the order; equal runs give equal rows; an empty table gives an empty table;
-other columns pass through `mix` untouched.
+of size 0 is never taken; repeated rows are drawn row by row; equal runs give equal rows, but for
+columns other than doc_id, text and source of rows that are equal in these three; an empty table
+gives an empty table; other columns, whatever their names, pass through `mix` untouched.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from lexspark.llm.common import Scratch, checked_broadcast, sized_broadcast, wor
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
 BLOCKS, BLOCK_DOCS = 4096, 64
+CHUNK = 1 << 12
 SEED = 11
 
 
@@ -107,7 +112,35 @@ def _fit(block):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_mx_hash": F.xxhash64("doc_id", "text", F.lit(SEED)), "_mx_size": word_count(F.col("text"))})
+    """The whole row apart from what is made of it, so that no column can clash."""
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row.text")
+    return d.select("row", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.xxhash64("row.doc_id", text, F.lit(SEED)).alias("_mx_hash"), word_count(text).alias("_mx_size"))
+
+
+def _numbers(rows: DataFrame) -> DataFrame:
+    """(_mx_uid, _mx_hash) of stored rows (_mx_uid, _mx_hash): hashes made distinct by each row's number among its equals."""
+    chunk = F.shiftright("_mx_uid", CHUNK.bit_length() - 1).alias("chunk")
+    at = rows.select("_mx_uid", "_mx_hash", chunk)
+    before = Window.partitionBy("_mx_hash").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = at.groupBy("_mx_hash", "chunk").count().select("_mx_hash", "chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("_mx_hash", "chunk").orderBy("_mx_uid")) - 1
+    numbered = at.withColumn("n", within).join(start, ["_mx_hash", "chunk"]).withColumn("n", F.col("n") + F.col("start"))
+    return numbered.select("_mx_uid", F.when(F.col("n") == 0, F.col("_mx_hash")).otherwise(F.xxhash64("_mx_hash", "n", F.lit(SEED + 7))).alias("_mx_hash"))
+
+
+def _distinct(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """_keyed rows whose hashes are distinct. Only rows that have equals are stored and numbered."""
+    keyed = _keyed(docs)
+    repeated = scratch.store(keyed.groupBy("_mx_hash").count().filter("count > 1").select("_mx_hash"), "repeated")
+    n = repeated.count()
+    if not n:
+        return keyed
+    repeated = sized_broadcast(repeated, n, 16)
+    several = scratch.store(keyed.join(repeated, "_mx_hash", "left_semi").withColumn("_mx_uid", F.monotonically_increasing_id()), "repeated-rows")
+    numbers = scratch.store(_numbers(several), "numbers")
+    several = several.drop("_mx_hash").join(numbers, "_mx_uid").select(*keyed.columns)
+    return keyed.join(repeated, "_mx_hash", "left_anti").select(*keyed.columns).union(several)
 
 
 def _plan(sizes: DataFrame) -> list[tuple]:
@@ -153,10 +186,11 @@ def _draw(spark, quotas: dict, shards: int, seed: int) -> DataFrame:
 
 
 def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """docs with _mx_size, _mx_k, _mx_hash and _mx_shards, the shard of each copy; and all of them without texts but with the plan."""
+    """docs as `row` with _mx_size, _mx_k, _mx_hash and _mx_shards, the shard of each copy; and all of them without texts but with the plan."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
-    sizes = scratch.store(_keyed(docs.select("doc_id", "text", "source")).select("doc_id", "source", "_mx_hash", "_mx_size"), "sizes")
+    keyed = _distinct(docs, scratch)
+    sizes = scratch.store(keyed.select("doc_id", "source", "_mx_hash", "_mx_size"), "sizes")
     rows = _plan(sizes)
     plan = spark.createDataFrame(rows, "_mx_source string, _mx_k int, _mx_source_size long, _mx_target double, _mx_full int, _mx_rest double, _mx_blocks int")
     plan = sized_broadcast(plan, len(rows), 100 + max((len((r[0] or "").encode()) for r in rows), default=0))
@@ -188,7 +222,7 @@ def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     cuts = sized_broadcast(_cuts(spark, counts, shards, SEED + 3), len(counts), 64 + 4 * shards)
     picked = scratch.store(picked.join(cuts, F.col("_px_k") == F.col("_cut_k")).select("_px_k", "_px_hash", _shard_of("_px_rank").alias("_px_shard")), "edge-shards")
     # At most BLOCKS rows of each source and some dozens of its last block, counted before a broadcast.
-    out = _keyed(docs).join(plan, of_source).withColumn("_mx_block", block).join(edges, at_edge, "left").withColumn("_ed_inside", inside)
+    out = keyed.join(plan, of_source).withColumn("_mx_block", block).join(edges, at_edge, "left").withColumn("_ed_inside", inside)
     drawn_inside = drawn_inside.select(F.col("_dr_k").alias("_di_k"), F.col("_dr_block").alias("_di_block"), F.col("_dr_shards").alias("_di_shards"))
     out = out.join(checked_broadcast(drawn, 40), (F.col("_mx_k") == F.col("_dr_k")) & (F.col("_mx_block") == F.col("_dr_block")), "left")
     out = out.join(checked_broadcast(drawn_inside, 40), (F.col("_ed_k") == F.col("_di_k")) & (F.col("_ed_inside") == F.col("_di_block")), "left")
@@ -198,10 +232,22 @@ def mixture(docs: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
     return out.withColumn("_mx_shards", F.when(F.col("_mx_size") > 0, copies).otherwise(none)), d
 
 
+def _even_keys(spark, shards: int) -> list[int]:
+    """For each shard a number that Spark's hash partitioning deals to a partition of its own."""
+    found: dict[int, int] = {}
+    upto = 16 * shards
+    while len(found) < shards:
+        part = F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards)).alias("part")
+        found = {r["part"]: r["key"] for r in spark.range(upto).groupBy(part).agg(F.min(F.col("id").cast("int")).alias("key")).collect()}
+        upto *= 2
+    return [found[k] for k in range(shards)]
+
+
 def _mixed(m: DataFrame, shards: int) -> DataFrame:
-    """The mixture's rows with all columns of m, dealt to shards and shuffled in them."""
-    m = m.withColumn("_mx_shard", F.explode("_mx_shards"))
-    return m.repartition(shards, "_mx_shard").sortWithinPartitions("_mx_shard", F.xxhash64("_mx_hash", F.lit(SEED + 1)))
+    """The mixture's rows with all columns of m, dealt to shards, a partition each, and shuffled in them."""
+    keys = F.array(*[F.lit(k) for k in _even_keys(m.sparkSession, shards)])
+    m = m.withColumn("_mx_shard", F.explode("_mx_shards")).withColumn("_mx_to", F.get(keys, F.col("_mx_shard")))
+    return m.repartition(shards, "_mx_to").sortWithinPartitions("_mx_shard", F.xxhash64("_mx_hash", F.lit(SEED + 1)))
 
 
 def _shards(docs: DataFrame) -> int:
@@ -209,12 +255,17 @@ def _shards(docs: DataFrame) -> int:
 
 
 def mix(docs: DataFrame, shards: int | None = None) -> DataFrame:
-    """The mixture's rows: each document as often as it is taken, with `_mx_shard`, shuffled inside its shard.
+    """The mixture's rows: each document as often as it is taken, with its shard, shuffled inside its shard.
 
+    The shard's column is `_mx_shard`, with a `_` more for as long as docs has one of that name.
     shards: as many as there are shuffle partitions unless given.
     """
     shards = shards or _shards(docs)
-    return _mixed(mixture(docs, shards)[0], shards).select(*[F.col(f"`{c}`") for c in docs.columns], "_mx_shard")
+    name = "_mx_shard"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    columns = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    return _mixed(mixture(docs, shards)[0], shards).select(*columns, F.col("_mx_shard").alias(name))
 
 
 def op9_mixing(docs: DataFrame) -> DataFrame:
@@ -225,8 +276,8 @@ def op9_mixing(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", "source")
     shards = _shards(docs)
     m, sizes = mixture(docs, shards)
-    mixed = _mixed(m, shards).select("_mx_k", "_mx_hash", word_count(F.col("text")).alias("words"))
-    # Rows equal in source, doc_id and text are taken equally often.
+    mixed = _mixed(m, shards).select("_mx_k", "_mx_hash", word_count(F.col("row.text")).alias("words"))
+    # Rows of one hash, if any, are taken equally often.
     count = sizes.select("_mx_k", "_mx_hash", F.lit(1).alias("n"), F.lit(0).cast("long").alias("words"))
     count = count.union(mixed.select("_mx_k", "_mx_hash", F.lit(0), "words")).groupBy("_mx_k", "_mx_hash").agg((F.sum("words") / F.sum("n")).cast("long").alias("taken"))
     out = sizes.join(count, ["_mx_k", "_mx_hash"])
