@@ -25,18 +25,20 @@ ENUMS: dict[str, tuple[str, ...]] = {
     "access_status": ("FULL_ACCESS", "PARTIAL_ACCESS", "METADATA_ONLY", "UNAVAILABLE"),
     "authority_tier": ("authoritative", "corroborative", "discovery-only", "rejected"),
     "locator_capability": ("PAGE", "PLATE", "CHAPTER_SECTION", "TERM_ID", "STABLE_ENTRY", "INSUFFICIENT"),
-    "source_status": ("VERIFIED", "UNVERIFIED", "REJECTED"),
+    "source_status": ("UNVERIFIED", "VERIFIED"),
     "reviewer_status": ("ACTIVE", "INACTIVE"),
-    "evidence_disposition": ("SUPPORTED", "CANDIDATE", "REJECTED"),
-    "review_state": ("VERIFIED", "UNVERIFIED", "REJECTED"),
-    "mapping_status": ("MAPPED", "UNMAPPED", "CANDIDATE"),
+    "evidence_disposition": ("CANDIDATE", "SUPPORTED", "REJECTED", "SUPERSEDED"),
+    "review_state": ("PENDING", "VERIFIED", "REJECTED"),
+    "mapping_status": ("UNMAPPED", "MAPPED", "REJECTED"),
     "unmapped_disposition": ("NOT_INVESTIGATED", "UNRESOLVED", "CONFIRMED_NO_EQUIVALENT"),
-    "relation": ("exact", "equivalent", "composite", "collective", "broader", "narrower", "related"),
+    "relation": ("exact", "equivalent", "target-broader", "target-narrower", "overlapping", "related", "composite", "collective", "obsolete-replaced"),
     "accepted_relation": ("exact", "equivalent", "composite", "collective"),
-    "mapping_disposition": ("VERIFIED", "CANDIDATE", "REJECTED"),
+    "mapping_disposition": ("CANDIDATE", "VERIFIED", "REJECTED", "SUPERSEDED"),
     "audit_type": ("source-verification", "medical-review", "release-eligibility"),
-    "audit_status": ("PASSED", "FAILED", "PENDING"),
+    "audit_status": ("PENDING", "PASSED", "REJECTED"),
     "conflict_status": ("OPEN", "ADJUDICATED", "REJECTED"),
+    "conflict_type": ("identity-disagreement", "granularity-disagreement", "contextual-difference", "edition-version-difference", "competing-preferred-terminology"),
+    "review_status": ("UNMAPPED", "DRAFT", "SOURCE_VERIFIED", "MEDICAL_REVIEWED", "VERIFIED", "RELEASE_ELIGIBLE", "REJECTED"),
 }
 
 

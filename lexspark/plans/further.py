@@ -136,7 +136,7 @@ def supplier_registry(spark, sf_dir):
         F.struct(*[F.lit(c in CAPABILITIES.values()).alias(c) for c in ("identity", "canonical", "target_preferred", "corroboration", "machine_discovery")]).alias("capabilities"), F.struct(F.when(F.col("n") % 7 == 0, "UNVERIFIED").otherwise("VERIFIED").alias("status")).alias("audit"))
     at = F.struct(F.when(k % 13 != 0, 1).alias("page"), *[none.alias(c) for c in ("plate", "entry_id", "nomenclature_id", "chapter", "section", "table", "url")])
     claim = F.explode(F.array(F.struct(F.lit("c1").alias("id"), F.lit("identity").alias("type"), F.col("concept_id").alias("target")), F.struct(F.lit("c2").alias("id"), F.lit("target-preferred").alias("type"), F.col("name").alias("target"))))
-    claims = s.select("concept_id", "name", text("n").alias("source_id"), F.lit("r1").alias("source_revision"), at.alias("locator"), F.lit("SUPPORTED").alias("evidence_disposition"), F.when(k % 11 == 0, "UNVERIFIED").otherwise("VERIFIED").alias("review_state"))
+    claims = s.select("concept_id", "name", text("n").alias("source_id"), F.lit("r1").alias("source_revision"), at.alias("locator"), F.lit("SUPPORTED").alias("evidence_disposition"), F.when(k % 11 == 0, "PENDING").otherwise("VERIFIED").alias("review_state"))
     claims = claims.select("*", claim.alias("c")).select("concept_id", "source_id", "source_revision", "locator", "evidence_disposition", "review_state", "c.*")
     entries = s.select("concept_id", F.struct(F.concat(F.lit(" "), F.col("name")).alias("preferred")).alias("target"), F.when(k % 2 == 0, "MAPPED").otherwise("UNMAPPED").alias("mapping_status"), F.when(k % 3 != 0, "CONFIRMED_NO_EQUIVALENT").otherwise("UNRESOLVED").alias("mapping_disposition"), F.lit("v2").alias("revision"))
     mappings = s.filter("k % 2 = 0").select("concept_id", F.lit("m1").alias("id"), F.lit("LOCAL").alias("namespace"), F.col("concept_id").alias("identifier"), F.lit("r1").alias("source_revision"), F.lit("exact").alias("relation"), F.when(k % 17 == 0, "CANDIDATE").otherwise("VERIFIED").alias("disposition"), F.array(F.lit("c1")).alias("evidence_claim_ids"))
