@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import base_name, exact_key, extra_scope_words, first_of, first_with_prefix, fold_key, scope_safe_key, side, tag_signals, terms
+from lexspark.operators.topk import first_k
+from lexspark.sources.io import shared_path
 
 #: Reasons in order of strength.
 REASONS = ("exact", "normalised", "terminology_id", "source_code")
@@ -45,13 +47,22 @@ def match_entities(concepts: DataFrame, keys: DataFrame) -> DataFrame:
     return found.select("concept_id", "evidence_id", F.when(F.array_contains(r, "exact"), F.array_remove(r, "normalised")).otherwise(r).alias("reasons"))
 
 
+def ends(names: DataFrame, key: str = "key", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, lo, hi) of names: the least and the greatest concept of each key, as structs (concept_id, *carry).
+
+    Whether a row has no concept, one or several follows from these two alone, so a join on the key
+    gives a row for a row, however many concepts share a key.
+    """
+    c = F.struct("concept_id", *carry)
+    return names.filter(F.col("concept_id").isNotNull()).groupBy(key).agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+
+
 def unique_match(variants: DataFrame, names: DataFrame) -> DataFrame:
     """variants (row_id, tier, key) joined with names (key, concept_id): row_id, outcome NONE / ONE / MANY, concept_id and tier if one."""
-    hits = variants.join(names, "key").groupBy("row_id").agg(F.count_distinct("concept_id").alias("n"), F.min_by("concept_id", "tier").alias("concept_id"), F.min("tier").alias("tier"))
-    out = variants.select("row_id").distinct().join(hits, "row_id", "left")
-    one = F.col("n") == 1
-    outcome = F.when(F.col("n").isNull(), "NONE").when(one, "ONE").otherwise("MANY")
-    return out.select("row_id", outcome.alias("outcome"), F.when(one, F.col("concept_id")).alias("concept_id"), F.when(one, F.col("tier")).alias("tier"))
+    hits = variants.join(ends(names), "key", "left").groupBy("row_id").agg(F.min("lo.concept_id").alias("lo"), F.max("hi.concept_id").alias("hi"), F.min(F.when(F.col("lo").isNotNull(), F.col("tier"))).alias("tier"))
+    one = F.col("lo").eqNullSafe(F.col("hi")) & F.col("lo").isNotNull()
+    outcome = F.when(F.col("lo").isNull(), "NONE").when(one, "ONE").otherwise("MANY")
+    return hits.select("row_id", outcome.alias("outcome"), F.when(one, F.col("lo")).alias("concept_id"), F.when(one, F.col("tier")).alias("tier"))
 
 
 def localisation_gate(rows: DataFrame, concepts: DataFrame, scope: Sequence[str], sides: Sequence[str], wrapper: str, blocked: str) -> DataFrame:
@@ -67,7 +78,9 @@ def localisation_gate(rows: DataFrame, concepts: DataFrame, scope: Sequence[str]
     by_alias = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: way(3, "SYNONYM", a))
     named = r.select("row_id", F.explode(F.concat(forms, by_alias)).alias("f")).select("row_id", "f.*").filter("term is not null").withColumn("key", scope_safe_key("term"))
     targets = concepts.select("concept_id", "name", scope_safe_key("name").alias("key"))
-    hits = named.join(targets, "key").groupBy("row_id").agg(F.count_distinct("concept_id").alias("n"), F.max_by(F.struct("concept_id", "name", "method"), "rank").alias("hit"))
+    met = named.join(ends(targets, carry=["name"]), "key")
+    hits = met.groupBy("row_id").agg(F.min("lo.concept_id").alias("_lo"), F.max("hi.concept_id").alias("_hi"), F.max_by(F.struct("lo.concept_id", "lo.name", "method"), "rank").alias("hit"))
+    hits = hits.select("row_id", "hit", F.when(F.col("_lo") == F.col("_hi"), 1).otherwise(2).alias("n"))
     d = r.join(hits, "row_id", "left").withColumns({"concept_id": F.col("hit.concept_id"), "name": F.col("hit.name"), "method": F.col("hit.method")})
     extra = extra_scope_words(scope_safe_key("core"), scope_safe_key("name"), scope)
     here = F.when(F.col("declared").isin(list(sides)), F.col("declared")).otherwise(side(scope_safe_key("core"), sides))
@@ -111,33 +124,77 @@ def compare_semantics(matches: DataFrame, rules: Sequence[tuple[str, str]], cate
     return m.select("concept_id", "evidence_id", F.explode(F.array_compact(F.array(*found))).alias("f")).select("concept_id", "evidence_id", "f.*")
 
 
-def shared_membership(membership: DataFrame, show: int = 25) -> DataFrame:
+#: Users of an element from which it is hot: its neighbours are counted by bitmaps, not by pairs.
+HOT = 512
+
+
+def shared_membership(membership: DataFrame, show: int = 25, hot: int = HOT) -> DataFrame:
     """Per concept of (concept_id, element_id): elements, elements that others use, overlapping concepts, the first of them.
 
-    Elements of one concept alone drop out before the self-join.
+    Elements of one concept alone drop out first. Elements of fewer than `hot` concepts give pairs,
+    fewer than that for each member. The others give bitmaps: concepts are numbered, and concepts
+    with the same hot elements, which have the same neighbours through them, unite these elements'
+    bitmaps once. Pairs that the bitmaps have counted already are left out by the elements that
+    their two concepts share. The first overlaps come from the least `show` + 1 concepts of each
+    element. So an element that all concepts have costs no row for a pair.
     """
     m = membership.select("concept_id", "element_id").distinct()
     # counted and joined rather than windowed: a hot element's rows may then be split among tasks
     counted = m.join(m.groupBy("element_id").agg(F.count("*").alias("users")), "element_id")
-    shared = counted.filter("users > 1").select("concept_id", "element_id")
-    pairs = shared.join(shared.select(F.col("concept_id").alias("other"), "element_id"), "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
-    over = pairs.groupBy("concept_id").agg(F.count("*").alias("overlapping"), F.slice(F.array_sort(F.collect_list("other")), 1, show).alias("first_overlaps"))
     per = counted.groupBy("concept_id").agg(F.count("*").alias("elements"), F.count_if(F.col("users") > 1).alias("shared_elements"))
-    return per.join(over, "concept_id", "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(0)))
+    shared = counted.filter("users > 1").select("concept_id", "element_id", "users")
+    cold = shared.filter(F.col("users") < hot).select("concept_id", "element_id")
+    pairs = cold.join(cold.select(F.col("concept_id").alias("other"), "element_id"), "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
+    warm = shared.filter(F.col("users") >= hot).select("concept_id", "element_id")
+    if not warm.limit(1).count():
+        over = pairs.groupBy("concept_id").agg(F.count("*").alias("overlapping"))
+    else:
+        spark = membership.sparkSession
+        at = shared_path(spark, "membership")
+        # A concept's hot elements are a set of its own; its number, once written, stays the same.
+        sets = warm.groupBy("concept_id").agg(F.array_sort(F.collect_set("element_id")).alias("hot"))
+        sets.select("concept_id", "hot", F.sha2(F.to_json("hot"), 256).alias("set"), F.monotonically_increasing_id().alias("number")).write.parquet(f"{at}/sets")
+        sets = spark.read.parquet(f"{at}/sets")
+        bits = warm.join(sets.select("concept_id", "number"), "concept_id").groupBy("element_id", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+        kinds = sets.groupBy("set").agg(F.any_value("hot").alias("hot")).select("set", F.explode("hot").alias("element_id"))
+        united = kinds.join(bits, "element_id").groupBy("set", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        sizes = united.groupBy("set").agg(F.sum(F.bitmap_count("bits")).alias("near"))
+        by_bits = sets.join(sizes, "set").select("concept_id", (F.col("near") - 1).alias("n"))
+        mine, theirs = sets.select("concept_id", "hot"), sets.select(F.col("concept_id").alias("other"), F.col("hot").alias("_hot"))
+        fresh = pairs.join(mine, "concept_id", "left").join(theirs, "other", "left").filter(~F.coalesce(F.arrays_overlap("hot", "_hot"), F.lit(False)))
+        over = by_bits.union(fresh.groupBy("concept_id").agg(F.count("*").alias("n"))).groupBy("concept_id").agg(F.sum("n").alias("overlapping"))
+    least = first_k(shared.select("element_id", "concept_id"), ["element_id"], [F.col("concept_id")], show + 1).select("element_id", F.col("concept_id").alias("other"))
+    seen = shared.select("concept_id", "element_id").join(least, "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
+    first = first_k(seen, ["concept_id"], [F.col("other")], show).groupBy("concept_id").agg(F.array_sort(F.collect_list("other")).alias("first_overlaps"))
+    return per.join(over, "concept_id", "left").join(first, "concept_id", "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(0)))
+
+
+def _sided(concepts: DataFrame, membership: DataFrame, words: Sequence[str]) -> DataFrame:
+    c = concepts.select("concept_id", base_name("name", words).alias("base"), F.arrays_overlap(F.split(fold_key("name"), " "), F.array(*[F.lit(w) for w in words])).alias("sided"))
+    return c.join(membership.select("concept_id", "element_id").distinct(), "concept_id")
 
 
 def sided_siblings(concepts: DataFrame, membership: DataFrame, words: Sequence[str]) -> DataFrame:
-    """Unsided concepts that share an element with a sided one of the same base name: (concept_id, sibling_id)."""
-    c = concepts.select("concept_id", base_name("name", words).alias("base"), F.arrays_overlap(F.split(fold_key("name"), " "), F.array(*[F.lit(w) for w in words])).alias("sided"))
-    m = c.join(membership, "concept_id")
+    """Unsided concepts that share an element with a sided one of the same base name: (concept_id, sibling_id).
+
+    The output is pairs, so it grows with the product of a base name's unsided and sided concepts;
+    whether a concept has any is with_sided_sibling, which makes none.
+    """
+    m = _sided(concepts, membership, words)
     a = m.filter("not sided").select("concept_id", "base", "element_id")
     b = m.filter("sided").select(F.col("concept_id").alias("sibling_id"), "base", "element_id")
     return a.join(b, ["base", "element_id"]).select("concept_id", "sibling_id").distinct()
 
 
+def with_sided_sibling(concepts: DataFrame, membership: DataFrame, words: Sequence[str]) -> DataFrame:
+    """The concept_ids that sided_siblings has, without its pairs."""
+    m = _sided(concepts, membership, words)
+    return m.filter("not sided").join(m.filter("sided").select("base", "element_id").distinct(), ["base", "element_id"], "left_semi").select("concept_id").distinct()
+
+
 def membership_heuristics(concepts: DataFrame, membership: DataFrame, aggregate_pattern: str, words: Sequence[str], many: int = 8) -> DataFrame:
     """Per concept: counts of shared_membership, aggregate_or_composite, unsided_with_sided_sibling, ontology_risk."""
-    s = sided_siblings(concepts, membership, words).select("concept_id").distinct().withColumn("sibling", F.lit(True))
+    s = with_sided_sibling(concepts, membership, words).withColumn("sibling", F.lit(True))
     out = concepts.select("concept_id", "name").join(shared_membership(membership), "concept_id", "left").join(s, "concept_id", "left")
     sib, el = F.coalesce("sibling", F.lit(False)), F.coalesce("elements", F.lit(0))
     aggregate = (el >= many) | fold_key("name").rlike(aggregate_pattern)
@@ -150,6 +207,8 @@ def shared_identifier_bridge(a: DataFrame, b: DataFrame, release: str) -> DataFr
     Adds how many partners each end has; every pair is for review only.
     """
     live = lambda d: d.filter((F.col("release") == release) & ~F.coalesce("suppressed", F.lit(False)))
-    p = live(a).select(F.col("atom_id").alias("left_id"), "identifier").join(live(b).select(F.col("atom_id").alias("right_id"), "identifier"), "identifier").distinct()
-    n = lambda c: F.count("*").over(Window.partitionBy(c))
-    return p.withColumns({"left_partners": n("left_id"), "right_partners": n("right_id"), "status": F.lit("REVIEW_ONLY")})
+    left = live(a).select(F.col("atom_id").alias("left_id"), "identifier").distinct()
+    right = live(b).select(F.col("atom_id").alias("right_id"), "identifier").distinct()
+    p = left.join(right, "identifier")
+    n = lambda c, other: p.groupBy(c).agg(F.count_distinct(other).alias(f"{c.split('_')[0]}_partners"))
+    return p.join(n("left_id", "right_id"), "left_id").join(n("right_id", "left_id"), "right_id").withColumn("status", F.lit("REVIEW_ONLY"))

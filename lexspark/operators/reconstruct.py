@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import collapse, join_fragments, split_at_accent, split_synonyms
+from lexspark.functions.text import collapse, fold_key, join_fragments, split_at_accent, split_synonyms
+from lexspark.operators.match import unique_match
 from lexspark.operators.metrics import demote_duplicates
 
 
@@ -41,14 +42,16 @@ def line_facts(text: Column | str, code: str, counter: str, headers: Sequence[st
     return F.struct(F.nullif(one, F.lit("")).alias("code"), collapse(rest).alias("rest"), F.when(one == "", F.nullif(said, F.lit(""))).alias("counter"), header.alias("header"), t.rlike(f"(?i){residue}").alias("residue"))
 
 
-def rebuild_stream(lines: DataFrame, code: str, counter: str, complete: str, page: str, heading: str = r"^\s*##\s+(.*)$", residue: str = r"(?:^|\s)(?:of|the|and)(?:\s|$)") -> DataFrame:
-    """One audit row for each block of a rendered stream: printed_id, page, section, pivot, target, status, reasons, line_start, line_end.
+def rebuild_stream(lines: DataFrame, names: DataFrame, code: str, counter: str, complete: str, page: str, heading: str = r"^\s*##\s+(.*)$", residue: str = r"(?:^|\s)(?:of|the|and)(?:\s|$)") -> DataFrame:
+    """One audit row for each block of a rendered stream: printed_id, page, section, pivot, target, concept_id, status, reasons, line_start, line_end.
 
     lines: doc_id, line, text. Patterns: code, a line that opens a block, with the code as group 1 and
     the rest as group 2; counter, a continuation that opens with the last digits of the id (group 1)
     and its rest (group 2); complete, a whole id; page, a page label with its number as group 1.
     Columns merged in a line are cut at the first accented word, fragments are joined in order. A
-    row is EXACT only if nothing speaks against it; ids that two blocks have are demoted.
+    row that nothing speaks against is matched with names (concept_id, name) by its folded pivot
+    term, as written or without the brackets around it: EXACT if one concept has that name, else
+    UNMATCHED. Ids that two blocks have are demoted.
     """
     t = F.col("text")
     first = lambda p, g: F.nullif(F.regexp_extract(t, p, g), F.lit(""))
@@ -74,9 +77,15 @@ def rebuild_stream(lines: DataFrame, code: str, counter: str, complete: str, pag
         F.when(F.col("crossed"), "CROSSED_HEADING"), F.when(F.col("printed_id").isNull(), "INCOMPLETE_ID"), F.when((F.col("markers") > 1) | (F.size("counters") > 1), "MULTIPLE_COUNTERS"),
         F.when(F.col("printed_id").isNotNull() & ~F.col("printed_id").rlike(complete), "MALFORMED_ID"), F.when(F.col("other"), "EMBEDDED_ENTRY"),
         F.when(F.col("pivot") == "", "INCOMPLETE_PIVOT"), F.when(F.col("target") == "", "INCOMPLETE_TARGET"), F.when(F.col("target").rlike(residue), "PIVOT_RESIDUE_IN_TARGET")))
-    g = g.withColumn("reasons", reasons).withColumn("status", F.when(F.size("reasons") > 0, "INTEGRITY_REVIEW").otherwise("EXACT"))
+    g = g.withColumn("reasons", reasons)
+    row, bare = F.struct("doc_id", "block"), F.trim(F.regexp_replace("pivot", r"^[(\[]+|[)\]]+$", ""))
+    tries = g.filter(F.size("reasons") == 0).select(row.alias("row_id"), F.explode(F.array_distinct(F.array(fold_key("pivot"), fold_key(bare)))).alias("key")).withColumn("tier", F.lit(1))
+    one = unique_match(tries, names.select("concept_id", fold_key("name").alias("key")).filter("key <> ''")).filter("outcome = 'ONE'").select("row_id.doc_id", "row_id.block", "concept_id")
+    g = g.join(one, ["doc_id", "block"], "left")
+    lost = (F.size("reasons") == 0) & F.col("concept_id").isNull()
+    g = g.withColumn("status", F.when(F.size("reasons") > 0, "INTEGRITY_REVIEW").when(lost, "UNMATCHED").otherwise("EXACT")).withColumn("reasons", F.when(lost, F.array(F.lit("UNMATCHED"))).otherwise(F.col("reasons")))
     g = demote_duplicates(g, "printed_id", to="INTEGRITY_REVIEW")
-    return g.select("doc_id", "block", "printed_id", "page", "section", "line_start", "line_end", "pivot", "target", "status", "reasons")
+    return g.select("doc_id", "block", "printed_id", "page", "section", "line_start", "line_end", "pivot", "target", "concept_id", "status", "reasons")
 
 
 def extract_coded(lines: DataFrame, code: str, marker: str, page: str = r"^=== PDF_PAGE (\d+) ===$", external: str = r"(?<!\d)(\d{6,18})(?!\d)") -> DataFrame:
@@ -103,12 +112,12 @@ def extract_coded(lines: DataFrame, code: str, marker: str, page: str = r"^=== P
     return g.select("doc_id", "code", "page", *[F.when(ok, F.col(c)).alias(c) for c in ("target", "external_id", "pivot")], "reject")
 
 
-def rebuild_table(words: DataFrame, columns: Sequence[tuple[float, str]], tolerance: float = 1.5, gap: float = 0.7, largest: int = 9999) -> DataFrame:
+def rebuild_table(words: DataFrame, columns: Sequence[tuple[float, str]], tolerance: float = 1.5, gap: float = 0.7, largest: int | None = None) -> DataFrame:
     """Table rows of positioned words (doc_id, page, x0, x1, top, text): doc_id, page, entry_id, cells (map of column to text).
 
     columns: (right bound, name); words of the column "number" number the rows. A line takes the
     words within the tolerance of its first word's top, which only a walk over the page can tell;
-    pages are small and each is one group.
+    pages are small and each is one group. largest: the greatest number that numbers a row, if there is one.
     """
     bounds = [(float(b), n) for b, n in columns]
 
@@ -128,7 +137,7 @@ def rebuild_table(words: DataFrame, columns: Sequence[tuple[float, str]], tolera
     d = d.withColumn("column", name.otherwise("other"))
     number = F.when((F.col("column") == "number") & F.col("text").rlike(r"^\d{1,9}$"), F.col("text").cast("int"))
     per = d.groupBy("doc_id", "page", "line").agg(F.count(number).alias("n"), F.max(number).alias("id"))
-    start = (F.col("n") == 1) & F.col("id").between(1, largest)
+    start = (F.col("n") == 1) & (F.col("id") >= 1) & (F.lit(True) if largest is None else F.col("id") <= largest)
     w = Window.partitionBy("doc_id", "page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumns({"block": F.sum(start.cast("int")).over(w), "entry_id": F.last(F.when(start, F.col("id")), ignorenulls=True).over(w)}).filter("block > 0")
     cells = d.filter("column <> 'number'").join(per.select("doc_id", "page", "line", "block", "entry_id"), ["doc_id", "page", "line"])

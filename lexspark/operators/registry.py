@@ -304,15 +304,27 @@ def claim_gate(claims: DataFrame, sources: DataFrame, capabilities: Mapping[str,
     return k.withColumn("approved", _yes(ok)).drop("s")
 
 
-def mapping_gate(entries: DataFrame, mappings: DataFrame, gated: DataFrame, nomenclatures: Mapping[str, str], identity: str = "identity") -> DataFrame:
-    """(concept_id, mapping_ok): a verified mapping all of whose evidence is approved and exact; or confirmed to have no equivalent."""
-    ids = mappings.filter(F.col("relation").isin(*ENUMS["accepted_relation"]) & (F.col("disposition") == "VERIFIED")).select("concept_id", F.col("id").alias("mapping_id"), "namespace", "identifier", F.col("source_revision").alias("revision"), F.explode("evidence_claim_ids").alias("claim_id"))
+def approved_mappings(mappings: DataFrame, gated: DataFrame, nomenclatures: Mapping[str, str]) -> DataFrame:
+    """(concept_id, mapping_id, namespace, identifier, approved) of all mappings.
+
+    Approved: verified, of an accepted relation, with evidence, and every claim of it approved, at
+    the mapping's identifier and revision and, in a nomenclature, of its type and at its locator.
+    """
+    m = mappings.select("concept_id", F.col("id").alias("mapping_id"), "namespace", "identifier", F.col("source_revision").alias("revision"), _yes(F.col("relation").isin(*ENUMS["accepted_relation"]) & (F.col("disposition") == "VERIFIED")).alias("_sound"), "evidence_claim_ids")
     k = gated.select("concept_id", F.col("id").alias("claim_id"), "type", "target", "source_revision", "locator", "approved")
     want = F.lit(None).cast("string")
     for name, kind in nomenclatures.items():
         want = F.when(F.upper("namespace") == name.upper(), kind).otherwise(want)
     good = F.col("approved") & (F.col("target") == F.col("identifier")) & (F.col("source_revision") == F.col("revision")) & (want.isNull() | ((F.col("type") == want) & (F.col("locator.nomenclature_id") == F.col("identifier"))))
-    per = ids.join(k, ["concept_id", "claim_id"], "left").groupBy("concept_id", "mapping_id").agg(F.bool_and(_yes(good)).alias("ok")).groupBy("concept_id").agg(F.bool_or("ok").alias("_mapped"))
+    ids = m.filter("_sound").withColumn("claim_id", F.explode("evidence_claim_ids"))
+    per = ids.join(k, ["concept_id", "claim_id"], "left").groupBy("concept_id", "mapping_id", "namespace", "identifier").agg(F.bool_and(_yes(good)).alias("_ok"))
+    keys = ["concept_id", "mapping_id", "namespace", "identifier"]
+    return m.select(*keys).distinct().join(per, keys, "left").select(*keys, _yes(F.col("_ok")).alias("approved"))
+
+
+def mapping_gate(entries: DataFrame, mappings: DataFrame, gated: DataFrame, nomenclatures: Mapping[str, str], identity: str = "identity") -> DataFrame:
+    """(concept_id, mapping_ok): a verified mapping all of whose evidence is approved and exact; or confirmed to have no equivalent."""
+    per = approved_mappings(mappings, gated, nomenclatures).groupBy("concept_id").agg(F.bool_or("approved").alias("_mapped"))
     known = gated.filter((F.col("type") == identity) & (F.col("target") == F.col("concept_id")) & F.col("approved")).select("concept_id").distinct().withColumn("_identity", F.lit(True))
     e = entries.select("concept_id", "mapping_status", "mapping_disposition").join(per, "concept_id", "left").join(known, "concept_id", "left")
     ok = F.when(F.col("mapping_status") == "MAPPED", _yes(F.col("_mapped"))).otherwise((F.col("mapping_status") == "UNMAPPED") & (F.col("mapping_disposition") == "CONFIRMED_NO_EQUIVALENT") & _yes(F.col("_identity")))
@@ -384,9 +396,24 @@ def resolve_names(concepts: DataFrame, released: DataFrame, catalogue: DataFrame
     return d.select("concept_id", F.coalesce("_r", "_k", "name").alias("display_name"), origin.alias("origin"))
 
 
-def search_terms(concepts: DataFrame, display: DataFrame, aliases: DataFrame, gated: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """(concept_id, term, key): name, id, display name, and those aliases (type, target) and mapping identifiers that an approved claim carries."""
-    ok = gated.filter("approved").select("concept_id", "type", "target").distinct()
-    parts = [concepts.select("concept_id", F.explode(F.array("name", "concept_id")).alias("term")), display.select("concept_id", F.col("display_name").alias("term")), aliases.join(ok, ["concept_id", "type", "target"], "left_semi").select("concept_id", F.col("target").alias("term")), identifiers.select("concept_id", F.col("identifier").alias("term"))]
+def search_terms(concepts: DataFrame, display: DataFrame, aliases: DataFrame, gated: DataFrame, mappings: DataFrame, elements: DataFrame | None = None, released: DataFrame | None = None, identity: str = "identity") -> DataFrame:
+    """(concept_id, term, key): the name, id and display name, and what has a claim of its own that is approved.
+
+    aliases (concept_id, type, target, and a language if it must be released): those with an approved
+    claim of their type. mappings (concept_id, identifier, approved): approved_mappings. elements
+    (concept_id, element_id): of those that a concept has, the ones with an approved identity claim.
+    released (concept_id, language): languages that are released; without it none is.
+    """
+    ok = gated.filter("approved").select("concept_id", "type", F.trim("target").alias("target")).distinct()
+    if "language" in aliases.columns:
+        free = aliases.filter("language is null")
+        bound = aliases.filter("language is not null")
+        aliases = free if released is None else free.union(bound.join(released.select("concept_id", "language").distinct(), ["concept_id", "language"], "left_semi").select(*free.columns))
+    said = aliases.withColumn("target", F.trim("target")).join(ok, ["concept_id", "type", "target"], "left_semi")
+    parts = [concepts.select("concept_id", F.explode(F.array("name", "concept_id")).alias("term")), display.select("concept_id", F.col("display_name").alias("term")), said.select("concept_id", F.col("target").alias("term"))]
+    parts.append(mappings.filter("approved").select("concept_id", F.col("identifier").alias("term")))
+    if elements is not None:
+        known = ok.filter(F.col("type") == identity).select("concept_id", F.col("target").alias("element_id"))
+        parts.append(elements.join(known, ["concept_id", "element_id"], "left_semi").select("concept_id", F.col("element_id").alias("term")))
     out = reduce(lambda a, b: a.union(b), parts).distinct()
     return out.withColumn("key", fold_key("term")).filter("key <> ''")

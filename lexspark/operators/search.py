@@ -4,23 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import fold_key
+from lexspark.operators.topk import first_k
 
 
-def search(terms: DataFrame, query: str, limit: int = 80, by_length: bool = True) -> DataFrame:
+def search(terms: DataFrame, query: str, limit: int = 80, by_length: bool = True, default: Sequence[str] = ()) -> DataFrame:
     """Entities (concept_id, display_name, pos, keys) with a key that contains the folded query: shortest name first, then input order.
 
-    by_length False: in input order. An empty query finds nothing.
+    by_length False: in input order. An empty query gives the default list: for each of its names, in
+    its order, the first entity that has that name as a key; none without a list.
     """
+    if not query.strip():
+        return default_list(terms, default)
     q = fold_key(F.lit(query))
     hit = (q != "") & F.exists("keys", lambda k: F.contains(k, q))
     order = [F.length("display_name"), F.col("pos")] if by_length else [F.col("pos")]
     return terms.filter(hit).orderBy(*order).limit(limit).select("concept_id", "display_name", "pos")
 
 
+def default_list(terms: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The first entity, in input order, of each name, in the order of the names; names without an entity are left out."""
+    wanted = terms.sparkSession.createDataFrame(list(enumerate(names)), "_at int, _name string").withColumn("_key", fold_key("_name"))
+    met = terms.select("concept_id", "display_name", "pos", F.explode("keys").alias("_key")).join(F.broadcast(wanted), "_key")
+    first = met.groupBy("_at").agg(F.min(F.struct("pos", "concept_id", "display_name")).alias("f"))
+    return first.orderBy("_at").select("f.concept_id", "f.display_name", "f.pos")
+
+
 def grams(c, n: int = 3):
     """Distinct substrings of n characters."""
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substr(c, i, F.lit(n))))
@@ -44,8 +56,9 @@ def batch_search(terms: DataFrame, queries: DataFrame, limit: int = 80, n: int =
     index = index.join(q_grams.select("g").distinct(), "g", "left_semi")
     rarest = q_grams.join(index.groupBy("g").count(), "g", "left").groupBy("query_id", "q").agg(F.min_by("g", F.struct(F.coalesce("count", F.lit(0)), "g")).alias("g"))
     best = rarest.join(index, "g").filter(F.contains("key", F.col("q"))).select("query_id", "concept_id", "display_name", "pos").distinct()
-    w = Window.partitionBy("query_id").orderBy(F.length("display_name"), "pos", "concept_id")
-    return best.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).select("query_id", "rank", "concept_id", "display_name")
+    # Ranked in parts first: a query of one letter has hits without number.
+    top = first_k(best, ["query_id"], [F.length("display_name"), F.col("pos"), F.col("concept_id")], limit)
+    return top.select("query_id", "rank", "concept_id", "display_name")
 
 
 def visible(df: DataFrame, categories: Sequence[str], ids: Sequence[str], isolate: bool = False, category: str = "category", key: str = "id") -> DataFrame:

@@ -185,16 +185,24 @@ def release_gate(spark, sf_dir):
     return registry.release_gate(supplier_registry(spark, sf_dir), CAPABILITIES, {})
 
 
-@query(f"""SELECT DISTINCT concept_id, term, lower(term) AS key FROM (SELECT concept_id, unnest([s_name, concept_id, 'shown ' || k]) AS term FROM {GATES} UNION ALL SELECT concept_id, s_name FROM {GATES} WHERE approved UNION ALL SELECT concept_id, 'X' || k FROM {GATES})""")
+@query(f"""SELECT DISTINCT concept_id, term, lower(term) AS key FROM (SELECT concept_id, unnest([s_name, concept_id, 'shown ' || k]) AS term FROM {GATES} UNION ALL SELECT concept_id, s_name FROM {GATES} WHERE approved
+UNION ALL SELECT concept_id, 'X' || k FROM {GATES} WHERE approved AND k % 2 = 0 AND k % 17 <> 0 UNION ALL SELECT concept_id, 'E' || k FROM {GATES} g JOIN supplier s ON s_suppkey = k WHERE approved AND s_acctbal > 0 AND s_nationkey > 3)""")
 def search_surface(spark, sf_dir):
-    """Names, ids and shown names; aliases only with an approved claim."""
+    """Names, ids and shown names; aliases, mapped identifiers and element ids only with an approved claim of their own."""
     t = supplier_registry(spark, sf_dir)
-    gated = registry.claim_gate(t["claims"], t["sources"], CAPABILITIES)
     c = t["entries"].select("concept_id", F.trim("target.preferred").alias("name"))
-    display = c.select("concept_id", F.concat(F.lit("shown "), F.substring("concept_id", 2, 20)).alias("display_name"))
+    number = F.substring("concept_id", 2, 20)
+    s = read(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("concept_id"), "s_acctbal", "s_nationkey")
+    # Claims of their own for the mapped identifier, of everyone, and for the element, of those with an account in credit.
+    first = t["claims"].filter("id = 'c1'")
+    claims = t["claims"].unionByName(first.withColumns({"id": F.lit("c3"), "target": F.concat(F.lit("X"), number)}))
+    claims = claims.unionByName(first.join(s.filter("s_acctbal > 0").select("concept_id"), "concept_id", "left_semi").withColumns({"id": F.lit("c4"), "target": F.concat(F.lit("E"), number)}))
+    gated = registry.claim_gate(claims, t["sources"], CAPABILITIES)
+    mappings = registry.approved_mappings(t["mappings"].withColumns({"identifier": F.concat(F.lit("X"), number), "evidence_claim_ids": F.array(F.lit("c3"))}), gated, {})
+    elements = s.filter("s_nationkey > 3").select("concept_id", F.concat(F.lit("E"), number).alias("element_id"))
+    display = c.select("concept_id", F.concat(F.lit("shown "), number).alias("display_name"))
     aliases = c.select("concept_id", F.lit("target-preferred").alias("type"), F.col("name").alias("target")).union(c.select("concept_id", F.lit("identity"), F.lit("never approved")))
-    identifiers = c.select("concept_id", F.concat(F.lit("X"), F.substring("concept_id", 2, 20)).alias("identifier"))
-    return registry.search_terms(c, display, aliases, gated, identifiers)
+    return registry.search_terms(c, display, aliases, gated, mappings, elements)
 
 
 @query("""SELECT code, entity_id FROM (SELECT unnest(list_filter([CASE WHEN k % 4 = 0 THEN 'invalid-reviewer-identity' END, CASE WHEN k % 5 = 0 THEN 'invalid-reviewer-status' END, CASE WHEN k % 6 = 0 THEN 'invalid-reviewer-evidence' END], lambda x: x IS NOT NULL)) AS code, k::VARCHAR AS entity_id FROM (SELECT s_suppkey AS k FROM supplier))
@@ -331,16 +339,22 @@ def table_rows(spark, sf_dir):
     return t.select("doc_id", "entry_id", F.element_at("cells", "name").alias("name"))
 
 
-@query("""WITH b AS (SELECT o_custkey % 40 AS doc, o_orderkey AS k, 'A01.1.01.' || lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS printed, o_orderkey % 5 AS m FROM orders), c AS (SELECT *, count(*) OVER (PARTITION BY printed) AS n FROM b)
-SELECT doc::VARCHAR AS doc_id, printed AS printed_id, 'deep part ' || k || CASE WHEN m = 1 THEN ' and more' ELSE '' END AS pivot, CASE WHEN m = 0 THEN '' ELSE 'phần ' || k END AS target, CASE WHEN n > 1 OR m = 0 THEN 'INTEGRITY_REVIEW' ELSE 'EXACT' END AS status, CASE WHEN m = 0 THEN 'INCOMPLETE_TARGET' ELSE '' END AS reasons FROM c""")
+@query("""WITH b AS (SELECT o_custkey % 40 AS doc, o_orderkey AS k, 'A01.1.01.' || lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS printed, o_orderkey % 5 AS m, o_orderstatus, o_totalprice FROM orders), c AS (SELECT *, count(*) OVER (PARTITION BY printed) AS n FROM b),
+r AS (SELECT *, CASE WHEN m = 0 THEN 'INCOMPLETE_TARGET' WHEN m = 1 OR o_orderstatus = 'P' OR o_totalprice > 400000 THEN 'UNMATCHED' ELSE '' END AS reasons FROM c)
+SELECT doc::VARCHAR AS doc_id, printed AS printed_id, 'deep part ' || k || CASE WHEN m = 1 THEN ' and more' ELSE '' END AS pivot, CASE WHEN m = 0 THEN '' ELSE 'phần ' || k END AS target, CASE WHEN reasons = '' THEN k END AS concept_id,
+CASE WHEN n > 1 OR m = 0 THEN 'INTEGRITY_REVIEW' WHEN reasons = '' THEN 'EXACT' ELSE 'UNMATCHED' END AS status, reasons FROM r""")
 def rebuilt_rows(spark, sf_dir):
-    """L1: rows of a rendered stream, with what speaks against them; ids that two rows have are demoted."""
+    """L1: rows of a rendered stream, what speaks against them, and the one concept that has their name; ids that two rows have are demoted."""
     o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     code = F.concat(F.lit("A01.1.01."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" deep part "), k.cast("string"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit(" phần "), k.cast("string"))))
     lines = o.select((F.col("o_custkey") % 40).cast("string").alias("doc_id"), F.explode(F.array(F.struct((2 * k).alias("line"), code.alias("text")), F.struct((2 * k + 1).alias("line"), F.when(k % 5 == 1, "and more").otherwise("").alias("text")))).alias("l")).select("doc_id", "l.*")
-    out = reconstruct.rebuild_stream(lines, r"^\s*(A\d{2}(?:\.\d{1,3})+\.?)\s*(.*)$", r"^(\d{3})\s+(.*)$", r"^A\d{2}(?:\.\d{1,3}){2}\.\d{3}$", r"^(\d+) Page$")
-    return out.select("doc_id", "printed_id", "pivot", "target", "status", F.array_join("reasons", ",").alias("reasons"))
+    # Dear orders' names are those of two concepts, and open ones have none.
+    name = F.concat(F.lit("Deep  part "), k.cast("string")).alias("name")
+    known = o.filter("o_orderstatus <> 'P'")
+    names = known.select(k.alias("concept_id"), name).union(known.filter("o_totalprice > 400000").select(-1 - k, name))
+    out = reconstruct.rebuild_stream(lines, names, r"^\s*(A\d{2}(?:\.\d{1,3})+\.?)\s*(.*)$", r"^(\d{3})\s+(.*)$", r"^A\d{2}(?:\.\d{1,3}){2}\.\d{3}$", r"^(\d+) Page$")
+    return out.select("doc_id", "printed_id", "pivot", "target", "concept_id", "status", F.array_join("reasons", ",").alias("reasons"))
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'QUARANTINED' ELSE 'RETAINED' END AS retention FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")

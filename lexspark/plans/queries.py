@@ -122,6 +122,16 @@ def shared_membership(spark, sf_dir):
     return match.shared_membership(m).drop("first_overlaps")
 
 
+@query("""WITH m AS (SELECT DISTINCT l_orderkey AS c, l_returnflag || l_linestatus || CASE WHEN l_quantity < 3 THEN l_suppkey::VARCHAR ELSE '' END AS e FROM lineitem), s AS (SELECT c, string_agg(e, ' ' ORDER BY e) AS marks FROM m GROUP BY 1), k AS (SELECT marks, count(*) AS n FROM s GROUP BY 1),
+o AS (SELECT a.marks, sum(b.n) AS n FROM k a JOIN k b ON list_has_any(string_split(a.marks, ' '), string_split(b.marks, ' ')) GROUP BY 1), f AS (SELECT a.marks, list_sort(list(b.c))[1:26] AS near FROM k a JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marks ORDER BY c) AS r FROM s) WHERE r <= 26) b ON list_has_any(string_split(a.marks, ' '), string_split(b.marks, ' ')) GROUP BY 1)
+SELECT s.c AS concept_id, (o.n - 1)::BIGINT AS overlapping, array_to_string(list_filter(near, lambda x: x <> s.c)[1:25], ',') AS first_overlaps FROM s JOIN o ON o.marks = s.marks JOIN f ON f.marks = s.marks""")
+def hot_membership(spark, sf_dir):
+    """Orders that share a flag and status, which thousands have, or a supplier of few pieces: neighbours counted without their pairs."""
+    e = F.concat("l_returnflag", "l_linestatus", F.when(F.col("l_quantity") < 3, F.col("l_suppkey").cast("string")).otherwise(""))
+    m = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("concept_id"), e.alias("element_id"))
+    return match.shared_membership(m, hot=64).select("concept_id", "overlapping", F.array_join(F.coalesce("first_overlaps", F.array().cast("array<bigint>")), ",").alias("first_overlaps"))
+
+
 def part_claims(spark, sf_dir):
     """Claims of part names: the base's word, reversed, and the head's word behind it."""
     p = compose.head_and_rest(read(spark, sf_dir, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("name")))
@@ -490,11 +500,12 @@ def quality_findings(spark, sf_dir):
 
 
 @query("""SELECT row_id, CASE WHEN n = 0 THEN 'NONE' WHEN n = 1 THEN 'ONE' ELSE 'MANY' END AS outcome, CASE WHEN n = 1 THEN k END AS concept_id
-FROM (SELECT l_orderkey || '/' || l_linenumber AS row_id, count(DISTINCT s_suppkey) AS n, min(s_suppkey) AS k FROM lineitem LEFT JOIN supplier ON s_acctbal > 5000 AND s_nationkey = l_suppkey % 25 GROUP BY 1)""")
+FROM (SELECT l_orderkey || '/' || l_linenumber AS row_id, count(DISTINCT s_suppkey) AS n, min(s_suppkey) AS k FROM lineitem LEFT JOIN supplier ON s_nationkey = l_suppkey % 25 AND floor(s_acctbal / 500) = floor(l_extendedprice / 4000) GROUP BY 1)""")
 def unique_match(spark, sf_dir):
     """A match counts only if it is the only one."""
-    v = read(spark, sf_dir, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("row_id"), F.lit(1).alias("tier"), (F.col("l_suppkey") % 25).cast("string").alias("key")).distinct()
-    n = read(spark, sf_dir, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").cast("string").alias("key"), F.col("s_suppkey").alias("concept_id"))
+    key = lambda a, b: F.concat_ws(":", a.cast("string"), F.floor(b).cast("string")).alias("key")
+    v = read(spark, sf_dir, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("row_id"), F.lit(1).alias("tier"), key(F.col("l_suppkey") % 25, F.col("l_extendedprice") / 4000))
+    n = read(spark, sf_dir, "supplier").select(key(F.col("s_nationkey"), F.col("s_acctbal") / 500), F.col("s_suppkey").alias("concept_id"))
     return match.unique_match(v, n).select("row_id", "outcome", "concept_id")
 
 

@@ -227,10 +227,12 @@ def test_any_gate_stops_the_release(spark, change):
 def test_rebuilt_stream(spark):
     text = ["12 Page", "## Heading one", "A01.1.01.001 Deep part phần sâu", "of hand", "A01.1.02. Long name tên dài", "003 tail đuôi", "A01.1.03.004 no target", "A01.1.04.005 One một", "## Next", "A01.1.05.006 Two hai", "A01.1.05.006 Two hai", "A01.1.06.007 Three ba bá", "see A01.1.01.001"]
     lines = spark.createDataFrame([("d", i, t) for i, t in enumerate(text)], "doc_id string, line int, text string")
-    out = reconstruct.rebuild_stream(lines, r"^\s*(A\d{2}(?:\.\d{1,3})+\.?)\s*(.*)$", r"^(\d{3})\s+(.*)$", r"^A\d{2}(?:\.\d{1,3}){2}\.\d{3}$", r"^(\d+) Page$")
+    names = spark.createDataFrame([("1", "deep part of HAND"), ("2", "Three"), ("3", "One"), ("4", "Twin"), ("5", "twin")], "concept_id string, name string")
+    out = reconstruct.rebuild_stream(lines, names, r"^\s*(A\d{2}(?:\.\d{1,3})+\.?)\s*(.*)$", r"^(\d{3})\s+(.*)$", r"^A\d{2}(?:\.\d{1,3}){2}\.\d{3}$", r"^(\d+) Page$")
     got = {r.block: r for r in out.collect()}
     assert (got[1].printed_id, got[1].page, got[1].section, got[1].pivot, got[1].target, got[1].status) == ("A01.1.01.001", 12, "Heading one", "Deep part of hand", "phần sâu", "EXACT")
-    assert got[2].printed_id == "A01.1.02.003" and got[2].status == "EXACT" and got[2].target == "tên dài đuôi"
+    assert got[1].concept_id == "1" and got[2].concept_id is None and got[2].reasons == ["UNMATCHED"]
+    assert got[2].printed_id == "A01.1.02.003" and got[2].status == "UNMATCHED" and got[2].target == "tên dài đuôi"
     assert "INCOMPLETE_TARGET" in got[3].reasons and "CROSSED_HEADING" in got[4].reasons and got[5].status == got[6].status == "INTEGRITY_REVIEW" and "EMBEDDED_ENTRY" in got[7].reasons
 
 
@@ -319,9 +321,9 @@ def test_names_and_search_terms(spark):
     d = registry.resolve_names(c, spark.createDataFrame([("1", "tay")], "concept_id string, term string"), spark.createDataFrame([("2", "foot", "chan"), ("3", "old name", "tai")], "concept_id string, name string, term string"))
     assert rows(d, "concept_id", "display_name", "origin") == [("1", "tay", "RELEASED"), ("2", "chan", "CATALOGUE"), ("3", "ear", "PIVOT")]
     gated = spark.createDataFrame([("1", "target-alias", "bàn tay", True), ("1", "target-alias", "no", False)], "concept_id string, type string, target string, approved boolean")
-    s = registry.search_terms(c, d, gated.drop("approved"), gated, spark.createDataFrame([("2", "X9")], "concept_id string, identifier string"))
+    s = registry.search_terms(c, d, gated.drop("approved"), gated, spark.createDataFrame([("2", "X9", True), ("2", "X8", False)], "concept_id string, identifier string, approved boolean"))
     keys = {(r.concept_id, r.key) for r in s.collect()}
-    assert ("1", "ban tay") in keys and ("1", "no") not in keys and ("2", "x9") in keys and ("1", "hand") in keys
+    assert ("1", "ban tay") in keys and ("1", "no") not in keys and ("2", "x9") in keys and ("2", "x8") not in keys and ("1", "hand") in keys
 
 
 def test_claims_and_ordinals(spark):
