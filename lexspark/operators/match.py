@@ -126,6 +126,8 @@ def compare_semantics(matches: DataFrame, rules: Sequence[tuple[str, str]], cate
 
 #: Users of an element from which it is hot: its neighbours are counted by bitmaps, not by pairs.
 HOT = 512
+#: Parts that the elements of one concept are dealt to.
+PARTS = 4096
 
 
 def shared_membership(membership: DataFrame, show: int = 25, hot: int = HOT) -> DataFrame:
@@ -163,9 +165,11 @@ def shared_membership(membership: DataFrame, show: int = 25, hot: int = HOT) ->
         mine, theirs = sets.select("concept_id", "hot"), sets.select(F.col("concept_id").alias("other"), F.col("hot").alias("_hot"))
         fresh = pairs.join(mine, "concept_id", "left").join(theirs, "other", "left").filter(~F.coalesce(F.arrays_overlap("hot", "_hot"), F.lit(False)))
         over = by_bits.union(fresh.groupBy("concept_id").agg(F.count("*").alias("n"))).groupBy("concept_id").agg(F.sum("n").alias("overlapping"))
-    least = first_k(shared.select("element_id", "concept_id"), ["element_id"], [F.col("concept_id")], show + 1).select("element_id", F.col("concept_id").alias("other"))
-    seen = shared.select("concept_id", "element_id").join(least, "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
-    first = first_k(seen, ["concept_id"], [F.col("other")], show).groupBy("concept_id").agg(F.array_sort(F.collect_list("other")).alias("first_overlaps"))
+    # The least show + 1 of a union are among those of its parts: of an element's concepts, then of a concept's elements, dealt out first.
+    some = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, show + 1).alias("near")
+    least = first_k(shared.select("element_id", "concept_id"), ["element_id"], [F.col("concept_id")], show + 1).groupBy("element_id").agg(F.collect_list("concept_id").alias("near"))
+    parts = shared.select("concept_id", "element_id").join(least, "element_id").groupBy("concept_id", F.pmod(F.xxhash64("element_id"), F.lit(PARTS)).alias("part")).agg(some("near"))
+    first = parts.groupBy("concept_id").agg(some("near")).select("concept_id", F.slice(F.filter("near", lambda x: x != F.col("concept_id")), 1, show).alias("first_overlaps"))
     return per.join(over, "concept_id", "left").join(first, "concept_id", "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(0)))
 
 

@@ -339,7 +339,7 @@ def table_rows(spark, sf_dir):
     return t.select("doc_id", "entry_id", F.element_at("cells", "name").alias("name"))
 
 
-@query("""WITH b AS (SELECT o_custkey % 40 AS doc, o_orderkey AS k, 'A01.1.01.' || lpad((o_orderkey % 1000)::VARCHAR, 3, '0') AS printed, o_orderkey % 5 AS m, o_orderstatus, o_totalprice FROM orders), c AS (SELECT *, count(*) OVER (PARTITION BY printed) AS n FROM b),
+@query("""WITH b AS (SELECT o_custkey % 40 AS doc, o_orderkey AS k, o_orderkey - CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey % 2 ELSE 0 END AS number, 'A01.' || (number // 1000 % 1000) || '.01.' || lpad((number % 1000)::VARCHAR, 3, '0') AS printed, o_orderkey % 5 AS m, o_orderstatus, o_totalprice FROM orders), c AS (SELECT *, count(*) OVER (PARTITION BY printed) AS n FROM b),
 r AS (SELECT *, CASE WHEN m = 0 THEN 'INCOMPLETE_TARGET' WHEN m = 1 OR o_orderstatus = 'P' OR o_totalprice > 400000 THEN 'UNMATCHED' ELSE '' END AS reasons FROM c)
 SELECT doc::VARCHAR AS doc_id, printed AS printed_id, 'deep part ' || k || CASE WHEN m = 1 THEN ' and more' ELSE '' END AS pivot, CASE WHEN m = 0 THEN '' ELSE 'phần ' || k END AS target, CASE WHEN reasons = '' THEN k END AS concept_id,
 CASE WHEN n > 1 OR m = 0 THEN 'INTEGRITY_REVIEW' WHEN reasons = '' THEN 'EXACT' ELSE 'UNMATCHED' END AS status, reasons FROM r""")
@@ -347,7 +347,8 @@ def rebuilt_rows(spark, sf_dir):
     """L1: rows of a rendered stream, what speaks against them, and the one concept that has their name; ids that two rows have are demoted."""
     o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    code = F.concat(F.lit("A01.1.01."), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit(" deep part "), k.cast("string"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit(" phần "), k.cast("string"))))
+    number = k - F.when(F.col("o_orderpriority") == "5-LOW", k % 2).otherwise(0)
+    code = F.concat(F.lit("A01."), (F.floor(number / 1000) % 1000).cast("string"), F.lit(".01."), F.lpad((number % 1000).cast("string"), 3, "0"), F.lit(" deep part "), k.cast("string"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit(" phần "), k.cast("string"))))
     lines = o.select((F.col("o_custkey") % 40).cast("string").alias("doc_id"), F.explode(F.array(F.struct((2 * k).alias("line"), code.alias("text")), F.struct((2 * k + 1).alias("line"), F.when(k % 5 == 1, "and more").otherwise("").alias("text")))).alias("l")).select("doc_id", "l.*")
     # Dear orders' names are those of two concepts, and open ones have none.
     name = F.concat(F.lit("Deep  part "), k.cast("string")).alias("name")
