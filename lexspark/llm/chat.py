@@ -6,7 +6,8 @@ turn is kept, merged into the one before it, relabelled, or preceded by an empty
 role; each choice has a cost, and dynamic programming finds the cheapest way through.
 
 A conversation may be of any length: rows are range-sorted by conversation and turn over the whole
-cluster, so a long one spans tasks, and each task's rows are cut after every PIECE of them. Each
+cluster, so a long one spans tasks, and each task's rows are cut by their number and by the bytes
+of their texts, so that no piece holds more than PIECE rows or, but for its last, PIECE_BYTES. Each
 piece of a conversation is summed up as a matrix of least costs from state to state; the
 conversations in several pieces are chained by these matrices, a row a piece; the states that the
 chain gives are joined to the pieces' rows; then each task repairs its pieces between their states.
@@ -25,14 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch, checked_broadcast, shared_folder
+from lexspark.llm.common import Scratch, checked_broadcast, shared_folder, slices
 
 ROLES = ("system", "user", "assistant")
 START, SYSTEM, USER, ASSISTANT = range(4)
 MERGE, RELABEL, INSERT = 10, 60, 40
 FAR = 1 << 40
-#: Rows of a task after which a conversation is cut into another piece.
-PIECE = 1 << 16
+#: Rows, and bytes of texts, of a task after which a conversation is cut into another piece.
+PIECE, PIECE_BYTES = 1 << 16, 16 << 20
 #: What follows what: in each state, the roles that may come next.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 OUT = "conv_id long, turn long, role string, action string, text string, rendered string"
@@ -97,7 +98,7 @@ def _role(x):
 def _runs(batches, keys: int):
     """Yields (first row, columns) of each run of rows with equal first `keys` columns, whatever batches it spans."""
     held = None
-    for batch in batches:
+    for batch in slices(batches):
         cols = [c.to_pylist() for c in batch.columns]
         key, lo = list(zip(*cols[:keys], strict=True)), 0
         for hi in range(1, len(key) + 1):
@@ -115,6 +116,26 @@ def _runs(batches, keys: int):
         yield held[1]
 
 
+def _dealt(piece: int, piece_bytes: int):
+    """(conv_id, turn, role, text) in order, with the task's number and a chunk that grows with the rows and bytes before."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        part, rows, size = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            length = pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            before = size + np.cumsum(length) - length
+            chunk = ((rows + np.arange(n)) * piece_bytes + before * piece) // (piece * piece_bytes)
+            rows, size = rows + n, size + int(length.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(chunk, pa.int64()), *batch.columns], names=["part", "chunk", "conv_id", "turn", "role", "text"])
+
+    return run
+
+
 def _pieces(batches):
     """(part, chunk, conv_id, role) to a row a piece: its place, its conversation, its transfer matrix."""
     import pyarrow as pa
@@ -201,7 +222,7 @@ def _repaired(batches):
     yield flush()
 
 
-def format_chats(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
+def format_chats(conversations: DataFrame, piece: int = PIECE, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """Per turn of the repaired conversations: conv_id, turn, role, action, text, rendered.
 
     A conversation's rendering is that of its rows in their order, which is kept inside and across
@@ -212,10 +233,9 @@ def format_chats(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     spark = conversations.sparkSession
     shared_folder(spark)
     order = [F.asc_nulls_first("conv_id"), F.asc_nulls_last("turn"), F.asc_nulls_first("role"), F.xxhash64("text").asc()]
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    place = F.monotonically_increasing_id()  # the partition's number above the lower 33 bits, the row's in these
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", place)
-    rows = rows.select(F.shiftright("place", 33).cast("int").alias("part"), F.floor(F.col("place").bitwiseAND(F.lit((1 << 33) - 1)) / piece).alias("chunk"), "conv_id", "turn", "role", "text")
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.mapInArrow(_dealt(piece, piece_bytes), "part int, chunk long, conv_id long, turn long, role string, text string")
     rows = rows.checkpoint()  # the same rows in the same tasks for both passes
     scratch = Scratch(spark, "chat")
     pieces = scratch.store(rows.select("part", "chunk", "conv_id", "role").mapInArrow(_pieces, "part int, chunk long, conv_id long, m array<long>"), "pieces")

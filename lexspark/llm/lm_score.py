@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 
 from lexspark.llm.common import Scratch, slices
 
-#: Words whose scores are broadcast, at most.
-HEAD = 150_000
-#: Words that a task holds before it passes them on.
-FLUSH = 200_000
+#: Words whose scores are broadcast, at most, and their bytes with what Python adds to each; longer words are never among them.
+HEAD, HEAD_BYTES, WORD_BYTES, HEAD_WORD = 150_000, 24 << 20, 100, 256
+#: Words, and bytes of words, that a task holds before it passes them on.
+FLUSH, FLUSH_BYTES = 200_000, 32 << 20
 #: Weight of the prior, as a share of the pieces counted, and in pieces at least.
 PRIOR_SHARE, PRIOR_LEAST = 0.01, 1000.0
-#: Distinct words that one task solves.
-TASK_WORDS = 50_000
+#: Bytes of distinct words that one task solves, each word counted with WORD_STEP more.
+TASK_BYTES, WORD_STEP = 500_000, 4
 MARK = "▁"
 
 
@@ -59,6 +59,7 @@ def _word_counts(batches):
         return out
 
     seen: Counter = Counter()
+    size = 0
     for batch in slices(batches):
         for held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = (text or "").encode().lower().split()
@@ -67,8 +68,12 @@ def _word_counts(batches):
                     seen[w] += 0
             else:
                 seen.update(words)
-            if len(seen) > FLUSH:
+            size += len(text or "")  # more than the new words have
+            if len(seen) > FLUSH or size > FLUSH_BYTES and sum(map(len, seen)) > FLUSH_BYTES // 2:
                 yield flush()
+                size = 0
+            elif size > FLUSH_BYTES:
+                size = 0
     if seen:
         yield flush()
 
@@ -82,7 +87,7 @@ def _piece_counts(vocabulary: str):
 
         sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
         total = np.zeros(sp.get_piece_size(), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             words = [w.decode("utf-8", "replace") for w in batch.column(0).to_pylist()]
             cuts = sp.encode(words, num_threads=1)
             lens = np.array([len(c) for c in cuts], np.int64)
@@ -155,7 +160,7 @@ def _word_scores(lattice):
         import pyarrow as pa
 
         model = Lattice(*lattice.value)
-        for batch in batches:
+        for batch in slices(batches):
             lm = [model.word(w) for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lm, pa.float64())], names=["word", "train", "lm"])
 
@@ -175,6 +180,7 @@ def _document_parts(head):
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         names = ["row", "doc_id", "held", "word", "tf", "n", "known", "base", "lm"]
         cols: list[list] = [[] for _ in names]
+        size = 0
 
         def flush():
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
@@ -196,28 +202,31 @@ def _document_parts(head):
                     else:
                         rare.append((word, tf))
                 k = len(rare)
+                size += sum(len(r[0]) for r in rare)
                 more = ([row] * (k + 1), [doc] + [None] * k, [held] + [None] * k, [None, *(r[0] for r in rare)], [0, *(r[1] for r in rare)], [n] + [0] * k, [n_known] + [0] * k, [base] + [0.0] * k, [lm] + [0.0] * k)
                 for c, x in zip(cols, more, strict=True):
                     c.extend(x)
-                if len(cols[0]) > FLUSH:
+                if len(cols[0]) > FLUSH or size > FLUSH_BYTES:
                     yield flush()
+                    size = 0
         yield flush()
 
     return run
 
 
-def _frequent(words: DataFrame, most: int) -> DataFrame:
-    """The most frequent words, at most `most`: those from the lowest frequency band on that leaves so few.
+def _frequent(words: DataFrame, most: int, most_bytes: int = HEAD_BYTES) -> DataFrame:
+    """The most frequent words, at most `most` and `most_bytes`: those from the lowest frequency band on that leaves so few.
 
     Bands are sixteenths of powers of two, so what reaches the driver is some hundred counts, and then
-    the words of the bands taken.
+    the words of the bands taken. Words of over HEAD_WORD bytes are not among them.
     """
+    words = words.filter(F.octet_length("word") <= HEAD_WORD)
     band = F.floor(16 * F.log2(F.col("train") + 1.0))
-    sizes = words.groupBy(band.alias("band")).count().orderBy(F.desc("band")).collect()
-    total, least = 0, None
+    sizes = words.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.sum(F.octet_length("word") + WORD_BYTES).alias("bytes")).orderBy(F.desc("band")).collect()
+    total, size, least = 0, 0, None
     for r in sizes:
-        total += r["count"]
-        if total > most:
+        total, size = total + r["n"], size + r["bytes"]
+        if total > most or size > most_bytes:
             break
         least = r["band"]
     return words.filter(F.lit(False) if least is None else band >= least)
@@ -232,13 +241,13 @@ def lm_scores(docs: DataFrame, vocabulary: str | None = None, head: int = HEAD)
     counted = rows.select("held", "text").mapInArrow(_word_counts, "word binary, train long")
     words = scratch.store(counted.groupBy("word").agg(F.sum("train").alias("train")), "words")
     ends = rows.filter(~F.col("held")).count()
-    told = words.agg(F.sum("train"), F.count_if(F.col("train") > 0), F.count("*")).first()
+    told = words.agg(F.sum("train"), F.count_if(F.col("train") > 0), F.sum(F.octet_length("word") + WORD_STEP)).first()
     n_train = int(told[0] or 0) + ends
     kinds = int(told[1] or 0) + (ends > 0)
     pieces = words.filter("train > 0").mapInArrow(_piece_counts(vocabulary), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     lattice, end_lm = build_lattice(vocabulary, {r["piece"]: r["n"] for r in pieces.collect()}, ends)  # a row a piece of the vocabulary
-    # As many tasks as the words need, whatever files they came in.
-    dealt = words.repartition(max(1, -(-int(told[2]) // TASK_WORDS)))
+    # As many tasks as the words' characters need, whatever files they came in: the recursion goes over characters.
+    dealt = words.repartition(max(1, -(-int(told[2] or 0) // TASK_BYTES)))
     scored = scratch.store(dealt.mapInArrow(_word_scores(spark.sparkContext.broadcast((lattice.log_p, lattice.bytes))), "word binary, train long, lm double"), "word-scores")
     scratch.drop(words)
     value = F.log10(F.col("train") + 1.0)

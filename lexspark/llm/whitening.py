@@ -297,8 +297,8 @@ def fit_whitening(fit: DataFrame, dim: int, components: int, scratch: Scratch, p
     n = fit.count()
     if not n or not dim:
         return None
-    parts = -(-n // part)
-    dealt = scratch.store(fit.select("x").repartition(parts), "fit")
+    # Dealt out by number, a task each: the vectors are small and the updates are what takes time.
+    dealt = fit.select("x").repartition(-(-n // part))
     spectra = scratch.store(dealt.mapInArrow(_spectra(dim), STATE), "spectra")
     while spectra.count() > 1:
         merged = spectra.groupBy(F.floor(F.col("part") / FAN).alias("node")).applyInPandas(_merged, STATE)
@@ -306,7 +306,7 @@ def fit_whitening(fit: DataFrame, dim: int, components: int, scratch: Scratch, p
     last = Spectrum.of(spectra.first())
     sums, basis = [int(s) for s in last.sums], last.basis
     centred = _centred(n, sums)
-    ritz = _covariance(dealt, dim, n, dim, lambda x: centred(x) @ basis)
+    ritz = _covariance(fit, dim, n, dim, lambda x: centred(x) @ basis)
     values, turn = np.linalg.eigh((ritz + ritz.T) / 2)
     order = [k for k in np.argsort(-values, kind="stable")[:components] if values[k] > LEAST * max(values.sum(), 0)]
     found = (basis @ turn[:, order]).T
@@ -314,7 +314,7 @@ def fit_whitening(fit: DataFrame, dim: int, components: int, scratch: Scratch, p
         return Whitening(n, sums, found, values[order], values[order])
     found *= np.sign(found[np.arange(len(order)), np.abs(found).argmax(1)])[:, None]
     out = Whitening(n, sums, found, values[order], values[order] / values.sum())
-    out.identity_error = float(np.abs(_covariance(dealt, dim, n, len(order), out.function()) - np.eye(len(order))).max())
+    out.identity_error = float(np.abs(_covariance(fit, dim, n, len(order), out.function()) - np.eye(len(order))).max())
     return out
 
 

@@ -102,6 +102,39 @@ def test_pieces_of_any_size_cost_the_same(spark):
     rows = [(c, t, rng.choice(kinds), f"{c}-{t}") for c in range(40) for t in range(rng.randint(1, 5))]
     for piece in (1, 2, 3, 1000):
         check(rows, chat.format_chats(table(spark, rows), piece=piece).collect())
+    for size in (1, 7, 30):
+        check(rows, chat.format_chats(table(spark, rows), piece_bytes=size).collect())
+
+
+def test_long_turns_are_cut_by_their_bytes(spark):
+    rows = [(1, t, "user" if t % 2 else "assistant", "w" * 50_000) for t in range(300)]
+    texts = []
+    real = chat._runs
+
+    def watched(batches, keys):
+        for run in real(batches, keys):
+            texts.append(sum(len(t) for t in run[5]) if len(run) > 5 else 0)
+            yield run
+
+    import pyarrow as pa
+
+    given = [pa.RecordBatch.from_arrays([pa.array([1] * 300), pa.array(range(300)), pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows])], names=["conv_id", "turn", "role", "text"])]
+
+    class Here:
+        @staticmethod
+        def get():
+            return type("T", (), {"partitionId": staticmethod(lambda: 0)})
+
+    import pyspark
+
+    before, pyspark.TaskContext = pyspark.TaskContext, Here
+    try:
+        cut = list(chat._dealt(1 << 16, 1 << 20)(given))
+    finally:
+        pyspark.TaskContext = before
+    list(watched(cut, 3))
+    assert len(texts) >= 14 and max(texts) <= (1 << 20) + 50_000
+    check(rows, chat.format_chats(table(spark, rows), piece_bytes=1 << 20).collect())
 
 
 def test_edges(spark):

@@ -68,3 +68,21 @@ def test_edges(documents):
     held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
     only = lm_scores(documents([(held, "a b")])).collect()[0]
     assert (only.train_tokens, only.n_known) == (0, 0) and math.isfinite(only.score)
+
+
+def test_long_words_stay_off_the_driver_and_in_tasks_of_their_own(spark, monkeypatch):
+    from lexspark.llm import lm_score
+
+    rows = [(k, f"short words {k} " + f"{k}x" * (20_000 + k)) for k in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    tops = []
+    real = lm_score._frequent
+    monkeypatch.setattr(lm_score, "_frequent", lambda words, *a: tops.append(real(words, *a)) or tops[-1])
+    whole = {r.doc_id: r.score for r in lm_score.lm_scores(d).collect()}
+    assert max(len(r.word) for r in tops[0].collect()) <= lm_score.HEAD_WORD and len(whole) == 40
+    # Without any word at the driver, and with other tasks and flushes, the scores are the same.
+    monkeypatch.setattr(lm_score, "_frequent", lambda words, *a: real(words, 10, 150))
+    monkeypatch.setattr(lm_score, "TASK_BYTES", 5_000)
+    monkeypatch.setattr(lm_score, "FLUSH_BYTES", 1_000)
+    again = {r.doc_id: r.score for r in lm_score.lm_scores(d).collect()}
+    assert all(abs(whole[k] - again[k]) <= 1e-9 * abs(whole[k]) for k in whole)
