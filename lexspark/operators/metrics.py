@@ -112,6 +112,19 @@ def exclusive_categories(df: DataFrame, categories: dict[str, Column]) -> DataFr
     return zero_filled(one, "category", [*categories, "NONE", "SEVERAL"]).withColumnRenamed("count", "rows")
 
 
+def sealed_ledger(df: DataFrame, categories: dict[str, Column]) -> DataFrame:
+    """(category, rows, digest) of exclusive_categories, the digest over all counts.
+
+    The sums are asserted in the plan: a row that is in no category or in several fails the job.
+    """
+    ledger = exclusive_categories(df, categories)
+    text = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "category", F.col("rows").cast("string")))), ",")
+    off = F.sum(F.when(F.col("category").isin("NONE", "SEVERAL"), F.col("rows")).otherwise(0))
+    seal = ledger.agg(F.sha2(text, 256).alias("digest"), off.alias("_off"))
+    told = F.when(F.col("_off") == 0, F.col("rows")).otherwise(F.raise_error(F.concat(F.col("_off").cast("string"), F.lit(" rows are in no category or in several"))).cast("long"))
+    return ledger.filter(~F.col("category").isin("NONE", "SEVERAL")).crossJoin(F.broadcast(seal)).select("category", told.alias("rows"), "digest")  # seal is one row
+
+
 def ledger_assertions(df: DataFrame, key: str, rows: int | None, every: dict[str, Column]) -> DataFrame:
     """(assertion, ok): row count, unique ids, and predicates that hold for all rows."""
     checks = {"unique-ids": F.count(key) == F.count_distinct(key)} | {n: F.coalesce(F.bool_and(p), F.lit(True)) for n, p in every.items()}

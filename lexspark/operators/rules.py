@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 
 def compile_condition(c: dict) -> Column:
-    """{"all"|"any": [...]}, {"not": ...}, {"always": true} or {"field", "eq"|"neq"|"in"|"gt"|"lt"|"is_null": value}. Null is unknown and holds for nothing."""
+    """{"all"|"any": [...]}, {"not": ...}, {"always": true} or {"field", "eq"|"neq"|"in"|"gt"|"lt"|"is_null"|"matches"|"has_tag": value}.
+
+    matches: a pattern somewhere in a text. has_tag: one of an array's tags, or any of a list of them.
+    Null is unknown and holds for nothing.
+    """
     if "all" in c:
         return reduce(lambda a, b: a & b, map(compile_condition, c["all"]), F.lit(True))
     if "any" in c:
@@ -20,7 +24,8 @@ def compile_condition(c: dict) -> Column:
     if c.get("always"):
         return F.lit(True)
     x = F.col(c["field"])
-    tests = {"eq": lambda v: x == v, "neq": lambda v: x != v, "in": lambda v: x.isin(v), "gt": lambda v: x > v, "lt": lambda v: x < v, "is_null": lambda v: x.isNull() if v else x.isNotNull()}
+    tests = {"eq": lambda v: x == v, "neq": lambda v: x != v, "in": lambda v: x.isin(v), "gt": lambda v: x > v, "lt": lambda v: x < v, "is_null": lambda v: x.isNull() if v else x.isNotNull(), "matches": lambda v: x.rlike(v)}
+    tests["has_tag"] = lambda v: F.arrays_overlap(x, F.array(*[F.lit(t) for t in ([v] if isinstance(v, str) else v)]))
     found = [tests[k](c[k]) for k in tests if k in c]
     if len(found) != 1:
         raise ValueError(f"a condition on a field has one test: {c}")
@@ -38,6 +43,11 @@ def compile_table(rules: list[dict]) -> Column:
     return out
 
 
+def first_rule_of(rules: list[dict], default: str) -> Column:
+    """The name of the first rule ({"name", "when"}) that holds, which may mix tags and texts; else the default."""
+    return compile_table([{"id": r["name"], "disposition": r["name"], "when": r["when"]} for r in rules] + [{"id": default, "disposition": default, "when": {"always": True}}])["rule"]
+
+
 def decide(facts: DataFrame, rules: list[dict]) -> DataFrame:
     return facts.withColumn("_d", compile_table(rules)).select(*facts.columns, "_d.rule", "_d.disposition")
 

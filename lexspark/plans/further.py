@@ -51,7 +51,7 @@ def alias_variants(spark, sf_dir):
 CASE WHEN regexp_matches(name, 'ring|nut') THEN 'ROUND' WHEN regexp_matches(name, 'bolt|pin') THEN 'LONG' ELSE 'OTHER' END AS family, head IN ('old', 'new') AS cue, CASE WHEN head = 'hot' THEN 'of ' || rest ELSE name END AS wrapped, head = 'cold' AS changed,
 head || ' ' || rest AS words, 'P' AS prefix, id::VARCHAR AS hint FROM {PARTS}""".replace("CASE WHEN head = 'hot' THEN 'of ' || rest ELSE name END AS wrapped", "CASE WHEN head = 'cold' THEN rest ELSE name END AS unwrapped"))
 def name_facts(spark, sf_dir):
-    """What a name says by rules."""
+    """What a name says by rules."""
     p = parts(spark, sf_dir)
     w = T.strip_wrapper("name", "^cold (.*)$")
     return p.select(

@@ -1,11 +1,11 @@
-"""Registered queries over revisions: canonical texts, hash trees and release manifests."""
+"""Registered queries over revisions (canonical texts, hash trees, release manifests), sealed ledgers and families by rule."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from lexspark.functions.canonical import canonical_text, hash_of, revision, without
-from lexspark.operators import release
+from lexspark.operators import metrics, release, rules
 from lexspark.plans.queries import query, read
 
 #: Line items of an order before a day, and all of them: what was released, and what there is now.
@@ -132,3 +132,35 @@ def release_manifests(spark, sf_dir):
     current = entries(spark, sf_dir)
     released = current.filter("status = 'F'").select("release_id", "concept_id")
     return release.validate_release(m, bound, now, leaves(current), released, depth=1).select("code", "entity_id", "path")
+
+
+#: Families by tag or by name, the first that holds; patterns are ones that Spark and DuckDB share.
+FAMILIES = [
+    ("promoted rings", "category:promo", r"\bring\b", "all"), ("promoted", "category:promo", r"\b(?:washer|spring)\b", "any"), ("large", "category:large", r"\blarge\b", "any"), ("bolts", None, r"\b(?:bolt|pin)s?\b", "any"), ("first brands", "brand:Brand#1", None, "any"), ("hot", None, "^hot ", "any"), ("cold", None, "^cold ", "any"),
+    ("economy", "category:economy", "^(?:old|new) ", "all"), ("rings", None, r"\bring\b", "any"), ("gadgets", None, "gadget|widget", "any"), ("standard", "category:standard", None, "any"), ("colours", None, "^(?:red|blue) ", "any"), ("small", "category:small", "small", "any"), ("medium", "category:medium", None, "any"),
+]
+TAGS_SQL = "list_contains(['category:' || lower(p_type), 'brand:' || p_brand], '{}')"
+
+
+def family_sql(tag, pattern, how) -> str:
+    tests = [TAGS_SQL.format(tag)] * bool(tag) + [f"regexp_matches(p_name, '{pattern}')"] * bool(pattern)
+    return (" AND " if how == "all" else " OR ").join(tests)
+
+
+@query("SELECT p_partkey AS id, CASE " + " ".join(f"WHEN {family_sql(t, p, h)} THEN '{n}'" for n, t, p, h in FAMILIES) + " ELSE 'other' END AS family FROM part")
+def harvest_families(spark, sf_dir):
+    """Fourteen ordered rules over a part's tags and its name, tables as data."""
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.array(F.concat(F.lit("category:"), F.lower("p_type")), F.concat(F.lit("brand:"), "p_brand")).alias("tags"))
+    table = [{"name": n, "when": {h: [{"field": "tags", "has_tag": t}] * bool(t) + [{"field": "name", "matches": x}] * bool(x)}} for n, t, x, h in FAMILIES]
+    return p.select("id", rules.first_rule_of(table, "other").alias("family"))
+
+
+LEDGER_SQL = "SELECT CASE WHEN l_returnflag = 'R' THEN 'RETURNED' WHEN l_linestatus = 'O' THEN 'OPEN' WHEN l_quantity > 25 THEN 'MANY' ELSE 'FEW' END AS category, count(*) AS n FROM lineitem GROUP BY 1"
+
+
+@query(f"""WITH c AS ({LEDGER_SQL}), v AS (SELECT v.category, coalesce(n, 0) AS n FROM (VALUES ('RETURNED'), ('OPEN'), ('MANY'), ('FEW'), ('NONE'), ('SEVERAL')) AS v(category) LEFT JOIN c ON c.category = v.category)
+SELECT category, n AS "rows", (SELECT sha256(string_agg(category || ':' || n, ',' ORDER BY category || ':' || n)) FROM v) AS digest FROM v WHERE category NOT IN ('NONE', 'SEVERAL')""")
+def sealed_ledger(spark, sf_dir):
+    """Every row in one category or the job fails; the ledger's digest."""
+    back, is_open, many = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O", F.col("l_quantity") > 25
+    return metrics.sealed_ledger(read(spark, sf_dir, "lineitem"), {"RETURNED": back, "OPEN": ~back & is_open, "MANY": ~back & ~is_open & many, "FEW": ~back & ~is_open & ~many})

@@ -408,3 +408,20 @@ def test_release_safety_fails_closed(spark):
     assert run(found, files) == (3, 1, 33.33, 0, 0, True)
     assert run(found.union(spark.createDataFrame([(None,)], "severity string")), files) == (3, 1, 33.33, 1, 0, False)
     assert run(found.limit(0), files.union(spark.createDataFrame([("MISSING",), (None,)], "state string"))) == (3, 1, 33.33, 0, 2, False)
+
+
+def test_a_row_in_no_category_or_in_several_stops_the_job(spark):
+    d = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    sound = {"A": F.col("k") < 2, "B": F.col("k") >= 2, "C": F.col("k") > 9}
+    got = metrics.sealed_ledger(d, sound)
+    assert {(r.category, r["rows"]) for r in got.collect()} == {("A", 1), ("B", 2), ("C", 0)} and got.select("digest").distinct().count() == 1
+    for off in ({"A": F.col("k") < 3, "B": F.col("k") >= 2}, {"A": F.col("k") < 2}):
+        with pytest.raises(Exception, match="in no category or in several"):
+            metrics.sealed_ledger(d, off).collect()
+    assert {r["rows"] for r in metrics.sealed_ledger(d.limit(0), sound).collect()} == {0}
+
+
+def test_rules_over_tags_and_names(spark):
+    d = spark.createDataFrame([("vein wall", ["category:artery"]), ("a vein", []), ("tendon", None), (None, ["x"]), (None, None)], "name string, tags array<string>")
+    table = [{"name": "arteries", "when": {"any": [{"field": "tags", "has_tag": ["category:artery", "category:arteriole"]}, {"field": "name", "matches": "arter"}]}}, {"name": "veins", "when": {"field": "name", "matches": r"\bvein\b"}}, {"name": "x", "when": {"not": {"field": "name", "matches": "."}}}]
+    assert [r.f for r in d.select(rules.first_rule_of(table, "other").alias("f")).collect()] == ["arteries", "veins", "other", "x", "x"]
