@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from lexspark.plans import files, gates, integration, queries, records, revisions, untyped  # noqa: F401  they, and what they build on, register theirs
+from lexspark.plans import files, gates, integration, queries, records, reviews, revisions, untyped  # noqa: F401  they, and what they build on, register theirs
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
