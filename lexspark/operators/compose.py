@@ -108,12 +108,6 @@ def build_lexicon(layers: DataFrame) -> DataFrame:
     return ok.groupBy("component").agg(F.min_by(F.struct("term", "layer", "terms"), "layer").alias("b")).select("component", "b.*")
 
 
-def lexicon_with_evidence(claims: DataFrame, examples: int = 20) -> DataFrame:
-    """Per (kind, component): realisations, evidence, some examples, whether ambiguous."""
-    g = claims.groupBy("kind", "component").agg(*[F.array_sort(F.collect_set(c)).alias(n) for c, n in (("term", "realisations"), ("evidence_id", "evidence"), ("example", "all_examples"))])
-    return g.select("kind", "component", "realisations", "evidence", F.slice("all_examples", 1, examples).alias("examples"), (F.size("realisations") > 1).alias("ambiguous"))
-
-
 def lexicon_summary(claims: DataFrame) -> DataFrame:
     """Per (kind, component): numbers of realisations and of pieces of evidence, and whether ambiguous; no lists."""
     g = claims.groupBy("kind", "component").agg(F.count_distinct("term").alias("realisations"), F.count_distinct("evidence_id").alias("evidence"))

@@ -6,6 +6,7 @@ field of a row is wrong follows from its number, so that every branch is met at
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
@@ -306,11 +307,15 @@ def summary_counters(spark, sf_dir):
     return consensus.summary(read(spark, sf_dir, "orders"), {"finished": F.col("o_orderstatus") == "F", "large": F.col("o_totalprice") > 100000, "urgent": F.col("o_orderpriority") == "1-URGENT"})
 
 
+#: The enumeration of events, of which one never happens.
+EVENTS = ("click", "error", "purchase", "signup", "view", "never")
+
+
 @query("""SELECT v.event_type, coalesce(n, 0) AS n FROM (SELECT DISTINCT event_type FROM events UNION SELECT 'never') v LEFT JOIN (SELECT event_type, count(*) AS n FROM events GROUP BY 1) c USING (event_type)""")
 def category_counts(spark, sf_dir):
     """Counts by category, zero-filled."""
     e = read(spark, sf_dir, "events")
-    return metrics.zero_filled(e, "event_type", [*[r[0] for r in e.select("event_type").distinct().collect()], "never"]).withColumnRenamed("count", "n")  # the enumeration of the column
+    return metrics.zero_filled(e, "event_type", EVENTS).withColumnRenamed("count", "n")
 
 
 @query(f"""SELECT id, name FROM {PARTS} WHERE head IN ('small', 'hot') OR rest = 'ring'""")
@@ -327,12 +332,12 @@ def plausible_lines(spark, sf_dir):
     return d.select("doc_id", F.col("line").cast("long").alias("line"), compose.plausible_term("t").alias("plausible"))
 
 
-@query("""SELECT (l_orderkey // 500)::VARCHAR AS doc_id, (l_orderkey % 500 * 10 + l_linenumber)::INT AS entry_id, min(l_partkey)::VARCHAR || ' ' || min(l_suppkey) AS name FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) = 1""")
+@query("""SELECT (l_orderkey // 500)::VARCHAR AS doc_id, (l_orderkey % 500 * 50 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))::INT AS entry_id, l_partkey::VARCHAR || ' ' || l_suppkey AS name FROM lineitem""")
 def table_rows(spark, sf_dir):
     """A10, L3: rows of a printed table from positioned words: a numbered line, and a line that continues it."""
     li = read(spark, sf_dir, "lineitem")
-    single = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"), F.count("*").alias("n")).filter("n = 1")
-    single = single.withColumn("number", (F.col("l_orderkey") % 500 * 10 + F.col("l_linenumber")).cast("int"))
+    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
+    single = li.select("l_orderkey", F.col("l_partkey").alias("p"), F.col("l_suppkey").alias("s"), (F.col("l_orderkey") % 500 * 50 + at).cast("int").alias("number"))
     word = lambda x0, dy, t: F.struct(F.lit(x0).alias("x0"), F.lit(x0 + 8.0).alias("x1"), (F.col("number") * 20 + dy).cast("double").alias("top"), t.cast("string").alias("text"))
     w = single.select(F.floor(F.col("l_orderkey") / 500).cast("string").alias("doc_id"), F.lit(1).alias("page"), F.explode(F.array(word(10.0, 0.0, F.col("number")), word(95.0, 1.0, F.col("p")), word(95.0, 10.0, F.col("s")))).alias("w"))
     t = reconstruct.rebuild_table(w.select("doc_id", "page", "w.*"), [(90, "number"), (300, "name")])
