@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import Scratch
+from lexspark.llm.common import Scratch, checked_broadcast
 
 MIN_BYTES = 0
 #: Bytes of compressed records after which a task begins another archive.
@@ -113,14 +113,16 @@ def _writer(folder: str, roll: int):
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, roll: int = ROLL) -> DataFrame:
     """Writes the pages' records below folder, a URI that all executors reach; (path, bytes, records) of the archives."""
-    # A digest a row is grouped and joined, never the payloads of a group of copies.
+    # Only digests that occur twice are joined: by broadcast where they are few, so payloads are not shuffled.
     keyed = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
-    firsts = keyed.select("page_id", "digest").groupBy("digest").agg(F.min("page_id").alias("first"))
-    joined = keyed.join(firsts, "digest")
-    revisit = (F.col("size") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
+    scratch = Scratch(pages.sparkSession, "warc-log")
+    firsts = keyed.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first", F.lit(True).alias("again"))
+    firsts = checked_broadcast(scratch.store(firsts, "repeated"), 120)
+    joined = keyed.join(firsts, "digest", "left")
+    revisit = F.coalesce("again", F.lit(False)) & (F.col("size") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = joined.select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("first"), revisit.alias("revisit"))
     written = rows.mapInArrow(_writer(folder, roll), "path string, bytes long, records long")
-    return Scratch(pages.sparkSession, "warc-log").store(written, "archives")
+    return scratch.store(written, "archives")
 
 
 class _Bytes:
@@ -233,7 +235,11 @@ def parse_record(pieces, keep: bool = True) -> tuple[dict, Payload] | None:
         if not inner and left:
             mark = held.find(b"\r\n\r\n", 0, left)
             if mark < 0 and len(held) < left:
-                continue  # the head of the block is not through yet
+                # The head of the block is not through yet; what was searched is no part of the payload.
+                gone = max(0, len(held) - 3)
+                del held[:gone]
+                left -= gone
+                continue
             skip = mark + 4 if mark >= 0 else left
             del held[:skip]
             left, inner = left - skip, True

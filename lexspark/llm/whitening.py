@@ -62,21 +62,25 @@ def secular_roots(d: np.ndarray, w: np.ndarray, rho: float) -> tuple[np.ndarray,
     lo = np.where(origin == row, 0.0, -top / 2)
     hi = np.where(origin == row, np.where(row < k - 1, top / 2, top), 0.0)
     mu = (lo + hi) / 2
-    lower = row[None, :] <= row[:, None]
+    lower, ones, weight = np.tri(k), np.ones(k), rho * w
+    gap, t, part = np.empty((k, k)), np.empty((k, k)), np.empty((k, k))
+    b_gap = np.zeros(k)
     for _ in range(80):
-        gap = at - mu[:, None]
-        t = rho * w / gap
-        f = 1 + t.sum(1)
-        slope = t / gap
-        done = np.abs(f) <= 4 * EPS * k * (1 + np.abs(t).sum(1))
+        np.subtract(at, mu[:, None], out=gap)
+        np.divide(weight, gap, out=t)
+        total = t @ ones
+        f = 1 + total
+        # Terms up to the root are negative, those behind it positive.
+        done = np.abs(f) <= 4 * EPS * k * (1 + total - 2 * (np.multiply(t, lower, out=part) @ ones))
         lo, hi = np.where(f < 0, mu, lo), np.where(f >= 0, mu, hi)
         done |= hi - lo <= 2 * EPS * np.maximum(np.abs(lo), np.abs(hi))
         if done.all():
             break
-        below = (slope * lower).sum(1)
-        above = slope.sum(1) - below
+        np.divide(t, gap, out=t)
+        below = np.multiply(t, lower, out=part) @ ones
+        above = t @ ones - below
         a_gap = gap[row, row]
-        b_gap = np.append(gap[row[:-1], row[1:]], 0.0)
+        b_gap[:-1] = gap[row[:-1], row[1:]]
         with np.errstate(all="ignore"):
             c = f - a_gap * below - b_gap * above
             a = (a_gap + b_gap) * f - a_gap * b_gap * (below + above)

@@ -99,3 +99,18 @@ def test_records_of_any_length_and_head():
 class _File(io.BytesIO):
     def size(self):
         return len(self.getvalue())
+
+
+def test_a_long_head_in_pieces():
+    from lexspark.llm.warc import parse_record
+
+    def record(block):
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+    for block, payload in ((b"x" * 90_000, b""), (b"h" * 50_001 + b"\r\n\r\n" + b"p" * 40_000, b"p" * 40_000), (b"h\r\n\r\n", b""), (b"\r\n\r\nall", b"all"), (b"a\r\n\r", b"")):
+        for step in (1, 7, 1000, 1 << 20):
+            whole = record(block)
+            if step == 1 and len(whole) > 1000:
+                continue
+            fields, got = parse_record(whole[k : k + step] for k in range(0, len(whole), step))
+            assert got.content == payload and got.size == len(payload) and fields["content-length"] == str(len(block))
