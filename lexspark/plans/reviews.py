@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, rules
-from lexspark.plans.queries import query, read
+from lexspark.operators import compose, consensus, quality, rules
+from lexspark.plans.queries import PAIRS, WORDS, WORDS_SQL, query, read, word_of
 
 #: Checks of a row by name, in the SQL that Spark and DuckDB share; unknown fails.
 CHECKS = {"LATE": "l_shipdate < TIMESTAMP '2001-01-01 00:00:00'", "CHEAP": "l_extendedprice > 20000", "RETURNED": "l_returnflag <> 'R'", "UNTAXED": "CASE WHEN l_tax > 0.005 THEN l_tax < 0.075 END"}
@@ -107,3 +107,63 @@ def consensus_statuses(spark, sf_dir):
     flags = li.filter("l_quantity > 47").select("concept_id", F.lit("HEAVY").alias("code"))
     concepts = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("concept_id"))
     return consensus.consensus(e, concepts, flags, ["HEAVY"]).select("concept_id", "status", "terms", "sources", "agreed_term")
+
+
+#: A translation of another part's name (h2, its head's word, r2, its rest's), with faults as the line item's columns have them.
+TARGET = """CASE WHEN l_discount < 0.005 THEN ' ' WHEN l_tax > 0.075 THEN p_name ELSE concat(CASE l_linestatus WHEN 'O' THEN concat(h2, ' ', CASE WHEN l_quantity > 45 THEN concat(upper(substr(r2, 1, 1)), substr(r2, 2)) ELSE r2 END) ELSE concat(r2, ' ', h2) END,
+CASE WHEN l_returnflag = 'R' AND l_tax < 0.02 THEN ' ,' WHEN l_returnflag = 'A' AND l_tax < 0.01 THEN concat(' ', CASE l_linestatus WHEN 'O' THEN r2 ELSE h2 END) WHEN l_quantity < 2 THEN ' abc?' ELSE '' END) END"""
+OPPOSITE = {a: b for _, x, y in PAIRS for a, b in ((x, y), (y, x))}
+RESTS = ("ring", "bolt", "pin", "nut", "washer", "gadget", "widget", "spring")
+#: For every word what must be in its translation, for every head what must not.
+TERM_RULES = [(f"MISSING_{w.upper()}", w, t, None) for w, t in WORDS.items()] + [(f"OPPOSITE_{w.upper()}", w, None, WORDS[o]) for w, o in OPPOSITE.items()] + [(f"MISSING_{r.upper()}", r, r[::-1], None) for r in RESTS]
+RULES_SQL = "(VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else f"'{x}'" for x in r) + ")" for r in TERM_RULES) + ") AS r(code, word, needs, forbids)"
+SAID = "' ' || trim(regexp_replace({}, '[^a-zA-Z0-9]+', ' ', 'g')) || ' '".format
+
+
+def translations(spark, sf_dir):
+    """concept_id, pivot, target, generated, conflict: a line item's part name and the faulty translation of another's."""
+    part = read(spark, sf_dir, "part")
+    head, rest = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
+    other = part.select(F.col("p_partkey").alias("k2"), F.coalesce(word_of(head), head).alias("h2"), F.reverse(rest).alias("r2"))
+    d = read(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).join(other, F.col("k2") == F.col("l_suppkey"))
+    generated, conflict = F.col("l_linestatus") == "O", F.col("l_quantity") > 48
+    return d.select(F.expr(ROW_ID).alias("concept_id"), F.col("p_name").alias("pivot"), F.expr(TARGET).alias("target"), generated.alias("generated"), conflict.alias("conflict")).distinct()
+
+
+TRANSLATED_SQL = f"""p2 AS (SELECT p_partkey AS k2, coalesce(word, split_part(p_name, ' ', 1)) AS h2, reverse(split_part(p_name, ' ', 2)) AS r2 FROM part LEFT JOIN {WORDS_SQL} ON words.head = split_part(p_name, ' ', 1)),
+t AS (SELECT DISTINCT {ROW_ID} AS id, p_name AS said, {TARGET} AS target, l_linestatus = 'O' AS generated, l_quantity > 48 AS conflict FROM lineitem JOIN part ON p_partkey = l_partkey JOIN p2 ON k2 = l_suppkey)"""
+
+
+def found_sql(rows: str) -> str:
+    """(id, codes) of rows (id, said, target): rules of terms and checks of shape."""
+    return f"""(SELECT id, string_agg(DISTINCT code, ',' ORDER BY code) AS codes FROM (SELECT id, code FROM {rows} JOIN {RULES_SQL} ON contains(' ' || said || ' ', ' ' || word || ' ') WHERE (needs IS NOT NULL AND NOT contains({SAID('target')}, ' ' || needs || ' ')) OR (forbids IS NOT NULL AND contains({SAID('target')}, ' ' || forbids || ' '))
+UNION ALL SELECT id, unnest(list_filter([CASE WHEN trim(target) = '' THEN 'EMPTY' END, CASE WHEN target <> array_to_string(list_filter(string_split(target, ' '), lambda w: w <> ''), ' ') THEN 'SPACING' END, CASE WHEN lower(target) = said THEN 'UNTRANSLATED' END, CASE WHEN regexp_matches(target, ' [,.;:)]|[,;:]$') THEN 'PUNCTUATION' END,
+CASE WHEN regexp_matches(target, '[A-Za-z]+\\?$') THEN 'RESIDUE' END, CASE WHEN regexp_matches(target, ' [A-Z][a-z]') THEN 'INTERIOR_CAPITAL' END, CASE WHEN len(list_filter(generate_series(1, len(string_split(target, ' ')) - 1), lambda i: string_split(lower(target), ' ')[i] = string_split(lower(target), ' ')[i + 1] AND string_split(target, ' ')[i] <> '')) > 0 THEN 'REPEATED_WORD' END], lambda x: x IS NOT NULL)) FROM {rows}) GROUP BY 1)"""
+
+
+@query(f"WITH {TRANSLATED_SQL} SELECT id AS concept_id, codes FROM {found_sql('t')}")
+def rule_findings(spark, sf_dir):
+    """Translations against two dozen rules of terms, and all checks of their shape."""
+    records = translations(spark, sf_dir).select("concept_id", "pivot", "target")
+    table = spark.createDataFrame(TERM_RULES, "code string, when_pivot string, needs string, forbids string")
+    return quality.findings(records, table).withColumn("codes", F.array_join("codes", ","))
+
+
+#: Repairs: a word that is dropped, words that are moved to the front, a word that is put right.
+REPAIRS = {"connector": "nip", "heads": ("ju", "lo"), "replacements": (("fu", "fo"),)}
+JOINED = "array_to_string({}, ' ')".format
+MOVED = "CASE WHEN ends_with({v}, ' {h}') AND NOT starts_with({v}, '{h} ') AND length({v}) > length(' {h}') THEN '{h} ' || left({v}, length({v}) - length(' {h}')) ELSE {v} END".format
+STEPS_SQL = f"""r0 AS (SELECT *, {JOINED("list_filter(string_split(target, ' '), lambda w: w <> 'nip' AND w <> '')")} AS v1 FROM t), r1 AS (SELECT *, {MOVED(v='v1', h='ju')} AS v2 FROM r0), r2 AS (SELECT *, {MOVED(v='v2', h='lo')} AS v3 FROM r1),
+r3 AS (SELECT *, {JOINED("list_transform(string_split(v3, ' '), lambda w: CASE w WHEN 'fu' THEN 'fo' ELSE w END)")} AS v4 FROM r2), r4 AS (SELECT *, CASE WHEN string_split(v4, ' ')[1] = string_split(v4, ' ')[2] THEN {JOINED("string_split(v4, ' ')[2:]")} ELSE v4 END AS v5 FROM r3),
+r5 AS (SELECT *, {JOINED("list_transform(string_split(v5, ' '), lambda w, i: CASE WHEN i > 1 AND regexp_matches(w, '^[A-Z][a-z]+$') THEN lower(w) ELSE w END)")} AS v6 FROM r4),
+fixed AS (SELECT id, said, target AS old, v6 AS repaired, generated, conflict, list_filter([CASE WHEN v1 <> target THEN 'DROP_CONNECTOR' END, CASE WHEN v2 <> v1 THEN 'MOVE_HEAD' END, CASE WHEN v3 <> v2 THEN 'MOVE_HEAD' END, CASE WHEN v4 <> v3 THEN 'FIX_TERM' END, CASE WHEN v5 <> v4 THEN 'DEDUPLICATE_HEAD' END, CASE WHEN v6 <> v5 THEN 'LOWER_INTERIOR' END], lambda x: x IS NOT NULL) AS actions FROM r5),
+after AS (SELECT id, said, repaired AS target FROM fixed)"""
+
+
+@query(f"""WITH {TRANSLATED_SQL}, {STEPS_SQL}, s AS (SELECT f.*, b.codes AS before, a.codes AS later, CASE WHEN conflict THEN 'CONFLICT_PRESERVED' WHEN b.codes IS NULL THEN 'CLEAR' WHEN NOT generated THEN 'RETAIN' WHEN a.codes IS NULL AND len(actions) > 0 THEN 'REPAIRED' ELSE 'NEEDS_HUMAN' END AS status
+FROM fixed f LEFT JOIN {found_sql('t')} b ON b.id = f.id LEFT JOIN {found_sql('after')} a ON a.id = f.id) SELECT id AS concept_id, status, CASE status WHEN 'REPAIRED' THEN repaired ELSE old END AS target, before, later AS "after", array_to_string(actions, ',') AS actions FROM s""")
+def repaired_translations(spark, sf_dir):
+    """Translations repaired step by step with their log, findings before and after, and the state that these give."""
+    table = spark.createDataFrame(TERM_RULES, "code string, when_pivot string, needs string, forbids string")
+    d = quality.qa_status(translations(spark, sf_dir), table, **REPAIRS)
+    return d.select("concept_id", "status", "target", *[F.array_join(c, ",").alias(c) for c in ("before", "after", "actions")])
