@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, quality, rules
+from lexspark.operators import compose, consensus, evidence, quality, registry, rules, targets
 from lexspark.plans.queries import PAIRS, WORDS, WORDS_SQL, query, read, word_of
 
 #: Checks of a row by name, in the SQL that Spark and DuckDB share; unknown fails.
@@ -167,3 +167,72 @@ def repaired_translations(spark, sf_dir):
     table = spark.createDataFrame(TERM_RULES, "code string, when_pivot string, needs string, forbids string")
     d = quality.qa_status(translations(spark, sf_dir), table, **REPAIRS)
     return d.select("concept_id", "status", "target", *[F.array_join(c, ",").alias(c) for c in ("before", "after", "actions")])
+
+
+def codes_sql(**codes: str) -> str:
+    """A list of the codes whose condition holds; _ in a name stands for -."""
+    return "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n.replace('__', '-')}' END" for n, c in codes.items()) + "], lambda x: x IS NOT NULL)"
+
+
+#: Attestations of line items, by columns.
+SAID_BY = {
+    "source_term_raw": f"CASE WHEN l_tax BETWEEN 0.035 AND 0.045 AND l_quantity < 5 THEN ' ' ELSE {ROW_ID} END", "source_id": "CASE WHEN l_discount < 0.005 THEN '' ELSE concat('N', l_suppkey) END", "source_revision": "CASE WHEN l_tax < 0.075 THEN 'r' END",
+    "laterality": "CASE WHEN l_linestatus = 'O' THEN 'left' WHEN l_returnflag = 'A' THEN lower(p_type) END",
+}
+
+
+@query(f"""WITH a AS (SELECT {', '.join(f'{e} AS {c}' for c, e in SAID_BY.items())}, l_quantity, l_tax, p_size, {ROW_ID} AS k FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT k AS entity_id, unnest({codes_sql(missing__source_id="source_id = ''", missing__source_revision='source_revision IS NULL', missing__source_term_raw="source_term_raw = ' '", missing__locator='l_quantity < 2', invalid__laterality="laterality NOT IN ('left', 'right', 'bilateral', 'unsided', 'unknown')", blank__pivot__alias='p_size < 5', blank__target__alias='p_size > 45', blank__directional_qualifiers='l_tax < 0.005', blank__source_codes='l_quantity > 48')}) AS code FROM a""")
+def contracted_lines(spark, sf_dir):
+    """Attestations of line items against their contract: what is required, enumerations, blank items."""
+    d = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    none = F.array().cast("array<string>")
+    term = lambda aliases: F.struct(F.col("p_name").alias("preferred"), aliases.alias("aliases"))
+    a = d.select(
+        *[F.expr(e).alias(c) for c, e in SAID_BY.items()], F.expr(ROW_ID).alias("k"), F.when(F.col("l_quantity") >= 2, F.struct(F.col("l_quantity").alias("page"))).alias("locator"),
+        term(F.array("p_name", F.when(F.col("p_size") < 5, " ").otherwise("b"))).alias("pivot"), term(none).alias("third"), term(F.when(F.col("p_size") > 45, F.array(F.lit(None).cast("string"))).otherwise(none)).alias("target"),
+        F.when(F.col("l_tax") < 0.005, F.array(F.lit(" "))).alias("directional_qualifiers"), F.array("p_brand", F.when(F.col("l_quantity") > 48, "").otherwise("c")).alias("source_codes"), none.alias("terminology_ids"))
+    return evidence.validate_attestations(a, "k").select("entity_id", "code")
+
+
+@query(f"""WITH m AS (SELECT DISTINCT l_orderkey AS concept_id, {ROW_ID} AS evidence_id, coalesce(s_acctbal > 0, false) AS known, coalesce(s_nationkey < 20, false) AS revised, list_filter([CASE l_returnflag WHEN 'A' THEN 'exact' WHEN 'N' THEN 'normalised' END, CASE WHEN l_quantity > 25 THEN 'terminology_id' END, CASE l_linestatus WHEN 'F' THEN 'source_code' END], lambda x: x IS NOT NULL) AS reasons FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey),
+f AS (SELECT DISTINCT {ROW_ID} AS id FROM lineitem WHERE l_discount > 0.085)
+SELECT concept_id, evidence_id, NOT known OR NOT revised OR len(list_filter(reasons, lambda r: r NOT IN ('terminology_id', 'source_code'))) = 0 OR evidence_id IN (SELECT id FROM f) AS unsafe FROM m""")
+def unsafe_lines(spark, sf_dir):
+    """C4: matches of line items that must not become claims: their source, its revision, id-only reasons, flags."""
+    li = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left").withColumn("evidence_id", F.expr(ROW_ID)).withColumnRenamed("l_orderkey", "concept_id")
+    reasons = F.array_compact(F.array(F.when(F.col("l_returnflag") == "A", "exact").when(F.col("l_returnflag") == "N", "normalised"), F.when(F.col("l_quantity") > 25, "terminology_id"), F.when(F.col("l_linestatus") == "F", "source_code")))
+    m = li.select("concept_id", "evidence_id", F.coalesce(F.col("s_acctbal") > 0, F.lit(False)).alias("known"), F.coalesce(F.col("s_nationkey") < 20, F.lit(False)).alias("revision_matches"), reasons.alias("reasons")).distinct()
+    flags = li.filter("l_discount > 0.065").select("concept_id", "evidence_id", F.when(F.col("l_discount") > 0.085, "SIDE").otherwise("HARMLESS").alias("code"))
+    return evidence.unsafe(m, flags, ["SIDE"]).select("concept_id", "evidence_id", "unsafe")
+
+
+#: Ordered rules of clean targets: outcome, reason, condition.
+CLEAN = [
+    ("REJECTED", "conflict", "marks > 4"), ("HELD", "wide", "lines > 6"), ("HELD", "no account", "c_acctbal IS NULL"), ("SKIPPED", "in debt", "c_acctbal < 0"), ("NEEDS_SOURCE", "one source", "sources = 1"),
+    ("NEEDS_SOURCE", "late", "o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'"), ("HELD", "dear", "o_totalprice > 400000"), ("CONFIRMED_CLEAN", "urgent", "o_orderpriority = '1-URGENT'"),
+]
+
+
+@query(f"""WITH g AS (SELECT l_orderkey, count(*) AS lines, count(DISTINCT l_suppkey) AS sources, count(DISTINCT l_returnflag || l_linestatus) AS marks FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS concept_id, CASE {' '.join(f"WHEN {c} THEN '{o}'" for o, _, c in CLEAN)} ELSE 'CONFIRMED_CLEAN' END AS qa_outcome, CASE {' '.join(f"WHEN {c} THEN '{r}'" for _, r, c in CLEAN)} ELSE 'NO_RULE' END AS qa_reason
+FROM orders LEFT JOIN g ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'O'""")
+def clean_orders(spark, sf_dir):
+    """Outcomes of clean targets by eight ordered rules over their line items and customers."""
+    li = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("lines"), F.count_distinct("l_suppkey").alias("sources"), F.count_distinct(F.concat("l_returnflag", "l_linestatus")).alias("marks"))
+    d = read(spark, sf_dir, "orders").join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(read(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    d = d.withColumn("target_class", F.when(F.col("o_orderstatus") == "O", "CLEAN_SIMPLE_TARGET").otherwise("LATERALITY_TARGET"))
+    return targets.clean_qa(d, [(o, r, F.expr(c)) for o, r, c in CLEAN]).select(F.col("o_orderkey").alias("concept_id"), "qa_outcome", "qa_reason")
+
+
+REVIEWER = {"id": "CASE WHEN c_acctbal < -900 THEN ' ' ELSE CAST(c_custkey AS STRING) END", "display_name": "CASE WHEN c_nationkey = 7 THEN '' ELSE c_name END", "role": "CASE c_mktsegment WHEN 'MACHINERY' THEN ' ' ELSE c_mktsegment END", "status": "CASE WHEN c_nationkey < 20 THEN 'ACTIVE' ELSE c_mktsegment END", "evidence_ref": "CASE WHEN c_nationkey < 5 THEN 'git:x' WHEN c_nationkey < 10 THEN 'https://a.b/c' WHEN c_nationkey < 12 THEN 'paper' ELSE ' ' END"}
+
+
+@query(f"""WITH r AS (SELECT {', '.join(f'{e} AS {c}' for c, e in REVIEWER.items())} FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_acctbal > 9000))
+SELECT id AS entity_id, unnest({codes_sql(invalid__reviewer__id="trim(id) = ''", invalid__reviewer__identity="trim(display_name) = '' OR trim(role) = ''", invalid__reviewer__status="status NOT IN ('ACTIVE', 'INACTIVE')", invalid__reviewer__evidence="evidence_ref = 'paper'")}) AS code FROM r
+UNION ALL SELECT id, 'duplicate-reviewer-id' FROM r GROUP BY id HAVING count(*) > 1""")
+def reviewer_findings(spark, sf_dir):
+    """K3: customers as reviewers: ids, names, roles, states, evidence, and ids that come twice."""
+    c = read(spark, sf_dir, "customer")
+    r = c.union(c.filter("c_acctbal > 9000")).select(*[F.expr(e).alias(k) for k, e in REVIEWER.items()])
+    return registry.validate({"reviewers": r}, {}, []).select("entity_id", "code")
