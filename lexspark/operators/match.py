@@ -47,6 +47,22 @@ def match_entities(concepts: DataFrame, keys: DataFrame) -> DataFrame:
     return found.select("concept_id", "evidence_id", F.when(F.array_contains(r, "exact"), F.array_remove(r, "normalised")).otherwise(r).alias("reasons"))
 
 
+VIEWS = ("EXACT", "NORMALISED", "BY_ID", "THIRD_BEARING", "TARGET_BEARING")
+
+
+def match_views(matches: DataFrame, evidence: DataFrame) -> DataFrame:
+    """(view, concept_id, evidence_id): matches by how they were made, and those whose evidence has a third or a target term; a match may be in several views.
+
+    evidence: evidence_id, third, target (term blocks).
+    """
+    there = lambda c: F.exists(terms(f"{c}.preferred", f"{c}.aliases"), lambda t: F.trim(t) != "")
+    e = evidence.select("evidence_id", F.coalesce(there("third"), F.lit(False)).alias("_third"), F.coalesce(there("target"), F.lit(False)).alias("_target"))
+    has = lambda r: F.array_contains("reasons", r)
+    tests = (has("exact"), has("normalised"), has("terminology_id") | has("source_code"), F.col("_third"), F.col("_target"))
+    views = F.array_compact(F.array(*[F.when(p, F.lit(v)) for v, p in zip(VIEWS, tests, strict=True)]))
+    return matches.join(e, "evidence_id").select(F.explode(views).alias("view"), "concept_id", "evidence_id")
+
+
 def ends(names: DataFrame, key: str = "key", carry: Sequence[str] = ()) -> DataFrame:
     """(key, lo, hi) of names: the least and the greatest concept of each key, as structs (concept_id, *carry).
 

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexspark.functions.text import exact_locator, fold_key, is_blank, is_iso_date, is_url, locator_supported
 from lexspark.operators.evidence import findings_of
@@ -42,6 +43,10 @@ ENUMS: dict[str, tuple[str, ...]] = {
 }
 
 
+#: Lists of an entry's forms, and the type of claim that approves a form.
+SEARCH_FORMS = (("pivot", "aliases", "pivot-alias"), ("third", "aliases", "third-alias"), ("target", "aliases", "target-alias"), ("target", "search_aliases", "target-search-alias"), ("target", "ascii_forms", "target-search-alias"))
+
+
 def _not_in(c: str, enum: str) -> Column:
     return ~F.coalesce(F.col(c).isin(*ENUMS[enum]), F.lit(False))
 
@@ -166,10 +171,18 @@ def validate(tables: Mapping[str, DataFrame], capabilities: Mapping[str, str], t
             out.append(missing_findings(e, {"concept_id": "concept_id"}, k, "orphan-concept-id", c("concept_id"), "entries"))
             both = e.join(k.select("concept_id", "name", F.col("elements").alias("_has")), "concept_id")
             out.append(_finding(both.filter("pivot.preferred <> name"), "pivot-snapshot-mismatch", W, c("concept_id"), "entries"))
+            if "element_scope" in e.columns:
+                both = both.filter("element_scope = 'packaged'")  # others are listed elsewhere
             listed = both.select("concept_id", F.explode("elements").alias("element_id"), "_has")
-            out.append(_finding(listed.filter(~F.array_contains("_has", c("element_id"))), "mesh-membership-mismatch", E, F.concat_ws("/", "concept_id", "element_id"), "entries"))
+            member = F.concat_ws("/", "concept_id", "element_id")
+            if "parts" in t:
+                out.append(missing_findings(listed, {"element_id": "element_id"}, t["parts"], "unknown-packaged-element-id", member, "entries"))
+                listed = listed.join(t["parts"].select("element_id").distinct(), "element_id", "left_semi")
+            out.append(_finding(listed.filter(~F.coalesce(F.array_contains("_has", c("element_id")), F.lit(False))), "mesh-membership-mismatch", E, member, "entries"))
         if "claims" in t:
-            forms = e.select("concept_id", F.explode(F.array(*[F.struct(F.lit(f"{x}-alias").alias("type"), F.col(f"{x}.aliases").alias("terms")) for x in ("pivot", "target")])).alias("f")).select("concept_id", "f.type", F.explode("f.terms").alias("target"))
+            has = {f"{g.name}.{f.name}" for g in e.schema.fields if isinstance(g.dataType, StructType) for f in g.dataType.fields}
+            lists = [(f"{x}.{f}", k) for x, f, k in SEARCH_FORMS if f"{x}.{f}" in has]
+            forms = e.select("concept_id", F.explode(F.array(*[F.struct(F.lit(k).alias("type"), F.col(p).alias("terms")) for p, k in lists])).alias("f")).select("concept_id", "f.type", F.explode("f.terms").alias("target"))
             out.append(missing_findings(forms, {"concept_id": "concept_id", "type": "type", "target": "target"}, t["claims"], "unapproved-search-form", F.concat_ws("/", "concept_id", "target"), "entries", W))
             preferred = t["claims"].filter("type = 'target-preferred'").join(e.select("concept_id", F.col("target.preferred").alias("_p")), "concept_id")
             out.append(_finding(preferred.filter("_p is not null and target <> _p"), "preferred-claim-target-mismatch", W, claim_id, "claims"))
@@ -261,6 +274,22 @@ def research_findings(research: DataFrame, buckets: Sequence[str]) -> DataFrame:
     return findings_of(research, rules, "concept_id", "research")
 
 
+def readiness_findings(entries: DataFrame, released: DataFrame, languages: Sequence[tuple[str, str]] = (("target", "unreleased-search-term"), ("third", "unreleased-third"))) -> DataFrame:
+    """Warnings of entries that have a term in a language in which they are not released: it cannot enter the search.
+
+    released: concept_id, language. languages: a language's column and its code.
+    """
+    out = None
+    for language, code in languages:
+        if language not in entries.columns:
+            continue
+        held = entries.filter(~is_blank(F.col(language)["preferred"]))
+        open_ = held.join(released.filter(F.col("language") == language).select("concept_id").distinct(), "concept_id", "left_anti")
+        now = _finding(open_, code, W, F.col("concept_id"), "entries")
+        out = now if out is None else out.union(now)
+    return out
+
+
 def collision_findings(terms: DataFrame, released: DataFrame, permitted: DataFrame) -> DataFrame:
     """Keys of search terms (concept_id, term, key) on several concepts: a warning; among released concepts an error, unless every term is permitted (concept_id, term)."""
     t = terms.select("concept_id", "term", "key").distinct()

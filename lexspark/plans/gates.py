@@ -131,3 +131,16 @@ SELECT *, term_ok AND mapping_ok AND audits_ok AND conflicts_ok AS released FROM
 def gated_release(spark, sf_dir):
     """Entries that every gate lets through."""
     return registry.release_gate(tables(spark, sf_dir), CAPABILITIES, NOMENCLATURES)
+
+
+@query(f"""WITH {GATED}, {MAPPED}, {AUDITED}, {SETTLED}, g AS (SELECT e.concept_id, o_totalprice, o_orderstatus, e.concept_id IN (SELECT c.concept_id FROM cl c JOIN ent n ON n.concept_id = c.concept_id WHERE approved AND type = 'target-preferred' AND target = trim(n.preferred)) AND mapping_ok AND (SELECT count(*) FROM ag WHERE ag.concept_id = e.concept_id AND audit_ok) = 2 AND conflicts_ok AS released
+FROM ent e JOIN orders ON o_orderkey::VARCHAR = e.concept_id JOIN mg ON mg.concept_id = e.concept_id JOIN xg ON xg.concept_id = e.concept_id)
+SELECT 'unreleased-search-term' AS code, concept_id AS entity_id, 'warning' AS severity FROM g WHERE NOT released UNION ALL SELECT 'unreleased-third', concept_id, 'warning' FROM g WHERE o_totalprice > 300000 AND o_orderstatus <> 'F'""")
+def unreleased_terms(spark, sf_dir):
+    """Entries with a term in a language in which they are not released."""
+    t = tables(spark, sf_dir)
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("concept_id"), F.struct(F.when(F.col("o_totalprice") > 300000, "os").alias("preferred")).alias("third"), (F.col("o_orderstatus") == "F").alias("_third"))
+    entries = t["entries"].select("concept_id", "target").join(o, "concept_id")
+    released = registry.release_gate(t, CAPABILITIES, NOMENCLATURES).filter("released").select("concept_id", F.lit("target").alias("language"))
+    released = released.union(o.filter("_third").select("concept_id", F.lit("third")))
+    return registry.readiness_findings(entries, released).select("code", "entity_id", "severity")

@@ -171,7 +171,7 @@ UNION ALL SELECT unnest(['conflict-awaiting-adjudication', 'open-conflict-prefer
 UNION ALL SELECT 'entry-key-mismatch', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 4 = 0 UNION ALL SELECT 'orphan-concept-id', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 5 = 0
 UNION ALL SELECT 'pivot-snapshot-mismatch', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 5 > 0 AND s_suppkey % 3 = 0 UNION ALL SELECT 'mesh-membership-mismatch', 'S' || s_suppkey || '/zz' FROM supplier WHERE s_suppkey % 5 > 0 AND s_suppkey % 7 = 0
 UNION ALL SELECT 'duplicate-normalized-term', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 9 = 0 UNION ALL SELECT unnest(['unapproved-search-form', 'unapproved-search-form']), 'S' || s_suppkey || '/' || unnest(['Ab', 'ab']) FROM supplier WHERE s_suppkey % 9 = 0
-UNION ALL SELECT 'invalid-ascii-search-form', 'S' || s_suppkey FROM supplier WHERE s_suppkey % 8 = 1)"""
+UNION ALL SELECT unnest(['invalid-ascii-search-form', 'unapproved-search-form']), unnest(['S' || s_suppkey, 'S' || s_suppkey || '/é']) FROM supplier WHERE s_suppkey % 8 = 1)"""
 
 
 @query(FINDINGS)

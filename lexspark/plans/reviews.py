@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, evidence, quality, registry, rules, targets
+from lexspark.operators import compose, consensus, evidence, match, quality, registry, rules, targets
 from lexspark.plans.queries import PAIRS, WORDS, WORDS_SQL, query, read, word_of
 
 #: Checks of a row by name, in the SQL that Spark and DuckDB share; unknown fails.
@@ -236,3 +236,19 @@ def reviewer_findings(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
     r = c.union(c.filter("c_acctbal > 9000")).select(*[F.expr(e).alias(k) for k, e in REVIEWER.items()])
     return registry.validate({"reviewers": r}, {}, []).select("entity_id", "code")
+
+
+@query("""WITH m AS (SELECT p_partkey AS k, p_type, p_size, upper(p_name) <> p_brand AS named FROM part)
+SELECT view, k AS concept_id, 'E' || k AS evidence_id FROM (SELECT k, unnest(list_filter([CASE WHEN p_size < 20 THEN 'EXACT' END, CASE WHEN p_size BETWEEN 20 AND 39 THEN 'NORMALISED' END, CASE WHEN p_size % 2 = 0 THEN 'BY_ID' END, CASE WHEN p_type = 'PROMO' THEN 'THIRD_BEARING' END, CASE WHEN p_type IN ('SMALL', 'LARGE') THEN 'TARGET_BEARING' END], lambda x: x IS NOT NULL)) AS view FROM m WHERE p_size < 40 OR p_size % 2 = 0)""")
+def views_of_matches(spark, sf_dir):
+    """Matches of parts with attestations of them, by name, by id, and by the terms that the attestations bear."""
+    p = read(spark, sf_dir, "part")
+    none = F.array().cast("array<string>")
+    key = F.col("p_partkey").cast("string")
+    # Names of their own, so that a part matches its own attestation alone.
+    name = F.concat("p_name", F.lit(" "), key)
+    said = F.when(F.col("p_size") < 20, name).when(F.col("p_size") < 40, F.translate(name, "aeio", "áéíó")).otherwise(F.concat(F.lit("unlike "), key))
+    block = lambda held, alias: F.struct(F.when(held, "t").alias("preferred"), F.when(alias, F.array(F.lit("a"))).otherwise(none).alias("aliases"))
+    e = p.select(F.concat(F.lit("E"), key).alias("evidence_id"), F.struct(said.alias("preferred"), none.alias("aliases")).alias("pivot"), F.when(F.col("p_size") % 2 == 0, F.array(key)).otherwise(none).alias("terminology_ids"), none.alias("source_codes"), block(F.col("p_type") == "PROMO", F.lit(False)).alias("third"), block(F.col("p_type") == "SMALL", F.col("p_type") == "LARGE").alias("target"))
+    m = match.match_entities(p.select(key.alias("concept_id"), name.alias("name")), match.build_keys(e))
+    return match.match_views(m, e).select("view", F.col("concept_id").cast("long").alias("concept_id"), "evidence_id")

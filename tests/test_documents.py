@@ -127,3 +127,17 @@ def test_one_change_changes_the_path_to_the_root_alone(spark):
     assert root(revision_tree(leaves)).count() == 1 and depth_for(0) == depth_for(256) == 0 and depth_for(257) == 1
     hot = spark.range(500).select(F.lit("k").alias("key"), F.lit(None).cast("string").alias("revision"))
     assert revision_tree(hot, depth=1).filter("level = 1").first().leaves == 500 and revision_tree(leaves.limit(0)).count() == 0
+
+
+def test_packaged_elements_and_search_forms(spark):
+    from lexspark.operators import registry
+
+    e = spark.createDataFrame([("C1", "C1", ["e1", "zz", "e2"], "packaged"), ("C2", "C2", ["far"], "external")], "concept_id string, key string, elements array<string>, element_scope string")
+    blocks = [F.struct(F.lit("p").alias("preferred"), F.array(F.lit("pa")).alias("aliases")).alias("pivot"), F.struct(F.lit("t").alias("preferred"), F.array(F.lit("ta")).alias("aliases"), F.array(F.lit("sa")).alias("search_aliases"), F.array(F.lit("ascii")).alias("ascii_forms")).alias("target"), F.struct(F.lit("l").alias("preferred"), F.array(F.lit("la")).alias("aliases")).alias("third")]
+    e = e.select("*", *blocks, F.lit("MAPPED").alias("mapping_status"), F.lit(None).cast("string").alias("mapping_disposition"), F.lit("v").alias("revision"))
+    concepts = spark.createDataFrame([("C1", "p", ["e1"]), ("C2", "p", [])], "concept_id string, name string, elements array<string>")
+    parts = spark.createDataFrame([("e1",), ("e2",)], "element_id string")
+    got = {(r.code, r.entity_id) for r in registry.validate({"entries": e, "concepts": concepts, "parts": parts}, {}, []).collect()}
+    assert {c for c in got if c[0].startswith(("unknown-packaged", "mesh"))} == {("unknown-packaged-element-id", "C1/zz"), ("mesh-membership-mismatch", "C1/e2")}
+    open_ = {(r.code, r.entity_id) for r in registry.readiness_findings(e, spark.createDataFrame([("C1", "target"), ("C2", "third")], "concept_id string, language string")).collect()}
+    assert open_ == {("unreleased-search-term", "C2"), ("unreleased-third", "C1")}
