@@ -214,3 +214,17 @@ def tier_coverage(decisions: DataFrame, tiers: Sequence[str], baseline: DataFram
     enum = decisions.sparkSession.createDataFrame([(x,) for x in tiers], "tier string")
     z = lambda c: F.coalesce(c, F.lit(0)).alias(c)
     return enum.join(g, "tier", "left").select("tier", z("rows"), z("targets"), z("overlap")).withColumn("gain", F.col("targets") - F.col("overlap"))
+
+
+def annotation_counts(bindings: DataFrame, matrix: DataFrame, records: DataFrame) -> DataFrame:
+    """(name, key, n): what a research annotation carries: bindings and the concepts they bind, concepts of the matrix and their
+    dispositions, records and their sources.
+
+    bindings: concept_id. matrix: concept_id, disposition. records: source_id. A blank id or disposition is counted under no key.
+    """
+    named = lambda c: F.when(~F.coalesce(F.trim(F.col(c).cast("string")) == "", F.lit(True)), F.col(c))
+    one = lambda d, name, n: d.agg(n.alias("n")).select(F.lit(name).alias("name"), F.lit(None).cast("string").alias("key"), "n")
+    per = lambda d, name, c: d.groupBy(named(c).cast("string").alias("key")).agg(F.count("*").alias("n")).filter("key is not null").select(F.lit(name).alias("name"), "key", "n")
+    out = one(bindings, "bindings", F.count("*")).union(one(bindings, "bound_concepts", F.count_distinct(named("concept_id"))))
+    out = out.union(one(matrix, "concepts", F.count("*"))).union(per(matrix, "dispositions", "disposition"))
+    return out.union(one(records, "records", F.count("*"))).union(per(records, "sources", "source_id"))

@@ -168,11 +168,16 @@ def annotate_errata(records: DataFrame, errata: DataFrame) -> DataFrame:
 
 
 def to_attestations(rows: DataFrame, source_id: str, revision: str, preferred_a: str, preferred_b: str, synonyms: str) -> DataFrame:
-    """Attestations of rebuilt rows (pivot spellings a, b, synonyms, target): spelling a else b is preferred, the other an alias; whole-row duplicates go."""
+    """Attestations of rebuilt rows (pivot spellings a, b, synonyms, target): spelling a else b is preferred, the other an alias; whole-row duplicates go.
+
+    status: PARENTHESISED if the preferred term or an alias stands in brackets, which marks it in its source.
+    """
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     best = F.coalesce(blank(preferred_a), blank(preferred_b))
     aliases = F.array_remove(F.array_union(F.array_compact(F.array(blank(preferred_a), blank(preferred_b))), split_synonyms(synonyms, best)), best)
     out = rows.withColumns({"source_id": F.lit(source_id), "source_revision": F.lit(revision), "pivot": F.struct(best.alias("preferred"), aliases.alias("aliases")), "source_term_raw": best})
+    marked = lambda t: F.coalesce(t.startswith("(") & t.endswith(")"), F.lit(False))
+    out = out.withColumn("status", F.when(marked(best) | F.exists(aliases, marked), "PARENTHESISED"))
     return out.dropDuplicates()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import text as T
-from lexspark.operators import compose, consensus, evidence, match, quality, registry, rules, targets
+from lexspark.operators import compose, consensus, evidence, match, metrics, quality, reconstruct, registry, rules, targets
 from lexspark.plans.queries import PAIRS, WORDS, WORDS_SQL, query, read, word_of
 
 #: Checks of a row by name, in the SQL that Spark and DuckDB share; unknown fails.
@@ -252,3 +252,27 @@ def views_of_matches(spark, sf_dir):
     e = p.select(F.concat(F.lit("E"), key).alias("evidence_id"), F.struct(said.alias("preferred"), none.alias("aliases")).alias("pivot"), F.when(F.col("p_size") % 2 == 0, F.array(key)).otherwise(none).alias("terminology_ids"), none.alias("source_codes"), block(F.col("p_type") == "PROMO", F.lit(False)).alias("third"), block(F.col("p_type") == "SMALL", F.col("p_type") == "LARGE").alias("target"))
     m = match.match_entities(p.select(key.alias("concept_id"), name.alias("name")), match.build_keys(e))
     return match.match_views(m, e).select("view", F.col("concept_id").cast("long").alias("concept_id"), "evidence_id")
+
+
+@query("""SELECT 'bindings' AS name, NULL AS "key", count(*) AS n FROM lineitem WHERE l_quantity > 40 UNION ALL SELECT 'bound_concepts', NULL, count(DISTINCT l_orderkey) FROM lineitem WHERE l_quantity > 40 UNION ALL SELECT 'concepts', NULL, count(*) FROM orders
+UNION ALL SELECT 'dispositions', o_orderpriority, count(*) FROM orders WHERE o_orderstatus <> 'P' GROUP BY 2 UNION ALL SELECT 'records', NULL, count(*) FROM lineitem UNION ALL SELECT 'sources', l_suppkey::VARCHAR, count(*) FROM lineitem GROUP BY 2""")
+def annotation_counts(spark, sf_dir):
+    """Bindings and bound concepts, concepts by disposition, records by source."""
+    li, o = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    matrix = o.select(F.col("o_orderkey").alias("concept_id"), F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.col("o_orderpriority")).alias("disposition"))
+    return metrics.annotation_counts(li.filter("l_quantity > 40").select(F.col("l_orderkey").alias("concept_id")), matrix, li.select(F.col("l_suppkey").alias("source_id")))
+
+
+#: Spellings of part names by columns: a is missing for small parts, b is the brand, in brackets for some types.
+SPELLED = {"a": "CASE WHEN p_size < 15 THEN ' ' ELSE concat(' ', p_name) END", "b": "CASE p_type WHEN 'PROMO' THEN concat('(', p_brand, ')') ELSE p_brand END", "syn": "concat(p_name, '; ;', CASE WHEN p_size > 40 THEN concat('(', p_type, ')') ELSE p_type END, ';', p_brand)"}
+
+
+@query(f"""WITH s AS (SELECT p_partkey AS id, {', '.join(f'{e} AS {c}' for c, e in SPELLED.items())} FROM part), t AS (SELECT *, nullif(trim(a), '') AS ta, trim(b) AS tb, coalesce(nullif(trim(a), ''), trim(b)) AS best FROM s),
+u AS (SELECT *, list_filter(list_concat([ta, tb], list_transform(string_split(syn, ';'), lambda x: trim(x))), lambda x: x IS NOT NULL AND x <> '' AND x <> best) AS every FROM t),
+v AS (SELECT *, list_filter(every, lambda x, i: list_position(every, x) = i) AS aliases FROM u)
+SELECT id, best AS preferred, array_to_string(aliases, ',') AS aliases, CASE WHEN len(list_filter(list_concat([best], aliases), lambda x: starts_with(x, '(') AND ends_with(x, ')'))) > 0 THEN 'PARENTHESISED' END AS status FROM v""")
+def spelled_records(spark, sf_dir):
+    """Spelling a else b preferred, the other an alias, synonyms made distinct, bracketed status kept; repeated rows go."""
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), *[F.expr(e).alias(c) for c, e in SPELLED.items()])
+    out = reconstruct.to_attestations(p.union(p), "S", "1", "a", "b", "syn")
+    return out.select("id", F.col("pivot.preferred").alias("preferred"), F.array_join("pivot.aliases", ",").alias("aliases"), "status")
