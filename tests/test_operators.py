@@ -425,3 +425,42 @@ def test_rules_over_tags_and_names(spark):
     d = spark.createDataFrame([("vein wall", ["category:artery"]), ("a vein", []), ("tendon", None), (None, ["x"]), (None, None)], "name string, tags array<string>")
     table = [{"name": "arteries", "when": {"any": [{"field": "tags", "has_tag": ["category:artery", "category:arteriole"]}, {"field": "name", "matches": "arter"}]}}, {"name": "veins", "when": {"field": "name", "matches": r"\bvein\b"}}, {"name": "x", "when": {"not": {"field": "name", "matches": "."}}}]
     assert [r.f for r in d.select(rules.first_rule_of(table, "other").alias("f")).collect()] == ["arteries", "veins", "other", "x", "x"]
+
+
+def test_neighbours_by_bitmaps_are_those_by_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+    rows_ = [(f"c{c}", f"e{e}") for c in range(60) for e in range(12) if rng.random() < 0.05 + 0.4 * (e < 3)] + [("alone", "own"), ("c0", "e0"), (None, "e1")]
+    m = spark.createDataFrame(rows_, "concept_id string, element_id string")
+    held = {}
+    for c, e in set(rows_):
+        held.setdefault(e, set()).add(c)
+    want = {}
+    for c in {c for c, _ in rows_ if c is not None}:
+        mine = [e for e in held if c in held[e]]
+        near = {d for e in mine for d in held[e]} - {c, None}
+        want[c] = (len(mine), sum(len(held[e]) > 1 for e in mine), len(near), sorted(near)[:3])
+    for hot in (2, 10, 1000):
+        got = {r.concept_id: (r.elements, r.shared_elements, r.overlapping, r.first_overlaps or []) for r in match.shared_membership(m.filter("concept_id is not null"), show=3, hot=hot).collect()}
+        sized = {c: (n, s - sum(1 for e in held if c in held[e] and len(held[e] - {None}) == 1 and len(held[e]) > 1), k, f) for c, (n, s, k, f) in want.items()}
+        assert got == sized
+    assert match.shared_membership(m.limit(0)).collect() == []
+
+
+def test_first_rows_of_a_hot_key(spark):
+    from lexspark.operators.topk import first_k
+
+    d = spark.range(3000).select(F.when(F.col("id") < 2900, "hot").otherwise("cold").alias("key"), (F.col("id") % 1000).alias("v"), "id")
+    got = first_k(d, ["key"], [F.col("v").desc(), F.col("id")], 4).collect()
+    want = {"hot": [(999, 999), (999, 1999), (998, 998), (998, 1998)], "cold": [(999, 2999), (998, 2998), (997, 2997), (996, 2996)]}
+    assert {k: [(r.v, r.id) for r in sorted(got, key=lambda r: r["rank"]) if r.key == k] for k in want} == want
+
+
+def test_one_of_many_and_the_default_list(spark):
+    names = spark.createDataFrame([("k", 1), ("k", 1), ("j", 1), ("j", 2), ("j", 3), (None, 4), ("l", None)], "key string, concept_id int")
+    v = spark.createDataFrame([("a", 1, "k"), ("b", 1, "j"), ("c", 1, "x"), ("d", 1, "x"), ("d", 2, "k"), ("e", 1, "k"), ("e", 2, "j"), ("f", 1, None), ("g", 1, "l")], "row_id string, tier int, key string")
+    got = {r.row_id: (r.outcome, r.concept_id, r.tier) for r in match.unique_match(v, names).collect()}
+    assert got == {"a": ("ONE", 1, 1), "b": ("MANY", None, None), "c": ("NONE", None, None), "d": ("ONE", 1, 2), "e": ("MANY", None, None), "f": ("NONE", None, None), "g": ("NONE", None, None)}
+    t = spark.createDataFrame([("1", "Heart", 5, ["heart", "cor"]), ("2", "heart", 2, ["heart"]), ("3", "Liver", 1, ["liver"])], "concept_id string, display_name string, pos int, keys array<string>")
+    assert [r.concept_id for r in search.search(t, "  ", default=["Liver", "brain", "HEART"]).collect()] == ["3", "2"]
