@@ -91,12 +91,14 @@ def _texts(shape: Mapping, at: Place) -> Column:
     folded = F.transform(items, lambda x: F.nullif(fold_key(text(x)), F.lit("")))
     where = lambda i: F.concat(at.name, F.lit("["), i.cast("string"), F.lit("]"))
 
-    def item(x: Column, i: Column) -> Column:
-        key = F.nullif(fold_key(text(x)), F.lit(""))
-        again = F.coalesce(F.array_position(folded, key) <= i, F.lit(False))
+    def item(x: Column, i: Column, keys: Column) -> Column:
+        key = F.get(keys, i)
+        again = F.coalesce(F.array_position(keys, key) <= i, F.lit(False))
         return F.when(is_blank(text(x)), _one("invalid-string-array-item", shape, where(i))).when(again, _one("duplicate-normalized-term", shape, where(i))).otherwise(_none())
 
-    return F.when(items.isNull(), _one("invalid-string-array", shape, at.name)).otherwise(F.flatten(F.transform(items, item)))
+    # The keys are bound by a lambda of their own, so that they are made once and not for every item.
+    found = F.get(F.transform(F.array(folded), lambda keys: F.flatten(F.transform(items, lambda x, i: item(x, i, keys)))), F.lit(0))
+    return F.when(items.isNull(), _one("invalid-string-array", shape, at.name)).otherwise(found)
 
 
 def findings(shape: Mapping, at: Place) -> Column:
