@@ -16,9 +16,12 @@ TABLES_SQL = """records AS (SELECT p_partkey AS concept_id, p_name AS "pivot", p
 generated AS (SELECT concept_id, "pivot", CASE WHEN p_size = 30 THEN 'other' ELSE target END AS target, status FROM records JOIN part ON p_partkey = concept_id WHERE p_size <= 45),
 catalog AS (SELECT concept_id, CASE WHEN p_size = 20 THEN upper("pivot") ELSE "pivot" END AS "pivot", target, status FROM records JOIN part ON p_partkey = concept_id WHERE p_size >= 3),
 quality AS (SELECT concept_id, "pivot", p_type AS target, status FROM records JOIN part ON p_partkey = concept_id WHERE p_retailprice > 950)"""
-PATCHES_SQL = """patches AS (SELECT l_partkey + CASE WHEN max(l_quantity) = 50 AND min(l_quantity) < 2 THEN (SELECT count(*) FROM part) ELSE 0 END AS concept_id, p_name AS "pivot",
-CASE WHEN avg(l_quantity) > 30 THEN 'else' ELSE p_brand END AS old, CASE WHEN avg(l_tax) > 0.055 THEN ' ' WHEN avg(l_tax) < 0.03 THEN CASE WHEN avg(l_quantity) > 30 THEN 'else' ELSE p_brand END ELSE concat('new ', p_brand) END AS new
-FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_partkey, l_linestatus, p_name, p_brand HAVING l_linestatus = 'F' OR avg(l_discount) > 0.052)"""
+#: A column's sum less a limit a row, exact: an average of doubles at the limit lies on a side that the order of its rows decides.
+ABOVE = "sum(CAST({c} AS DECIMAL(18, 6))) - CAST({limit} AS DECIMAL(18, 6)) * count({c})"
+MANY, TAXED, UNTAXED, CHEAP = (ABOVE.format(c=c, limit=limit) for c, limit in (("l_quantity", "30"), ("l_tax", "0.055"), ("l_tax", "0.03"), ("l_discount", "0.052")))
+PATCHES_SQL = f"""patches AS (SELECT l_partkey + CASE WHEN max(l_quantity) = 50 AND min(l_quantity) < 2 THEN (SELECT count(*) FROM part) ELSE 0 END AS concept_id, p_name AS "pivot",
+CASE WHEN {MANY} > 0 THEN 'else' ELSE p_brand END AS old, CASE WHEN {TAXED} > 0 THEN ' ' WHEN {UNTAXED} < 0 THEN CASE WHEN {MANY} > 0 THEN 'else' ELSE p_brand END ELSE concat('new ', p_brand) END AS new
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_partkey, l_linestatus, p_name, p_brand HAVING l_linestatus = 'F' OR {CHEAP} > 0)"""
 
 
 def parts_tables(spark, sf_dir):
@@ -37,10 +40,10 @@ def part_patches(spark, sf_dir):
     """A patch for each part and line status, as its line items have it."""
     part = read(spark, sf_dir, "part")
     n = part.agg(F.count("*").alias("parts"))
-    g = read(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linestatus").agg(F.avg("l_quantity").alias("q"), F.max("l_quantity").alias("hi"), F.min("l_quantity").alias("lo"), F.avg("l_tax").alias("t"), F.avg("l_discount").alias("d"))
-    g = g.filter("l_linestatus = 'F' or d > 0.052").join(part, F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(n))  # n is one row
-    old = F.when(F.col("q") > 30, "else").otherwise(F.col("p_brand"))
-    new = F.when(F.col("t") > 0.055, " ").when(F.col("t") < 0.03, old).otherwise(F.concat(F.lit("new "), "p_brand"))
+    g = read(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linestatus").agg(F.expr(MANY).alias("q"), F.max("l_quantity").alias("hi"), F.min("l_quantity").alias("lo"), F.expr(TAXED).alias("t"), F.expr(UNTAXED).alias("u"), F.expr(CHEAP).alias("d"))
+    g = g.filter("l_linestatus = 'F' or d > 0").join(part, F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(n))  # n is one row
+    old = F.when(F.col("q") > 0, "else").otherwise(F.col("p_brand"))
+    new = F.when(F.col("t") > 0, " ").when(F.col("u") < 0, old).otherwise(F.concat(F.lit("new "), "p_brand"))
     return g.select((F.col("l_partkey") + F.when((F.col("hi") == 50) & (F.col("lo") < 2), F.col("parts")).otherwise(0)).alias("concept_id"), F.col("p_name").alias("pivot"), old.alias("old"), new.alias("new"))
 
 
