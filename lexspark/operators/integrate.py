@@ -121,10 +121,12 @@ def integrate(store: TableSet, patches: DataFrame, how: Integration, downstream:
     """Lays patches over the store's tables and gives the new version; raises, and changes nothing, on any finding.
 
     The tables stay at the version they had if a job fails at any point, and another writer's
-    version, if one came meanwhile, is not overwritten.
+    version, if one came meanwhile, is not overwritten. The patches are made once.
     """
     base = store.version()
     before = store.tables(base)
+    # Written once: findings, tables and the comparison must see the same patches, whatever made them.
+    patches = store.spark.read.parquet(store.stage({"patches": patches})["patches"])
     _refuse_any(patch_findings(before, patches, how, downstream), "patches refused")
     staged = store.stage(patched(before, patches, how, downstream))
     after = {name: store.spark.read.parquet(at) for name, at in staged.items()}

@@ -71,7 +71,9 @@ def integrated_tables(spark, sf_dir):
     """The sound patches laid over four tables, staged, compared and committed as one version, which is read back."""
     store = TableSet(spark, shared_path(spark, "tables"))
     store.write(parts_tables(spark, sf_dir))
-    patches = part_patches(spark, sf_dir)
+    at = shared_path(spark, "patches")
+    part_patches(spark, sf_dir).write.parquet(at)  # findings and tables must see the same patches
+    patches = spark.read.parquet(at)
     bad = integrate.patch_findings(store.tables(), patches, HOW).select(F.col("entity_id").cast("long").alias("concept_id")).distinct()
     integrate.integrate(store, patches.join(bad, "concept_id", "left_anti"), HOW)
     out = None

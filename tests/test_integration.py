@@ -139,3 +139,15 @@ def test_averages_at_the_limits_do_not_depend_on_the_order_of_rows(spark, tmp_pa
         want = con.execute(ORACLE_SQL[q.__name__])
         names = [c[0] for c in want.description]
         assert sorted(q(spark, at).select(*names).collect()) == sorted(want.fetchall())
+
+
+def test_patches_are_made_once(spark, store):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            made.add(batch.num_rows)
+            yield batch
+
+    p = spark.createDataFrame([("a", "A", "x", "x2")], PATCHES).mapInArrow(count, PATCHES)
+    assert integrate(store, p, HOW) == 2 and made.value == 1
