@@ -41,24 +41,30 @@ def grams(c, n: int = 3):
 def batch_search(terms: DataFrame, queries: DataFrame, limit: int = 80, n: int = 3) -> DataFrame:
     """Per query_id the first hits: (query_id, rank, concept_id, display_name).
 
-    terms: concept_id, display_name, pos, key. queries: query_id, query. A query is joined by its
-    rarest gram in the terms, an equi-join, and then confirmed: of n characters, or all of its own
-    if it is shorter.
+    terms: concept_id, display_name, pos, key. queries: query_id, query. Each distinct query meets
+    each distinct key once, by its rarest gram in the keys, an equi-join, and is then confirmed: of
+    n characters, or all of its own if it is shorter. A key stands for its first `limit` terms,
+    among which are all that a query can show of it, so neither terms of one name nor queries of
+    one text make rows for their pairs.
     """
-    q = queries.select("query_id", fold_key("query").alias("q")).filter("q <> ''")
+    order = [F.length("display_name"), F.col("pos"), F.col("concept_id")]
+    asked = queries.select("query_id", fold_key("query").alias("q")).filter("q <> ''")
+    q = asked.select("q").distinct()
+    heads = first_k(terms.select("key", "concept_id", "display_name", "pos").distinct(), ["key"], order, limit).drop("rank")
     sized = lambda c, k: F.filter(grams(c, k), lambda g: F.length(g) == k)
     every = F.array_distinct(F.concat(*[F.when(F.length("key") >= k, sized(F.col("key"), k)).otherwise(F.array().cast("array<string>")) for k in range(1, n + 1)]))
-    index = terms.select("concept_id", "display_name", "pos", "key", F.explode(every).alias("g"))
+    index = terms.select("key").distinct().select("key", F.explode(every).alias("g"))
     wanted = None
     for k in range(1, n + 1):
         wanted = F.when(F.length("q") == k, sized(F.col("q"), k)) if wanted is None else wanted.when(F.length("q") == k, sized(F.col("q"), k))
-    q_grams = q.select("query_id", "q", F.explode(wanted.otherwise(sized(F.col("q"), n))).alias("g"))
+    q_grams = q.select("q", F.explode(wanted.otherwise(sized(F.col("q"), n))).alias("g"))
     index = index.join(q_grams.select("g").distinct(), "g", "left_semi")
-    rarest = q_grams.join(index.groupBy("g").count(), "g", "left").groupBy("query_id", "q").agg(F.min_by("g", F.struct(F.coalesce("count", F.lit(0)), "g")).alias("g"))
-    best = rarest.join(index, "g").filter(F.contains("key", F.col("q"))).select("query_id", "concept_id", "display_name", "pos").distinct()
+    rarest = q_grams.join(index.groupBy("g").count(), "g", "left").groupBy("q").agg(F.min_by("g", F.struct(F.coalesce("count", F.lit(0)), "g")).alias("g"))
+    met = rarest.join(index, "g").filter(F.contains("key", F.col("q"))).select("q", "key")
+    best = met.join(heads, "key").select("q", "concept_id", "display_name", "pos").distinct()
     # Ranked in parts first: a query of one letter has hits without number.
-    top = first_k(best, ["query_id"], [F.length("display_name"), F.col("pos"), F.col("concept_id")], limit)
-    return top.select("query_id", "rank", "concept_id", "display_name")
+    top = first_k(best, ["q"], order, limit)
+    return asked.join(top, "q").select("query_id", "rank", "concept_id", "display_name")
 
 
 def visible(df: DataFrame, categories: Sequence[str], ids: Sequence[str], isolate: bool = False, category: str = "category", key: str = "id") -> DataFrame:
