@@ -221,14 +221,34 @@ def membership_heuristics(concepts: DataFrame, membership: DataFrame, aggregate_
     return out.select("concept_id", el.alias("elements"), F.coalesce("shared_elements", F.lit(0)).alias("shared_elements"), F.coalesce("overlapping", F.lit(0)).alias("overlapping"), "first_overlaps", aggregate.alias("aggregate_or_composite"), sib.alias("unsided_with_sided_sibling"), (sib | (F.coalesce("overlapping", F.lit(0)) > 0)).alias("ontology_risk"))
 
 
+#: Parts that the pairs of one identifier are dealt to, and tasks that make the pairs of all.
+BRIDGE_SALTS, BRIDGE_TASKS = 64, 256
+
+
 def shared_identifier_bridge(a: DataFrame, b: DataFrame, release: str) -> DataFrame:
     """All pairs of atoms (atom_id, identifier, release, suppressed) of two vocabularies that share an identifier in one release.
 
-    Adds how many partners each end has; every pair is for review only.
+    Adds how many partners each end has; every pair is for review only. The output is pairs and
+    grows with them, but they are neither shuffled nor kept: partners are counted between classes of
+    atoms that have the same identifiers, and the pairs of one identifier are made by many tasks.
     """
-    live = lambda d: d.filter((F.col("release") == release) & ~F.coalesce("suppressed", F.lit(False)))
-    left = live(a).select(F.col("atom_id").alias("left_id"), "identifier").distinct()
-    right = live(b).select(F.col("atom_id").alias("right_id"), "identifier").distinct()
-    p = left.join(right, "identifier")
-    n = lambda c, other: p.groupBy(c).agg(F.count_distinct(other).alias(f"{c.split('_')[0]}_partners"))
-    return p.join(n("left_id", "right_id"), "left_id").join(n("right_id", "left_id"), "right_id").withColumn("status", F.lit("REVIEW_ONLY"))
+    live = lambda d, c: d.filter((F.col("release") == release) & ~F.coalesce("suppressed", F.lit(False))).select(F.col("atom_id").alias(c), "identifier").distinct()
+    # Null atoms have no partners in the counts, so they make no pair.
+    left, right = (live(d, c).filter(F.col(c).isNotNull()) for d, c in ((a, "left_id"), (b, "right_id")))
+    left, right = left.join(right.select("identifier").distinct(), "identifier", "left_semi"), right.join(left.select("identifier").distinct(), "identifier", "left_semi")
+
+    def classes(d, c, side):
+        members = d.groupBy(c).agg(F.array_sort(F.collect_set("identifier")).alias("_ids")).withColumn(f"_{side}", F.sha2(F.to_json("_ids"), 256))
+        kinds = members.groupBy(f"_{side}").agg(F.count("*").alias(f"_{side}_n"), F.any_value("_ids").alias("_ids"))
+        return members.drop("_ids"), kinds.select(f"_{side}", f"_{side}_n", F.explode("_ids").alias("identifier"))
+
+    (of_left, l), (of_right, r) = classes(left, "left_id", "l"), classes(right, "right_id", "r")
+    near = l.join(r, "identifier").drop("identifier").distinct()
+    left = left.join(of_left.join(near.groupBy("_l").agg(F.sum("_r_n").alias("left_partners")), "_l").drop("_l"), "left_id")
+    right = right.join(of_right.join(near.groupBy("_r").agg(F.sum("_l_n").alias("right_partners")), "_r").drop("_r"), "right_id")
+    # The side that is repeated for each part is linear in the input; a given number of partitions is not merged into a few.
+    left = left.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(BRIDGE_SALTS - 1))))
+    right = right.withColumn("_part", F.pmod(F.xxhash64("right_id"), F.lit(BRIDGE_SALTS)).cast("int"))
+    dealt = lambda d: d.repartition(BRIDGE_TASKS, "identifier", "_part")
+    p = dealt(left).hint("merge").join(dealt(right), ["identifier", "_part"])
+    return p.select("right_id", "left_id", "identifier", "left_partners", "right_partners", F.lit("REVIEW_ONLY").alias("status"))
