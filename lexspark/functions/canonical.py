@@ -11,12 +11,22 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, ByteType, DataType, IntegerType, LongType, MapType, ShortType, StringType, StructType
 
 
-def _scalar(c: Column) -> Column:
+#: Types whose JSON is their text, and texts that JSON writes as they are.
+PLAIN = (BooleanType, ByteType, ShortType, IntegerType, LongType)
+UNESCAPED = r"\A[ !#-\[\]-~]*\z"
+
+
+def _scalar(c: Column, kind: DataType = StringType()) -> Column:
+    if isinstance(kind, PLAIN):
+        return c.cast("string")
     text = F.to_json(F.array(c), {"ignoreNullFields": "false"})
-    return F.substr(text, F.lit(2), F.length(text) - 2)
+    written = F.substr(text, F.lit(2), F.length(text) - 2)
+    if isinstance(kind, StringType):  # a writer of JSON for each of the few texts that need one
+        return F.when(c.rlike(UNESCAPED), F.concat(F.lit('"'), c, F.lit('"'))).otherwise(written)
+    return written
 
 
 def canonical_text(c: Column, kind: DataType, unordered: bool = False) -> Column:
@@ -30,7 +40,7 @@ def canonical_text(c: Column, kind: DataType, unordered: bool = False) -> Column
     if isinstance(kind, ArrayType):
         items = F.transform(c, lambda x: F.coalesce(canonical_text(x, kind.elementType, unordered), F.lit("null")))
         return F.when(c.isNotNull(), F.concat(F.lit("["), F.array_join(F.array_sort(items) if unordered else items, ","), F.lit("]")))
-    return F.when(c.isNotNull(), _scalar(c))
+    return F.when(c.isNotNull(), _scalar(c, kind))
 
 
 def without(kind: StructType, paths: Iterable[str]) -> StructType:

@@ -76,6 +76,11 @@ def current_state(tables: Mapping[str, DataFrame], versions: DataFrame, by: str
     return out
 
 
+def states(roots: DataFrame, by: str = "release_id") -> DataFrame:
+    """(by, version, a revision a table) of several versions at once: roots (by, version, table, digest) of their tables' trees."""
+    return roots.groupBy(by, "version").agg(*[F.max(F.when(F.col("table") == name, F.col("digest"))).alias(name) for name in BOUND])
+
+
 def bound_entries(entries: DataFrame, by: str = "release_id", depth: int | None = None) -> DataFrame:
     """(by, entry_revisions): one digest of a manifest's entries (by, concept_id, revision)."""
     return root(revision_tree(entries, "concept_id", by=[by], depth=depth), [by]).withColumnRenamed("digest", "entry_revisions")
