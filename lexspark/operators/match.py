@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from lexspark.functions.text import base_name, exact_key, extra_scope_words, first_of, first_with_prefix, fold_key, scope_safe_key, side, tag_signals, terms
 from lexspark.operators.topk import first_k
@@ -142,51 +143,96 @@ def compare_semantics(matches: DataFrame, rules: Sequence[tuple[str, str]], cate
 
 #: Users of an element from which it is hot: its neighbours are counted by bitmaps, not by pairs.
 HOT = 512
-#: Parts that the elements of one concept are dealt to.
+#: Parts that the elements of one concept are dealt to, if it has more than as many.
 PARTS = 4096
+#: Concepts of a block (a power of two), and the pairs, repeats included, that one part of a block makes.
+BLOCK_BITS, BLOCK_PAIRS = 8, 1 << 23
+
+
+def _neighbours(cold: DataFrame, concepts: DataFrame, total: int) -> DataFrame:
+    """(number, others, whole): the distinct concepts (numbers) that share an element of cold (number, element_id), itself among them.
+
+    Concepts are numbered in their order, and 256 neighbours are a block. An element's users go
+    once to each block that has one of them, not once to each user, and are united there. A block
+    that makes many pairs is dealt out by elements, so a concept of any number of elements is no
+    task's alone; a number has a row for each part, and `whole` tells that it is the only one.
+    """
+    block = lambda n: F.shiftright(n, BLOCK_BITS)
+    parts = concepts.groupBy(block("number").alias("block")).agg(F.ceil(F.sum("cold_users") / BLOCK_PAIRS).alias("parts")).filter("parts > 0")
+    users = cold.groupBy("element_id").agg(F.collect_list("number").alias("others"))
+    d = users.select("element_id", "others", F.explode(F.array_distinct(F.transform("others", block))).alias("block")).join(F.broadcast(parts), "block")
+    d = d.select("block", "parts", F.pmod(F.xxhash64("element_id"), "parts").alias("part"), F.filter("others", lambda n: block(n) == F.col("block")).alias("mine"), "others")
+    # Rows are short and make many pairs, so tasks are numbered by the pairs.
+    d = d.repartition(2 * (total // BLOCK_PAIRS + 1), "block", "part").select("block", "part", "parts", F.explode("mine").alias("number"), "others")
+    d = d.groupBy("block", "part", "parts", "number").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    return d.select("number", "others", (F.col("parts") == 1).alias("whole"))
 
 
 def shared_membership(membership: DataFrame, show: int = 25, hot: int = HOT) -> DataFrame:
     """Per concept of (concept_id, element_id): elements, elements that others use, overlapping concepts, the first of them.
 
-    Elements of one concept alone drop out first. Elements of fewer than `hot` concepts give pairs,
-    fewer than that for each member. The others give bitmaps: concepts are numbered, and concepts
-    with the same hot elements, which have the same neighbours through them, unite these elements'
-    bitmaps once. Pairs that the bitmaps have counted already are left out by the elements that
-    their two concepts share. The first overlaps come from the least `show` + 1 concepts of each
-    element. So an element that all concepts have costs no row for a pair.
+    Members with the users of their element, and concepts with a number, are stored once. Elements of
+    one concept alone drop out first. Elements of fewer than `hot` concepts give pairs, in blocks of
+    concepts. The others give bitmaps: concepts with the same hot elements, which have the same
+    neighbours through them, unite these elements' bitmaps once. Pairs that the bitmaps have counted
+    already are left out by the elements that their two concepts share. The first overlaps come
+    from the least `show` + 1 concepts of each element; with `show` 0 none are sought. So an element
+    that all concepts have costs no row for a pair.
     """
+    spark = membership.sparkSession
+    at = shared_path(spark, "membership")
+
+    def stored(d: DataFrame, name: str) -> DataFrame:
+        d.write.parquet(f"{at}/{name}")
+        return spark.read.schema(d.schema).parquet(f"{at}/{name}")
+
     m = membership.select("concept_id", "element_id").distinct()
     # counted and joined rather than windowed: a hot element's rows may then be split among tasks
-    counted = m.join(m.groupBy("element_id").agg(F.count("*").alias("users")), "element_id")
-    per = counted.groupBy("concept_id").agg(F.count("*").alias("elements"), F.count_if(F.col("users") > 1).alias("shared_elements"))
-    shared = counted.filter("users > 1").select("concept_id", "element_id", "users")
-    cold = shared.filter(F.col("users") < hot).select("concept_id", "element_id")
-    pairs = cold.join(cold.select(F.col("concept_id").alias("other"), "element_id"), "element_id").filter("concept_id <> other").select("concept_id", "other").distinct()
-    warm = shared.filter(F.col("users") >= hot).select("concept_id", "element_id")
-    if not warm.limit(1).count():
-        over = pairs.groupBy("concept_id").agg(F.count("*").alias("overlapping"))
+    counted = stored(m.join(m.groupBy("element_id").agg(F.count("*").alias("users")), "element_id").select("concept_id", "element_id", "users"), "members")
+    is_cold, is_hot = (F.col("users") > 1) & (F.col("users") < hot), (F.col("users") > 1) & (F.col("users") >= hot)
+    per = counted.groupBy("concept_id").agg(F.count("*").alias("elements"), F.count_if(F.col("users") > 1).alias("shared_elements"), F.sum(F.when(is_cold, F.col("users")).otherwise(0)).alias("cold_users"), F.count_if(is_hot).alias("hot_elements"))
+    # Numbers follow the order of the concepts; once written, they stay the same.
+    concepts = stored(per.repartitionByRange("concept_id").sortWithinPartitions("concept_id").withColumn("number", F.monotonically_increasing_id()), "concepts")
+    found = concepts.filter("concept_id is not null").agg(F.sum("cold_users").alias("cold"), F.sum("hot_elements").alias("hot")).first()
+    numbered = lambda d: d.select("concept_id", "element_id").join(concepts.select("concept_id", "number", "elements"), "concept_id")
+    cold = numbered(counted.filter(is_cold))
+    near = _neighbours(cold.select("number", "element_id"), concepts.filter("concept_id is not null"), found.cold or 0)
+    pairs_of = lambda d: d.select("number", F.explode("others").alias("other")).filter("number <> other").distinct()
+    if not found.hot:
+        over = pairs_of(near.filter("not whole")).groupBy("number").agg(F.count("*").alias("overlapping")).union(near.filter("whole").select("number", (F.size("others") - 1).cast("long")))
     else:
-        spark = membership.sparkSession
-        at = shared_path(spark, "membership")
-        # A concept's hot elements are a set of its own; its number, once written, stays the same.
-        sets = warm.groupBy("concept_id").agg(F.array_sort(F.collect_set("element_id")).alias("hot"))
-        sets.select("concept_id", "hot", F.sha2(F.to_json("hot"), 256).alias("set"), F.monotonically_increasing_id().alias("number")).write.parquet(f"{at}/sets")
-        sets = spark.read.parquet(f"{at}/sets")
-        bits = warm.join(sets.select("concept_id", "number"), "concept_id").groupBy("element_id", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+        # A concept's hot elements are a set of its own.
+        warm = numbered(counted.filter(is_hot))
+        sets = warm.groupBy("number").agg(F.array_sort(F.collect_set("element_id")).alias("hot"))
+        sets = stored(sets.select("number", "hot", F.sha2(F.to_json("hot"), 256).alias("set")), "sets")
+        bits = sets.select("number", F.explode("hot").alias("element_id")).groupBy("element_id", F.bitmap_bucket_number("number").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
         kinds = sets.groupBy("set").agg(F.any_value("hot").alias("hot")).select("set", F.explode("hot").alias("element_id"))
         united = kinds.join(bits, "element_id").groupBy("set", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
         sizes = united.groupBy("set").agg(F.sum(F.bitmap_count("bits")).alias("near"))
-        by_bits = sets.join(sizes, "set").select("concept_id", (F.col("near") - 1).alias("n"))
-        mine, theirs = sets.select("concept_id", "hot"), sets.select(F.col("concept_id").alias("other"), F.col("hot").alias("_hot"))
-        fresh = pairs.join(mine, "concept_id", "left").join(theirs, "other", "left").filter(~F.coalesce(F.arrays_overlap("hot", "_hot"), F.lit(False)))
-        over = by_bits.union(fresh.groupBy("concept_id").agg(F.count("*").alias("n"))).groupBy("concept_id").agg(F.sum("n").alias("overlapping"))
-    # The least show + 1 of a union are among those of its parts: of an element's concepts, then of a concept's elements, dealt out first.
+        by_bits = sets.join(sizes, "set").select("number", (F.col("near") - 1).alias("n"))
+        mine, theirs = sets.select("number", "hot"), sets.select(F.col("number").alias("other"), F.col("hot").alias("_hot"))
+        fresh = pairs_of(near).join(mine, "number", "left").join(theirs, "other", "left").filter(~F.coalesce(F.arrays_overlap("hot", "_hot"), F.lit(False)))
+        over = by_bits.union(fresh.groupBy("number").agg(F.count("*").alias("n"))).groupBy("number").agg(F.sum("n").alias("overlapping"))
+    out = concepts.join(over, "number", "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(0)))
+    if not show:
+        none = F.lit(None).cast(ArrayType(membership.schema["concept_id"].dataType))
+        return out.select("concept_id", "elements", "shared_elements", "overlapping", none.alias("first_overlaps"))
+    # The least show + 1 of a union are among those of its parts: of an element's concepts, then of a concept's elements, many of which are dealt out first.
     some = lambda c: F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), 1, show + 1).alias("near")
-    least = first_k(shared.select("element_id", "concept_id"), ["element_id"], [F.col("concept_id")], show + 1).groupBy("element_id").agg(F.collect_list("concept_id").alias("near"))
-    parts = shared.select("concept_id", "element_id").join(least, "element_id").groupBy("concept_id", F.pmod(F.xxhash64("element_id"), F.lit(PARTS)).alias("part")).agg(some("near"))
-    first = parts.groupBy("concept_id").agg(some("near")).select("concept_id", F.slice(F.filter("near", lambda x: x != F.col("concept_id")), 1, show).alias("first_overlaps"))
-    return per.join(over, "concept_id", "left").join(first, "concept_id", "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(0)))
+    least = first_k(counted.filter("users > 1").select("element_id", "concept_id"), ["element_id"], [F.col("concept_id")], show + 1).groupBy("element_id").agg(F.collect_list("concept_id").alias("near"))
+
+    def nearest(d: DataFrame, key: str, many: Column) -> DataFrame:
+        part = F.when(many, F.pmod(F.xxhash64("element_id"), F.lit(PARTS))).otherwise(0)
+        return d.join(least, "element_id").groupBy(key, part.alias("part")).agg(some("near")).select(key, "near")
+
+    near = nearest(cold, "number", F.col("elements") > PARTS)
+    if found.hot:
+        # Concepts with the same hot elements have the same first neighbours through them.
+        of_set = nearest(kinds, "set", F.lit(True)).groupBy("set").agg(some("near"))
+        near = near.union(sets.select("number", "set").join(of_set, "set").select("number", "near"))
+    near = near.groupBy("number").agg(some("near"))
+    first = F.slice(F.filter("near", lambda x: x != F.col("concept_id")), 1, show)
+    return out.join(near, "number", "left").select("concept_id", "elements", "shared_elements", "overlapping", first.alias("first_overlaps"))
 
 
 def _sided(concepts: DataFrame, membership: DataFrame, words: Sequence[str]) -> DataFrame:

@@ -119,7 +119,7 @@ SELECT u.c AS concept_id, count(*) AS elements, count(*) FILTER (k > 1) AS share
 def shared_membership(spark, sf_dir):
     """Parts that suppliers share."""
     m = read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("concept_id"), F.col("l_partkey").alias("element_id"))
-    return match.shared_membership(m).drop("first_overlaps")
+    return match.shared_membership(m, show=0).drop("first_overlaps")
 
 
 @query("""WITH m AS (SELECT DISTINCT l_orderkey AS c, l_returnflag || l_linestatus || CASE WHEN l_quantity < 3 THEN l_suppkey::VARCHAR ELSE '' END AS e FROM lineitem), s AS (SELECT c, string_agg(e, ' ' ORDER BY e) AS marks FROM m GROUP BY 1), k AS (SELECT marks, count(*) AS n FROM s GROUP BY 1),

@@ -464,3 +464,20 @@ def test_one_of_many_and_the_default_list(spark):
     assert got == {"a": ("ONE", 1, 1), "b": ("MANY", None, None), "c": ("NONE", None, None), "d": ("ONE", 1, 2), "e": ("MANY", None, None), "f": ("NONE", None, None), "g": ("NONE", None, None)}
     t = spark.createDataFrame([("1", "Heart", 5, ["heart", "cor"]), ("2", "heart", 2, ["heart"]), ("3", "Liver", 1, ["liver"])], "concept_id string, display_name string, pos int, keys array<string>")
     assert [r.concept_id for r in search.search(t, "  ", default=["Liver", "brain", "HEART"]).collect()] == ["3", "2"]
+
+
+def test_neighbours_by_blocks_dealt_out(spark, monkeypatch):
+    import random
+
+    rng = random.Random(7)
+    rows_ = {(c, rng.randrange(9) + 40 * (c % 3)) for c in range(40) for _ in range(4)} | {(c, 500) for c in range(12)} | {(99, 501)}
+    held = {}
+    for c, e in rows_:
+        held.setdefault(e, set()).add(c)
+    want = {c: len({d for e in held if c in held[e] for d in held[e]} - {c}) for c, _ in rows_}
+    monkeypatch.setattr(match, "BLOCK_BITS", 2)
+    for pairs in (5, 1 << 20):
+        monkeypatch.setattr(match, "BLOCK_PAIRS", pairs)
+        for hot in (12, 1000):
+            got = match.shared_membership(spark.createDataFrame(sorted(rows_), "concept_id long, element_id long"), show=0, hot=hot).collect()
+            assert {r.concept_id: r.overlapping for r in got} == want and {r.first_overlaps for r in got} == {None}
