@@ -113,10 +113,14 @@ def word_pattern(words: Sequence[str]) -> str:
     return EDGE[0] + "(?:" + "|".join(words) + ")" + EDGE[1]
 
 
+def padded(c: Column | str) -> Column:
+    """The words of a key with one space round each."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(_col(c), r"[^\p{L}\p{M}\p{N}]+", " ")), F.lit(" "))
+
+
 def has_phrase(c: Column | str, phrase: Column | str) -> Column:
     """Whether the phrase stands in the text between word edges. Both are keys."""
-    pad = lambda x: F.concat(F.lit(" "), F.trim(F.regexp_replace(x, r"[^\p{L}\p{M}\p{N}]+", " ")), F.lit(" "))
-    return F.contains(pad(_col(c)), pad(_col(phrase)))
+    return F.contains(padded(c), padded(phrase))
 
 
 def tag_signals(values: Column, rules: Sequence[tuple[str, str]]) -> Column:

@@ -7,39 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import collapse, has_phrase
+from lexspark.functions.text import collapse, padded
 
 
-def term_findings(records: DataFrame, rules: DataFrame) -> DataFrame:
-    """(concept_id, code): records (pivot, target keys) against rules (code, when_pivot, needs, forbids).
+def _with_codes(records: DataFrame, rules: DataFrame, residue: str, **names: str) -> DataFrame:
+    """Adds arrays of codes, name=target column: what rules and shape say of each target, a row for a row.
 
-    A rule applies where the pivot holds the phrase when_pivot; the target must hold `needs` and must
-    not hold `forbids` (either may be null). Rules are joined by their phrase's first word, and then
-    confirmed.
+    The rules, which people write, go whole to every task as a map by their phrase's first word, so
+    that records are neither multiplied nor shuffled; texts are cut into words once.
     """
-    words = lambda c: F.split(F.trim(F.regexp_replace(c, r"[^\p{L}\p{M}\p{N}]+", " ")), " ")
-    said = records.select("concept_id", "pivot", "target", F.explode(F.array_distinct(words("pivot"))).alias("_word"))
-    pair = said.join(rules.withColumn("_word", F.get(words("when_pivot"), F.lit(0))), "_word").filter(has_phrase("pivot", "when_pivot"))
-    missing = F.col("needs").isNotNull() & ~has_phrase("target", "needs")
-    wrong = F.col("forbids").isNotNull() & has_phrase("target", "forbids")
-    return pair.filter(missing | wrong).select("concept_id", "code").distinct()
-
-
-def shape_findings(records: DataFrame, residue: str = r"[A-Za-z]+\?$") -> DataFrame:
-    """(concept_id, code) of what a string's shape shows: empty, same as the pivot, repeated word, doubled space, odd punctuation, residue."""
-    t = F.col("target")
+    r = rules.select("code", *[padded(c).alias(c) for c in ("when_pivot", "needs", "forbids")]).filter("when_pivot is not null")
+    r = r.groupBy(F.get(F.split(F.trim("when_pivot"), " "), F.lit(0)).alias("word")).agg(F.collect_list(F.struct("code", "when_pivot", "needs", "forbids")).alias("rules"))
+    table = r.agg(F.map_from_entries(F.collect_list(F.struct("word", "rules"))).alias("_rules"))
+    d = records.crossJoin(F.broadcast(table)).withColumns({"_pivot": padded("pivot")} | {f"_{n}": padded(c) for n, c in names.items()})
+    near = F.flatten(F.transform(F.array_distinct(F.split(F.trim("_pivot"), " ")), lambda w: F.coalesce(F.try_element_at("_rules", w), F.array().cast(f"array<{r.schema['rules'].dataType.elementType.simpleString()}>"))))
+    d = d.withColumn("_near", F.filter(near, lambda x: F.contains("_pivot", x["when_pivot"])))
+    for n, c in names.items():
+        said = F.col(f"_{n}")
+        broken = F.filter("_near", lambda x: (x["needs"].isNotNull() & ~F.contains(said, x["needs"])) | (x["forbids"].isNotNull() & F.contains(said, x["forbids"])))  # noqa: B023
+        by_rule = F.coalesce(F.transform(broken, lambda x: x["code"]), F.array().cast("array<string>"))
+        d = d.withColumn(n, F.concat(by_rule, shape_codes(c, residue)))
+    return d.drop("_rules", "_pivot", "_near", *[f"_{n}" for n in names])
+
+
+def shape_codes(target: str, residue: str = r"[A-Za-z]+\?$") -> Column:
+    """What a string's shape shows: empty, same as the pivot, repeated word, doubled space, odd punctuation, residue."""
+    t = F.col(target)
     checks = {
         "EMPTY": F.coalesce(F.trim(t) == "", F.lit(True)), "UNTRANSLATED": F.lower(t) == F.lower("pivot"), "REPEATED_WORD": t.rlike(r"(?iU)(?<!\S)(\S+) \1(?!\S)"),
         "SPACING": t != collapse(t), "PUNCTUATION": t.rlike(r" [,.;:)]|[,;:]$|\(\s*\)"), "RESIDUE": t.rlike(residue), "INTERIOR_CAPITAL": t.rlike(r"\s\p{Lu}\p{Ll}"),
     }
-    found = F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in checks.items()]))
-    return records.select("concept_id", F.explode(found).alias("code"))
+    return F.array_compact(F.array(*[F.when(p, F.lit(n)) for n, p in checks.items()]))
+
+
+def _united(codes: str) -> Column:
+    """The codes of a concept's records, sorted; null if there are none."""
+    c = F.array_sort(F.array_distinct(F.flatten(F.collect_set(codes))))
+    return F.when(F.size(c) > 0, c).alias(codes)
 
 
 def findings(records: DataFrame, rules: DataFrame, residue: str = r"[A-Za-z]+\?$") -> DataFrame:
-    """(concept_id, codes): sorted."""
-    f = term_findings(records, rules).union(shape_findings(records, residue))
-    return f.groupBy("concept_id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    """(concept_id, codes), sorted: records (pivot, target keys) against rules (code, when_pivot, needs, forbids), and their shape.
+
+    A rule applies where the pivot holds the phrase when_pivot; the target must hold `needs` and must
+    not hold `forbids` (either may be null).
+    """
+    d = _with_codes(records.select("concept_id", "pivot", "target"), rules, residue, codes="target")
+    # Filtered behind the aggregate: a filter before it would make the codes a second time.
+    return d.groupBy("concept_id").agg(_united("codes")).filter("codes is not null")
 
 
 def repair(records: DataFrame, connector: str | None = None, heads: Sequence[str] = (), replacements: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -71,10 +86,10 @@ def qa_status(records: DataFrame, rules: DataFrame, **how) -> DataFrame:
 
     records: concept_id, pivot, target, generated (bool), conflict (bool).
     """
-    fixed = repair(records, **how)
-    before = findings(records, rules).withColumnRenamed("codes", "before")
-    after = findings(fixed.select("concept_id", "pivot", F.col("repaired").alias("target")), rules).withColumnRenamed("codes", "after")
-    d = fixed.join(before, "concept_id", "left").join(after, "concept_id", "left")
+    fixed = _with_codes(repair(records, **how), rules, r"[A-Za-z]+\?$", before="target", after="repaired")
+    # Records of one concept share their findings.
+    found = fixed.groupBy("concept_id").agg(_united("before"), _united("after"))
+    d = fixed.drop("before", "after").join(found, "concept_id", "left")
     status = (
         F.when(F.col("conflict"), "CONFLICT_PRESERVED").when(F.col("before").isNull(), "CLEAR").when(~F.col("generated"), "RETAIN")
         .when(F.col("after").isNull() & (F.size("actions") > 0), "REPAIRED").otherwise("NEEDS_HUMAN")

@@ -481,3 +481,14 @@ def test_neighbours_by_blocks_dealt_out(spark, monkeypatch):
         for hot in (12, 1000):
             got = match.shared_membership(spark.createDataFrame(sorted(rows_), "concept_id long, element_id long"), show=0, hot=hot).collect()
             assert {r.concept_id: r.overlapping for r in got} == want and {r.first_overlaps for r in got} == {None}
+
+
+def test_findings_of_records_with_one_id_are_united_and_rules_need_no_shuffle(spark):
+    r = spark.createDataFrame([("a", "small ring", "gnir", True, False), ("a", "small ring", "ti gnir", True, False), ("b", "a small ring", "ti", True, False), (None, "small", "x", True, False), ("c", None, None, True, False), ("d", "x y", "y", True, False)], "concept_id string, pivot string, target string, generated boolean, conflict boolean")
+    rules_ = spark.createDataFrame([("NEEDS_TI", "small", "ti", None), ("PHRASE", "small ring", "gnir", None), ("FORBIDS", "x", None, "y"), ("NEVER", None, "z", None)], "code string, when_pivot string, needs string, forbids string")
+    found = quality.findings(r, rules_)
+    assert {x.concept_id: x.codes for x in found.collect()} == {"a": ["NEEDS_TI"], "b": ["PHRASE"], None: ["NEEDS_TI"], "c": ["EMPTY"], "d": ["FORBIDS"]}
+    # one exchange of the records by concept, and those of the few rules
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1 and "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((x.concept_id or "", x.target or "", x.status, x.before) for x in quality.qa_status(r, rules_).collect())
+    assert got == [("", "x", "CLEAR", None), ("a", "gnir", "NEEDS_HUMAN", ["NEEDS_TI"]), ("a", "ti gnir", "NEEDS_HUMAN", ["NEEDS_TI"]), ("b", "ti", "NEEDS_HUMAN", ["PHRASE"]), ("c", "", "NEEDS_HUMAN", ["EMPTY"]), ("d", "y", "NEEDS_HUMAN", ["FORBIDS"])]
