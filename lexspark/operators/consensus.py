@@ -53,8 +53,10 @@ def consensus(evidence: DataFrame, concepts: DataFrame | None = None, flags: Dat
 
 def direct_kind(claims: DataFrame) -> DataFrame:
     """Per concept of claims (term, agreement, surface, source_id): NONE, VARIANT, CONFLICT, MULTI or DIRECT."""
-    g = claims.groupBy("concept_id").agg(*[F.count_distinct(c).alias(c) for c in ("term", "agreement", "surface", "source_id")])
-    kind = F.when(F.col("term") == 0, "NONE").when(F.col("surface") > 1, "CONFLICT").when(F.col("agreement") > 1, "VARIANT").when(F.col("source_id") > 1, "MULTI").otherwise("DIRECT")
+    # Whether a column has several values is told by its least and greatest; each count of distinct ones multiplies the rows.
+    several = lambda c: F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(c)
+    g = claims.groupBy("concept_id").agg(*[F.count_distinct(c).alias(c) for c in ("term", "source_id")], several("agreement"), several("surface"))
+    kind = F.when(F.col("term") == 0, "NONE").when(F.col("surface"), "CONFLICT").when(F.col("agreement"), "VARIANT").when(F.col("source_id") > 1, "MULTI").otherwise("DIRECT")
     return g.select("concept_id", kind.alias("kind"), F.col("term").alias("terms"), F.col("source_id").alias("sources"))
 
 

@@ -100,8 +100,9 @@ def qa_status(records: DataFrame, rules: DataFrame, **how) -> DataFrame:
 
 def inconsistent_components(uses: DataFrame, key: str = "key") -> DataFrame:
     """Records (concept_id, component, key, term) whose component is realised in more than one way elsewhere: with all the ways."""
-    ways = uses.groupBy("component").agg(F.count_distinct(key).alias("n"), F.array_sort(F.collect_set("term")).alias("ways")).filter("n > 1").drop("n")
-    return uses.join(ways, "component").select("concept_id", "component", "ways").distinct()
+    ways = uses.groupBy("component").agg(F.size(F.collect_set(key)).alias("n"), F.array_sort(F.collect_set("term")).alias("ways")).filter("n > 1").drop("n")
+    # The ways follow from the component, so rows are made distinct before they carry them.
+    return uses.select("concept_id", "component").distinct().join(ways, "component").select("concept_id", "component", "ways")
 
 
 def target_union(*parts: DataFrame) -> DataFrame:

@@ -492,3 +492,20 @@ def test_findings_of_records_with_one_id_are_united_and_rules_need_no_shuffle(sp
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1 and "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
     got = sorted((x.concept_id or "", x.target or "", x.status, x.before) for x in quality.qa_status(r, rules_).collect())
     assert got == [("", "x", "CLEAR", None), ("a", "gnir", "NEEDS_HUMAN", ["NEEDS_TI"]), ("a", "ti gnir", "NEEDS_HUMAN", ["NEEDS_TI"]), ("b", "ti", "NEEDS_HUMAN", ["PHRASE"]), ("c", "", "NEEDS_HUMAN", ["EMPTY"]), ("d", "y", "NEEDS_HUMAN", ["FORBIDS"])]
+
+
+def test_direct_kind_multiplies_rows_by_two_counts_only(spark):
+    rows_ = [("a", "t", "t", "x", 1), ("a", "t", "u", "x", 1), ("b", "t", "t", "x", 1), ("b", "t", "t", "y", 2), ("c", "t", None, "x", 1), ("c", "t", "t", None, 2), ("d", None, None, None, 1), ("e", "t", "t", "x", 1)]
+    out = consensus.direct_kind(spark.createDataFrame(rows_, "concept_id string, term string, agreement string, surface string, source_id int"))
+    assert {r.concept_id: (r.kind, r.terms, r.sources) for r in out.collect()} == {"a": ("VARIANT", 1, 1), "b": ("CONFLICT", 1, 2), "c": ("MULTI", 1, 2), "d": ("NONE", 0, 1), "e": ("DIRECT", 1, 1)}
+    expand = next(x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Expand" in x)
+    # three rows for one, and the names of the columns behind them; four counts would make four
+    assert expand.count("], [") == 3
+
+
+def test_ways_of_components_join_distinct_rows(spark):
+    u = spark.createDataFrame([(1, "c", "k", "t"), (1, "c", "k", "t"), (2, "c", "l", "u"), (3, "d", "k", "t"), (None, "c", None, None)], "concept_id int, component string, key string, term string")
+    out = quality.inconsistent_components(u)
+    assert sorted((r.concept_id or 0, r.component, r.ways) for r in out.collect()) == [(0, "c", ["t", "u"]), (1, "c", ["t", "u"]), (2, "c", ["t", "u"])]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and not any("Aggregate" in x and "ways" in x.split("]")[0] for x in plan.splitlines())
