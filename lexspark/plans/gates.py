@@ -62,10 +62,9 @@ def tables(spark, sf_dir):
     none = F.lit(None).cast("string")
     at = F.struct("page", "plate", none.alias("entry_id"), "nomenclature_id", none.alias("chapter"), none.alias("section"), none.alias("table"), none.alias("url"))
     of = li.groupBy("l_orderkey").agg(F.collect_list(F.expr(CLAIM["id"])).alias("all_ids"), F.collect_list(F.expr(f"CASE WHEN l_quantity < 49 THEN {CLAIM['id']} END")).alias("some_ids"))
-    audits = None
-    for kind, ids in zip(AUDITS, ("all_ids", "some_ids"), strict=True):
-        a = o.join(of, F.col("l_orderkey") == F.col("o_orderkey")).select(F.expr(ENTRY["concept_id"]).alias("concept_id"), F.lit(kind).alias("type"), *[F.expr(e).alias(k) for k, e in AUDIT.items()], F.col(ids).alias("claim_ids"))
-        audits = a if audits is None else audits.union(a)
+    # Both kinds of audits come from one join of orders with their claims.
+    kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("type"), F.col(ids).alias("claim_ids")) for kind, ids in zip(AUDITS, ("all_ids", "some_ids"), strict=True)]))
+    audits = o.join(of, F.col("l_orderkey") == F.col("o_orderkey")).select(F.expr(ENTRY["concept_id"]).alias("concept_id"), *[F.expr(e).alias(k) for k, e in AUDIT.items()], kinds.alias("a")).select("*", "a.type", "a.claim_ids").drop("a")
     return {
         "sources": sources.select("*", caps.alias("capabilities"), F.struct(F.col("audit_status").alias("status")).alias("audit")), "claims": claims.select("*", at.alias("locator")).drop("page", "plate", "nomenclature_id"),
         "entries": _made(o, ENTRY).select("*", F.struct("preferred").alias("target")), "mappings": _made(li.filter("l_linestatus = 'F'"), MAPPING).select("*", names("claim_id", "other_id").alias("evidence_claim_ids")),

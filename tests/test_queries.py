@@ -52,3 +52,10 @@ def test_entry_works_without_the_optional_subpackage(spark, monkeypatch):
 
     assert not any(q.startswith("op") for q in entry.queries() if q[2:3].isdigit()) and entry.entry(spark).count() > 0
     monkeypatch.delitem(sys.modules, "__spark_entry__", raising=False)
+
+
+def test_audits_come_from_one_join(spark):
+    from lexspark.plans import gates
+
+    plan = gates.tables(spark, SF)["audits"].select("concept_id", "type", "claim_ids")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("lineitem.parquet") <= 1 and plan.count("Aggregate") == 1
