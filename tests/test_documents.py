@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,3 +142,15 @@ def test_packaged_elements_and_search_forms(spark):
     assert {c for c in got if c[0].startswith(("unknown-packaged", "mesh"))} == {("unknown-packaged-element-id", "C1/zz"), ("mesh-membership-mismatch", "C1/e2")}
     open_ = {(r.code, r.entity_id) for r in registry.readiness_findings(e, spark.createDataFrame([("C1", "target"), ("C2", "third")], "concept_id string, language string")).collect()}
     assert open_ == {("unreleased-search-term", "C2"), ("unreleased-third", "C1")}
+
+
+def test_findings_are_compiled_once(spark):
+    """They are a column before they are rows, and no filter in front of the rows makes them again."""
+    d = spark.createDataFrame([(1, body("entries", ENTRY))], "document_id long, body string")
+    plan = validate_documents(d, DOCUMENTS["entries"])._jdf.queryExecution().optimizedPlan().toString()
+    assert all(re.match(r"\s*[+:| -]*Generate (pos)?explode(_outer)?\(\w+#", line) for line in plan.splitlines() if "Generate " in line)
+    assert not any("variant" in line for line in plan.splitlines() if re.match(r"\s*[+:| -]*Filter ", line)) and plan.count("unknown-claim-locator-field") <= 1
+    items = [{"id": 1, "type": "identity"}, 7, {"locator": {"leaf": 1, "page": 0}}]
+    got = found(spark, "entries", body("entries", ENTRY | {"claims": [CLAIM, *[x if x == 7 else CLAIM | x for x in items]], "conflicts": [{}, None]}))
+    assert [(c, p) for _, c, p in got if "claims[" in p] == [("invalid-claim", "entries[0].claims[2]"), ("invalid-claim-id", "entries[0].claims[1].id"), ("invalid-claim-page", "entries[0].claims[3].locator.page"), ("unknown-claim-locator-field", "entries[0].claims[3].locator.leaf")]
+    assert ("0", "invalid-conflict", "entries[0].conflicts[1]") in got and ("0", "invalid-string-array", "entries[0].conflicts[0].claimIds") in got
