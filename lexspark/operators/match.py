@@ -12,6 +12,8 @@ from lexspark.functions.text import base_name, exact_key, extra_scope_words, fir
 from lexspark.operators.topk import first_k
 from lexspark.sources.io import shared_path
 
+#: Tasks that keys are met in, given outright: by default their number is the session's, whatever the input, and a task's memory grows with it.
+KEY_TASKS = 128
 #: Reasons in order of strength.
 REASONS = ("exact", "normalised", "terminology_id", "source_code")
 
@@ -24,12 +26,12 @@ def distinct_keys(df: DataFrame, column: str, key: Callable[[Column], Column], n
 
 def build_keys(evidence: DataFrame) -> DataFrame:
     """The long key table (kind, key, evidence_id) of attestations with evidence_id, pivot, terminology_ids, source_codes."""
-    names = evidence.select("evidence_id", F.explode(terms("pivot.preferred", "pivot.aliases")).alias("term")).distinct()
-    keyed = names.select("term").distinct().withColumns({"exact": exact_key("term"), "normalised": fold_key("term")})
-    by_name = names.join(keyed, "term").select("evidence_id", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in REASONS[:2]])).alias("k"))
+    # A term's keys are made where it stands, so that nothing is shuffled for them; keys then go at once where match_entities meets them.
+    names = evidence.select("evidence_id", F.explode(terms("pivot.preferred", "pivot.aliases")).alias("term")).withColumns({"exact": exact_key("term"), "normalised": fold_key("term")})
+    by_name = names.select("evidence_id", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in REASONS[:2]])).alias("k"))
     codes = [evidence.select("evidence_id", F.explode(c).alias("term")).select("evidence_id", F.struct(F.lit(k).alias("kind"), fold_key("term").alias("key")).alias("k")) for k, c in (("terminology_id", "terminology_ids"), ("source_code", "source_codes"))]
     out = by_name.union(codes[0]).union(codes[1]).select("k.kind", "k.key", "evidence_id")
-    return out.filter("key <> ''").distinct()
+    return out.filter("key <> ''").repartition(KEY_TASKS, "kind", "key").distinct()
 
 
 def match_entities(concepts: DataFrame, keys: DataFrame) -> DataFrame:
@@ -42,8 +44,8 @@ def match_entities(concepts: DataFrame, keys: DataFrame) -> DataFrame:
         F.struct(F.lit("normalised").alias("kind"), fold_key("name").alias("key")),
         F.struct(F.lit("terminology_id").alias("kind"), fold_key("concept_id").alias("key")),
         F.struct(F.lit("source_code").alias("kind"), fold_key("concept_id").alias("key")),
-    )).alias("k")).select("concept_id", "k.kind", "k.key").filter("key <> ''").distinct()
-    found = wanted.join(keys, ["kind", "key"]).groupBy("concept_id", "evidence_id").agg(F.array_sort(F.collect_set("kind")).alias("r"))
+    )).alias("k")).select("concept_id", "k.kind", "k.key").filter("key <> ''").repartition(KEY_TASKS, "kind", "key").distinct()
+    found = wanted.join(keys, ["kind", "key"]).repartition(KEY_TASKS, "concept_id", "evidence_id").groupBy("concept_id", "evidence_id").agg(F.array_sort(F.collect_set("kind")).alias("r"))
     r = F.col("r")
     return found.select("concept_id", "evidence_id", F.when(F.array_contains(r, "exact"), F.array_remove(r, "normalised")).otherwise(r).alias("reasons"))
 
@@ -61,7 +63,7 @@ def match_views(matches: DataFrame, evidence: DataFrame) -> DataFrame:
     has = lambda r: F.array_contains("reasons", r)
     tests = (has("exact"), has("normalised"), has("terminology_id") | has("source_code"), F.col("_third"), F.col("_target"))
     views = F.array_compact(F.array(*[F.when(p, F.lit(v)) for v, p in zip(VIEWS, tests, strict=True)]))
-    return matches.join(e, "evidence_id").select(F.explode(views).alias("view"), "concept_id", "evidence_id")
+    return matches.repartition(KEY_TASKS, "evidence_id").join(e, "evidence_id").select(F.explode(views).alias("view"), "concept_id", "evidence_id")
 
 
 def ends(names: DataFrame, key: str = "key", carry: Sequence[str] = ()) -> DataFrame:

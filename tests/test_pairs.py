@@ -52,3 +52,15 @@ def test_partners_are_counted_without_pairs(spark, several):
         right.setdefault(y, set()).add(x)
     assert sorted(tuple(r[c] for c in ("left_id", "right_id", "identifier", "left_partners", "right_partners", "status")) for r in got) == sorted((x, y, i, len(left[x]), len(right[y]), "REVIEW_ONLY") for x, y, i in pairs)
     assert shuffled < 60_000  # 160,000 pairs
+
+
+def test_keys_and_pairs_are_met_in_many_tasks(spark):
+    """The session has 4 shuffle partitions here; a task's share must not follow from that number."""
+    from lexspark.operators import match
+
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    e = spark.createDataFrame([("E1", ("Bone", ["bone", "Os"]), ["C1"], [])], "evidence_id string, pivot struct<preferred: string, aliases: array<string>>, terminology_ids array<string>, source_codes array<string>")
+    c = spark.createDataFrame([("C1", "bone"), ("C2", "os")], "concept_id string, name string")
+    m = match.match_entities(c, match.build_keys(e))
+    assert sorted((r.concept_id, r.evidence_id, r.reasons) for r in m.collect()) == [("C1", "E1", ["exact", "terminology_id"]), ("C2", "E1", ["exact"])]
+    assert plan(m).count(f", {match.KEY_TASKS}") >= 3 and plan(m).count("Join ") == 1
