@@ -249,9 +249,11 @@ def sided_siblings(concepts: DataFrame, membership: DataFrame, words: Sequence[s
     whether a concept has any is with_sided_sibling, which makes none.
     """
     m = _sided(concepts, membership, words)
-    a = m.filter("not sided").select("concept_id", "base", "element_id")
-    b = m.filter("sided").select(F.col("concept_id").alias("sibling_id"), "base", "element_id")
-    return a.join(b, ["base", "element_id"]).select("concept_id", "sibling_id").distinct()
+    dealt = lambda d: d.repartition(KEY_TASKS, "base", "element_id")
+    a = dealt(m.filter("not sided").select("concept_id", "base", "element_id"))
+    b = dealt(m.filter("sided").select(F.col("concept_id").alias("sibling_id"), "base", "element_id"))
+    pairs = a.join(b, ["base", "element_id"]).select("concept_id", "sibling_id")
+    return pairs.repartition(KEY_TASKS, "concept_id", "sibling_id").distinct()
 
 
 def with_sided_sibling(concepts: DataFrame, membership: DataFrame, words: Sequence[str]) -> DataFrame:

@@ -64,3 +64,5 @@ def test_keys_and_pairs_are_met_in_many_tasks(spark):
     m = match.match_entities(c, match.build_keys(e))
     assert sorted((r.concept_id, r.evidence_id, r.reasons) for r in m.collect()) == [("C1", "E1", ["exact", "terminology_id"]), ("C2", "E1", ["exact"])]
     assert plan(m).count(f", {match.KEY_TASKS}") >= 3 and plan(m).count("Join ") == 1
+    p = match.sided_siblings(spark.createDataFrame([(1, "bone"), (2, "left bone")], "concept_id long, name string"), spark.createDataFrame([(1, 7), (2, 7)], "concept_id long, element_id long"), ["left"])
+    assert p.collect() == [(1, 2)] and plan(p).count(f", {match.KEY_TASKS}") >= 3
