@@ -13,12 +13,23 @@ LINE = """concat('{"order":', o_orderkey, CASE WHEN o_totalprice > 450000 THEN '
 WRITTEN = f"(SELECT o_orderpriority, o_orderstatus, o_orderkey, o_totalprice, {LINE} AS line_text, row_number() OVER (PARTITION BY o_orderpriority, o_orderstatus ORDER BY o_orderkey) AS line FROM orders)"
 
 
+#: Keys of a chunk of lines, and tasks that make the chunks and the files.
+CHUNK, CHUNK_TASKS, FILE_TASKS = 4096, 128, 64
+GROUP = ["o_orderpriority", "o_orderstatus"]
+
+
+def chunked(orders):
+    """(*GROUP, chunk, value): the lines of neighbouring keys as one text, so that the one task that sorts a file's lines has few rows to hold."""
+    o = orders.select(*GROUP, "o_orderkey", F.expr(f"o_orderkey div {CHUNK}").alias("chunk"), F.expr(f"coalesce({LINE}, '')").alias("value")).repartition(CHUNK_TASKS, *GROUP, "chunk")
+    lines_of = F.array_sort(F.collect_list(F.struct("o_orderkey", "value")))["value"]
+    return o.groupBy(*GROUP, "chunk").agg(F.array_join(lines_of, "\n").alias("value"))
+
+
 def written(spark, sf_dir) -> str:
     """A folder of text files, one for each priority and status, whose lines are in the order of their keys."""
     at = shared_path(spark, "lines")
-    o = read(spark, sf_dir, "orders").select("o_orderpriority", "o_orderstatus", "o_orderkey", F.expr(LINE).alias("value"))
-    keys = ["o_orderpriority", "o_orderstatus"]
-    o.repartition(*keys).sortWithinPartitions(*keys, "o_orderkey").drop("o_orderkey").write.partitionBy(*keys).option("lineSep", "\n").text(at)
+    o = chunked(read(spark, sf_dir, "orders"))
+    o.repartition(FILE_TASKS, *GROUP).sortWithinPartitions(*GROUP, "chunk").drop("chunk").write.partitionBy(*GROUP).option("lineSep", "\n").text(at)
     return at
 
 

@@ -123,3 +123,11 @@ def test_writes_are_refused_if_a_protected_file_changed(spark, folder, tmp_path)
     with pytest.raises(ProtectedChanged, match="NEW"):
         guarded_write(df, f"{tmp_path}/early", planned, str(folder))
     assert not os.path.exists(f"{tmp_path}/early") and planned.filter(F.col("sha256").isNull()).count() == 0
+
+
+def test_a_file_is_sorted_by_chunks_of_lines(spark):
+    from lexspark.plans import files
+
+    o = spark.range(9000).selectExpr("'1' AS o_orderpriority", "'F' AS o_orderstatus", "8999 - id AS o_orderkey", "1.0 AS o_totalprice", "DATE '2024-01-01' AS o_orderdate")
+    chunks = sorted((r.chunk, r.value.split("\n")) for r in files.chunked(o).collect())
+    assert [len(v) for _, v in chunks] == [4096, 4096, 808] and [int(x.split(":")[1].split(",")[0]) for _, v in chunks for x in v] == list(range(9000))
