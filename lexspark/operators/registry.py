@@ -351,47 +351,108 @@ def approved_mappings(mappings: DataFrame, gated: DataFrame, nomenclatures: Mapp
     return m.select(*keys).distinct().join(per, keys, "left").select(*keys, _yes(F.col("_ok")).alias("approved"))
 
 
+def claim_facts(gated: DataFrame, mappings: DataFrame, nomenclatures: Mapping[str, str], identity: str = "identity", preferred: str = "target-preferred", needed: Sequence[str] = ()) -> DataFrame:
+    """Per concept, what its claims and mappings say: (concept_id, _terms, _identity, _mapped, _must).
+
+    _terms: targets of approved preferred claims. _identity: an approved identity claim of the concept itself. _mapped: a mapping
+    that approved_mappings approves. _must: ids of claims of the needed types. Claims and the evidence of mappings meet
+    as one union grouped by claim, by mapping and by concept, so that rows travel by their concept once.
+    """
+    c = F.col
+    sound = c("relation").isin(*ENUMS["accepted_relation"]) & (c("disposition") == "VERIFIED")
+    m = mappings.filter(sound).select("concept_id", F.explode("evidence_claim_ids").alias("claim_id"), F.struct(c("id").alias("mapping_id"), "namespace", "identifier", c("source_revision").alias("revision")).alias("m"))
+    k = gated.select("concept_id", c("id").alias("claim_id"), F.struct("type", "target", "source_revision", c("locator.nomenclature_id").alias("at"), "approved").alias("c"))
+    g = k.unionByName(m, allowMissingColumns=True).repartition("concept_id").groupBy("concept_id", "claim_id").agg(F.collect_list("c").alias("cs"), F.collect_list("m").alias("ms"))
+    want = F.lit(None).cast("string")
+    for name, kind in nomenclatures.items():
+        want = F.when(F.upper("m.namespace") == name.upper(), kind).otherwise(want)
+    g = g.select("concept_id", "claim_id", "cs", F.explode_outer("ms").alias("m"))
+    good = lambda x: _yes(x["approved"] & (x["target"] == c("m.identifier")) & (x["source_revision"] == c("m.revision")) & (want.isNull() | ((x["type"] == want) & (x["at"] == c("m.identifier")))))
+    g = g.select(
+        "concept_id", c("m").isNotNull().alias("_is"), "m.mapping_id", "m.namespace", "m.identifier", (c("claim_id").isNotNull() & (F.size("cs") > 0) & F.forall("cs", good)).alias("_ok"),
+        F.transform(F.filter("cs", lambda x: x["approved"] & (x["type"] == preferred)), lambda x: x["target"]).alias("_terms"), F.exists("cs", lambda x: _yes(x["approved"] & (x["type"] == identity) & (x["target"] == c("concept_id")))).alias("_identity"),
+        F.when(F.exists("cs", lambda x: _yes(x["type"].isin(list(needed)))), c("claim_id")).alias("_must"))
+    sets = lambda ts: F.array_distinct(F.flatten(ts))
+    g = g.groupBy("concept_id", "_is", "mapping_id", "namespace", "identifier").agg(F.bool_and("_ok").alias("_ok"), sets(F.collect_list("_terms")).alias("_terms"), F.bool_or("_identity").alias("_identity"), F.collect_set("_must").alias("_must"))
+    return g.groupBy("concept_id").agg(sets(F.collect_list("_terms")).alias("_terms"), F.bool_or("_identity").alias("_identity"), F.bool_or(c("_is") & c("_ok")).alias("_mapped"), sets(F.collect_list("_must")).alias("_must"))
+
+
+def _mapping_ok() -> Column:
+    """Of an entry with its claim_facts: mapped, or confirmed to have no equivalent."""
+    c = F.col
+    return _yes(F.when(c("mapping_status") == "MAPPED", _yes(c("_mapped"))).otherwise((c("mapping_status") == "UNMAPPED") & (c("mapping_disposition") == "CONFIRMED_NO_EQUIVALENT") & _yes(c("_identity"))))
+
+
 def mapping_gate(entries: DataFrame, mappings: DataFrame, gated: DataFrame, nomenclatures: Mapping[str, str], identity: str = "identity") -> DataFrame:
     """(concept_id, mapping_ok): a verified mapping all of whose evidence is approved and exact; or confirmed to have no equivalent."""
-    per = approved_mappings(mappings, gated, nomenclatures).groupBy("concept_id").agg(F.bool_or("approved").alias("_mapped"))
-    known = gated.filter((F.col("type") == identity) & (F.col("target") == F.col("concept_id")) & F.col("approved")).select("concept_id").distinct().withColumn("_identity", F.lit(True))
-    e = entries.select("concept_id", "mapping_status", "mapping_disposition").join(per, "concept_id", "left").join(known, "concept_id", "left")
-    ok = F.when(F.col("mapping_status") == "MAPPED", _yes(F.col("_mapped"))).otherwise((F.col("mapping_status") == "UNMAPPED") & (F.col("mapping_disposition") == "CONFIRMED_NO_EQUIVALENT") & _yes(F.col("_identity")))
-    return e.select("concept_id", _yes(ok).alias("mapping_ok"))
+    e = entries.select("concept_id", "mapping_status", "mapping_disposition").join(claim_facts(gated, mappings, nomenclatures, identity), "concept_id", "left")
+    return e.select("concept_id", _mapping_ok().alias("mapping_ok"))
+
+
+def _authorised() -> Column:
+    """Of a row joined with its reviewer (_r, _scope): active, and authorised for all of its claims."""
+    return (F.col("_r") == "ACTIVE") & (F.array_contains("_scope", "*") | (F.size(F.array_except("claim_ids", "_scope")) == 0))
+
+
+def _passed() -> Column:
+    """Of an audit joined with its reviewer: passed and approved by an active, authorised human."""
+    c = F.col
+    return _yes((c("status") == "PASSED") & (c("decision") == "APPROVE") & ~is_blank("reviewed_at") & ~_yes(c("automated")) & _authorised() & (F.size("claim_ids") > 0))
+
+
+def _current(entry_revision: Column, claim_ids: Column) -> Column:
+    """Of the current revision (_revision), covering all needed claims (_must)."""
+    return _yes((entry_revision == F.col("_revision")) & (F.size("_must") > 0) & (F.size(F.array_except("_must", claim_ids)) == 0))
+
+
+def _reviewers(reviewers: DataFrame) -> DataFrame:
+    return reviewers.select(F.col("id").alias("reviewer_id"), F.col("status").alias("_r"), F.col("authorization_scope").alias("_scope"))
 
 
 def audit_gate(entries: DataFrame, audits: DataFrame, reviewers: DataFrame, claims: DataFrame, needed: Sequence[str]) -> DataFrame:
     """(concept_id, type, audit_ok): passed and approved for the current revision by an active, authorised human, covering all claims of the needed types."""
     must = claims.filter(F.col("type").isin(list(needed))).groupBy("concept_id").agg(F.collect_set("id").alias("_must"))
-    a = audits.join(entries.select("concept_id", F.col("revision").alias("_revision")), "concept_id").join(must, "concept_id", "left")
-    a = a.join(reviewers.select(F.col("id").alias("reviewer_id"), F.col("status").alias("_r"), F.col("authorization_scope").alias("_scope")), "reviewer_id", "left")
+    a = audits.join(entries.select("concept_id", F.col("revision").alias("_revision")), "concept_id").join(must, "concept_id", "left").join(_reviewers(reviewers), "reviewer_id", "left")
+    return a.groupBy("concept_id", "type").agg(F.bool_or(_passed() & _current(F.col("entry_revision"), F.col("claim_ids"))).alias("audit_ok"))
+
+
+def _settled(conflicts: DataFrame, reviewers: DataFrame) -> DataFrame:
+    """(concept_id, _settled, _for): whether all conflicts of a concept are rejected or adjudicated, and the revisions that these are for."""
     c = F.col
-    ok = (
-        (c("status") == "PASSED") & (c("decision") == "APPROVE") & ~is_blank("reviewed_at") & (c("entry_revision") == c("_revision")) & ~_yes(c("automated")) & (c("_r") == "ACTIVE")
-        & (F.array_contains("_scope", "*") | (F.size(F.array_except("claim_ids", "_scope")) == 0)) & (F.size("claim_ids") > 0) & (F.size("_must") > 0) & (F.size(F.array_except("_must", "claim_ids")) == 0)
-    )
-    return a.groupBy("concept_id", "type").agg(F.bool_or(_yes(ok)).alias("audit_ok"))
+    x = conflicts.join(_reviewers(reviewers), "reviewer_id", "left")
+    held = c("status") == "ADJUDICATED"
+    settled = held & ~is_blank("decision") & ~is_blank("rationale") & _authorised() & c("entry_revision").isNotNull()
+    return x.groupBy("concept_id").agg(F.bool_and((c("status") == "REJECTED") | _yes(settled)).alias("_settled"), F.collect_set(F.when(held, c("entry_revision"))).alias("_for"))
+
+
+def _conflicts_ok() -> Column:
+    """Of an entry with its _settled, if it has conflicts, and its current _revision."""
+    return F.col("_settled").isNull() | (_yes(F.col("_settled")) & _yes(F.forall("_for", lambda r: r == F.col("_revision"))))
 
 
 def conflict_gate(entries: DataFrame, conflicts: DataFrame, reviewers: DataFrame) -> DataFrame:
     """(concept_id, conflicts_ok): every conflict is rejected, or adjudicated for the current revision by an active, authorised reviewer."""
-    c = F.col
-    x = conflicts.join(entries.select("concept_id", c("revision").alias("_revision")), "concept_id").join(reviewers.select(c("id").alias("reviewer_id"), c("status").alias("_r"), c("authorization_scope").alias("_scope")), "reviewer_id", "left")
-    settled = (c("status") == "ADJUDICATED") & ~is_blank("decision") & ~is_blank("rationale") & (c("_r") == "ACTIVE") & (F.array_contains("_scope", "*") | (F.size(F.array_except("claim_ids", "_scope")) == 0)) & (c("entry_revision") == c("_revision"))
-    g = x.groupBy("concept_id").agg(F.bool_and((c("status") == "REJECTED") | _yes(settled)).alias("_ok"))
-    return entries.select("concept_id").join(g, "concept_id", "left").select("concept_id", F.coalesce("_ok", F.lit(True)).alias("conflicts_ok"))
+    e = entries.select("concept_id", F.col("revision").alias("_revision")).join(_settled(conflicts, reviewers), "concept_id", "left")
+    return e.select("concept_id", _conflicts_ok().alias("conflicts_ok"))
 
 
 def release_gate(tables: Mapping[str, DataFrame], capabilities: Mapping[str, str], nomenclatures: Mapping[str, str], language: str = "target", audits: Sequence[str] = ("source-verification", "medical-review"), needed: Sequence[str] = ("identity", "target-preferred")) -> DataFrame:
-    """(concept_id, released, and each gate): the preferred term's claim, the mapping, the audits and the conflicts, all of them."""
-    e = tables["entries"]
+    """(concept_id, released, and each gate): the preferred term's claim, the mapping, the audits and the conflicts, all of them.
+
+    Claims and mappings come as one row a concept, sound audits as one more, and all meet by concept.
+    """
+    e, c = tables["entries"], F.col
     gated = claim_gate(tables["claims"], tables["sources"], capabilities)
-    term = e.select("concept_id", F.trim(f"{language}.preferred").alias("target"))
-    term = gated.filter(F.col("approved") & (F.col("type") == f"{language}-preferred")).select("concept_id", "target").distinct().join(term, ["concept_id", "target"]).select("concept_id").withColumn("_term", F.lit(True))
-    a = audit_gate(e, tables["audits"], tables["reviewers"], tables["claims"], needed).filter(F.col("type").isin(list(audits)) & F.col("audit_ok")).groupBy("concept_id").agg(F.count_distinct("type").alias("_audits"))
-    out = e.select("concept_id").join(term, "concept_id", "left").join(mapping_gate(e, tables["mappings"], gated, nomenclatures), "concept_id", "left").join(a, "concept_id", "left").join(conflict_gate(e, tables["conflicts"], tables["reviewers"]), "concept_id", "left")
-    out = out.select("concept_id", _yes(F.col("_term")).alias("term_ok"), _yes(F.col("mapping_ok")).alias("mapping_ok"), _yes(F.col("_audits") == len(audits)).alias("audits_ok"), _yes(F.col("conflicts_ok")).alias("conflicts_ok"))
-    return out.withColumn("released", F.col("term_ok") & F.col("mapping_ok") & F.col("audits_ok") & F.col("conflicts_ok"))
+    facts = claim_facts(gated, tables["mappings"], nomenclatures, preferred=f"{language}-preferred", needed=needed)
+    a = tables["audits"].filter(c("type").isin(list(audits))).join(_reviewers(tables["reviewers"]), "reviewer_id").filter(_passed())
+    a = a.groupBy("concept_id").agg(F.collect_list(F.struct("type", "entry_revision", "claim_ids")).alias("_audits"))
+    out = e.select("concept_id", F.trim(f"{language}.preferred").alias("_preferred"), "mapping_status", "mapping_disposition", c("revision").alias("_revision"))
+    out = out.join(facts, "concept_id", "left").join(a, "concept_id", "left").join(_settled(tables["conflicts"], tables["reviewers"]), "concept_id", "left")
+    audited = F.lit(True)
+    for kind in audits:
+        audited = audited & _yes(F.exists("_audits", lambda v: (v["type"] == kind) & _current(v["entry_revision"], v["claim_ids"])))  # noqa: B023  Spark calls it at once
+    out = out.select("concept_id", _yes(F.array_contains("_terms", c("_preferred"))).alias("term_ok"), _mapping_ok().alias("mapping_ok"), audited.alias("audits_ok"), _conflicts_ok().alias("conflicts_ok"))
+    return out.withColumn("released", c("term_ok") & c("mapping_ok") & c("audits_ok") & c("conflicts_ok"))
 
 
 def export_gate(cleared: DataFrame, needs: DataFrame, depth: int | None = None) -> DataFrame:
