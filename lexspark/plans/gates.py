@@ -54,17 +54,21 @@ def _made(df, columns: dict):
 def tables(spark, sf_dir):
     """The registry's tables. A reviewer's scope is everything, or nothing."""
     s, o, c = (read(spark, sf_dir, n) for n in ("supplier", "orders", "customer"))
-    li = read(spark, sf_dir, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    # Orders are joined by the text of their key, which is the concept's id, so that what is joined lies by concept already.
+    key = lambda c: F.col(c).cast("string")
+    supplied = read(spark, sf_dir, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    li = supplied.join(o, key("l_orderkey") == key("o_orderkey"))
     names = lambda *c: F.array_compact(F.array(*c))
     sources = _made(s, SOURCE)
     caps = F.struct(F.col("can_identity").alias("identity"), F.lit(False).alias("canonical"), F.col("can_target").alias("target_preferred"), F.lit(True).alias("corroboration"), (F.col("class") == "machine-generated").alias("machine_discovery"))
     claims = _made(li, CLAIM)
     none = F.lit(None).cast("string")
     at = F.struct("page", "plate", none.alias("entry_id"), "nomenclature_id", none.alias("chapter"), none.alias("section"), none.alias("table"), none.alias("url"))
-    of = li.groupBy("l_orderkey").agg(F.collect_list(F.expr(CLAIM["id"])).alias("all_ids"), F.collect_list(F.expr(f"CASE WHEN l_quantity < 49 THEN {CLAIM['id']} END")).alias("some_ids"))
+    of = supplied.groupBy(key("l_orderkey").alias("_of")).agg(F.collect_list(F.struct(F.expr(CLAIM["id"]).alias("id"), F.expr("l_quantity < 49").alias("some"))).alias("ids"))
+    lists = (F.transform("ids", lambda x: x["id"]), F.transform(F.filter("ids", lambda x: x["some"]), lambda x: x["id"]))
     # Both kinds of audits come from one join of orders with their claims.
-    kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("type"), F.col(ids).alias("claim_ids")) for kind, ids in zip(AUDITS, ("all_ids", "some_ids"), strict=True)]))
-    audits = o.join(of, F.col("l_orderkey") == F.col("o_orderkey")).select(F.expr(ENTRY["concept_id"]).alias("concept_id"), *[F.expr(e).alias(k) for k, e in AUDIT.items()], kinds.alias("a")).select("*", "a.type", "a.claim_ids").drop("a")
+    kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("type"), ids.alias("claim_ids")) for kind, ids in zip(AUDITS, lists, strict=True)]))
+    audits = o.join(of, key("o_orderkey") == F.col("_of")).select(F.expr(ENTRY["concept_id"]).alias("concept_id"), *[F.expr(e).alias(k) for k, e in AUDIT.items()], kinds.alias("a")).select("*", "a.type", "a.claim_ids").drop("a")
     return {
         "sources": sources.select("*", caps.alias("capabilities"), F.struct(F.col("audit_status").alias("status")).alias("audit")), "claims": claims.select("*", at.alias("locator")).drop("page", "plate", "nomenclature_id"),
         "entries": _made(o, ENTRY).select("*", F.struct("preferred").alias("target")), "mappings": _made(li.filter("l_linestatus = 'F'"), MAPPING).select("*", names("claim_id", "other_id").alias("evidence_claim_ids")),

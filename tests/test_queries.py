@@ -59,3 +59,17 @@ def test_audits_come_from_one_join(spark):
 
     plan = gates.tables(spark, SF)["audits"].select("concept_id", "type", "claim_ids")._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("lineitem.parquet") <= 1 and plan.count("Aggregate") == 1
+
+
+@pytest.mark.parametrize("name, most", [("gated_release", 28), ("unreleased_terms", 33)])
+def test_release_sends_claims_by_their_concept_once(spark, name, most):
+    # As at size, where nothing is broadcast; there were 64 and 69 shuffles.
+    from lexspark.plans.queries import QUERIES
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plan.count("Exchange hashpartitioning") <= most, plan.count("Exchange hashpartitioning")
