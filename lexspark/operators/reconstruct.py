@@ -116,37 +116,48 @@ def rebuild_table(words: DataFrame, columns: Sequence[tuple[float, str]], tolera
     """Table rows of positioned words (doc_id, page, x0, x1, top, text): doc_id, page, entry_id, cells (map of column to text).
 
     columns: (right bound, name); words of the column "number" number the rows. A line takes the
-    words within the tolerance of its first word's top, which only a walk over the page can tell;
-    pages are small and each is one group. largest: the greatest number that numbers a row, if there is one.
+    words within the tolerance of its first word's top. Words further from the one before them than that open
+    a run, so lines are told run by run. All of it goes by page, in one shuffle. largest: the greatest
+    number that numbers a row, if there is one.
     """
     bounds = [(float(b), n) for b, n in columns]
-
-    def lines_of(pdf):
-        pdf = pdf.sort_values(["top", "x0"], kind="stable")
-        line, first, out = -1, None, []
-        for top in pdf["top"]:
-            if first is None or abs(top - first) > tolerance:
-                line, first = line + 1, top
-            out.append(line)
-        return pdf.assign(line=out)[["doc_id", "page", "line", "x0", "x1", "text"]]
-
-    d = words.groupBy("doc_id", "page").applyInPandas(lines_of, "doc_id string, page int, line int, x0 double, x1 double, text string")
     name = None
     for bound, n in bounds:
         name = F.when(F.col("x0") < bound, n) if name is None else name.when(F.col("x0") < bound, n)
-    d = d.withColumn("column", name.otherwise("other"))
-    number = F.when((F.col("column") == "number") & F.col("text").rlike(r"^\d{1,9}$"), F.col("text").cast("int"))
-    per = d.groupBy("doc_id", "page", "line").agg(F.count(number).alias("n"), F.max(number).alias("id"))
-    start = (F.col("n") == 1) & (F.col("id") >= 1) & (F.lit(True) if largest is None else F.col("id") <= largest)
-    w = Window.partitionBy("doc_id", "page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    per = per.withColumns({"block": F.sum(start.cast("int")).over(w), "entry_id": F.last(F.when(start, F.col("id")), ignorenulls=True).over(w)}).filter("block > 0")
-    cells = d.filter("column <> 'number'").join(per.select("doc_id", "page", "line", "block", "entry_id"), ["doc_id", "page", "line"])
+    nan, top = F.lit(float("nan")), F.col("top")
+    d = words.select("doc_id", F.col("page").cast("int").alias("page"), "text", *[F.coalesce(F.col(c).cast("double"), nan).alias(c) for c in ("x0", "x1", "top")]).withColumn("column", name.otherwise("other"))
+    d = d.withColumn("number", F.when((F.col("column") == "number") & F.col("text").rlike(r"^\d{1,9}$"), F.col("text").cast("int")))
+    page, run = Window.partitionBy("doc_id", "page"), Window.partitionBy("doc_id", "page", "run")
+    # An unknown top (NaN) comes last and belongs to the last line.
+    far = F.coalesce(~F.isnan(top) & (top - F.lag("top").over(page.orderBy("top")) > tolerance), F.lit(False))
+    d = d.withColumn("far", far.cast("long")).withColumn("run", F.sum("far").over(page.orderBy("top").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    # A run within the tolerance, as most are, is one line; in others a line opens where a word is too far from the first of the line before.
+    d = d.withColumn("first", F.min("top").over(run))
+    d = d.withColumn("late", F.collect_set(F.when(~F.isnan(top) & (top - F.col("first") > tolerance), top)).over(run))
+    opens = F.aggregate(F.array_sort("late"), F.array("first"), lambda a, x: F.when(x - F.element_at(a, -1) > tolerance, F.concat(a, F.array(x))).otherwise(a))
+    d = d.withColumn("line", F.when(F.size("late") == 0, 1).otherwise(F.size(F.filter(opens, lambda x: x <= top)))).drop("late", "first", "far")
+    of_line = page.orderBy("run", "line")
+    same, so_far = of_line.rangeBetween(Window.currentRow, Window.currentRow), of_line.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.col("number").isNotNull() & (F.count("number").over(same) == 1) & (F.col("number") >= 1) & (F.lit(True) if largest is None else F.col("number") <= largest)
+    d = d.withColumn("start", F.when(start, F.col("number")))
+    d = d.withColumns({"block": F.count("start").over(so_far), "entry_id": F.last("start", ignorenulls=True).over(so_far)}).filter("block > 0 and column <> 'number'")
+    rows = d.groupBy("doc_id", "page", "block", "entry_id").agg(F.collect_list(F.struct("run", "line", "x0", "x1", "text", "column")).alias("w"))
+
+    def put(a, v):
+        more = (a["run"] == v["run"]) & (a["line"] == v["line"])
+        glued = F.concat(a["now"], F.when(v["x0"] - a["x"] <= gap, "").otherwise(" "), v["text"])
+        done = F.when(more | a["run"].isNull(), a["done"]).otherwise(F.concat_ws(" ", a["done"], a["now"]))
+        return F.struct(done.alias("done"), F.when(more, glued).otherwise(v["text"]).alias("now"), v["x1"].alias("x"), v["run"].alias("run"), v["line"].alias("line"))
+
     # Words of a line and column, joined by their gaps; then the lines of a row.
-    parts = cells.groupBy("doc_id", "page", "block", "entry_id", "column", "line").agg(F.array_sort(F.collect_list(F.struct("x0", "x1", "text"))).alias("w"))
-    glue = F.aggregate("w", F.struct(F.lit("").alias("s"), F.lit(None).cast("double").alias("x")), lambda a, v: F.struct(F.concat(a["s"], F.when(a["x"].isNull() | (v["x0"] - a["x"] <= gap), "").otherwise(" "), v["text"]).alias("s"), v["x1"].alias("x")), lambda a: a["s"])
-    rows = parts.withColumn("s", glue).groupBy("doc_id", "page", "block", "entry_id", "column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "s"))), lambda v: v["s"]), " ").alias("s"))
-    clean = F.regexp_replace(collapse(F.regexp_replace("s", r"(?<!\w)Endnote\s+\d+(?!\w)", "")), r"^[ ;]+|[ ;]+$", "")
-    return rows.groupBy("doc_id", "page", "block", "entry_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", clean)))).alias("cells")).drop("block")
+    of = lambda n: F.filter("w", lambda x: x["column"] == n)
+    empty = F.struct(*[F.lit(None).cast(t).alias(c) for c, t in (("done", "string"), ("now", "string"), ("x", "double"), ("run", "long"), ("line", "int"))])
+    text = lambda w: F.aggregate(F.array_sort(w), empty, put, lambda a: F.concat_ws(" ", a["done"], a["now"]))
+    clean = lambda s: F.regexp_replace(collapse(F.regexp_replace(s, r"(?<!\w)Endnote\s+\d+(?!\w)", "")), r"^[ ;]+|[ ;]+$", "")
+    names = sorted({n for _, n in bounds if n != "number"} | {"other"})
+    rows = rows.select("doc_id", "page", "entry_id", *[of(n).alias(f"w{i}") for i, n in enumerate(names)])
+    held = F.array_compact(F.array(*[F.when(F.size(f"w{i}") > 0, F.struct(F.lit(n).alias("column"), clean(text(f"w{i}")).alias("s"))) for i, n in enumerate(names)]))
+    return rows.select("doc_id", "page", "entry_id", F.map_from_entries(held).alias("cells"))
 
 
 def parse_errata(lines: DataFrame, actions: Sequence[tuple[str, str]], version: str = r"version (\d+\.\d+)", part: str = r"^\s*PART\s+([IVX]+)\s*$", entry: str = r"^\s*(\d{1,4})\s+") -> DataFrame:

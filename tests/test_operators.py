@@ -250,6 +250,15 @@ def test_table_of_words(spark):
     assert got == {7: {"latin": "Facies alta secunda", "synonym": "syn"}, 8: {"latin": "x"}}
 
 
+def test_table_lines_come_from_one_shuffle(spark):
+    # Tops 1 apart: a line takes what is within 1.5 of its first word, so the run falls into lines of two; a word without a top is the last line's.
+    w = [("d", 1, 10.0, 18.0, float(t), str(t)) for t in (0, 4)] + [("d", 1, 100.0 + t, 100.5 + t, float(t), f"t{t}") for t in range(8)] + [("d", 1, 210.0, 220.0, None, "late"), ("d", 2, 10.0, 18.0, 0.0, "9"), ("d", 2, 100.0, 101.0, 0.5, None), ("d", 2, 100.0, 101.0, 30.0, "y")]
+    d = reconstruct.rebuild_table(spark.createDataFrame([x if x[5] != "0" else (*x[:5], "3") for x in w], "doc_id string, page int, x0 double, x1 double, top double, text string"), [(90, "number"), (203, "latin"), (317, "synonym")])
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert {r.entry_id: r.cells for r in d.collect()} == {3: {"latin": "t0t1 t2t3"}, 4: {"latin": "t4t5 t6t7", "synonym": "late"}, 9: {"latin": "y"}}
+
+
 def test_errata_and_attestations(spark):
     text = ["Corrections in version 2.03", "PART II", "12 something", "Latin term corrected", "and a synonym added", "Endnote 3 x", "13 other", "Corrections in version 2.04", "PART I", "12 again"]
     e = reconstruct.parse_errata(spark.createDataFrame([("d", i, t) for i, t in enumerate(text)], "doc_id string, line int, text string"), [("latin term corrected", "latin"), ("synonym added", "aliases")])
