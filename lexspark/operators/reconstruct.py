@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.text import collapse, fold_key, join_fragments, split_at_accent, split_synonyms
 from lexspark.operators.match import unique_match
 from lexspark.operators.metrics import demote_duplicates
+from lexspark.sources.io import shared_path
 
 
 def segment_blocks(lines: DataFrame, start: Column, doc: str = "doc_id", order: str = "line") -> DataFrame:
@@ -51,13 +52,14 @@ def rebuild_stream(lines: DataFrame, names: DataFrame, code: str, counter: str,
     Columns merged in a line are cut at the first accented word, fragments are joined in order. A
     row that nothing speaks against is matched with names (concept_id, name) by its folded pivot
     term, as written or without the brackets around it: EXACT if one concept has that name, else
-    UNMATCHED. Ids that two blocks have are demoted.
+    UNMATCHED. Ids that two blocks have are demoted. The blocks are stored once, when this is called.
     """
     t = F.col("text")
     first = lambda p, g: F.nullif(F.regexp_extract(t, p, g), F.lit(""))
     is_start = t.rlike(code)
     d = carry_forward(lines, {"page": first(page, 1).cast("int"), "section": first(heading, 1)})
-    d = segment_blocks(d, is_start).filter("block > 0")
+    # Documents may be few and long: only numbering the blocks goes by document, what is read from lines goes by block.
+    d = segment_blocks(d, is_start).filter("block > 0").repartition("doc_id", "block")
     said = first(counter, 1)
     body = F.when(is_start, F.regexp_extract(t, code, 2)).when(said.isNotNull(), F.regexp_extract(t, counter, 2)).when(t.rlike(heading) | t.rlike(page), "").otherwise(t)
     # a code that does not begin its line names another entry
@@ -77,7 +79,11 @@ def rebuild_stream(lines: DataFrame, names: DataFrame, code: str, counter: str,
         F.when(F.col("crossed"), "CROSSED_HEADING"), F.when(F.col("printed_id").isNull(), "INCOMPLETE_ID"), F.when((F.col("markers") > 1) | (F.size("counters") > 1), "MULTIPLE_COUNTERS"),
         F.when(F.col("printed_id").isNotNull() & ~F.col("printed_id").rlike(complete), "MALFORMED_ID"), F.when(F.col("other"), "EMBEDDED_ENTRY"),
         F.when(F.col("pivot") == "", "INCOMPLETE_PIVOT"), F.when(F.col("target") == "", "INCOMPLETE_TARGET"), F.when(F.col("target").rlike(residue), "PIVOT_RESIDUE_IN_TARGET")))
-    g = g.withColumn("reasons", reasons)
+    g = g.withColumn("reasons", reasons).drop("parts", "counters", "markers", "crossed", "other", "prefix")
+    # Names, duplicate ids and the rows themselves are all read from the blocks, which are made once.
+    at, shape = shared_path(lines.sparkSession, "blocks"), g.schema
+    g.write.parquet(at)
+    g = lines.sparkSession.read.schema(shape).parquet(at)
     row, bare = F.struct("doc_id", "block"), F.trim(F.regexp_replace("pivot", r"^[(\[]+|[)\]]+$", ""))
     tries = g.filter(F.size("reasons") == 0).select(row.alias("row_id"), F.explode(F.array_distinct(F.array(fold_key("pivot"), fold_key(bare)))).alias("key")).withColumn("tier", F.lit(1))
     one = unique_match(tries, names.select("concept_id", fold_key("name").alias("key")).filter("key <> ''")).filter("outcome = 'ONE'").select("row_id.doc_id", "row_id.block", "concept_id")

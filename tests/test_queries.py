@@ -73,3 +73,11 @@ def test_release_sends_claims_by_their_concept_once(spark, name, most):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert plan.count("Exchange hashpartitioning") <= most, plan.count("Exchange hashpartitioning")
+
+
+def test_blocks_of_a_stream_are_made_once(spark):
+    from lexspark.plans.queries import QUERIES
+
+    # Names, duplicates and rows each read the lines again before.
+    plan = QUERIES["rebuilt_rows"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
