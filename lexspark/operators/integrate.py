@@ -3,12 +3,16 @@
 Each table has concept_id, a pivot name that identifies its rows, and a value. Which of the checks
 hold for a table is told by its Rules. Findings come first; a patch set with any finding changes
 nothing. The tables are then staged, compared with what they were, and committed as one version.
+
+Patches and tables are as long as each other, so they meet by a shuffle of both (hint "merge"): a table
+of few bytes on disk can have rows enough to fill a driver that broadcasts it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +43,17 @@ class PatchRefused(RuntimeError):
     """A patch set with findings, or one whose result is not what it should be; nothing was changed."""
 
 
-def _joined(table: DataFrame, patches: DataFrame, downstream: DataFrame | None, how: Integration, kind: str) -> DataFrame:
+def _joined(table: DataFrame, patches: DataFrame, downstream: DataFrame | None, how: Integration) -> DataFrame:
     p = patches.select(F.col(how.key), F.struct(how.pivot, "old", "new").alias("_p")).dropDuplicates([how.key])
-    d = table.withColumn("_known", F.lit(True)).join(p, how.key, kind)
+    return _with_later(table.join(p.hint("merge"), how.key, "left"), downstream, how)
+
+
+def _with_later(d: DataFrame, downstream: DataFrame | None, how: Integration) -> DataFrame:
+    """Adds _later, the new value of a later patch of the key."""
     if downstream is None:
         return d.withColumn("_later", F.lit(None).cast("string"))
     later = downstream.groupBy(how.key).agg(F.max("new").alias("_later"))
-    return d.join(later, how.key, "left")
+    return d.join(later.hint("merge"), how.key, "left")
 
 
 def _settled(how: Integration) -> Column:
@@ -57,31 +65,34 @@ def patch_findings(tables: Mapping[str, DataFrame], patches: DataFrame, how: Int
     """finding(code, entity_id, table) of patches (key, pivot, old, new) against all tables.
 
     duplicate-id, blank-value, unchanged-value; and by table missing-record, identity-mismatch,
-    drift, evidence-mismatch. A repeated id is told once, and checked by one of its patches.
+    drift, evidence-mismatch. A repeated id is told once, and checked by one of its patches. The patches
+    are grouped once, and meet all tables in one join.
     """
-    entity = F.col(how.key).cast("string").alias("entity_id")
-    found = lambda d, code, table="": d.select(F.lit(code).alias("code"), entity, F.lit(table).alias("table"))
-    out = found(patches.groupBy(how.key).count().filter("count > 1"), "duplicate-id")
-    out = out.union(found(patches.filter(is_blank("new")).select(how.key).distinct(), "blank-value"))
-    out = out.union(found(patches.filter(F.col("new").eqNullSafe(F.col("old"))).select(how.key).distinct(), "unchanged-value"))
-    one = patches.groupBy(how.key).agg(F.min(F.struct(how.pivot, "old", "new")).alias("_x")).select(how.key, "_x.*")
+    c = F.col
+    own = F.array_compact(F.array(F.when(F.count("*") > 1, "duplicate-id"), F.when(F.bool_or(is_blank("new")), "blank-value"), F.when(F.bool_or(c("new").eqNullSafe(c("old"))), "unchanged-value")))
+    one = patches.groupBy(how.key).agg(F.min(F.struct(how.pivot, "old", "new")).alias("_p"), own.alias("_own"))
+    # A row for each table that a patch is checked against, and one without a table for what is wrong with the patch itself.
+    names = [F.lit(name) for name in how.tables]
+    one = _with_later(one, downstream, how).withColumn("_table", F.explode(F.when(F.size("_own") > 0, F.array(F.lit(""), *names)).otherwise(F.array(*names))))
+    rows = []
     for name, rules in how.tables.items():
-        d = _joined(tables[name], one, downstream, how, "right")
-        known = F.col("_known").isNotNull()
-        hits = [F.when(~known, "missing-record"), F.when(known & ~F.col(how.pivot).eqNullSafe(F.col(f"_p.{how.pivot}")), "identity-mismatch")]
-        if rules.drift:
-            hits.append(F.when(known & ~F.col(how.value).eqNullSafe(F.col("_p.old")) & ~_settled(how), "drift"))
-        if rules.evidence is not None:
-            hits.append(F.when(known & ~F.coalesce(F.expr(rules.evidence), F.lit(False)), "evidence-mismatch"))
-        out = out.union(d.select(F.explode(F.array_compact(F.array(*hits))).alias("code"), entity, F.lit(name).alias("table")))
-    return out
+        fits = F.lit(True) if rules.evidence is None else F.coalesce(F.expr(rules.evidence), F.lit(False))
+        rows.append(tables[name].select(how.key, how.pivot, how.value, fits.alias("_fits"), F.lit(True).alias("_known"), F.lit(name).alias("_table")))
+    d = one.join(reduce(DataFrame.union, rows).hint("merge"), [how.key, "_table"], "left")
+    known, drifts = c("_known").isNotNull(), c("_table").isin([name for name, rules in how.tables.items() if rules.drift])
+    hits = [
+        F.when(~known, "missing-record"), F.when(known & ~c(how.pivot).eqNullSafe(c(f"_p.{how.pivot}")), "identity-mismatch"),
+        F.when(known & drifts & ~c(how.value).eqNullSafe(c("_p.old")) & ~_settled(how), "drift"), F.when(known & ~c("_fits"), "evidence-mismatch"),
+    ]
+    codes = F.when(c("_table") == "", c("_own")).otherwise(F.array_compact(F.array(*hits)))
+    return d.select(F.explode(codes).alias("code"), c(how.key).cast("string").alias("entity_id"), c("_table").alias("table"))
 
 
 def patched(tables: Mapping[str, DataFrame], patches: DataFrame, how: Integration, downstream: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables with the new values; their other columns and rows as they are."""
     out = {}
     for name in how.tables:
-        d = _joined(tables[name], patches, downstream, how, "left")
+        d = _joined(tables[name], patches, downstream, how)
         new = F.when(F.col("_p").isNull() | _settled(how), F.col(how.value)).otherwise(F.col("_p.new"))
         out[name] = d.select(*[new.alias(c) if c == how.value else F.col(f"`{c}`") for c in tables[name].columns])
     return out
@@ -92,7 +103,7 @@ def unrelated_changes(before: Mapping[str, DataFrame], after: Mapping[str, DataF
 
     Rows are compared as multisets of hashes, one shuffle a table.
     """
-    p = patches.select(F.col(how.key), F.lit(True).alias("_patched"), F.col("new").alias("_new")).dropDuplicates([how.key])
+    p = patches.select(F.col(how.key), F.lit(True).alias("_patched"), F.col("new").alias("_new")).dropDuplicates([how.key]).hint("merge")
     out = None
     for name in how.tables:
         columns = [c for c in before[name].columns if c != how.value]
@@ -102,7 +113,7 @@ def unrelated_changes(before: Mapping[str, DataFrame], after: Mapping[str, DataF
         changed = both.groupBy(how.key, "rest", value.alias("v")).agg(F.sum("side").alias("n")).filter("n <> 0").select(how.key).distinct()
         later = downstream.groupBy(how.key).agg(F.max("new").alias("_later")) if downstream is not None else None
         arrived = after[name].join(p, how.key)
-        arrived = arrived.join(later, how.key, "left") if later is not None else arrived.withColumn("_later", F.lit(None).cast("string"))
+        arrived = arrived.join(later.hint("merge"), how.key, "left") if later is not None else arrived.withColumn("_later", F.lit(None).cast("string"))
         lost = arrived.filter(~F.col(how.value).eqNullSafe(F.col("_new")) & ~F.coalesce(F.col(how.value) == F.col("_later"), F.lit(False)))
         entity = F.col(how.key).cast("string").alias("entity_id")
         now = changed.select(F.lit("unrelated-change").alias("code"), entity, F.lit(name).alias("table")).union(lost.select(F.lit("patch-not-applied").alias("code"), entity, F.lit(name).alias("table")))

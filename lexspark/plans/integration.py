@@ -41,7 +41,7 @@ def part_patches(spark, sf_dir):
     part = read(spark, sf_dir, "part")
     n = part.agg(F.count("*").alias("parts"))
     g = read(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_linestatus").agg(F.expr(MANY).alias("q"), F.max("l_quantity").alias("hi"), F.min("l_quantity").alias("lo"), F.expr(TAXED).alias("t"), F.expr(UNTAXED).alias("u"), F.expr(CHEAP).alias("d"))
-    g = g.filter("l_linestatus = 'F' or d > 0").join(part, F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(n))  # n is one row
+    g = g.filter("l_linestatus = 'F' or d > 0").join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey")).crossJoin(F.broadcast(n))  # n is one row
     old = F.when(F.col("q") > 0, "else").otherwise(F.col("p_brand"))
     new = F.when(F.col("t") > 0, " ").when(F.col("u") < 0, old).otherwise(F.concat(F.lit("new "), "p_brand"))
     return g.select((F.col("l_partkey") + F.when((F.col("hi") == 50) & (F.col("lo") < 2), F.col("parts")).otherwise(0)).alias("concept_id"), F.col("p_name").alias("pivot"), old.alias("old"), new.alias("new"))
@@ -75,7 +75,7 @@ def integrated_tables(spark, sf_dir):
     part_patches(spark, sf_dir).write.parquet(at)  # findings and tables must see the same patches
     patches = spark.read.parquet(at)
     bad = integrate.patch_findings(store.tables(), patches, HOW).select(F.col("entity_id").cast("long").alias("concept_id")).distinct()
-    integrate.integrate(store, patches.join(bad, "concept_id", "left_anti"), HOW)
+    integrate.integrate(store, patches.join(bad.hint("merge"), "concept_id", "left_anti"), HOW)
     out = None
     for name, df in store.tables().items():
         df = df.select(F.lit(name).alias("table"), "concept_id", "pivot", "target", "status")

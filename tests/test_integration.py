@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexspark.operators.integrate import Integration, PatchRefused, Rules, changes, integrate, patch_findings, unrelated_changes
+from lexspark.operators.integrate import Integration, PatchRefused, Rules, changes, integrate, patch_findings, patched, unrelated_changes
 from lexspark.plans import integration
 from lexspark.plans.queries import ORACLE_SQL
 from lexspark.sources.versions import TableSet, VersionConflict
@@ -151,3 +151,26 @@ def test_patches_are_made_once(spark, store):
 
     p = spark.createDataFrame([("a", "A", "x", "x2")], PATCHES).mapInArrow(count, PATCHES)
     assert integrate(store, p, HOW) == 2 and made.value == 1
+
+
+def test_patches_meet_all_tables_once_and_no_table_is_broadcast(spark, tmp_path):
+    # Each of seven parts of the findings read the line items again, and parts went to the driver whole.
+    plan = integration.patch_batch_findings(spark, tied_tables(spark, str(tmp_path)))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("struct<l_partkey") == 1 and plan.count("SortMergeJoin") == 2
+    store = TableSet(spark, f"file://{tmp_path}/set")
+    tables = {name: spark.createDataFrame([("a", "A", "x", "P", 1)], SCHEMA) for name in HOW.tables}
+    store.write(tables)
+    p, later = spark.createDataFrame([("a", "A", "x", "y")], PATCHES), spark.createDataFrame([("b", "B", "x", "y")], PATCHES)
+    for d in (*patched(store.tables(), p, HOW, later).values(), unrelated_changes(store.tables(), tables, p, HOW, later), patch_findings(store.tables(), p, HOW, later)):
+        assert "Broadcast" not in d._jdf.queryExecution().executedPlan().toString()
+
+
+def test_repeated_rows_of_tables_are_each_told(spark):
+    patches = spark.createDataFrame([("a", "A", "x", " "), ("a", "A", "x", "x"), (None, "N", "x", "y")], PATCHES)
+    rows = [("a", "A", "x", "P", 1), ("a", "B", "x", "V", 2), ("a", "B", "z", None, 3)]
+    tables = {name: spark.createDataFrame(rows, SCHEMA) for name in HOW.tables}
+    tables["catalog"] = tables["catalog"].limit(0)
+    got = sorted((r.entity_id or "", r.table, r.code) for r in patch_findings(tables, patches, HOW).collect())
+    want = [("", t, "missing-record") for t in HOW.tables] + [("a", "", c) for c in ("duplicate-id", "blank-value", "unchanged-value")] + [("a", "catalog", "missing-record")]
+    want += [("a", t, "identity-mismatch") for t in ("records", "generated", "quality")] * 2 + [("a", t, "drift") for t in ("records", "generated")] + [("a", "records", "evidence-mismatch")] * 2
+    assert got == sorted(want)
