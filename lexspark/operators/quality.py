@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions.text import collapse, padded
@@ -42,8 +42,12 @@ def shape_codes(target: str, residue: str = r"[A-Za-z]+\?$") -> Column:
 
 def _united(codes: str) -> Column:
     """The codes of a concept's records, sorted; null if there are none."""
-    c = F.array_sort(F.array_distinct(F.flatten(F.collect_set(codes))))
-    return F.when(F.size(c) > 0, c).alias(codes)
+    return _sorted(F.collect_set(codes)).alias(codes)
+
+
+def _sorted(sets: Column | str) -> Column:
+    c = F.array_sort(F.array_distinct(F.flatten(sets)))
+    return F.when(F.size(c) > 0, c)
 
 
 def findings(records: DataFrame, rules: DataFrame, residue: str = r"[A-Za-z]+\?$") -> DataFrame:
@@ -81,15 +85,17 @@ def repair(records: DataFrame, connector: str | None = None, heads: Sequence[str
     return step(df, "LOWER_INTERIOR", lowered)
 
 
-def qa_status(records: DataFrame, rules: DataFrame, **how) -> DataFrame:
+def qa_status(records: DataFrame, rules: DataFrame, within: Sequence[str] = (), **how) -> DataFrame:
     """CLEAR, REPAIRED, RETAIN, CONFLICT_PRESERVED or NEEDS_HUMAN, findings before and after; only REPAIRED changes the text.
 
-    records: concept_id, pivot, target, generated (bool), conflict (bool).
+    records: concept_id, pivot, target, generated (bool), conflict (bool). within: columns that follow
+    from concept_id; records that lie together by these are not sent again.
     """
     fixed = _with_codes(repair(records, **how), rules, r"[A-Za-z]+\?$", before="target", after="repaired")
-    # Records of one concept share their findings.
-    found = fixed.groupBy("concept_id").agg(_united("before"), _united("after"))
-    d = fixed.drop("before", "after").join(found, "concept_id", "left")
+    # Records of one concept share their findings; those without an id have none.
+    alike = Window.partitionBy(*within, "concept_id")
+    d = fixed.withColumns({c: F.when(F.col("concept_id").isNotNull(), F.collect_set(c).over(alike)) for c in ("before", "after")})
+    d = d.withColumns({c: _sorted(c) for c in ("before", "after")})
     status = (
         F.when(F.col("conflict"), "CONFLICT_PRESERVED").when(F.col("before").isNull(), "CLEAR").when(~F.col("generated"), "RETAIN")
         .when(F.col("after").isNull() & (F.size("actions") > 0), "REPAIRED").otherwise("NEEDS_HUMAN")

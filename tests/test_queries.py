@@ -81,3 +81,12 @@ def test_blocks_of_a_stream_are_made_once(spark):
     # Names, duplicates and rows each read the lines again before.
     plan = QUERIES["rebuilt_rows"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+def test_translations_are_sent_twice_and_parts_are_not_broadcast(spark):
+    from lexspark.plans.queries import QUERIES
+
+    # Records went by their id three times more: to be made distinct, to share their findings and to get them back.
+    plan = QUERIES["repaired_translations"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("ShuffledHashJoin") == 2 and plan.count("lineitem.parquet") <= 1
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("Exchange hashpartitioning") == 5  # two of parts, and one of the rules' words
