@@ -32,8 +32,7 @@ def _scalar(c: Column, kind: DataType = StringType()) -> Column:
 def canonical_text(c: Column, kind: DataType, unordered: bool = False) -> Column:
     """The canonical text of a value; null for null."""
     if isinstance(kind, StructType):
-        fields = [F.concat(_scalar(F.lit(f.name)), F.lit(":"), canonical_text(c.getField(f.name), f.dataType, unordered)) for f in sorted(kind.fields, key=lambda f: f.name)]
-        return F.when(c.isNotNull(), F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+        return F.when(c.isNotNull(), object_text({f.name: canonical_text(c.getField(f.name), f.dataType, unordered) for f in kind.fields}))
     if isinstance(kind, MapType):
         pairs = F.transform(F.map_entries(c), lambda e: F.struct(e["key"].cast("string").alias("k"), F.concat(_scalar(e["key"].cast("string")), F.lit(":"), canonical_text(e["value"], kind.valueType, unordered)).alias("t")))
         return F.when(c.isNotNull(), F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(pairs), lambda p: p["t"]), ","), F.lit("}")))
@@ -43,6 +42,16 @@ def canonical_text(c: Column, kind: DataType, unordered: bool = False) -> Column
     return F.when(c.isNotNull(), _scalar(c, kind))
 
 
+def object_text(fields: Mapping[str, Column]) -> Column:
+    """The canonical text of an object from those of its fields, of which null ones are left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(_scalar(F.lit(k)), F.lit(":"), t) for k, t in sorted(fields.items())]), F.lit("}"))
+
+
+def array_text(texts: Column) -> Column:
+    """The canonical text of an unordered array from those of its elements, none of which is null."""
+    return F.concat(F.lit("["), F.array_join(F.array_sort(texts), ","), F.lit("]"))
+
+
 def without(kind: StructType, paths: Iterable[str]) -> StructType:
     """A struct type less the fields at dotted paths, which lead through arrays: `conflicts.entry_revision`."""
     heads: dict[str, list[str]] = {}

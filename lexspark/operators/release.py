@@ -51,6 +51,22 @@ def _digest(item: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.collect_list(item)), ","), 256).alias("digest")
 
 
+def leaf_item(key: Column, revision: Column, leaves: Column | int = 1) -> Column:
+    """The text of a leaf that its node's digest is made of; null counts as empty."""
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    return F.concat_ws(":", F.sha2(text(key), 256), text(revision), leaves.cast("string") if isinstance(leaves, Column) else F.lit(str(leaves)))
+
+
+def root_of(items: Column, depth: int) -> Column:
+    """The root's digest of a small tree from an array of its leaf_items, each distinct; null for none. As revision_tree has it, in one row."""
+    level = F.array_sort(items)
+    for k in range(depth, 0, -1):
+        # Bound by a lambda, so that a level is made once and not for each of its nodes.
+        nodes = lambda level: F.transform(F.array_distinct(F.transform(level, lambda x: F.substring(x, 1, k))), lambda n: F.concat_ws(":", n, F.sha2(F.array_join(F.filter(level, lambda x: F.startswith(x, n)), ","), 256)))  # noqa: B023, E731
+        level = F.get(F.transform(F.array(level), nodes), F.lit(0))
+    return F.when(F.size(items) > 0, F.sha2(F.array_join(level, ","), 256))
+
+
 def root(tree: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return tree.filter("level = 0").select(*by, "digest")
 
@@ -86,16 +102,17 @@ def bound_entries(entries: DataFrame, by: str = "release_id", depth: int | None
     return root(revision_tree(entries, "concept_id", by=[by], depth=depth), [by]).withColumnRenamed("digest", "entry_revisions")
 
 
-def validate_release(manifests: DataFrame, bound: DataFrame, current: DataFrame, entries: DataFrame, released: DataFrame, by: str = "release_id", schema_version: int = 1, depth: int | None = None) -> DataFrame:
+def validate_release(manifests: DataFrame, bound: DataFrame, current: DataFrame, entries: DataFrame, released: DataFrame, by: str = "release_id", schema_version: int = 1, depth: int | None = None, digest: DataFrame | None = None) -> DataFrame:
     """finding(code, severity, entity_id, path) of release manifests.
 
     manifests: by, schema_version, release_status, version, the revisions of BOUND, policy_version,
     content_hash. bound: the revisions that manifests give their entries (by, concept_id, revision);
     none for a manifest means that it has no such part. current: current_state now. entries:
-    revisions now (by, concept_id, revision). released: (by, concept_id) that are released now.
+    revisions now (by, concept_id, revision). released: (by, concept_id) that are released now. digest:
+    bound_entries of bound, if that is there already.
     """
     c = F.col
-    digest = bound_entries(bound, by, depth)
+    digest = bound_entries(bound, by, depth) if digest is None else digest
     now = current.select(by, *[c(k).alias(f"_{k}") for k in ("version", *BOUND)])
     d = manifests.join(now, by, "left").join(digest, by, "left")
     sound = F.coalesce(c("schema_version") == schema_version, F.lit(False))
