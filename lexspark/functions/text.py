@@ -263,7 +263,7 @@ def contains_any(c: Column | str, words: Sequence[str]) -> Column:
 
 
 def is_iso_date(c: Column | str) -> Column:
-    return F.coalesce(_col(c).rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_timestamp(_col(c), F.lit("yyyy-MM-dd")).isNotNull(), F.lit(False))
+    return F.coalesce(_col(c).rlike(r"^\d{4}-\d{2}-\d{2}\z") & _col(c).try_cast("date").isNotNull(), F.lit(False))
 
 
 def is_url(c: Column | str) -> Column:

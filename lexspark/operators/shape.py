@@ -100,9 +100,13 @@ def _texts(shape: Mapping, at: Place) -> Column:
 
     # The keys are bound by a lambda of their own, so that they are made once and not for every item.
     found = F.get(F.transform(F.array(folded), lambda keys: F.flatten(F.transform(items, lambda x, i: item(x, i, keys)))), F.lit(0))
-    # Most arrays have one item or none, which no key can repeat.
-    alone = F.when(is_blank(text(F.get(items, F.lit(0)))), _one("invalid-string-array-item", shape, where(F.lit(0)))).otherwise(_none())
-    return F.when(items.isNull(), _one("invalid-string-array", shape, at.name)).when(F.size(items) == 0, _none()).when(F.size(items) == 1, alone).otherwise(found)
+    # Most arrays have two items at most; these are compiled, which lambdas are not.
+    first, second = (text(F.get(items, F.lit(k))) for k in (0, 1))
+    alone = F.when(is_blank(first), _one("invalid-string-array-item", shape, where(F.lit(0)))).otherwise(_none())
+    again = F.nullif(fold_key(first), F.lit("")) == F.nullif(fold_key(second), F.lit(""))
+    other = F.when(is_blank(second), _one("invalid-string-array-item", shape, where(F.lit(1)))).when(again, _one("duplicate-normalized-term", shape, where(F.lit(1)))).otherwise(_none())
+    size = F.size(items)
+    return F.when(items.isNull(), _one("invalid-string-array", shape, at.name)).when(size == 0, _none()).when(size == 1, alone).when(size == 2, F.concat(alone, other)).otherwise(found)
 
 
 def _held(shape: Mapping) -> str:
@@ -146,15 +150,11 @@ def findings(shape: Mapping, at: Place) -> Column:
     return result
 
 
-def _lists(shape: Mapping, path: str = "") -> list[tuple[str, Mapping]]:
-    """(path, shape of the items) of the lists in a value whose items have a shape, those in items left out."""
+def _lists(shape: Mapping, keys: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], Mapping]]:
+    """(keys that lead there, shape of the items) of the lists in a value whose items have a shape, those in items left out."""
     if shape["type"] == "list":
-        return [] if shape["items"]["type"] == "any" else [(path, shape["items"])]
-    out = []
-    for k, s in shape.get("fields", {}).items():
-        step = f".{k}" if re.fullmatch(r"[A-Za-z_]\w*", k) else f"['{k}']"
-        out += _lists(s, path + step)
-    return out
+        return [] if shape["items"]["type"] == "any" else [(keys, shape["items"])]
+    return [x for k, s in shape.get("fields", {}).items() for x in _lists(s, (*keys, k))]
 
 
 def codes(shape: Mapping) -> set[str]:
@@ -188,39 +188,42 @@ def records(documents: DataFrame, document: Document) -> DataFrame:
     version = {"type": "is", "value": document.version, "code": "unsupported-schema-version"}
     body = Place(F.col("v"), f"$.{document.records}", F.lit(document.records))
     found = F.when(F.col("v").isNull(), _one("unparsable-document", {}, F.lit(document.label))).otherwise(
-        F.concat(findings(version, Place(top.root, "$", F.lit(f"{document.label}.schemaVersion"), top.field("schemaVersion").read("variant"))), F.when(body.read(ARRAY).isNull(), _one("invalid-document-shape", {}, body.name)).otherwise(_none()))
+        F.concat(findings(version, Place(top.root, "$", F.lit(f"{document.label}.schemaVersion"), top.field("schemaVersion").read("variant"))), F.when(F.col("records").isNull(), _one("invalid-document-shape", {}, body.name)).otherwise(_none()))
     )
-    d = d.select("document_id", found.alias("found"), body.read(ARRAY).alias("records"))
+    # The records are a column of their own before it is asked whether they are there, so that they are read once.
+    d = d.select("document_id", "v", body.read(ARRAY).alias("records")).select("document_id", found.alias("found"), "records")
     return d.select("document_id", "found", F.posexplode_outer("records").alias("pos", "record")).withColumn("found", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("found")).otherwise(_none()))
 
 
-def _rows_of(path: str, level: int) -> Column:
-    """The items of a list in v, as an array of rows (level, name, v)."""
-    row = lambda x, i: F.struct(F.lit(level).alias("level"), F.concat("name", F.lit(f"{_said(path)}["), i.cast("string"), F.lit("]")).alias("name"), x.alias("v"))
-    return F.transform(F.try_variant_get("v", f"${path}", ARRAY), row)
-
+def _checked(d: DataFrame, shapes: Mapping[int, Mapping]) -> DataFrame:
+    """d (entity_id, found, level, name, v: a value) with the findings of its values added to found, and h, the values held, by level. shapes: by level."""
+    # Shapes that are no object are held as they are.
+    d = d.select("*", *[F.when(F.col("level") == n, F.try_variant_get("v", "$", _held(s))).alias(f"h{n}") for n, s in shapes.items()])
+    own = F.when(F.col("name").isNull(), _none())
+    for n, s in shapes.items():
+        own = own.when(F.col("level") == n, findings(s, Place(F.col("v"), "$", F.col("name"), F.col(f"h{n}"))))
+    return d.withColumn("found", F.concat("found", own))
 
-def _items(d: DataFrame, shape: Mapping) -> tuple[DataFrame, list[Mapping]]:
-    """d (entity_id, found, level, name, v: a value) with a row for each item of a list too, and the shapes by level."""
-    levels, todo = [shape], [0]
-    while todo:
-        inner, more = [], []
-        for at in todo:
-            for path, items in _lists(levels[at]):
-                levels.append(items)
-                more.append(len(levels) - 1)
-                inner.append(F.when(F.col("level") == at, _rows_of(path, len(levels) - 1)))
-        if inner:
-            none = F.array().cast("array<struct<level: int, name: string, v: variant>>")
-            rows = F.concat(F.array(F.struct("level", "name", "v")), *[F.coalesce(c, none) for c in inner])
-            d = d.select("entity_id", "found", rows.alias("rows")).select("entity_id", "found", F.explode_outer("rows").alias("r")).select("entity_id", F.when(F.col("r.level").isin(todo), F.col("found")).otherwise(_none()).alias("found"), "r.*")
-        todo = more
-    return d, levels
 
+def _items(d: DataFrame, lists: list[tuple[int, int, tuple[str, ...]]]) -> DataFrame:
+    """A row (level, name, v) for each item of the lists (level, level of its items, keys) that d's values hold; found stays with the first, or alone with nulls.
 
-def _said(path: str) -> str:
-    """A JSON path as findings name it."""
-    return re.sub(r"\['(.*?)'\]", r".\1", path)
+    The lists of a value stand one behind the other in one array, so an item's place there tells its list and its number.
+    """
+    none = F.array().cast(ARRAY)
+    held = [F.coalesce(reduce(Column.getField, keys, F.col(f"h{n}")), none).alias(f"l{of}") for n, of, keys in lists]
+    d = d.select("entity_id", "found", "name", *held)
+    ends = [reduce(lambda a, b: a + b, [F.size(f"l{of}") for _, of, _ in lists[: k + 1]]).alias(f"e{of}") for k, (_, of, _) in enumerate(lists)]
+    d = d.select("entity_id", "found", "name", *ends, F.concat(*[F.col(f"l{of}") for _, of, _ in lists]).alias("all"))
+    d = d.select("*", F.posexplode_outer("all").alias("pos", "v"))
+    level, name, start = F.when(F.col("pos").isNull(), None), F.when(F.col("pos").isNull(), None), F.lit(0)
+    for _, of, keys in lists:
+        here = F.col("pos") < F.col(f"e{of}")
+        level = level.when(here, of)
+        name = name.when(here, F.concat("name", F.lit("".join(f".{k}" for k in keys) + "["), (F.col("pos") - start).cast("string"), F.lit("]")))
+        start = F.col(f"e{of}")
+    found = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("found")).otherwise(_none())
+    return d.select("entity_id", found.alias("found"), level.cast("int").alias("level"), name.alias("name"), "v")
 
 
 def validate_documents(documents: DataFrame, document: Document) -> DataFrame:
@@ -229,17 +232,21 @@ def validate_documents(documents: DataFrame, document: Document) -> DataFrame:
     A value is cast once to the structs of its shape, and findings are a column of their own before
     they become rows, so that they are compiled and not interpreted. The rows come by explode_outer: for
     explode the optimizer would ask for arrays that are not empty, and make them, casts included, once
-    more to do so.
+    more to do so. A list's items come from the struct that its value was cast to.
     """
     name = F.concat(F.lit(f"{document.records}["), F.col("pos").cast("string"), F.lit("]"))
     d = records(documents, document).select(F.col("document_id").cast("string").alias("entity_id"), "found", F.lit(0).alias("level"), name.alias("name"), F.col("record").alias("v"))
-    d, levels = _items(d, document.record)
-    # Shapes that are no object are held as they are.
-    d = d.select("*", *[F.when(F.col("level") == n, F.try_variant_get("v", "$", _held(s))).alias(f"h{n}") for n, s in enumerate(levels)])
-    own = F.when(F.col("name").isNull(), _none())
-    for n, s in enumerate(levels):
-        own = own.when(F.col("level") == n, findings(s, Place(F.col("v"), "$", F.col("name"), F.col(f"h{n}"))))
-    d = d.select("entity_id", F.concat("found", own).alias("all")).select("entity_id", F.explode_outer("all").alias("f")).filter("f is not null")
+    levels, shapes = [document.record], {0: document.record}
+    while shapes:
+        d, lists = _checked(d, shapes), []
+        for n, shape in shapes.items():
+            for keys, items in _lists(shape):
+                lists.append((n, len(levels), keys))
+                levels.append(items)
+        shapes = {of: levels[of] for _, of, _ in lists}
+        if lists:
+            d = _items(d, lists)
+    d = d.select("entity_id", F.explode_outer("found").alias("f")).filter("f is not null")
     return d.select("f.code", "f.severity", "entity_id", "f.path", F.concat_ws(" ", "f.path", F.lit("rule"), "f.code").alias("message"))
 
 

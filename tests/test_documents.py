@@ -154,3 +154,39 @@ def test_findings_are_compiled_once(spark):
     got = found(spark, "entries", body("entries", ENTRY | {"claims": [CLAIM, *[x if x == 7 else CLAIM | x for x in items]], "conflicts": [{}, None]}))
     assert [(c, p) for _, c, p in got if "claims[" in p] == [("invalid-claim", "entries[0].claims[2]"), ("invalid-claim-id", "entries[0].claims[1].id"), ("invalid-claim-page", "entries[0].claims[3].locator.page"), ("unknown-claim-locator-field", "entries[0].claims[3].locator.leaf")]
     assert ("0", "invalid-conflict", "entries[0].conflicts[1]") in got and ("0", "invalid-string-array", "entries[0].conflicts[0].claimIds") in got
+
+
+def test_lists_are_read_from_the_struct_that_their_value_was_cast_to(spark):
+    # Each list, and the records, were read from the document a second time, and their rows made by lambdas.
+    d = spark.createDataFrame([(1, body("entries", ENTRY))], "document_id long, body string")
+    plan = validate_documents(d, DOCUMENTS["entries"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.claims" not in plan and "$.mapping.mappings" not in plan and plan.count("$.entries, ArrayType") == 1
+    assert len([line for line in plan.splitlines() if "Generate posexplode" in line]) == 2
+
+
+def test_items_of_lists_within_lists_keep_their_places(spark):
+    text = {"type": "text", "code": "bad-text"}
+    inner = {"type": "object", "code": "bad-inner", "fields": {"t": text, "words": {"type": "list", "code": "bad-words", "items": text, "optional": True}}}
+    fields = {"a b": {"type": "list", "code": "bad-list", "items": inner}, "c": {"type": "object", "code": "bad-c", "fields": {"d": {"type": "list", "code": "bad-d", "items": text}}}}
+    document = Document("records", 1, "records", {"type": "object", "code": "bad-record", "fields": fields})
+    records = [{"a b": [{"t": "x", "words": ["u", 2, " "]}, None, {"words": []}], "c": {"d": [1, "y", None]}}, {"a b": [], "c": {"d": []}}, 5, {"a b": 1, "c": {"d": ["z", ""]}}]
+    d = spark.createDataFrame([(1, body("records", *records)), (2, body("records")), (3, json.dumps({"schemaVersion": 2, "records": 1}))], "document_id long, body string")
+    got = sorted((r.entity_id, r.code, r.path) for r in validate_documents(d, document).collect())
+    want = [("bad-text", "records[0].a b[0].words[1]"), ("bad-text", "records[0].a b[0].words[2]"), ("bad-inner", "records[0].a b[1]"), ("bad-text", "records[0].a b[2].t"), ("bad-text", "records[0].c.d[0]"), ("bad-text", "records[0].c.d[2]")]
+    want += [("bad-record", "records[2]"), ("bad-list", "records[3].a b"), ("bad-text", "records[3].c.d[1]")]
+    assert got == sorted([("1", *x) for x in want] + [("3", "invalid-document-shape", "records"), ("3", "unsupported-schema-version", "records.schemaVersion")])
+
+
+@pytest.mark.parametrize("texts, codes", [(["a", "b"], []), (["a", " A "], ["duplicate-normalized-term[1]"]), ([1, "a"], ["invalid-string-array-item[0]"]), (["", None], ["invalid-string-array-item[0]", "invalid-string-array-item[1]"]), (["́", "́"], []), (["a", "b", "B"], ["duplicate-normalized-term[2]"])])
+def test_two_texts_are_checked_as_more_are(spark, texts, codes):
+    document = Document("records", 1, "records", {"type": "texts"})
+    d = spark.createDataFrame([(1, body("records", texts))], "document_id long, body string")
+    assert sorted(r.code + r.path.removeprefix("records[0]") for r in validate_documents(d, document).collect()) == codes
+
+
+def test_dates_are_whole_texts(spark):
+    from lexspark.functions.text import is_iso_date
+
+    d = spark.createDataFrame([("2024-02-29",), ("2024-02-30",), ("2024-02-29\n",), (" 2024-02-29",), ("0000-01-01",), ("2024-13-01",), ("٢024-01-01",), (None,)], "x string")
+    assert [r[0] for r in d.select(is_iso_date("x")).collect()] == [True, False, False, False, True, False, False, False]
+    assert "gettimestamp" not in d.select(is_iso_date("x"))._jdf.queryExecution().optimizedPlan().toString()
